@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from skiff.plans import oracle_retail, retail
+from skiff.plans import oracle_retail, oracle_trips, retail, trips
 
 QUERIES = {}
 QUERIES.update(retail.QUERIES)
+QUERIES.update(trips.QUERIES)
 
 ORACLES = {}
 ORACLES.update(oracle_retail.ORACLES)
+ORACLES.update(oracle_trips.ORACLES)
 
 # Every oracle must belong to a registered query.
 assert set(ORACLES) <= set(QUERIES), set(ORACLES) - set(QUERIES)

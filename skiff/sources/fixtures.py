@@ -136,7 +136,9 @@ def order_lines_raw(spark: SparkSession, root: str) -> DataFrame:
 def trips(spark: SparkSession, root: str) -> DataFrame:
     """Taxi-trip rows (FIXTURES.md B.2), one per event."""
     e = read_table(spark, root, "events", "event_id", "ts", "user_id", "event_type", "value")
-    payment = F.create_map(*[x for kv in PAYMENT_BY_EVENT.items() for x in map(F.lit, kv)])
+    payment = F.lit(None).cast("string")
+    for event_type, pay in reversed(PAYMENT_BY_EVENT.items()):
+        payment = F.when(F.col("event_type") == event_type, F.lit(pay)).otherwise(payment)
     fare = F.col("value").cast("decimal(10,2)")
     return e.select(
         F.col("event_id").alias("trip_id"),
@@ -150,7 +152,7 @@ def trips(spark: SparkSession, root: str) -> DataFrame:
         F.expr("cast(40.7 + (event_id % 1200) * 0.0001 as decimal(10,6))").alias("pickup_latitude"),
         F.expr("cast(-74.02 + ((event_id + 7) % 900) * 0.0001 as decimal(10,6))").alias("dropoff_longitude"),
         F.expr("cast(40.7 + ((event_id + 7) % 1200) * 0.0001 as decimal(10,6))").alias("dropoff_latitude"),
-        payment[F.col("event_type")].alias("payment_type"),
+        payment.alias("payment_type"),
         fare.alias("fare_amount"),
         F.expr("cast(round(cast(value as decimal(10,2)) * 0.1, 2) as decimal(10,2))").alias("tip_amount"),
         F.lit(0).cast("decimal(10,2)").alias("tolls_amount"),
