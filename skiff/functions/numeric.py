@@ -25,7 +25,7 @@ def _c(col: Column | str) -> Column:
 
 def exact_mean(col: Column | str, scale: int = 2, acc: str = MEAN_ACC) -> Column:
     """Aggregate: ``round(sum(x) / count(x), scale)`` computed in DECIMAL."""
-    x = _c(col).cast(acc)
+    x = _c(col).try_cast(acc)
     return F.round(F.sum(x) / F.count(x).cast("decimal(20,0)"), scale)
 
 

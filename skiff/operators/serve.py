@@ -127,14 +127,11 @@ def live_kpis(window_results: DataFrame) -> DataFrame:
 
 def band_distribution(band_counts: DataFrame) -> DataFrame:
     """Band counts with each band's share of the total (percent, 2 places)."""
-    total = band_counts.agg(F.sum("count").alias("_total"))
+    total = band_counts.agg(F.sum("count").cast("decimal(20,0)").alias("_total"))
+    share = percent_of(F.col("count").cast("decimal(20,0)"), F.col("_total"), 2).cast("double")
     return (
-        band_counts.crossJoin(F.broadcast(total))  # one-row side
-        .select(
-            "band",
-            "count",
-            F.round(F.col("count") * F.lit(100.0) / F.col("_total"), 2).alias("share_pct"),
-        )
+        band_counts.crossJoin(F.broadcast(total))  # the broadcast side is one row
+        .select("band", "count", share.alias("share_pct"))
         .orderBy(F.desc("count"), "band")
     )
 

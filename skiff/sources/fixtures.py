@@ -19,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skiff.functions.bands import aqi_band
 from skiff.sources.tables import broadcast_if_bounded, read_table
 
 # Largest dimension we are willing to broadcast without a shuffle.
@@ -163,19 +162,27 @@ def trips(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def aqi_messages(spark: SparkSession, root: str) -> DataFrame:
-    """Air-quality messages (FIXTURES.md B.3) in the message schema's column order."""
+def aqi_csv_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Air-quality rows shaped like the reference CSV (all text; lat/lng/population
+    empty; no Category column, so the message derives it from the band), plus the
+    event's epoch seconds as ``_epoch``."""
     e = read_table(spark, root, "events", "ts", "user_id", "event_type", "value")
     return e.select(
-        F.col("event_type").alias("state"),
-        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("city"),
-        F.date_format("ts", "yyyy-MM-dd").alias("date"),
-        F.col("value").alias("aqi"),
-        aqi_band("value").alias("category"),
-        aqi_band("value").alias("band"),
-        F.lit("PM2.5").alias("parameter"),
-        F.lit(0.0).alias("lat"),
-        F.lit(0.0).alias("lng"),
-        F.lit(0.0).alias("population"),
-        (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000.0)).alias("timestamp"),
+        F.col("value").cast("string").alias("AQI"),
+        F.col("event_type").alias("state_name"),
+        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("city_ascii"),
+        F.date_format("ts", "yyyy-MM-dd").alias("Date"),
+        F.lit("PM2.5").alias("Defining Parameter"),
+        F.lit("").alias("lat"),
+        F.lit("").alias("lng"),
+        F.lit("").alias("population"),
+        (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000.0)).alias("_epoch"),
     )
+
+
+def aqi_messages(spark: SparkSession, root: str) -> DataFrame:
+    """Air-quality messages (FIXTURES.md B.3) built by the message operator from
+    CSV-shaped rows; the event time is the event's own timestamp."""
+    from skiff.operators.aqi import build_aqi_messages
+
+    return build_aqi_messages(aqi_csv_rows(spark, root), timestamp=F.col("_epoch"))
