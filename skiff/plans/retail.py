@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skiff.operators import clean, marts, quality, serve, windows
 from skiff.plans.output import edge
 from skiff.session import apply_defaults
-from skiff.sources.fixtures import order_lines_raw
+from skiff.sources.fixtures import stored
 
 # Dashboard selections used by the contract (the feature's own parameters).
 SELECTED_YEARS = (1996, 1998, 2000)
@@ -16,7 +16,7 @@ SELECTED_YEARS = (1996, 1998, 2000)
 
 def typed_lines(spark: SparkSession, root: str) -> DataFrame:
     apply_defaults(spark)
-    return clean.type_order_lines(order_lines_raw(spark, root))
+    return clean.type_order_lines(stored(spark, root, "order_lines_raw"))
 
 
 def clean_lines(spark: SparkSession, root: str) -> DataFrame:

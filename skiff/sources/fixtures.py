@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skiff.sources.tables import broadcast_if_bounded, read_table
+from skiff.session import new_run_dir
+from skiff.sources.tables import broadcast_if_bounded, read_table, widen
 
 # Largest dimension we are willing to broadcast without a shuffle.
 DIMENSION_BROADCAST_MAX_ROWS = 10_000
@@ -132,6 +133,23 @@ def order_lines_raw(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A fixture written once per application to the shared checkpoint folder and
+    read back as a plain parquet input (what the reference reads from a file).
+
+    Writing is by executors; a rerun after executor loss rewrites the same files."""
+    key = (spark.sparkContext.applicationId, root, name)
+    path = _STORED.get(key)
+    if path is None:
+        path = new_run_dir(spark, name)
+        widen(_BUILDERS[name](spark, root)).write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)
+
+
 def trips(spark: SparkSession, root: str) -> DataFrame:
     """Taxi-trip rows (FIXTURES.md B.2), one per event."""
     e = read_table(spark, root, "events", "event_id", "ts", "user_id", "event_type", "value")
@@ -186,3 +204,6 @@ def aqi_messages(spark: SparkSession, root: str) -> DataFrame:
     from skiff.operators.aqi import build_aqi_messages
 
     return build_aqi_messages(aqi_csv_rows(spark, root), timestamp=F.col("_epoch"))
+
+
+_BUILDERS = {"order_lines_raw": order_lines_raw, "order_lines": order_lines}

@@ -30,3 +30,11 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than the
+    cluster can run at once (e.g. a single-row-group file). At scale the input has
+    thousands of splits and this is a no-op, so it never adds a shuffle there."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
