@@ -1,0 +1,93 @@
+"""Synthetic taxi trips generated by Spark (``range`` + seeded ``rand``), the seed
+table of the trip flow. Every row is computed by executors from its own id, so
+generation is parallel and, with a seed, reproducible."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# ---------------------------------------------------------------------------
+# Fixed values of the seed distributions (each CASE branch draws a NEW random
+# number, so the shares compound: passengers 1 at 0.55, then 2 at 0.80 of the
+# rest, 3 at 0.92, 4 at 0.97, else 5-6; payment Credit Card 0.67, Cash 0.92,
+# No Charge 0.97, else Dispute). Ranges: pickup in 2024 (365 days plus up to 23
+# whole hours), distance 0.5 + u^1.5 * 24.5 miles, longitude -74.02 + 0.09 u,
+# latitude 40.70 + 0.12 u, fare 3.00 + distance' * 2.50, tip 0-25 % of
+# (3 + 62.5 u) on 67 % of trips, tolls up to 5.54 on 15 %, total = fare' + up to
+# 8.00 + 0.50, vendors CMT / VTS / DDS, dropoff 5-45 minutes after the pickup.
+# ---------------------------------------------------------------------------
+N_TRIPS = 25_000
+PASSENGER_STEPS = ((0.55, 1), (0.80, 2), (0.92, 3), (0.97, 4))
+PAYMENT_STEPS = ((0.67, "Credit Card"), (0.92, "Cash"), (0.97, "No Charge"))
+PAYMENT_LAST = "Dispute"
+VENDOR_CODES = ("CMT", "VTS", "DDS")
+
+
+def synthetic_trips(
+    spark: SparkSession,
+    n: int = N_TRIPS,
+    seed: int = 7,
+    independent_dropoff: bool = False,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """``n`` trips with ids 1..n. ``independent_dropoff=True`` reproduces the seed
+    script literally (dropoff drawn independently of pickup, so about half of the
+    trips end before they start); the default puts dropoff 5-45 min after pickup."""
+    counter = iter(range(1, 1000))
+
+    def u() -> Column:  # a fresh independent uniform draw per call
+        return F.rand(seed * 1000 + next(counter))
+
+    base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+
+    def day_hour_offset() -> Column:
+        secs = u() * F.lit(365 * 86400) + F.floor(u() * 24) * F.lit(3600)
+        return F.make_dt_interval(secs=secs.cast("decimal(18,6)"))
+
+    pickup = base + day_hour_offset()
+    minutes = (F.lit(5) + u() * 40) * 60
+    if independent_dropoff:
+        dropoff = base + day_hour_offset() + F.make_dt_interval(secs=minutes.cast("decimal(18,6)"))
+    else:
+        dropoff = F.col("pickup_datetime") + F.make_dt_interval(secs=minutes.cast("decimal(18,6)"))
+
+    passengers = F.when(u() < PASSENGER_STEPS[0][0], F.lit(PASSENGER_STEPS[0][1]))
+    for p, v in PASSENGER_STEPS[1:]:
+        passengers = passengers.when(u() < p, F.lit(v))
+    passengers = passengers.otherwise((F.lit(5) + F.floor(u() * 2)).cast("int"))
+
+    payment = F.when(u() < PAYMENT_STEPS[0][0], F.lit(PAYMENT_STEPS[0][1]))
+    for p, v in PAYMENT_STEPS[1:]:
+        payment = payment.when(u() < p, F.lit(v))
+    payment = payment.otherwise(F.lit(PAYMENT_LAST))
+
+    def money(c: Column, p: int = 8) -> Column:
+        return F.round(c.cast(f"decimal({p + 4},6)"), 2).cast(f"decimal({p},2)")
+
+    def coord(lo: float, span: float) -> Column:
+        return F.round((F.lit(lo) + u() * span).cast("decimal(16,10)"), 6).cast("decimal(10,6)")
+
+    def shorter_miles() -> Column:
+        return F.lit(0.5) + F.pow(u(), 1.5) * 24.5
+
+    rows = spark.range(1, n + 1, numPartitions=num_partitions).select(
+        F.col("id").cast("int").alias("trip_id"),
+        pickup.alias("pickup_datetime"),
+        passengers.cast("int").alias("passenger_count"),
+        money(shorter_miles()).alias("trip_distance"),
+        coord(-74.02, 0.09).alias("pickup_longitude"),
+        coord(40.70, 0.12).alias("pickup_latitude"),
+        coord(-74.02, 0.09).alias("dropoff_longitude"),
+        coord(40.70, 0.12).alias("dropoff_latitude"),
+        payment.alias("payment_type"),
+        money(F.lit(3.0) + shorter_miles() * 2.5).alias("fare_amount"),
+        money(F.when(u() < 0.67, (F.lit(3.0) + u() * 62.5) * (u() * 0.25)).otherwise(F.lit(0.0))).alias("tip_amount"),
+        money(F.when(u() < 0.15, u() * 5.54).otherwise(F.lit(0.0))).alias("tolls_amount"),
+        money(F.lit(3.0) + shorter_miles() * 2.5 + u() * 8.0 + 0.5).alias("total_amount"),
+        F.element_at(F.array(*map(F.lit, VENDOR_CODES)), (F.floor(u() * 3) + 1).cast("int")).alias("vendor_id"),
+    )
+    return rows.withColumn("dropoff_datetime", dropoff).select(
+        "trip_id", "pickup_datetime", "dropoff_datetime", *[c for c in rows.columns if c not in (
+            "trip_id", "pickup_datetime")]
+    )

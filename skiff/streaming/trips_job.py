@@ -12,9 +12,13 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skiff.operators import trips as T
+from skiff.sinks.points import write_points
+
+FLOW_METRICS = "trip_flow"
 
 
 def trip_batch_writer(out_root: str) -> Callable[[DataFrame, int], None]:
@@ -28,7 +32,7 @@ def trip_batch_writer(out_root: str) -> Callable[[DataFrame, int], None]:
             T.enrichment_rejects(batch_df).write.mode("overwrite").parquet(
                 f"{out_root}/rejects/batch_id={batch_id}"
             )
-            T.to_points(enriched).write.mode("overwrite").parquet(f"{out_root}/points/batch_id={batch_id}")
+            write_points(T.to_points(enriched), f"{out_root}/points", batch_id)
         finally:
             batch_df.unpersist()
 
@@ -42,7 +46,13 @@ def start_trip_query(
     checkpoint_root: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    parsed = T.parse_trip_messages(source())
+    # consumer counters, reported per micro-batch in progress.observedMetrics
+    parsed = T.parse_trip_messages(source()).observe(
+        FLOW_METRICS,
+        F.count(F.lit(1)).alias("consumed"),
+        F.count_if(~T.enrichment_error()).alias("enriched"),
+        F.count_if(T.enrichment_error()).alias("enrich_errors"),
+    )
     return (
         parsed.writeStream.outputMode("append")
         .foreachBatch(trip_batch_writer(out_root))
