@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skiff.functions.bands import aqi_severity
@@ -126,14 +126,13 @@ def live_kpis(window_results: DataFrame) -> DataFrame:
 
 
 def band_distribution(band_counts: DataFrame) -> DataFrame:
-    """Band counts with each band's share of the total (percent, 2 places)."""
-    total = band_counts.agg(F.sum("count").cast("decimal(20,0)").alias("_total"))
-    share = percent_of(F.col("count").cast("decimal(20,0)"), F.col("_total"), 2).cast("double")
-    return (
-        band_counts.crossJoin(F.broadcast(total))  # the broadcast side is one row
-        .select("band", "count", share.alias("share_pct"))
-        .orderBy(F.desc("count"), "band")
-    )
+    """Band counts with each band's share of the total (percent, 2 places).
+
+    The input has one row per band (a fixed set of six), so the whole-table window
+    for the total is bounded."""
+    total = F.sum("count").over(Window.partitionBy()).cast("decimal(20,0)")
+    share = percent_of(F.col("count").cast("decimal(20,0)"), total, 2).cast("double")
+    return band_counts.select("band", "count", share.alias("share_pct")).orderBy(F.desc("count"), "band")
 
 
 def dominant_band(band_counts: DataFrame) -> DataFrame:

@@ -196,7 +196,7 @@ ORDER BY Category, Year""",
     "null_counts": with_ctes(
         "SELECT "
         + ", ".join(
-            f"COUNT_IF({c} IS NULL) AS {c}"
+            f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS {c}"
             for c in (
                 "Order_ID", "Line_No", "Order_Date", "Ship_Date", "Customer_ID", "Customer_Name",
                 "Order_Priority", "Product_ID", "Product_Name", "Category", "Sub_Category", "Segment",
@@ -213,12 +213,11 @@ ORDER BY Category, Year""",
 GROUP BY column_name, value ORDER BY column_name, n DESC, value"""
     ),
     "cleaning_summary": with_ctes(
-        """SELECT COUNT(*) AS rows_before,
-       COUNT_IF(Sales IS NOT NULL AND Profit IS NOT NULL AND Order_Date IS NOT NULL AND Category IS NOT NULL
-                AND Region IS NOT NULL AND Sales > 0) AS rows_after,
-       COUNT(*) - COUNT_IF(Sales IS NOT NULL AND Profit IS NOT NULL AND Order_Date IS NOT NULL
-                AND Category IS NOT NULL AND Region IS NOT NULL AND Sales > 0) AS removed
-FROM typed"""
+        """SELECT rows_before, rows_after, rows_before - rows_after AS removed
+FROM (SELECT COUNT(*) AS rows_before,
+             CAST(COUNT_IF(Sales IS NOT NULL AND Profit IS NOT NULL AND Order_Date IS NOT NULL
+                           AND Category IS NOT NULL AND Region IS NOT NULL AND Sales > 0) AS BIGINT) AS rows_after
+      FROM typed) t"""
     ),
     "profit_efficiency": with_ctes(
         f"""SELECT Category, {_money('sales')} AS TOTAL_SALES, {_money('profit')} AS TOTAL_PROFIT,
@@ -233,7 +232,7 @@ FROM yr ORDER BY AVG_REVENUE_PER_ORDER DESC""",
         MARTS,
     ),
     "kpi_yearly": with_ctes(
-        f"""SELECT CAST(COALESCE(SUM(sales), 0) AS DOUBLE) AS TOTAL_REV, COALESCE(SUM(n), 0) AS TOTAL_ORD,
+        f"""SELECT CAST(COALESCE(SUM(sales), 0) AS DOUBLE) AS TOTAL_REV, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS TOTAL_ORD,
        COALESCE({hundredths(_mean_h('margin_h'))}, 0) AS AVG_MARGIN FROM yr""",
         MARTS,
     ),

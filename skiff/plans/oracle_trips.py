@@ -108,13 +108,13 @@ WHERE ordinal <= 5 OR ordinal % 50 = 0"""
     ),
     "trip_flow_counts": _w(
         """SELECT COUNT(*) AS source_rows,
-       COUNT_IF(COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0) AS sent,
-       COUNT_IF(NOT (COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0)) AS skipped,
-       COUNT_IF(COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0) AS consumed,
-       COUNT_IF(COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0
-                AND pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL) AS enriched,
-       COUNT_IF(COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0
-                AND (pickup_datetime IS NULL OR dropoff_datetime IS NULL)) AS enrich_errors
+       CAST(COUNT_IF(COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0) AS BIGINT) AS sent,
+       CAST(COUNT_IF(NOT (COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0)) AS BIGINT) AS skipped,
+       CAST(COUNT_IF(COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0) AS BIGINT) AS consumed,
+       CAST(COUNT_IF(COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0
+                AND pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL) AS BIGINT) AS enriched,
+       CAST(COUNT_IF(COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0
+                AND (pickup_datetime IS NULL OR dropoff_datetime IS NULL)) AS BIGINT) AS enrich_errors
 FROM trips"""
     ),
     "fare_category_counts": _w("SELECT fare_category, COUNT(*) AS trips FROM enr GROUP BY fare_category"),

@@ -40,17 +40,30 @@ def _norm(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
 def compare(spark, con, name: str, spark_df, sql: str) -> dict:
     s_cols = spark_df.columns
+    s_types = dict(spark_df.dtypes)
     s_rows = spark_df.collect()
     rel = con.sql(sql)
     d_cols = rel.columns
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
     d_rows = rel.fetchall()
     out = {"name": name, "spark_rows": len(s_rows), "duck_rows": len(d_rows)}
     if sorted(s_cols) != sorted(d_cols):
         out["ok"] = False
         out["error"] = f"columns differ: spark={s_cols} duck={d_cols}"
         return out
+    type_diff = {c: (s_types[c], d_types[c]) for c in s_cols if SPARK_TO_DUCK.get(s_types[c]) != d_types[c]}
+    if type_diff:
+        out["ok"] = False
+        out["error"] = f"types differ: {type_diff}"
+        return out
     order = sorted(s_cols)
     s_idx = [s_cols.index(c) for c in order]
     d_idx = [d_cols.index(c) for c in order]
