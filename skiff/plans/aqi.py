@@ -81,11 +81,11 @@ def sliding_log(spark, root) -> DataFrame:
 
 def window_results(spark, root) -> DataFrame:
     """Current tumbling results (latest per key, not expired)."""
-    return keyed.expire(keyed.latest(tumbling_log(spark, root)))
+    return keyed.expire(keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/window_log"))
 
 
 def sliding_results(spark, root) -> DataFrame:
-    return keyed.expire(keyed.latest(sliding_log(spark, root)))
+    return keyed.expire(keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/sliding_log"))
 
 
 def q_aqi_tumbling_stream(spark, root):
@@ -141,7 +141,7 @@ def q_latest_per_state(spark, root):
 
 
 def q_latest_500_windows(spark, root):
-    keys = keyed.latest(tumbling_log(spark, root))
+    keys = keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/window_log")
     return keyed.retain_latest(keys, keyed.LATEST_KEYS_KEPT)
 
 

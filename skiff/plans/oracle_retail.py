@@ -265,6 +265,18 @@ FROM reg ORDER BY TOTAL_REVENUE DESC""",
     ),
 }
 
+ORACLES["least_profitable_top20"] = with_ctes(
+    f"""SELECT Sub_Category, Category, {_money('sales')} AS TOTAL_SALES, {_money('profit')} AS TOTAL_PROFIT,
+       {hundredths('margin_h')} AS AVG_MARGIN, n AS ORDER_COUNT FROM sub
+ORDER BY profit, Category, Sub_Category LIMIT 20""",
+    MARTS,
+)
+ORACLES["subcategory_rank_top30"] = with_ctes(
+    f"""SELECT Category, Sub_Category, {_money('sales')} AS TOTAL_SALES, {_money('profit')} AS TOTAL_PROFIT,
+       {hundredths('margin_h')} AS AVG_MARGIN, n AS ORDER_COUNT, rnk AS SALES_RANK
+FROM sub_rank ORDER BY Category, SALES_RANK, Sub_Category LIMIT 30""",
+    MARTS,
+)
 ORACLES["yearly_revenue_sql"] = ORACLES["yearly_revenue"]
 ORACLES["mart_category_sales"] = ORACLES["category_sales"]
 ORACLES["mart_subcategory_rank"] = ORACLES["subcategory_rank"]

@@ -76,6 +76,16 @@ def q_subcategory_losses(spark, root):
     return edge(marts.subcategory_profit_sql(spark, clean_lines(spark, root), losses_only=True))
 
 
+def q_least_profitable_top20(spark, root):
+    """The analysis display: first 20 sub-categories by profit, ascending."""
+    return edge(marts.subcategory_profit_sql(spark, clean_lines(spark, root)).limit(20))
+
+
+def q_subcategory_rank_top30(spark, root):
+    """The ranking display: first 30 rows by category, rank (ties by sub-category)."""
+    return edge(windows.rank_subcategories(clean_lines(spark, root)).limit(30))
+
+
 def q_subcategory_rank(spark, root):
     return edge(windows.rank_subcategories(clean_lines(spark, root)))
 
@@ -161,6 +171,8 @@ QUERIES = {
     "subcategory_profit_sql": q_subcategory_profit_sql,
     "subcategory_losses": q_subcategory_losses,
     "subcategory_rank": q_subcategory_rank,
+    "least_profitable_top20": q_least_profitable_top20,
+    "subcategory_rank_top30": q_subcategory_rank_top30,
     "cumulative_revenue": q_cumulative_revenue,
     "yoy_growth": q_yoy_growth,
     "null_counts": q_null_counts,

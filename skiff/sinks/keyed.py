@@ -7,6 +7,12 @@ is idempotent and a source that delivers at least once yields effectively-once
 results. Readers merge: the row with the highest ``batch_id`` wins per key,
 computed with a partial aggregate (``max_by``), so no key — however hot — is
 sorted in one task. Nothing is collected to the driver.
+
+Compaction (``compact``) folds all versions up to a batch into
+``<root>_snapshots/upto=<n>``; ``current_versions`` then reads that snapshot plus
+only the newer batch folders (partition pruning), so reading the current table
+costs O(keys + recent batches) however long the stream has run. The per-batch
+folders stay as the emission history (emitted counters, feed).
 """
 
 from __future__ import annotations
@@ -35,8 +41,10 @@ def log_writer(
     key: Column,
     columns: Sequence[str],
     on_written: Callable[[int], None] | None = None,
+    compact_every: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function appending one batch directory per micro-batch."""
+    """A ``foreachBatch`` function appending one batch directory per micro-batch;
+    with ``compact_every=k`` it also folds the log into a snapshot every k batches."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
@@ -47,6 +55,8 @@ def log_writer(
                 key.alias("key"), *[F.col(c) for c in columns], F.current_timestamp().alias("updated_at")
             )
             out.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+                compact(batch_df.sparkSession, root, batch_id)
             if on_written:
                 on_written(batch_id)
         finally:
@@ -65,6 +75,54 @@ def read_log(spark: SparkSession, root: str, schema: StructType | None = None) -
         return spark.createDataFrame([], schema)
 
 
+def snapshot_root(root: str) -> str:
+    return f"{root.rstrip('/')}_snapshots"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def snapshot_ids(spark: SparkSession, root: str) -> list[int]:
+    """Completed snapshots (folder listing on the driver: metadata only)."""
+    p, fs = _hadoop_path(spark, snapshot_root(root))
+    if not fs.exists(p):
+        return []
+    ids = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("upto=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            ids.append(int(name.split("=", 1)[1]))
+    return sorted(ids)
+
+
+def current_versions(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
+    """Rows that can still be current: newest snapshot + batch folders after it."""
+    log = read_log(spark, root, schema)
+    snaps = snapshot_ids(spark, root)
+    if not snaps:
+        return log
+    upto = snaps[-1]
+    snap = spark.read.parquet(f"{snapshot_root(root)}/upto={upto}")
+    return log.filter(F.col("batch_id") > upto).unionByName(snap)
+
+
+def compact(spark: SparkSession, root: str, upto: int, key: str = "key") -> None:
+    """Write the latest version of every key as of batch ``upto`` to a snapshot.
+
+    Idempotent (overwrite of its own folder); readers switch to it only once its
+    ``_SUCCESS`` marker exists, so a failed compaction is never read."""
+    versions = current_versions(spark, root).filter(F.col("batch_id") <= upto)
+    latest(versions, key).write.mode("overwrite").parquet(f"{snapshot_root(root)}/upto={upto}")
+
+
+def current(spark: SparkSession, root: str, key: str = "key") -> DataFrame:
+    """The current table: latest version per key."""
+    return latest(current_versions(spark, root), key)
+
+
 def latest(log: DataFrame, key: str = "key") -> DataFrame:
     """Current value of every key: the emission with the highest batch_id."""
     values = [c for c in log.columns if c != key]

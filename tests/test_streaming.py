@@ -151,3 +151,18 @@ def test_replay_stream_cycles_in_order(spark, tmp_dir):
     assert len(rows) >= 12
     first = [(r.replay_loop, r.id) for r in rows[:7]]
     assert first == [(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (2, 1), (2, 2)]
+
+
+def test_compaction_keeps_current_table(spark, tmp_dir):
+    root = f"{tmp_dir}/log"
+    write = keyed.log_writer(root, F.col("k"), ["k", "v"], compact_every=2)
+    batches = [[("a", 1), ("b", 1)], [("a", 2)], [("c", 3)], [("b", 4)], [("a", 5), ("d", 5)]]
+    for i, rows in enumerate(batches):
+        write(spark.createDataFrame(rows, "k string, v int"), i)
+    assert keyed.snapshot_ids(spark, root) == [2, 4]
+    full = {r.key: r.v for r in keyed.latest(keyed.read_log(spark, root)).collect()}
+    cur = {r.key: (r.v, r.batch_id) for r in keyed.current(spark, root).collect()}
+    assert {k: v for k, (v, _) in cur.items()} == full == {"a": 5, "b": 4, "c": 3, "d": 5}
+    assert cur["c"][1] == 2  # the version keeps its original batch id
+    compact_again = keyed.compact(spark, root, 4)  # idempotent rerun
+    assert compact_again is None and keyed.current(spark, root).count() == 4
