@@ -46,11 +46,11 @@ VENDORS = ("CMT", "VTS", "DDS")
 
 def order_lines(spark: SparkSession, root: str) -> DataFrame:
     """Typed order lines: one row per lineitem, money as DECIMAL(18,2)."""
-    li = read_table(
+    li = widen(read_table(
         spark, root, "lineitem",
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
-    )
+    ))
     orders = read_table(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customer = read_table(spark, root, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = broadcast_if_bounded(
@@ -145,14 +145,14 @@ def stored(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = _STORED.get(key)
     if path is None:
         path = new_run_dir(spark, name)
-        widen(_BUILDERS[name](spark, root)).write.mode("overwrite").parquet(path)
+        _BUILDERS[name](spark, root).write.mode("overwrite").parquet(path)
         _STORED[key] = path
     return spark.read.parquet(path)
 
 
 def trips(spark: SparkSession, root: str) -> DataFrame:
     """Taxi-trip rows (FIXTURES.md B.2), one per event."""
-    e = read_table(spark, root, "events", "event_id", "ts", "user_id", "event_type", "value")
+    e = widen(read_table(spark, root, "events", "event_id", "ts", "user_id", "event_type", "value"))
     payment = F.lit(None).cast("string")
     for event_type, pay in reversed(PAYMENT_BY_EVENT.items()):
         payment = F.when(F.col("event_type") == event_type, F.lit(pay)).otherwise(payment)
@@ -184,7 +184,7 @@ def aqi_csv_rows(spark: SparkSession, root: str) -> DataFrame:
     """Air-quality rows shaped like the reference CSV (all text; lat/lng/population
     empty; no Category column, so the message derives it from the band), plus the
     event's epoch seconds as ``_epoch``."""
-    e = read_table(spark, root, "events", "ts", "user_id", "event_type", "value")
+    e = widen(read_table(spark, root, "events", "ts", "user_id", "event_type", "value"))
     return e.select(
         F.col("value").cast("string").alias("AQI"),
         F.col("event_type").alias("state_name"),
