@@ -41,12 +41,6 @@ DEFAULT_TUMBLING = "30 seconds"
 DEFAULT_WATERMARK = "10 seconds"
 DEFAULT_SLIDING = ("60 seconds", "15 seconds")
 
-_TEXT_SOURCES = (
-    ("state", "state_name", "Unknown"),
-    ("city", "city_ascii", "Unknown"),
-    ("date", "Date", ""),
-    ("parameter", "Defining Parameter", "Unknown"),
-)
 _NUMBER_SOURCES = (("lat", "lat"), ("lng", "lng"), ("population", "population"))
 
 
@@ -69,10 +63,31 @@ def build_aqi_messages(rows: DataFrame, timestamp: Column | None = None) -> Data
     malformed; rows failing either rule are skipped. ``timestamp`` (epoch seconds)
     defaults to the ingestion time.
     """
+    return _messages(rows, timestamp).filter(_message_ok())
+
+
+def message_counts(rows: DataFrame) -> DataFrame:
+    """Producer counters in one pass: rows read, messages sent, rows skipped."""
+    ok = _messages(rows, F.lit(0.0)).select(_message_ok().alias("ok"))
+    return ok.agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if("ok").alias("sent"),
+        F.count_if(~F.col("ok")).alias("skipped"),
+    )
+
+
+def _message_ok() -> Column:
+    ok = F.col("aqi").isNotNull()
+    for dst, _ in _NUMBER_SOURCES:
+        ok = ok & F.col(dst).isNotNull()
+    return ok
+
+
+def _messages(rows: DataFrame, timestamp: Column | None) -> DataFrame:
     aqi = F.trim(F.col("AQI").cast("string")).try_cast("double")
     band = aqi_band(aqi)
     ts = timestamp if timestamp is not None else F.unix_micros(F.current_timestamp()) / F.lit(1e6)
-    out = rows.select(
+    return rows.select(
         _text(rows, "state_name", "Unknown").alias("state"),
         _text(rows, "city_ascii", "Unknown").alias("city"),
         _text(rows, "Date", "").alias("date"),
@@ -83,10 +98,6 @@ def build_aqi_messages(rows: DataFrame, timestamp: Column | None = None) -> Data
         *[_number_or_zero(rows, src).alias(dst) for dst, src in _NUMBER_SOURCES],
         ts.cast("double").alias("timestamp"),
     )
-    ok = F.col("aqi").isNotNull()
-    for dst, _ in _NUMBER_SOURCES:
-        ok = ok & F.col(dst).isNotNull()
-    return out.filter(ok)
 
 
 def to_json_value(df: DataFrame) -> DataFrame:

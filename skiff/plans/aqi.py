@@ -44,6 +44,11 @@ def q_aqi_parsed(spark, root):
     return edge(parsed.select("state", "city", "aqi", "band", "event_time"))
 
 
+def q_aqi_message_counts(spark, root):
+    apply_defaults(spark)
+    return A.message_counts(fixtures.aqi_csv_rows(spark, root))
+
+
 def q_aqi_tumbling_batch(spark, root):
     return edge(A.tumbling(_events(spark, root), TUMBLING))
 
@@ -195,6 +200,7 @@ def q_trip_stream_enriched(spark, root):
 
 QUERIES = {
     "aqi_parsed": q_aqi_parsed,
+    "aqi_message_counts": q_aqi_message_counts,
     "aqi_tumbling_batch": q_aqi_tumbling_batch,
     "aqi_sliding_batch": q_aqi_sliding_batch,
     "aqi_tumbling_stream": q_aqi_tumbling_stream,

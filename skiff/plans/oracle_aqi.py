@@ -77,6 +77,8 @@ ORACLES = {
        {_ts('CAST(floor(epoch(ts)) AS BIGINT)')} AS event_time
 FROM events"""
     ),
+    "aqi_message_counts": """SELECT COUNT(*) AS rows_read, CAST(COUNT_IF(value IS NOT NULL) AS BIGINT) AS sent,
+       CAST(COUNT_IF(value IS NULL) AS BIGINT) AS skipped FROM events""",
     "aqi_tumbling_batch": _w(f"SELECT {_TUMB_OUT} FROM tumb"),
     "aqi_sliding_batch": _w(f"SELECT {_SLID_OUT} FROM slid"),
     "aqi_window_results": _w(

@@ -26,6 +26,12 @@ def test_build_messages_defaults_and_skips(spark):
         "Ohio", 42.0, "Good", "Good", 0.0, 0.0, 12.0, 1.5)
 
 
+def test_message_counts(spark):
+    rows = spark.createDataFrame([("1", "2"), ("x", "2"), ("3", "bad"), ("4", "")], "AQI string, lat string")
+    c = A.message_counts(rows).first()
+    assert (c.rows_read, c.sent, c.skipped) == (4, 2, 2)
+
+
 def test_build_messages_absent_columns(spark):
     rows = spark.createDataFrame([("250",)], "AQI string")
     m = A.build_aqi_messages(rows, timestamp=F.lit(0.0)).first()
