@@ -143,26 +143,33 @@ def _grouping_id(keys: tuple[str, ...]) -> int:
     return gid
 
 
+def mart_groups(df: DataFrame) -> DataFrame:
+    """The GROUPING SETS aggregate behind all four marts: ONE scan of the cleaned
+    lines, partial aggregation before the exchange, #groups rows out."""
+    return df.groupingSets([list(k) for k in _SET_KEYS.values()], *_ALL_KEYS).agg(
+        F.grouping_id().alias("_gid"),
+        F.sum("Sales").alias("_sales"),
+        F.sum("Profit").alias("_profit"),
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.col("Sales").cast(MEAN_ACC)).alias("_sales_acc"),
+        F.count("Sales").alias("_sales_n"),
+        F.sum(F.col("Profit_Margin").cast(MEAN_ACC)).alias("_margin_acc"),
+        F.count("Profit_Margin").alias("_margin_n"),
+    )
+
+
 def build_marts(df: DataFrame) -> dict[str, DataFrame]:
     """All four marts from ONE scan of the cleaned lines (GROUPING SETS).
 
     The grouped result has only #groups rows; it is persisted so that publishing
     the four marts does not re-run the scan.
     """
-    grouped = (
-        df.groupingSets([list(k) for k in _SET_KEYS.values()], *_ALL_KEYS)
-        .agg(
-            F.grouping_id().alias("_gid"),
-            F.sum("Sales").alias("_sales"),
-            F.sum("Profit").alias("_profit"),
-            F.count(F.lit(1)).alias("_n"),
-            F.sum(F.col("Sales").cast(MEAN_ACC)).alias("_sales_acc"),
-            F.count("Sales").alias("_sales_n"),
-            F.sum(F.col("Profit_Margin").cast(MEAN_ACC)).alias("_margin_acc"),
-            F.count("Profit_Margin").alias("_margin_n"),
-        )
-        .persist()
-    )
+    return marts_from_groups(mart_groups(df).persist())
+
+
+def marts_from_groups(grouped: DataFrame) -> dict[str, DataFrame]:
+    """Split a ``mart_groups`` result (live or read back from storage) into the
+    four marts."""
 
     def part(name: str) -> DataFrame:
         return grouped.filter(F.col("_gid") == _grouping_id(_SET_KEYS[name]))

@@ -8,9 +8,10 @@ with the tables.
 Join plan for ``order_lines`` (sized for a 1000-executor cluster):
   customer ⋈ nation ⋈ region   nation/region are broadcast only after a row-count
                                 proof (TPC-H fixes them at 25 / 5 rows)
-  orders ⋈ customer-dim         shuffle join on custkey (AQE may broadcast at run time)
-  lineitem ⋈ orders             shuffle join on orderkey, AQE splits skewed keys
-  ⋈ part                        shuffle join on partkey
+  orders ⋈ customer-dim         sort-merge join on custkey (hinted: never a broadcast)
+  lineitem ⋈ orders             sort-merge join on orderkey (hinted), AQE splits skewed keys
+  ⋈ part                        planner's choice: shuffle join at scale, AQE may
+                                broadcast it at run time from its measured size
 Only the columns each query needs survive pruning down to the parquet scans.
 """
 
@@ -46,11 +47,11 @@ VENDORS = ("CMT", "VTS", "DDS")
 
 def order_lines(spark: SparkSession, root: str) -> DataFrame:
     """Typed order lines: one row per lineitem, money as DECIMAL(18,2)."""
-    li = widen(read_table(
+    li = read_table(
         spark, root, "lineitem",
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
-    ))
+    )
     orders = read_table(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customer = read_table(spark, root, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = broadcast_if_bounded(
@@ -66,8 +67,12 @@ def order_lines(spark: SparkSession, root: str) -> DataFrame:
         .join(region, nation.n_regionkey == region.r_regionkey)
         .select("c_custkey", "c_name", "c_mktsegment", "r_name")
     )
-    order_dim = orders.join(cust_dim, orders.o_custkey == cust_dim.c_custkey)
-    lines = li.join(order_dim, li.l_orderkey == order_dim.o_orderkey).join(
+    # fact ⋈ fact and fact ⋈ customer are shuffle (sort-merge) joins at every
+    # scale: no side may become a broadcast build side, even when small test files
+    # make the static size estimate look tiny. Their hash exchanges also spread
+    # single-split inputs over the cluster, so no extra repartition is needed.
+    order_dim = orders.join(cust_dim.hint("merge"), orders.o_custkey == cust_dim.c_custkey)
+    lines = li.join(order_dim.hint("merge"), li.l_orderkey == order_dim.o_orderkey).join(
         part, li.l_partkey == part.p_partkey
     )
     net = "cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2)))"
@@ -136,16 +141,19 @@ def order_lines_raw(spark: SparkSession, root: str) -> DataFrame:
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
-def stored(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A fixture written once per application to the shared checkpoint folder and
-    read back as a plain parquet input (what the reference reads from a file).
+def stored(spark: SparkSession, root: str, name: str, build=None) -> DataFrame:
+    """A table derived from the inputs under ``root``, written once per application
+    to the shared checkpoint folder and read back as plain parquet (what the
+    reference reads from a file or a warehouse table).
 
-    Writing is by executors; a rerun after executor loss rewrites the same files."""
+    ``build(spark, root) -> DataFrame`` defaults to the fixture of that name.
+    Writing is by executors; a rerun after executor loss rewrites the same files,
+    and readers only ever see the folder after the write committed."""
     key = (spark.sparkContext.applicationId, root, name)
     path = _STORED.get(key)
     if path is None:
         path = new_run_dir(spark, name)
-        _BUILDERS[name](spark, root).write.mode("overwrite").parquet(path)
+        (build or _BUILDERS[name])(spark, root).write.mode("overwrite").parquet(path)
         _STORED[key] = path
     return spark.read.parquet(path)
 

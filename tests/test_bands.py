@@ -1,6 +1,3 @@
-import math
-
-import pytest
 from pyspark.sql import functions as F
 
 from skiff.functions.bands import aqi_band, fare_category, sales_band

@@ -11,16 +11,34 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_mart_scan_is_pruned_and_filtered(spark):
-    df = QUERIES["category_sales"](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    phys = _plan(df)
-    # only the five columns the mart needs are read, and the NOT NULL checks reach the scan
+def _read_schema(phys: str) -> list[str]:
     m = re.search(r"ReadSchema: struct<([^>]*)>", phys)
-    assert m and sorted(c.split(":")[0] for c in m.group(1).split(",")) == sorted(
-        ["Order.Date", "Category", "Region", "Sales", "Profit"])
+    assert m, phys
+    # field names precede ':'; decimal(18,2) commas are not separators
+    return sorted(re.findall(r"(?:^|,)([^:,()]+):", m.group(1)))
+
+
+def test_cleaning_scan_is_pruned_and_filtered(spark):
+    df = QUERIES["sales_band_counts"](spark, SF_SMALL)
+    phys = _plan(df)
+    # only the five columns cleaning needs are read, and the NOT NULL checks reach the scan
+    assert _read_schema(phys) == sorted(["Order.Date", "Category", "Region", "Sales", "Profit"])
     assert "PushedFilters: [IsNotNull(Sales)" in phys
-    assert "Join" not in plan
+    assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_mart_reads_only_its_columns_of_the_cleaned_lines(spark):
+    df = QUERIES["category_sales"](spark, SF_SMALL)
+    assert _read_schema(_plan(df)) == sorted(["Category", "Sales", "Profit", "Profit_Margin"])
+    assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fact_joins_are_never_broadcast(spark):
+    from skiff.sources import fixtures
+
+    plan = _plan(fixtures.order_lines(spark, SF_SMALL))
+    # lineitem ⋈ orders and orders ⋈ customer stay shuffle joins even on tiny files
+    assert plan.count("SortMergeJoin") == 2, plan
 
 
 def test_aggregations_are_partial_before_exchange(spark):

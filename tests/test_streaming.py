@@ -4,7 +4,6 @@ import time
 
 from pyspark.sql import functions as F
 
-from skiff.operators import aqi as A
 from skiff.sinks import keyed
 from skiff.sources.files import json_file_source
 from skiff.streaming.aqi_job import AqiStreamConfig, await_all, start_aqi_queries
