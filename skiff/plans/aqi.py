@@ -198,6 +198,17 @@ def q_trip_stream_enriched(spark, root):
     return edge(read_enriched(spark, f"{trip_stream_run(spark, root)}/out"))
 
 
+def q_trip_pipeline_counts(spark, root):
+    from skiff.operators import trips as T
+
+    out = f"{trip_stream_run(spark, root)}/out"
+    return T.pipeline_counts(
+        spark.read.parquet(f"{out}/enriched"),
+        spark.read.parquet(f"{out}/rejects"),
+        spark.read.parquet(f"{out}/points"),
+    )
+
+
 QUERIES = {
     "aqi_parsed": q_aqi_parsed,
     "aqi_message_counts": q_aqi_message_counts,
@@ -220,4 +231,5 @@ QUERIES = {
     "compare_windows": q_compare_windows,
     "common_states": q_common_states,
     "trip_stream_enriched": q_trip_stream_enriched,
+    "trip_pipeline_counts": q_trip_pipeline_counts,
 }

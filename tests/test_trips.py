@@ -115,3 +115,17 @@ def test_synthetic_trips_ranges_and_shares(spark):
     indep = synthetic_trips(spark, n=4000, seed=3, independent_dropoff=True)
     backwards = indep.filter(F.col("dropoff_datetime") < F.col("pickup_datetime")).count()
     assert 1500 < backwards < 2500  # about half end before they start
+
+
+def test_pipeline_counts_from_stored_logs(spark):
+    rows = [
+        _trip(1, 600, Decimal("2.00"), Decimal("12.50")),
+        _trip(2, 600, Decimal("3.00"), Decimal("12.50")),  # same series and time as trip 1
+        _trip(3, 600, Decimal("2.00"), Decimal("30.00")),  # other fare category: own series
+        _trip(4, 600, Decimal("0.00"), Decimal("12.50")),  # zero distance: enrichment error
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    enriched = T.enrich_trips(df)
+    points = T.to_points(enriched)
+    c = T.pipeline_counts(enriched, T.enrichment_rejects(df), points).collect()[0].asDict()
+    assert c == {"consumed": 4, "enriched": 3, "enrich_errors": 1, "sink_ok": 3, "series_times": 2}
