@@ -54,8 +54,9 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates and stream checkpoints.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when none is configured (local
-    tests) a private directory is created and registered as the checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir``. Only when none is configured on a
+    local master (tests) a private directory is created and registered as the
+    checkpoint dir; a cluster without the setting is refused.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -65,6 +66,12 @@ def scratch_root(spark: SparkSession) -> str:
     if current:
         # getCheckpointDir returns <dir>/<uuid>; the parent is the shared folder
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local"):
+        # executors cannot see a folder on the driver's disk
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: configure a shared folder (e.g. on the "
+            "cluster file system) for materialised tables and stream checkpoints"
+        )
     local = tempfile.mkdtemp(prefix="skiff-ckpt-")
     sc.setCheckpointDir(local)
     return local
