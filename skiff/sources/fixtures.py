@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skiff.session import new_run_dir
-from skiff.sources.tables import broadcast_if_bounded, read_table, widen
+from skiff.sources.tables import broadcast_if_bounded, read_table, read_wide
 
 # Largest dimension we are willing to broadcast without a shuffle.
 DIMENSION_BROADCAST_MAX_ROWS = 10_000
@@ -160,7 +160,7 @@ def stored(spark: SparkSession, root: str, name: str, build=None) -> DataFrame:
 
 def trips(spark: SparkSession, root: str) -> DataFrame:
     """Taxi-trip rows (FIXTURES.md B.2), one per event."""
-    e = widen(read_table(spark, root, "events", "event_id", "ts", "user_id", "event_type", "value"))
+    e = read_wide(spark, root, "events", "event_id", "ts", "user_id", "event_type", "value")
     payment = F.lit(None).cast("string")
     for event_type, pay in reversed(PAYMENT_BY_EVENT.items()):
         payment = F.when(F.col("event_type") == event_type, F.lit(pay)).otherwise(payment)
@@ -192,7 +192,7 @@ def aqi_csv_rows(spark: SparkSession, root: str) -> DataFrame:
     """Air-quality rows shaped like the reference CSV (all text; lat/lng/population
     empty; no Category column, so the message derives it from the band), plus the
     event's epoch seconds as ``_epoch``."""
-    e = widen(read_table(spark, root, "events", "ts", "user_id", "event_type", "value"))
+    e = read_wide(spark, root, "events", "ts", "user_id", "event_type", "value")
     return e.select(
         F.col("value").cast("string").alias("AQI"),
         F.col("event_type").alias("state_name"),

@@ -32,9 +32,25 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def widen(df: DataFrame, min_partitions: int | None = None, partitions: int | None = None) -> DataFrame:
     """Round-robin repartition only when ``df`` has fewer partitions than the
     cluster can run at once (e.g. a single-row-group file). At scale the input has
-    thousands of splits and this is a no-op, so it never adds a shuffle there."""
+    thousands of splits and this is a no-op, so it never adds a shuffle there.
+
+    ``partitions`` is the known partition count (saves planning ``df`` to find it)."""
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    have = partitions if partitions is not None else df.rdd.getNumPartitions()
+    return df.repartition(n) if have < n else df
+
+
+_SPLITS: dict[tuple[str, str], int] = {}
+
+
+def read_wide(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame:
+    """``read_table`` + ``widen``. The scan's split count depends only on the files
+    (not on the projected columns), so it is planned once per application and table."""
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SPLITS:
+        _SPLITS[key] = spark.read.parquet(path).rdd.getNumPartitions()
+    return widen(read_table(spark, root, name, *columns), partitions=_SPLITS[key])
