@@ -37,6 +37,9 @@ class AqiStreamConfig:
     watermark: str = DEFAULT_WATERMARK
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     rocksdb: bool = False
+    # fold the keyed result logs into a snapshot every k micro-batches, so reading
+    # the current table costs O(keys + k batches) however long the stream runs
+    compact_every: int | None = 50
 
 
 def start_aqi_queries(
@@ -60,6 +63,7 @@ def start_aqi_queries(
                 f"{out_root}/window_log",
                 window_key("window", F.col("state"), F.col("window_start")),
                 TUMBLING_COLUMNS,
+                compact_every=cfg.compact_every,
             )
         )
         .option("checkpointLocation", f"{checkpoint_root}/tumbling")
@@ -75,6 +79,7 @@ def start_aqi_queries(
                 f"{out_root}/sliding_log",
                 window_key("sliding", F.col("state"), F.col("window_start")),
                 SLIDING_COLUMNS,
+                compact_every=cfg.compact_every,
             )
         )
         .option("checkpointLocation", f"{checkpoint_root}/sliding")

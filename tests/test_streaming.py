@@ -43,11 +43,17 @@ def test_late_rows_update_then_drop(spark, tmp_dir):
             [_msg("A", 40.0, 996)],  # late and now beyond the watermark → dropped
         ],
     )
-    qs = _run(spark, inp, f"{tmp_dir}/run")
-    log = keyed.read_log(spark, f"{tmp_dir}/run/out/window_log")
+    # compaction every 2 micro-batches: the current table (snapshot + newer batch
+    # folders) must equal the merge of the whole log
+    qs = _run(spark, inp, f"{tmp_dir}/run", AqiStreamConfig(trigger={"availableNow": True}, compact_every=2))
+    root = f"{tmp_dir}/run/out/window_log"
+    log = keyed.read_log(spark, root)
     latest = {r.window_ts: r for r in keyed.latest(log).collect()}
     assert latest[990].record_count == 2 and latest[990].avg_aqi == 20.0
     assert latest[1200].record_count == 1
+    assert keyed.snapshot_ids(spark, root) == [2]
+    current = {r.window_ts: (r.record_count, r.avg_aqi) for r in keyed.current(spark, root).collect()}
+    assert current == {k: (r.record_count, r.avg_aqi) for k, r in latest.items()}
     dropped = sum(
         op.get("numRowsDroppedByWatermark", 0)
         for p in qs[0].recentProgress
