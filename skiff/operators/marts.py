@@ -69,10 +69,10 @@ def yearly_revenue_sql(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.sql(
         f"""
         SELECT YEAR(Order_Date)      AS Year,
-               ROUND(SUM(Sales), 2)  AS TOTAL_REVENUE,
-               ROUND(SUM(Profit), 2) AS TOTAL_PROFIT,
-               COUNT(*)              AS TOTAL_ORDERS,
-               {_SQL_MEAN.format(c="Profit_Margin")} AS AVG_MARGIN
+               ROUND(SUM(Sales), 2)  AS Total_Revenue,
+               ROUND(SUM(Profit), 2) AS Total_Profit,
+               COUNT(*)              AS Total_Orders,
+               {_SQL_MEAN.format(c="Profit_Margin")} AS Avg_Margin_Pct
         FROM {{orders}}
         GROUP BY YEAR(Order_Date)
         ORDER BY Year ASC
@@ -90,14 +90,14 @@ def subcategory_profit_sql(spark: SparkSession, df: DataFrame, losses_only: bool
     return spark.sql(
         f"""
         SELECT Sub_Category, Category,
-               ROUND(SUM(Sales), 2)  AS TOTAL_SALES,
-               ROUND(SUM(Profit), 2) AS TOTAL_PROFIT,
-               {_SQL_MEAN.format(c="Profit_Margin")} AS AVG_MARGIN,
-               COUNT(*)              AS ORDER_COUNT
+               ROUND(SUM(Sales), 2)  AS Total_Sales,
+               ROUND(SUM(Profit), 2) AS Total_Profit,
+               {_SQL_MEAN.format(c="Profit_Margin")} AS Avg_Margin_Pct,
+               COUNT(*)              AS Order_Count
         FROM {{orders}}
         GROUP BY Sub_Category, Category
         {having}
-        ORDER BY TOTAL_PROFIT ASC, Category, Sub_Category
+        ORDER BY Total_Profit ASC, Category, Sub_Category
         """,
         orders=df,
     )

@@ -12,16 +12,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skiff.functions.numeric import percent_of
-from skiff.operators.marts import subcategory_rank
 
 
 def rank_subcategories(df: DataFrame) -> DataFrame:
-    """Dense rank of sub-categories within their category by rounded total sales."""
-    return subcategory_rank(df)
+    """Dense rank of sub-categories within their category by rounded total sales:
+    Category, Sub_Category, Total_Sales, Total_Profit, Sales_Rank (ties in rank
+    listed by sub-category)."""
+    totals = df.groupBy("Category", "Sub_Category").agg(
+        F.round(F.sum("Sales"), 2).alias("Total_Sales"),
+        F.round(F.sum("Profit"), 2).alias("Total_Profit"),
+    )
+    w = Window.partitionBy("Category").orderBy(F.desc("Total_Sales"))
+    return totals.withColumn("Sales_Rank", F.dense_rank().over(w)).orderBy(
+        "Category", "Sales_Rank", "Sub_Category"
+    )
 
 
 def yearly_category_sales(df: DataFrame) -> DataFrame:
-    return df.groupBy("Category", "Year").agg(F.round(F.sum("Sales"), 2).alias("YEARLY_SALES"))
+    return df.groupBy("Category", "Year").agg(F.round(F.sum("Sales"), 2).alias("Yearly_Sales"))
 
 
 def cumulative_revenue(df: DataFrame) -> DataFrame:
@@ -33,7 +41,7 @@ def cumulative_revenue(df: DataFrame) -> DataFrame:
     )
     return (
         yearly_category_sales(df)
-        .withColumn("CUMULATIVE_REVENUE", F.round(F.sum("YEARLY_SALES").over(w), 2))
+        .withColumn("Cumulative_Revenue", F.round(F.sum("Yearly_Sales").over(w), 2))
         .orderBy("Category", "Year")
     )
 
@@ -42,13 +50,13 @@ def yoy_growth(df: DataFrame) -> DataFrame:
     """Year-over-year growth % against the previous *row* of the category (a missing
     year is skipped over); NULL for the first year and when the previous sales are 0."""
     w = Window.partitionBy("Category").orderBy("Year")
-    prev = F.lag("YEARLY_SALES", 1).over(w)
+    prev = F.lag("Yearly_Sales", 1).over(w)
     return (
         yearly_category_sales(df)
-        .withColumn("PREV_YEAR_SALES", prev)
+        .withColumn("Prev_Year_Sales", prev)
         .withColumn(
-            "YOY_GROWTH_PCT",
-            percent_of(F.col("YEARLY_SALES") - F.col("PREV_YEAR_SALES"), "PREV_YEAR_SALES", 2),
+            "YoY_Growth_Pct",
+            percent_of(F.col("Yearly_Sales") - F.col("Prev_Year_Sales"), "Prev_Year_Sales", 2),
         )
         .orderBy("Category", "Year")
     )

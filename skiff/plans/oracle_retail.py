@@ -145,50 +145,50 @@ ORACLES: dict[str, str] = {
     ),
     "order_line_count": with_ctes("SELECT COUNT(*) AS row_count FROM typed"),
     "category_sales": with_ctes(
-        f"""SELECT Category, {_money('sales')} AS TOTAL_SALES, {_money('profit')} AS TOTAL_PROFIT,
-       n AS ORDER_COUNT, {hundredths('margin_h')} AS AVG_PROFIT_MARGIN
-FROM cat ORDER BY TOTAL_SALES DESC""",
+        f"""SELECT Category, {_money('sales')} AS Total_Sales, {_money('profit')} AS Total_Profit,
+       n AS Order_Count, {hundredths('margin_h')} AS Avg_Profit_Margin_Pct
+FROM cat ORDER BY Total_Sales DESC""",
         MARTS,
     ),
     "region_performance": with_ctes(
-        f"""SELECT Region, {hundredths('aov_h')} AS AVG_ORDER_VALUE, {_money('sales')} AS TOTAL_REVENUE,
-       {hundredths('margin_h')} AS AVG_MARGIN, n AS TOTAL_ORDERS
-FROM reg ORDER BY AVG_ORDER_VALUE DESC""",
+        f"""SELECT Region, {hundredths('aov_h')} AS Avg_Order_Value, {_money('sales')} AS Total_Revenue,
+       {hundredths('margin_h')} AS Avg_Margin_Pct, n AS Total_Orders
+FROM reg ORDER BY Avg_Order_Value DESC""",
         MARTS,
     ),
     "yearly_revenue": with_ctes(
-        f"""SELECT Year, {_money('sales')} AS TOTAL_REVENUE, {_money('profit')} AS TOTAL_PROFIT,
-       n AS TOTAL_ORDERS, {hundredths('margin_h')} AS AVG_MARGIN FROM yr ORDER BY Year""",
+        f"""SELECT Year, {_money('sales')} AS Total_Revenue, {_money('profit')} AS Total_Profit,
+       n AS Total_Orders, {hundredths('margin_h')} AS Avg_Margin_Pct FROM yr ORDER BY Year""",
         MARTS,
     ),
     "subcategory_profit_sql": with_ctes(
-        f"""SELECT Sub_Category, Category, {_money('sales')} AS TOTAL_SALES, {_money('profit')} AS TOTAL_PROFIT,
-       {hundredths('margin_h')} AS AVG_MARGIN, n AS ORDER_COUNT FROM sub ORDER BY TOTAL_PROFIT""",
+        f"""SELECT Sub_Category, Category, {_money('sales')} AS Total_Sales, {_money('profit')} AS Total_Profit,
+       {hundredths('margin_h')} AS Avg_Margin_Pct, n AS Order_Count FROM sub ORDER BY Total_Profit""",
         MARTS,
     ),
     "subcategory_losses": with_ctes(
-        f"""SELECT Sub_Category, Category, {_money('sales')} AS TOTAL_SALES, {_money('profit')} AS TOTAL_PROFIT,
-       {hundredths('margin_h')} AS AVG_MARGIN, n AS ORDER_COUNT FROM sub WHERE profit < 0
-ORDER BY TOTAL_PROFIT""",
+        f"""SELECT Sub_Category, Category, {_money('sales')} AS Total_Sales, {_money('profit')} AS Total_Profit,
+       {hundredths('margin_h')} AS Avg_Margin_Pct, n AS Order_Count FROM sub WHERE profit < 0
+ORDER BY Total_Profit""",
         MARTS,
     ),
     "subcategory_rank": with_ctes(
-        f"""SELECT Category, Sub_Category, {_money('sales')} AS TOTAL_SALES, {_money('profit')} AS TOTAL_PROFIT,
-       {hundredths('margin_h')} AS AVG_MARGIN, n AS ORDER_COUNT, rnk AS SALES_RANK
-FROM sub_rank ORDER BY Category, SALES_RANK""",
+        f"""SELECT Category, Sub_Category, {_money('sales')} AS Total_Sales, {_money('profit')} AS Total_Profit,
+       rnk AS Sales_Rank
+FROM sub_rank ORDER BY Category, Sales_Rank, Sub_Category""",
         MARTS,
     ),
     "cumulative_revenue": with_ctes(
-        """SELECT Category, Year, CAST(ys AS DOUBLE) AS YEARLY_SALES,
+        """SELECT Category, Year, CAST(ys AS DOUBLE) AS Yearly_Sales,
        CAST(SUM(ys) OVER (PARTITION BY Category ORDER BY Year
-                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS CUMULATIVE_REVENUE
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS Cumulative_Revenue
 FROM ycat ORDER BY Category, Year""",
         _YEARLY_CAT,
     ),
     "yoy_growth": with_ctes(
-        f"""SELECT Category, Year, CAST(ys AS DOUBLE) AS YEARLY_SALES, CAST(prev AS DOUBLE) AS PREV_YEAR_SALES,
+        f"""SELECT Category, Year, CAST(ys AS DOUBLE) AS Yearly_Sales, CAST(prev AS DOUBLE) AS Prev_Year_Sales,
        CASE WHEN prev IS NULL OR prev = 0 THEN NULL
-            ELSE {hundredths(half_up(f"{cents('ys - prev')} * 10000", cents('prev')))} END AS YOY_GROWTH_PCT
+            ELSE {hundredths(half_up(f"{cents('ys - prev')} * 10000", cents('prev')))} END AS YoY_Growth_Pct
 FROM (SELECT *, LAG(ys, 1) OVER (PARTITION BY Category ORDER BY Year) AS prev FROM ycat) t
 ORDER BY Category, Year""",
         _YEARLY_CAT,
@@ -266,20 +266,30 @@ FROM reg ORDER BY TOTAL_REVENUE DESC""",
 }
 
 ORACLES["least_profitable_top20"] = with_ctes(
-    f"""SELECT Sub_Category, Category, {_money('sales')} AS TOTAL_SALES, {_money('profit')} AS TOTAL_PROFIT,
-       {hundredths('margin_h')} AS AVG_MARGIN, n AS ORDER_COUNT FROM sub
+    f"""SELECT Sub_Category, Category, {_money('sales')} AS Total_Sales, {_money('profit')} AS Total_Profit,
+       {hundredths('margin_h')} AS Avg_Margin_Pct, n AS Order_Count FROM sub
 ORDER BY profit, Category, Sub_Category LIMIT 20""",
     MARTS,
 )
 ORACLES["subcategory_rank_top30"] = with_ctes(
+    f"""SELECT Category, Sub_Category, {_money('sales')} AS Total_Sales, {_money('profit')} AS Total_Profit,
+       rnk AS Sales_Rank
+FROM sub_rank ORDER BY Category, Sales_Rank, Sub_Category LIMIT 30""",
+    MARTS,
+)
+ORACLES["yearly_revenue_sql"] = ORACLES["yearly_revenue"]
+ORACLES["mart_category_sales"] = with_ctes(
+    f"""SELECT Category, {_money('sales')} AS TOTAL_SALES, {_money('profit')} AS TOTAL_PROFIT,
+       n AS ORDER_COUNT, {hundredths('margin_h')} AS AVG_PROFIT_MARGIN
+FROM cat ORDER BY TOTAL_SALES DESC""",
+    MARTS,
+)
+ORACLES["mart_subcategory_rank"] = with_ctes(
     f"""SELECT Category, Sub_Category, {_money('sales')} AS TOTAL_SALES, {_money('profit')} AS TOTAL_PROFIT,
        {hundredths('margin_h')} AS AVG_MARGIN, n AS ORDER_COUNT, rnk AS SALES_RANK
-FROM sub_rank ORDER BY Category, SALES_RANK, Sub_Category LIMIT 30""",
+FROM sub_rank ORDER BY Category, SALES_RANK""",
     MARTS,
 )
-ORACLES["yearly_revenue_sql"] = ORACLES["yearly_revenue"]
-ORACLES["mart_category_sales"] = ORACLES["category_sales"]
-ORACLES["mart_subcategory_rank"] = ORACLES["subcategory_rank"]
 
 
 def _describe() -> str:

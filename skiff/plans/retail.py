@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skiff.operators import clean, marts, quality, serve, windows
+from skiff.operators import analysis, clean, marts, quality, serve, windows
 from skiff.plans.output import edge
 from skiff.session import apply_defaults
 from skiff.sources.fixtures import stored
@@ -69,15 +69,15 @@ def q_order_line_count(spark, root):
 
 
 def q_category_sales(spark, root):
-    return edge(marts.category_sales(cleaned(spark, root)))
+    return edge(analysis.category_revenue(cleaned(spark, root)))
 
 
 def q_region_performance(spark, root):
-    return edge(marts.region_performance(cleaned(spark, root), order_by="AVG_ORDER_VALUE"))
+    return edge(analysis.region_order_value(cleaned(spark, root)))
 
 
 def q_yearly_revenue(spark, root):
-    return edge(marts.yearly_revenue(cleaned(spark, root)))
+    return edge(analysis.yearly_revenue_trend(cleaned(spark, root)))
 
 
 def q_yearly_revenue_sql(spark, root):

@@ -22,7 +22,7 @@ def test_sql_and_dataframe_paths_agree(spark):
     clean = retail.clean_lines(spark, SF_SMALL)
     assert _rows(marts.yearly_revenue_sql(spark, clean)) == _rows(marts.yearly_revenue(clean))
     losses = marts.subcategory_profit_sql(spark, clean, losses_only=True).collect()
-    assert losses and all(r.TOTAL_PROFIT < 0 for r in losses)
+    assert losses and all(r.Total_Profit < 0 for r in losses)
 
 
 def test_mart_filters(spark):

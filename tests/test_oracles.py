@@ -31,4 +31,4 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()
     assert len(rows) > 0
-    assert df.columns == ["Category", "TOTAL_SALES", "TOTAL_PROFIT", "ORDER_COUNT", "AVG_PROFIT_MARGIN"]
+    assert df.columns == ["Category", "Total_Sales", "Total_Profit", "Order_Count", "Avg_Profit_Margin_Pct"]

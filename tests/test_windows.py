@@ -13,11 +13,11 @@ def test_yoy_skips_missing_year_and_zero_previous(spark):
     ]
     df = windows_input(spark, rows)
     out = {(r.Category, r.Year): r for r in windows.yoy_growth(df).collect()}
-    assert out[("A", 2011)].YOY_GROWTH_PCT is None
-    assert out[("A", 2013)].PREV_YEAR_SALES == Decimal("100.00") and out[("A", 2013)].YOY_GROWTH_PCT == Decimal("50.00")
-    assert out[("B", 2012)].YOY_GROWTH_PCT is None
-    assert out[("C", 2014)].YOY_GROWTH_PCT is None
-    cum = {(r.Category, r.Year): r.CUMULATIVE_REVENUE for r in windows.cumulative_revenue(df).collect()}
+    assert out[("A", 2011)].YoY_Growth_Pct is None
+    assert out[("A", 2013)].Prev_Year_Sales == Decimal("100.00") and out[("A", 2013)].YoY_Growth_Pct == Decimal("50.00")
+    assert out[("B", 2012)].YoY_Growth_Pct is None
+    assert out[("C", 2014)].YoY_Growth_Pct is None
+    cum = {(r.Category, r.Year): r.Cumulative_Revenue for r in windows.cumulative_revenue(df).collect()}
     assert cum[("A", 2013)] == Decimal("250.00")
 
 
