@@ -76,14 +76,6 @@ def aqi_stream_run(spark: SparkSession, root: str) -> str:
     return run
 
 
-def tumbling_log(spark, root) -> DataFrame:
-    return keyed.read_log(spark, f"{aqi_stream_run(spark, root)}/out/window_log")
-
-
-def sliding_log(spark, root) -> DataFrame:
-    return keyed.read_log(spark, f"{aqi_stream_run(spark, root)}/out/sliding_log")
-
-
 def window_results(spark, root) -> DataFrame:
     """Current tumbling results (latest per key, not expired)."""
     return keyed.expire(keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/window_log"))
@@ -126,7 +118,7 @@ def q_band_counts_exact(spark, root):
 
 
 def q_band_counts_emitted(spark, root):
-    return keyed.band_counts(tumbling_log(spark, root))
+    return keyed.emitted_band_counts(spark, f"{aqi_stream_run(spark, root)}/out/window_log")
 
 
 def q_band_distribution(spark, root):
@@ -151,7 +143,7 @@ def q_latest_500_windows(spark, root):
 
 
 def q_recent_feed(spark, root):
-    return keyed.read_feed(keyed.feed(tumbling_log(spark, root), keyed.FEED_KEPT), 10)
+    return keyed.read_feed(keyed.recent_feed(spark, f"{aqi_stream_run(spark, root)}/out/window_log"), 10)
 
 
 def q_timeline_50(spark, root):

@@ -11,8 +11,13 @@ sorted in one task. Nothing is collected to the driver.
 Compaction (``compact``) folds all versions up to a batch into
 ``<root>_snapshots/upto=<n>``; ``current_versions`` then reads that snapshot plus
 only the newer batch folders (partition pruning), so reading the current table
-costs O(keys + recent batches) however long the stream has run. The per-batch
-folders stay as the emission history (emitted counters, feed).
+costs O(keys + recent batches) however long the stream has run. When the log
+carries band counters / feed columns, the same compaction also stores the
+cumulative emitted band counters (``<root>_emitted/upto=<n>``, one row per band)
+and the newest feed entries (``<root>_feed/upto=<n>``), so the history readers
+(``emitted_band_counts``, ``recent_feed``) are bounded the same way. With
+``prune=True`` the batch folders up to the second-newest snapshot (and older
+snapshots) are then deleted: storage stays O(keys + 2 compaction intervals).
 """
 
 from __future__ import annotations
@@ -42,9 +47,11 @@ def log_writer(
     columns: Sequence[str],
     on_written: Callable[[int], None] | None = None,
     compact_every: int | None = None,
+    prune: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function appending one batch directory per micro-batch;
-    with ``compact_every=k`` it also folds the log into a snapshot every k batches."""
+    with ``compact_every=k`` it also folds the log into a snapshot every k batches
+    (and with ``prune=True`` drops the history the snapshots have absorbed)."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
@@ -56,7 +63,7 @@ def log_writer(
             )
             out.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
             if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-                compact(batch_df.sparkSession, root, batch_id)
+                compact(batch_df.sparkSession, root, batch_id, prune=prune)
             if on_written:
                 on_written(batch_id)
         finally:
@@ -98,24 +105,111 @@ def snapshot_ids(spark: SparkSession, root: str) -> list[int]:
     return sorted(ids)
 
 
-def current_versions(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
-    """Rows that can still be current: newest snapshot + batch folders after it."""
+def _newest_snapshot(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    ids = [i for i in snapshot_ids(spark, root) if below is None or i < below]
+    return ids[-1] if ids else None
+
+
+def _since(log: DataFrame, after: int | None, upto: int | None = None) -> DataFrame:
+    """Batch folders in (after, upto]; partition pruning reads only those."""
+    c = F.col("batch_id")
+    cond = F.lit(True)
+    if after is not None:
+        cond = cond & (c > after)
+    if upto is not None:
+        cond = cond & (c <= upto)
+    return log.filter(cond)
+
+
+def current_versions(spark: SparkSession, root: str, schema: StructType | None = None,
+                     upto: int | None = None) -> DataFrame:
+    """Rows that can still be current: newest snapshot + batch folders after it
+    (as of batch ``upto`` when given: only snapshots older than it are used)."""
     log = read_log(spark, root, schema)
-    snaps = snapshot_ids(spark, root)
-    if not snaps:
-        return log
-    upto = snaps[-1]
-    snap = spark.read.parquet(f"{snapshot_root(root)}/upto={upto}")
-    return log.filter(F.col("batch_id") > upto).unionByName(snap)
+    snap = _newest_snapshot(spark, root, upto)
+    newer = _since(log, snap, upto)
+    if snap is None:
+        return newer
+    return newer.unionByName(spark.read.parquet(f"{snapshot_root(root)}/upto={snap}"))
+
+
+COUNTER_COLUMNS = ("band", "record_count")
+FEED_COLUMNS = ("state", "avg_aqi", "band", "window_start", "record_count", "window_ts")
+
+
+def emitted_root(root: str) -> str:
+    return f"{root.rstrip('/')}_emitted"
+
+
+def feed_root(root: str) -> str:
+    return f"{root.rstrip('/')}_feed"
+
 
+def emitted_band_counts(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """Records per band summed over EVERY emission (counter increments): the
+    counters folded into the newest snapshot plus the batches after it."""
+    snap = _newest_snapshot(spark, root, upto)
+    parts = band_counts(_since(read_log(spark, root), snap, upto))
+    if snap is not None:
+        parts = parts.unionByName(spark.read.parquet(f"{emitted_root(root)}/upto={snap}"))
+    return parts.groupBy("band").agg(F.sum("count").alias("count"))
 
-def compact(spark: SparkSession, root: str, upto: int, key: str = "key") -> None:
-    """Write the latest version of every key as of batch ``upto`` to a snapshot.
 
-    Idempotent (overwrite of its own folder); readers switch to it only once its
-    ``_SUCCESS`` marker exists, so a failed compaction is never read."""
-    versions = current_versions(spark, root).filter(F.col("batch_id") <= upto)
-    latest(versions, key).write.mode("overwrite").parquet(f"{snapshot_root(root)}/upto={upto}")
+def recent_feed(spark: SparkSession, root: str, n: int = FEED_KEPT, upto: int | None = None) -> DataFrame:
+    """The newest n feed entries: the entries kept with the newest snapshot plus
+    the batches after it (every newer entry outranks a kept one)."""
+    snap = _newest_snapshot(spark, root, upto)
+    entries = feed(_since(read_log(spark, root), snap, upto), n)
+    if snap is not None:
+        entries = entries.unionByName(spark.read.parquet(f"{feed_root(root)}/upto={snap}"))
+    return entries.orderBy(F.desc("batch_id"), F.desc("window_ts"), F.desc("state")).limit(n)
+
+
+def compact(spark: SparkSession, root: str, upto: int, key: str = "key", prune: bool = False) -> None:
+    """Write the latest version of every key as of batch ``upto`` to a snapshot
+    (plus the emitted counters and newest feed entries when the log has them).
+
+    Idempotent: it overwrites only its own folders and reads only older snapshots.
+    Readers switch to it once the key snapshot's ``_SUCCESS`` marker exists; that
+    folder is written last, so a failed compaction is never read."""
+    cols = read_log(spark, root).columns
+    if all(c in cols for c in COUNTER_COLUMNS):
+        emitted_band_counts(spark, root, upto).write.mode("overwrite").parquet(
+            f"{emitted_root(root)}/upto={upto}"
+        )
+    if all(c in cols for c in FEED_COLUMNS):
+        recent_feed(spark, root, FEED_KEPT, upto).write.mode("overwrite").parquet(
+            f"{feed_root(root)}/upto={upto}"
+        )
+    latest(current_versions(spark, root, upto=upto), key).write.mode("overwrite").parquet(
+        f"{snapshot_root(root)}/upto={upto}"
+    )
+    if prune:
+        prune_history(spark, root)
+
+
+def prune_history(spark: SparkSession, root: str) -> None:
+    """Delete what the second-newest snapshot has absorbed: batch folders up to it
+    and older snapshots. Readers planned against the newest or the previous
+    snapshot read only folders after it, so they are unaffected.
+    (Folder listing and deletes on the driver: metadata operations only.)"""
+    snaps = snapshot_ids(spark, root)
+    if len(snaps) < 2:
+        return
+    keep_from = snaps[-2]
+    p, fs = _hadoop_path(spark, root)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= keep_from:
+            fs.delete(st.getPath(), True)
+    for folder in (snapshot_root(root), emitted_root(root), feed_root(root)):
+        fp, ffs = _hadoop_path(spark, folder)
+        if not ffs.exists(fp):
+            continue
+        for st in ffs.listStatus(fp):
+            name = st.getPath().getName()
+            if name.startswith("upto=") and int(name.split("=", 1)[1]) < keep_from:
+                ffs.delete(st.getPath(), True)
 
 
 def current(spark: SparkSession, root: str, key: str = "key") -> DataFrame:

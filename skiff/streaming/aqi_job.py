@@ -40,6 +40,9 @@ class AqiStreamConfig:
     # fold the keyed result logs into a snapshot every k micro-batches, so reading
     # the current table costs O(keys + k batches) however long the stream runs
     compact_every: int | None = 50
+    # after compacting, drop the batch folders and snapshots the second-newest
+    # snapshot has absorbed (the readers are snapshot-aware)
+    prune_history: bool = True
 
 
 def start_aqi_queries(
@@ -64,6 +67,7 @@ def start_aqi_queries(
                 window_key("window", F.col("state"), F.col("window_start")),
                 TUMBLING_COLUMNS,
                 compact_every=cfg.compact_every,
+                prune=cfg.prune_history,
             )
         )
         .option("checkpointLocation", f"{checkpoint_root}/tumbling")
@@ -80,6 +84,7 @@ def start_aqi_queries(
                 window_key("sliding", F.col("state"), F.col("window_start")),
                 SLIDING_COLUMNS,
                 compact_every=cfg.compact_every,
+                prune=cfg.prune_history,
             )
         )
         .option("checkpointLocation", f"{checkpoint_root}/sliding")

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import os
 import time
@@ -171,3 +172,42 @@ def test_compaction_keeps_current_table(spark, tmp_dir):
     assert cur["c"][1] == 2  # the version keeps its original batch id
     compact_again = keyed.compact(spark, root, 4)  # idempotent rerun
     assert compact_again is None and keyed.current(spark, root).count() == 4
+
+
+def test_compaction_with_pruning_keeps_counters_and_feed(spark, tmp_dir):
+    from skiff.functions.timefmt import window_key
+    from skiff.streaming.aqi_job import TUMBLING_COLUMNS
+
+    schema = ("state string, window_start timestamp, window_end timestamp, avg_aqi double, max_aqi double, "
+              "min_aqi double, record_count long, window_ts long, band string")
+
+    def rows(batch):
+        # every batch re-emits state A's first window (update mode) and adds a new one
+        out = []
+        for state, ts in (("A", 0), ("A", 60 * (batch + 1)), (f"S{batch % 3}", 30 * batch)):
+            start = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=ts)
+            aqi = 40.0 + 25 * batch
+            out.append((state, start, start + dt.timedelta(seconds=30), aqi, aqi, aqi, batch + 1, ts,
+                        "Good" if aqi <= 50 else "Moderate" if aqi <= 100 else "Unhealthy"))
+        return out
+
+    key = window_key("window", F.col("state"), F.col("window_start"))
+    pruned = keyed.log_writer(f"{tmp_dir}/pruned", key, TUMBLING_COLUMNS, compact_every=2, prune=True)
+    full = keyed.log_writer(f"{tmp_dir}/full", key, TUMBLING_COLUMNS)
+    for b in range(7):
+        df = spark.createDataFrame(rows(b), schema)
+        pruned(df, b)
+        full(df, b)
+    root, full_root = f"{tmp_dir}/pruned", f"{tmp_dir}/full"
+    assert keyed.snapshot_ids(spark, root) == [4, 6]  # snapshot 2 pruned
+    kept = sorted(int(p.split("=")[1]) for p in os.listdir(root) if p.startswith("batch_id="))
+    assert kept == [5, 6]  # folders up to the second-newest snapshot are gone
+
+    def rows_of(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    full_log = keyed.read_log(spark, full_root)
+    cols = ["key", "avg_aqi", "record_count", "band", "batch_id"]
+    assert rows_of(keyed.current(spark, root).select(cols)) == rows_of(keyed.latest(full_log).select(cols))
+    assert rows_of(keyed.emitted_band_counts(spark, root)) == rows_of(keyed.band_counts(full_log))
+    assert rows_of(keyed.recent_feed(spark, root, 5)) == rows_of(keyed.feed(full_log, 5))
