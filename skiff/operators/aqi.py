@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from skiff.functions.bands import aqi_band
-from skiff.functions.numeric import MEAN_ACC
+from skiff.functions.numeric import MEAN_ACC, rounded_quotient
 from skiff.functions.timefmt import epoch_seconds_to_event_time
 
 # ---------------------------------------------------------------------------
@@ -133,7 +133,7 @@ def _window_aggs(measure: str, extremes: bool) -> list[Column]:
 
 
 def _finish(agg: DataFrame, key: str, extremes: bool) -> DataFrame:
-    mean = F.round(F.col("_sum") / F.col("_n").cast("decimal(20,0)"), 2).cast("double")
+    mean = rounded_quotient(F.col("_sum"), F.col("_n"), 2).cast("double")
     avg = F.when(F.col("_nan") > 0, F.lit(float("nan"))).otherwise(mean)
     cols = [
         F.col(key),

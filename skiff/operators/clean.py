@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from skiff.functions.bands import sales_band
-from skiff.functions.numeric import MONEY, percent_of
+from skiff.functions.numeric import MONEY, row_percent_of
 
 # Target types of the tolerant cast. Money is DECIMAL so sums are exact; the
 # reference used double. Unparseable text becomes NULL.
@@ -84,7 +84,7 @@ def derive_order_measures(df: DataFrame) -> DataFrame:
     """Add Profit_Margin (% of Sales, 2 places), Sales_Band and Year."""
     return df.withColumns(
         {
-            "Profit_Margin": percent_of("Profit", "Sales", 2),
+            "Profit_Margin": row_percent_of("Profit", "Sales", 2),
             "Sales_Band": sales_band("Sales"),
             "Year": F.year("Order_Date"),
         }

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skiff.functions.numeric import MEAN_ACC, exact_mean
+from skiff.functions.numeric import MEAN_ACC, exact_mean, rounded_quotient, sql_rounded_quotient
 
 
 def _totals(sales: str = "TOTAL_SALES", profit: str = "TOTAL_PROFIT", n: str = "ORDER_COUNT"):
@@ -58,10 +58,9 @@ def yearly_revenue(df: DataFrame) -> DataFrame:
     )
 
 
-# Exact-average expression for SQL text: sum in DECIMAL, divide by the count.
-_SQL_MEAN = (
-    "ROUND(SUM(CAST({c} AS " + MEAN_ACC + ")) / CAST(COUNT({c}) AS DECIMAL(20,0)), 2)"
-)
+# Exact-average expression for SQL text: sum in DECIMAL, one exact rounded division
+# by the count (see ``rounded_quotient``).
+_SQL_MEAN = sql_rounded_quotient("SUM(CAST({c} AS " + MEAN_ACC + "))", "COUNT({c})", 2)
 
 
 def yearly_revenue_sql(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -175,7 +174,7 @@ def marts_from_groups(grouped: DataFrame) -> dict[str, DataFrame]:
         return grouped.filter(F.col("_gid") == _grouping_id(_SET_KEYS[name]))
 
     def mean(acc: str, n: str):
-        return F.round(F.col(acc) / F.col(n).cast("decimal(20,0)"), 2)
+        return rounded_quotient(F.col(acc), F.col(n), 2)
 
     sales = F.round(F.col("_sales"), 2)
     profit = F.round(F.col("_profit"), 2)
