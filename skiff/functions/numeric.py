@@ -3,16 +3,15 @@
 Money and measures stay DECIMAL inside plans: sums are exact and independent of
 row order (so a 1000-task aggregation returns the same digits as a 1-task one),
 and ``round`` on DECIMAL is HALF_UP on the exact value. Doubles appear only at
-the edge (``to_double_columns``).
+the edge of a plan (``plans.output.edge``).
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 MONEY = "decimal(18,2)"
 # Accumulator type for averages of measures with up to 4 decimals (exact sums).
