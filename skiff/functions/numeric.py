@@ -77,7 +77,8 @@ def ratio(num: Column | str, den: Column | str, scale: int = 2) -> Column:
 def sql_rounded_quotient(num: str, den: str, scale: int = 2) -> str:
     """``rounded_quotient`` as Spark SQL text (for the SQL forms of the queries)."""
     k = 10 ** scale
-    n, d = f"abs({num})", f"abs({den})"
+    one = "CAST(1 AS DECIMAL(1,0))"  # integer inputs become DECIMAL, so "/" stays exact
+    n, d = f"abs(({num}) * {one})", f"abs(({den}) * {one})"
     rest = f"({n} % {d})"
     mag = (
         f"(({n} - {rest}) / {d} + CAST((2 * {k} * {rest} + {d}) div (2 * {d}) AS DECIMAL(38,0))"

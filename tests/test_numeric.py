@@ -62,5 +62,6 @@ def test_row_percent_fast_path_equals_exact_below_its_bound(spark):
 
 def test_integer_inputs_stay_exact(spark):
     df = spark.createDataFrame([(10**17 + 5, 10), (-7, 2), (2, 3)], "n long, d long")
-    got = [r.q for r in df.select(rounded_quotient("n", "d", 2).alias("q")).collect()]
-    assert got == [Decimal("10000000000000000.50"), Decimal("-3.50"), Decimal("0.67")]
+    out = df.select(rounded_quotient("n", "d", 2).alias("q"), F.expr(sql_rounded_quotient("n", "d", 2)).alias("s"))
+    want = [Decimal("10000000000000000.50"), Decimal("-3.50"), Decimal("0.67")]
+    assert [r.q for r in out.collect()] == [r.s for r in out.collect()] == want
