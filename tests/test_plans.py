@@ -51,3 +51,42 @@ def test_no_single_partition_window_over_rows(spark):
     for name in ("subcategory_rank", "cumulative_revenue", "yoy_growth", "latest_per_state"):
         phys = _plan(QUERIES[name](spark, SF_SMALL))
         assert "SinglePartition" not in phys, name
+
+
+# Windows over one partition are allowed only where the input is bounded by
+# construction: the per-partition offsets of a global ordinal (one row per
+# partition) and the six-band distribution.
+BOUNDED_SINGLE_PARTITION_WINDOWS = {"trip_sample", "band_distribution"}
+
+
+def test_no_cartesian_no_python_no_unbounded_single_partition_window(spark):
+    for name, q in QUERIES.items():
+        plan = _plan(q(spark, SF_SMALL))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in plan, (name, bad)
+        if name not in BOUNDED_SINGLE_PARTITION_WINDOWS:
+            assert not _single_partition_windows(plan), name
+
+
+def _single_partition_windows(plan: str) -> list[str]:
+    """Window operators fed by ``Exchange SinglePartition`` (through a Sort): the
+    physical form of a window without PARTITION BY."""
+    lines = plan.split("\n")
+    found = []
+    for i, line in enumerate(lines):
+        if re.search(r"\bWindow \[", line):
+            for below in lines[i + 1:i + 4]:
+                op = re.sub(r"^[\s:+\-*()0-9]*", "", below)
+                if op.startswith("Sort "):
+                    continue
+                if op.startswith("Exchange SinglePartition"):
+                    found.append(line.strip()[:120])
+                break
+    return found
+
+
+def test_single_partition_window_detector(spark):
+    # the detector itself: the two bounded cases must be found, a keyed window not
+    assert _single_partition_windows(_plan(QUERIES["band_distribution"](spark, SF_SMALL)))
+    assert _single_partition_windows(_plan(QUERIES["trip_sample"](spark, SF_SMALL)))
+    assert not _single_partition_windows(_plan(QUERIES["subcategory_rank"](spark, SF_SMALL)))
