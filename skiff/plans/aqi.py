@@ -26,6 +26,8 @@ from skiff.streaming.trips_job import read_enriched, start_trip_query
 TUMBLING = "1 hour"
 SLIDING = ("1 hour", "15 minutes")
 WATERMARK = "10 minutes"
+# a contract stream run (availableNow) that has not drained by then is stopped
+STREAM_RUN_TIMEOUT_S = 3600
 
 _RUNS: dict[tuple[str, str, str], str] = {}
 
@@ -71,7 +73,7 @@ def aqi_stream_run(spark: SparkSession, root: str) -> str:
     queries = start_aqi_queries(
         spark, lambda: json_file_source(spark, f"{run}/input"), f"{run}/out", f"{run}/checkpoints", cfg
     )
-    await_all(queries)
+    await_all(queries, STREAM_RUN_TIMEOUT_S)
     _RUNS[key] = run
     return run
 
@@ -181,7 +183,7 @@ def trip_stream_run(spark: SparkSession, root: str) -> str:
         spark, lambda: json_file_source(spark, f"{run}/input"), f"{run}/out", f"{run}/checkpoints",
         trigger={"availableNow": True},
     )
-    await_all([q])
+    await_all([q], STREAM_RUN_TIMEOUT_S)
     _RUNS[key] = run
     return run
 

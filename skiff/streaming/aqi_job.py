@@ -9,6 +9,7 @@ should use the RocksDB state store provider (``rocksdb=True``).
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -96,12 +97,18 @@ def start_aqi_queries(
 
 
 def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait for (availableNow) queries to finish; re-raise the first failure."""
+    """Wait for (availableNow) queries to finish; re-raise the first failure.
+
+    With ``timeout_s`` a query still running at the deadline is stopped and a
+    ``TimeoutError`` is raised instead of blocking the caller forever."""
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
     for q in queries:
-        if timeout_s is None:
+        if deadline is None:
             q.awaitTermination()
-        else:
-            q.awaitTermination(timeout_s)
+        elif not q.awaitTermination(max(deadline - time.monotonic(), 0.001)):
+            for other in queries:
+                other.stop()
+            raise TimeoutError(f"streaming query {q.name} still running after {timeout_s} s")
     for q in queries:
         exc = q.exception()
         if exc is not None:

@@ -211,3 +211,15 @@ def test_compaction_with_pruning_keeps_counters_and_feed(spark, tmp_dir):
     assert rows_of(keyed.current(spark, root).select(cols)) == rows_of(keyed.latest(full_log).select(cols))
     assert rows_of(keyed.emitted_band_counts(spark, root)) == rows_of(keyed.band_counts(full_log))
     assert rows_of(keyed.recent_feed(spark, root, 5)) == rows_of(keyed.feed(full_log, 5))
+
+
+def test_await_all_stops_a_stream_that_does_not_end(spark, tmp_dir):
+    import pytest
+
+    inp = f"{tmp_dir}/in"
+    _write_batches(inp, [[_msg("A", 10.0, 1000)]])
+    cfg = AqiStreamConfig(trigger={"processingTime": "1 second"})  # never ends by itself
+    qs = start_aqi_queries(spark, lambda: json_file_source(spark, inp), f"{tmp_dir}/out", f"{tmp_dir}/ckpt", cfg)
+    with pytest.raises(TimeoutError):
+        await_all(qs, timeout_s=5)
+    assert not any(q.isActive for q in qs)
