@@ -63,7 +63,7 @@ def q_aqi_sliding_batch(spark, root):
 def aqi_stream_run(spark: SparkSession, root: str) -> str:
     """Run both AQI streaming queries to completion over the messages of ``root``
     (once per application and input) and return the run folder."""
-    key = (spark.sparkContext.applicationId, root, "aqi")
+    key = (spark.sparkContext.applicationId, root.rstrip("/"), "aqi")
     if key in _RUNS:
         return _RUNS[key]
     run = new_run_dir(spark, "aqi-stream")
@@ -172,7 +172,7 @@ def q_common_states(spark, root):
 def trip_stream_run(spark: SparkSession, root: str) -> str:
     from skiff.operators import trips as T
 
-    key = (spark.sparkContext.applicationId, root, "trips")
+    key = (spark.sparkContext.applicationId, root.rstrip("/"), "trips")
     if key in _RUNS:
         return _RUNS[key]
     apply_defaults(spark)

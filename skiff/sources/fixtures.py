@@ -149,7 +149,7 @@ def stored(spark: SparkSession, root: str, name: str, build=None) -> DataFrame:
     ``build(spark, root) -> DataFrame`` defaults to the fixture of that name.
     Writing is by executors; a rerun after executor loss rewrites the same files,
     and readers only ever see the folder after the write committed."""
-    key = (spark.sparkContext.applicationId, root, name)
+    key = (spark.sparkContext.applicationId, root.rstrip("/"), name)
     path = _STORED.get(key)
     if path is None:
         path = new_run_dir(spark, name)
