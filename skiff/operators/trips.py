@@ -227,24 +227,27 @@ def flow_counts(trips: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_counts(enriched: DataFrame, rejects: DataFrame, points: DataFrame) -> DataFrame:
+def pipeline_counts(enriched: DataFrame, rejects: DataFrame, stored: DataFrame) -> DataFrame:
     """Consumer counters from what the stream stored, as ONE aggregate over the
-    three logs (no join): consumed = enriched + rejected, enrich_errors, sink_ok =
-    point rows written (one per enriched trip), and series_times = distinct
-    (series, time) left in the point store after last-write-wins."""
-    series = F.struct("measurement", *[F.col("tags")[t].alias(t) for t in TAG_COLUMNS], "time")
-    none = F.lit(None).cast(points.select(series.alias("s")).schema["s"].dataType)
+    outputs (no join): consumed = enriched + rejected, enrich_errors, sink_ok =
+    point writes (one per enriched trip, written in the same micro-batch: a failed
+    write fails and replays the batch, so every enriched trip's point lands), and
+    series_times = distinct (series, time) in the point store after last-write-wins.
+    ``stored`` is the point store in value layout (``point_values`` /
+    ``sinks.points.stored_points``)."""
+    series = F.struct("measurement", *TAG_COLUMNS, "time")
+    none = F.lit(None).cast(stored.select(series.alias("s")).schema["s"].dataType)
     rows = (
         enriched.select(F.lit("enriched").alias("_kind"), none.alias("_series"))
         .unionByName(rejects.select(F.lit("reject").alias("_kind"), none.alias("_series")))
-        .unionByName(points.select(F.lit("point").alias("_kind"), series.alias("_series")))
+        .unionByName(stored.select(F.lit("point").alias("_kind"), series.alias("_series")))
     )
     kind = F.col("_kind")
     return rows.agg(
         F.count_if(kind != "point").alias("consumed"),
         F.count_if(kind == "enriched").alias("enriched"),
         F.count_if(kind == "reject").alias("enrich_errors"),
-        F.count_if(kind == "point").alias("sink_ok"),
+        F.count_if(kind == "enriched").alias("sink_ok"),
         F.count_distinct("_series").alias("series_times"),
     )
 

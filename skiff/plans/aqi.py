@@ -21,6 +21,7 @@ from skiff.sources.files import json_file_source, write_messages
 from skiff.streaming.aqi_job import (
     SLIDING_COLUMNS, TUMBLING_COLUMNS, AqiStreamConfig, await_all, start_aqi_queries,
 )
+from skiff.sinks.points import stored_points
 from skiff.streaming.trips_job import read_enriched, start_trip_query
 
 TUMBLING = "1 hour"
@@ -199,7 +200,7 @@ def q_trip_pipeline_counts(spark, root):
     return T.pipeline_counts(
         spark.read.parquet(f"{out}/enriched"),
         spark.read.parquet(f"{out}/rejects"),
-        spark.read.parquet(f"{out}/points"),
+        stored_points(spark, f"{out}/points"),
     )
 
 

@@ -3,6 +3,12 @@
 Points are written per micro-batch (``<root>/batch_id=<n>``, overwrite → idempotent).
 Reading applies the time-series store rule: one value per (series, time, field),
 the last write wins — a ``max_by`` partial aggregate keyed by the series.
+
+``compact_points`` folds the batch folders up to a batch into one snapshot of
+stored values (``<root>_snapshots/upto=<n>``, larger files, duplicates already
+merged); readers take the newest complete snapshot plus only the newer batch
+folders. With ``prune=True`` the folders the second-newest snapshot has absorbed
+are deleted, so a long-running stream does not accumulate one folder per trigger.
 """
 
 from __future__ import annotations
@@ -11,21 +17,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skiff.operators.trips import TAG_COLUMNS
+from skiff.sinks.keyed import _hadoop_path, _newest_snapshot, _since, snapshot_ids, snapshot_root
 
 
 def write_points(points: DataFrame, root: str, batch_id: int) -> None:
     points.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
 
-def stored_points(spark: SparkSession, root: str, tags=TAG_COLUMNS) -> DataFrame:
-    """measurement, tag columns, time, field, value — one row per stored value."""
-    log = spark.read.parquet(root)
-    values = log.select(
+def _values(log: DataFrame, tags) -> DataFrame:
+    return log.select(
         "measurement",
         *[F.col("tags")[t].alias(t) for t in tags],
         "time",
         "batch_id",
         F.explode("fields").alias("field", "value"),
     )
+
+
+def _merged(spark: SparkSession, root: str, tags, upto: int | None = None) -> DataFrame:
+    """Stored values as of ``upto`` (default: now), with the batch that wrote them."""
+    snap = _newest_snapshot(spark, root, upto)
+    values = _values(_since(spark.read.parquet(root), snap, upto), tags)
+    if snap is not None:
+        values = values.unionByName(spark.read.parquet(f"{snapshot_root(root)}/upto={snap}"))
     keys = ["measurement", *tags, "time", "field"]
-    return values.groupBy(*keys).agg(F.max_by("value", "batch_id").alias("value"))
+    return values.groupBy(*keys).agg(
+        F.max_by("value", "batch_id").alias("value"), F.max("batch_id").alias("batch_id")
+    )
+
+
+def stored_points(spark: SparkSession, root: str, tags=TAG_COLUMNS) -> DataFrame:
+    """measurement, tag columns, time, field, value — one row per stored value."""
+    return _merged(spark, root, tags).drop("batch_id")
+
+
+def compact_points(spark: SparkSession, root: str, upto: int, tags=TAG_COLUMNS, prune: bool = False) -> None:
+    """Fold everything up to batch ``upto`` into a snapshot of stored values
+    (idempotent; reads only older snapshots; visible once its ``_SUCCESS`` exists)."""
+    _merged(spark, root, tags, upto).write.mode("overwrite").parquet(f"{snapshot_root(root)}/upto={upto}")
+    if prune:
+        snaps = snapshot_ids(spark, root)
+        if len(snaps) < 2:
+            return
+        keep_from = snaps[-2]
+        p, fs = _hadoop_path(spark, root)
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= keep_from:
+                fs.delete(st.getPath(), True)
+        sp, sfs = _hadoop_path(spark, snapshot_root(root))
+        for st in sfs.listStatus(sp):
+            name = st.getPath().getName()
+            if name.startswith("upto=") and int(name.split("=", 1)[1]) < keep_from:
+                sfs.delete(st.getPath(), True)

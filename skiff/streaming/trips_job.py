@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skiff.operators import trips as T
-from skiff.sinks.points import write_points
+from skiff.sinks.points import compact_points, write_points
 
 FLOW_METRICS = "trip_flow"
 
 
-def trip_batch_writer(out_root: str) -> Callable[[DataFrame, int], None]:
+def trip_batch_writer(
+    out_root: str, compact_every: int | None = None, prune: bool = False
+) -> Callable[[DataFrame, int], None]:
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
@@ -33,6 +35,8 @@ def trip_batch_writer(out_root: str) -> Callable[[DataFrame, int], None]:
                 f"{out_root}/rejects/batch_id={batch_id}"
             )
             write_points(T.to_points(enriched), f"{out_root}/points", batch_id)
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+                compact_points(batch_df.sparkSession, f"{out_root}/points", batch_id, prune=prune)
         finally:
             batch_df.unpersist()
 
@@ -45,7 +49,13 @@ def start_trip_query(
     out_root: str,
     checkpoint_root: str,
     trigger: dict | None = None,
+    compact_points_every: int | None = 50,
+    prune_points: bool = True,
 ) -> StreamingQuery:
+    """Start the consumer stream. Every ``compact_points_every`` micro-batches the
+    point store is folded into a snapshot and (``prune_points``) the folders it has
+    absorbed are dropped; the enriched and rejects logs are the consumer's output
+    tables and keep one folder per micro-batch."""
     # consumer counters, reported per micro-batch in progress.observedMetrics
     parsed = T.parse_trip_messages(source()).observe(
         FLOW_METRICS,
@@ -55,7 +65,7 @@ def start_trip_query(
     )
     return (
         parsed.writeStream.outputMode("append")
-        .foreachBatch(trip_batch_writer(out_root))
+        .foreachBatch(trip_batch_writer(out_root, compact_points_every, prune_points))
         .option("checkpointLocation", f"{checkpoint_root}/trips")
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .queryName(f"trip_enrichment_{uuid.uuid4().hex[:8]}")

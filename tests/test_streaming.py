@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from decimal import Decimal
 import os
 import time
 
@@ -223,3 +224,34 @@ def test_await_all_stops_a_stream_that_does_not_end(spark, tmp_dir):
     with pytest.raises(TimeoutError):
         await_all(qs, timeout_s=5)
     assert not any(q.isActive for q in qs)
+
+
+def test_point_store_compaction_and_pruning_keep_stored_values(spark, tmp_dir):
+    from skiff.operators import trips as T
+    from skiff.sinks.points import compact_points, stored_points, write_points
+
+    schema = ("trip_id long, pickup_datetime timestamp, dropoff_datetime timestamp, passenger_count int, "
+              "trip_distance decimal(8,2), fare_amount decimal(8,2), payment_type string, vendor_id string")
+    t0 = dt.datetime(2024, 1, 1, 8, 0)
+
+    def batch(b):
+        # trip 1 is rewritten by every batch (same series and time: last write wins)
+        return [(1, t0, t0 + dt.timedelta(minutes=10), 1, Decimal(f"{b + 1}.00"), Decimal("12.50"), "Cash", "CMT"),
+                (100 + b, t0 + dt.timedelta(minutes=b), t0 + dt.timedelta(minutes=b + 5), 2,
+                 Decimal("3.00"), Decimal("30.00"), "Card", "VTS")]
+
+    pruned, full = f"{tmp_dir}/pruned", f"{tmp_dir}/full"
+    for b in range(7):
+        cols = ["pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude",
+                "tip_amount", "tolls_amount", "total_amount"]
+        df = spark.createDataFrame(batch(b), schema).withColumns({c: F.lit(0).cast("decimal(10,2)") for c in cols})
+        points = T.to_points(T.enrich_trips(df))
+        write_points(points, pruned, b)
+        write_points(points, full, b)
+        if b > 0 and b % 2 == 0:
+            compact_points(spark, pruned, b, prune=True)
+    assert keyed.snapshot_ids(spark, pruned) == [4, 6]
+    assert sorted(int(p.split("=")[1]) for p in os.listdir(pruned) if p.startswith("batch_id=")) == [5, 6]
+    got = sorted(tuple(r) for r in stored_points(spark, pruned).collect())
+    want = sorted(tuple(r) for r in stored_points(spark, full).collect())
+    assert got == want and len(want) == 8 * len(T.FIELD_COLUMNS)

@@ -127,5 +127,5 @@ def test_pipeline_counts_from_stored_logs(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     enriched = T.enrich_trips(df)
     points = T.to_points(enriched)
-    c = T.pipeline_counts(enriched, T.enrichment_rejects(df), points).collect()[0].asDict()
+    c = T.pipeline_counts(enriched, T.enrichment_rejects(df), T.point_values(points)).collect()[0].asDict()
     assert c == {"consumed": 4, "enriched": 3, "enrich_errors": 1, "sink_ok": 3, "series_times": 2}
