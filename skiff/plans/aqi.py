@@ -198,8 +198,8 @@ def q_trip_pipeline_counts(spark, root):
 
     out = f"{trip_stream_run(spark, root)}/out"
     return T.pipeline_counts(
-        spark.read.parquet(f"{out}/enriched"),
-        spark.read.parquet(f"{out}/rejects"),
+        keyed.read_appended(spark, f"{out}/enriched"),
+        keyed.read_appended(spark, f"{out}/rejects"),
         stored_points(spark, f"{out}/points"),
     )
 

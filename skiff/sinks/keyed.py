@@ -212,6 +212,24 @@ def prune_history(spark: SparkSession, root: str) -> None:
                 ffs.delete(st.getPath(), True)
 
 
+def read_appended(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """Every row of an append-only batch log (one folder per micro-batch, rows never
+    replaced): the newest snapshot plus the batch folders after it."""
+    snap = _newest_snapshot(spark, root, upto)
+    newer = _since(spark.read.parquet(root), snap, upto)
+    if snap is None:
+        return newer
+    return newer.unionByName(spark.read.parquet(f"{snapshot_root(root)}/upto={snap}"))
+
+
+def compact_appended(spark: SparkSession, root: str, upto: int, prune: bool = False) -> None:
+    """Fold an append-only log up to batch ``upto`` into one snapshot (larger files,
+    same rows); idempotent, visible once its ``_SUCCESS`` marker exists."""
+    read_appended(spark, root, upto).write.mode("overwrite").parquet(f"{snapshot_root(root)}/upto={upto}")
+    if prune:
+        prune_history(spark, root)
+
+
 def current(spark: SparkSession, root: str, key: str = "key") -> DataFrame:
     """The current table: latest version per key."""
     return latest(current_versions(spark, root), key)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skiff.operators import trips as T
+from skiff.sinks.keyed import compact_appended, read_appended
 from skiff.sinks.points import compact_points, write_points
 
 FLOW_METRICS = "trip_flow"
@@ -36,7 +37,10 @@ def trip_batch_writer(
             )
             write_points(T.to_points(enriched), f"{out_root}/points", batch_id)
             if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-                compact_points(batch_df.sparkSession, f"{out_root}/points", batch_id, prune=prune)
+                spark = batch_df.sparkSession
+                compact_points(spark, f"{out_root}/points", batch_id, prune=prune)
+                for log in ("enriched", "rejects"):
+                    compact_appended(spark, f"{out_root}/{log}", batch_id, prune=prune)
         finally:
             batch_df.unpersist()
 
@@ -49,13 +53,13 @@ def start_trip_query(
     out_root: str,
     checkpoint_root: str,
     trigger: dict | None = None,
-    compact_points_every: int | None = 50,
-    prune_points: bool = True,
+    compact_every: int | None = 50,
+    prune_history: bool = True,
 ) -> StreamingQuery:
-    """Start the consumer stream. Every ``compact_points_every`` micro-batches the
-    point store is folded into a snapshot and (``prune_points``) the folders it has
-    absorbed are dropped; the enriched and rejects logs are the consumer's output
-    tables and keep one folder per micro-batch."""
+    """Start the consumer stream. Every ``compact_every`` micro-batches the
+    point store and the enriched / rejects logs are folded into snapshots and
+    (``prune_history``) the folders they have absorbed are dropped, so a long-running
+    consumer does not accumulate one folder per trigger."""
     # consumer counters, reported per micro-batch in progress.observedMetrics
     parsed = T.parse_trip_messages(source()).observe(
         FLOW_METRICS,
@@ -65,7 +69,7 @@ def start_trip_query(
     )
     return (
         parsed.writeStream.outputMode("append")
-        .foreachBatch(trip_batch_writer(out_root, compact_points_every, prune_points))
+        .foreachBatch(trip_batch_writer(out_root, compact_every, prune_history))
         .option("checkpointLocation", f"{checkpoint_root}/trips")
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .queryName(f"trip_enrichment_{uuid.uuid4().hex[:8]}")
@@ -74,4 +78,4 @@ def start_trip_query(
 
 
 def read_enriched(spark: SparkSession, out_root: str) -> DataFrame:
-    return spark.read.parquet(f"{out_root}/enriched").drop("batch_id", "event_timestamp")
+    return read_appended(spark, f"{out_root}/enriched").drop("batch_id", "event_timestamp")

@@ -255,3 +255,33 @@ def test_point_store_compaction_and_pruning_keep_stored_values(spark, tmp_dir):
     got = sorted(tuple(r) for r in stored_points(spark, pruned).collect())
     want = sorted(tuple(r) for r in stored_points(spark, full).collect())
     assert got == want and len(want) == 8 * len(T.FIELD_COLUMNS)
+
+
+def test_trip_stream_compaction_keeps_every_output(spark, tmp_dir):
+    from skiff.sinks.points import stored_points
+    from skiff.streaming.trips_job import read_enriched, start_trip_query
+
+    inp = f"{tmp_dir}/in"
+    trips = [[{"trip_id": 10 * b + i, "pickup_datetime": f"2024-01-01 0{b}:0{i}:00",
+               "dropoff_datetime": f"2024-01-01 0{b}:1{i}:00", "passenger_count": 1,
+               "trip_distance": 1.5 + i, "fare_amount": 9.0 + 10 * i, "payment_type": "Cash"}
+              for i in range(3)] + [{"trip_id": 900 + b, "trip_distance": 0.0}]  # one reject per batch
+             for b in range(7)]
+    _write_batches(inp, trips)
+    outs = {}
+    for label, every in (("compacted", 2), ("plain", None)):
+        q = start_trip_query(spark, lambda: json_file_source(spark, inp, 1), f"{tmp_dir}/{label}",
+                             f"{tmp_dir}/ckpt-{label}", trigger={"availableNow": True}, compact_every=every)
+        await_all([q], 300)
+        outs[label] = f"{tmp_dir}/{label}"
+    c, p = outs["compacted"], outs["plain"]
+    assert keyed.snapshot_ids(spark, f"{c}/enriched") == [4, 6]
+    assert sorted(x for x in os.listdir(f"{c}/enriched") if x.startswith("batch_id=")) == ["batch_id=5", "batch_id=6"]
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    assert rows(read_enriched(spark, c)) == rows(read_enriched(spark, p)) and len(rows(read_enriched(spark, p))) == 21
+    assert rows(keyed.read_appended(spark, f"{c}/rejects").drop("batch_id")) == rows(
+        keyed.read_appended(spark, f"{p}/rejects").drop("batch_id"))
+    assert rows(stored_points(spark, f"{c}/points")) == rows(stored_points(spark, f"{p}/points"))
