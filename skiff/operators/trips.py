@@ -233,8 +233,8 @@ def pipeline_counts(enriched: DataFrame, rejects: DataFrame, stored: DataFrame)
     point writes (one per enriched trip, written in the same micro-batch: a failed
     write fails and replays the batch, so every enriched trip's point lands), and
     series_times = distinct (series, time) in the point store after last-write-wins.
-    ``stored`` is the point store in value layout (``point_values`` /
-    ``sinks.points.stored_points``)."""
+    ``stored`` has measurement, tag columns and time per stored point or value
+    (``sinks.points.stored_series``, ``stored_points`` or ``point_values``)."""
     series = F.struct("measurement", *TAG_COLUMNS, "time")
     none = F.lit(None).cast(stored.select(series.alias("s")).schema["s"].dataType)
     rows = (

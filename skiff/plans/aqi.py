@@ -21,7 +21,7 @@ from skiff.sources.files import json_file_source, write_messages
 from skiff.streaming.aqi_job import (
     SLIDING_COLUMNS, TUMBLING_COLUMNS, AqiStreamConfig, await_all, start_aqi_queries,
 )
-from skiff.sinks.points import stored_points
+from skiff.sinks.points import stored_series
 from skiff.streaming.trips_job import read_enriched, start_trip_query
 
 TUMBLING = "1 hour"
@@ -200,7 +200,7 @@ def q_trip_pipeline_counts(spark, root):
     return T.pipeline_counts(
         keyed.read_appended(spark, f"{out}/enriched"),
         keyed.read_appended(spark, f"{out}/rejects"),
-        stored_points(spark, f"{out}/points"),
+        stored_series(spark, f"{out}/points"),
     )
 
 

@@ -51,6 +51,20 @@ def stored_points(spark: SparkSession, root: str, tags=TAG_COLUMNS) -> DataFrame
     return _merged(spark, root, tags).drop("batch_id")
 
 
+def stored_series(spark: SparkSession, root: str, tags=TAG_COLUMNS) -> DataFrame:
+    """measurement, tag columns, time of every point write still represented in the
+    store (duplicates possible: count distinct for the number of series-times).
+    No field explode and no last-write merge, so counting stays cheap."""
+    snap = _newest_snapshot(spark, root)
+    cols = ["measurement", *tags, "time"]
+    rows = _since(spark.read.parquet(root), snap).select(
+        "measurement", *[F.col("tags")[t].alias(t) for t in tags], "time"
+    )
+    if snap is not None:
+        rows = rows.unionByName(spark.read.parquet(f"{snapshot_root(root)}/upto={snap}").select(*cols))
+    return rows
+
+
 def compact_points(spark: SparkSession, root: str, upto: int, tags=TAG_COLUMNS, prune: bool = False) -> None:
     """Fold everything up to batch ``upto`` into a snapshot of stored values
     (idempotent; reads only older snapshots; visible once its ``_SUCCESS`` exists)."""

@@ -255,6 +255,9 @@ def test_point_store_compaction_and_pruning_keep_stored_values(spark, tmp_dir):
     got = sorted(tuple(r) for r in stored_points(spark, pruned).collect())
     want = sorted(tuple(r) for r in stored_points(spark, full).collect())
     assert got == want and len(want) == 8 * len(T.FIELD_COLUMNS)
+    from skiff.sinks.points import stored_series
+
+    assert stored_series(spark, pruned).distinct().count() == stored_series(spark, full).distinct().count() == 8
 
 
 def test_trip_stream_compaction_keeps_every_output(spark, tmp_dir):
