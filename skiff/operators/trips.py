@@ -227,7 +227,7 @@ def flow_counts(trips: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_counts(enriched: DataFrame, rejects: DataFrame, stored: DataFrame) -> DataFrame:
+def consumer_counts(enriched: DataFrame, rejects: DataFrame, stored: DataFrame) -> DataFrame:
     """Consumer counters from what the stream stored, as ONE aggregate over the
     outputs (no join): consumed = enriched + rejected, enrich_errors, sink_ok =
     point writes (one per enriched trip, written in the same micro-batch: a failed

@@ -193,11 +193,11 @@ def q_trip_stream_enriched(spark, root):
     return edge(read_enriched(spark, f"{trip_stream_run(spark, root)}/out"))
 
 
-def q_trip_pipeline_counts(spark, root):
+def q_trip_consumer_counts(spark, root):
     from skiff.operators import trips as T
 
     out = f"{trip_stream_run(spark, root)}/out"
-    return T.pipeline_counts(
+    return T.consumer_counts(
         keyed.read_appended(spark, f"{out}/enriched"),
         keyed.read_appended(spark, f"{out}/rejects"),
         stored_series(spark, f"{out}/points"),
@@ -226,5 +226,5 @@ QUERIES = {
     "compare_windows": q_compare_windows,
     "common_states": q_common_states,
     "trip_stream_enriched": q_trip_stream_enriched,
-    "trip_pipeline_counts": q_trip_pipeline_counts,
+    "trip_consumer_counts": q_trip_consumer_counts,
 }

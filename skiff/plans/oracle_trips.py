@@ -120,7 +120,7 @@ FROM trips"""
     "fare_category_counts": _w("SELECT fare_category, COUNT(*) AS trips FROM enr GROUP BY fare_category"),
     # what the consumer stream stores: every sent trip is consumed; enriched trips
     # write one point each; the store keeps one point per (series, time)
-    "trip_pipeline_counts": _w(
+    "trip_consumer_counts": _w(
         """SELECT COUNT(*) AS consumed,
        CAST(COUNT_IF(pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL) AS BIGINT) AS enriched,
        CAST(COUNT_IF(pickup_datetime IS NULL OR dropoff_datetime IS NULL) AS BIGINT) AS enrich_errors,

@@ -117,7 +117,7 @@ def test_synthetic_trips_ranges_and_shares(spark):
     assert 1500 < backwards < 2500  # about half end before they start
 
 
-def test_pipeline_counts_from_stored_logs(spark):
+def test_consumer_counts_from_stored_logs(spark):
     rows = [
         _trip(1, 600, Decimal("2.00"), Decimal("12.50")),
         _trip(2, 600, Decimal("3.00"), Decimal("12.50")),  # same series and time as trip 1
@@ -127,5 +127,5 @@ def test_pipeline_counts_from_stored_logs(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     enriched = T.enrich_trips(df)
     points = T.to_points(enriched)
-    c = T.pipeline_counts(enriched, T.enrichment_rejects(df), T.point_values(points)).collect()[0].asDict()
+    c = T.consumer_counts(enriched, T.enrichment_rejects(df), T.point_values(points)).collect()[0].asDict()
     assert c == {"consumed": 4, "enriched": 3, "enrich_errors": 1, "sink_ok": 3, "series_times": 2}
