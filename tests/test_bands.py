@@ -39,3 +39,34 @@ def test_aqi_band_of_rounded_average(spark):
     # 50.004 rounds to 50.00 first, so the band is Good
     df = spark.createDataFrame([(50.004,)], "x double")
     assert df.select(aqi_band(F.round("x", 2))).first()[0] == "Good"
+
+
+def _python_band(x, rules, default, side):
+    if x is None:
+        return None
+    for threshold, label in rules:
+        if {"ge": x >= threshold, "lt": x < threshold, "le": x <= threshold}[side]:
+            return label
+    return default
+
+
+def test_bands_match_their_rule_on_random_values(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from skiff.functions import bands as B
+
+    cases = (
+        (sales_band, B.SALES_BANDS, B.SALES_BAND_DEFAULT, "ge"),
+        (fare_category, B.FARE_CATEGORIES, B.FARE_CATEGORY_DEFAULT, "lt"),
+        (aqi_band, B.AQI_BANDS, B.AQI_BAND_DEFAULT, "le"),
+    )
+    values = st.lists(st.one_of(st.none(), st.floats(-100, 2000, allow_nan=False)), min_size=1, max_size=100)
+
+    @settings(max_examples=5, deadline=None)
+    @given(values)
+    def check(xs):
+        for fn, rules, default, side in cases:
+            assert _apply(spark, fn, xs) == [_python_band(x, rules, default, side) for x in xs]
+
+    check()
