@@ -46,3 +46,12 @@ def test_dense_rank_ties(spark):
     )
     ranked = {(r.Category, r.Sub_Category): r.SALES_RANK for r in marts._with_sales_rank(df).collect()}
     assert ranked == {("A", "x"): 1, ("A", "y"): 1, ("A", "z"): 2, ("B", "w"): 1}
+
+
+def test_cleaned_lines_and_marts_are_built_once_per_application(spark):
+    a, b = retail.cleaned(spark, SF_SMALL), retail.cleaned(spark, SF_SMALL + "/")
+    assert a.inputFiles() == b.inputFiles()  # same written table, not a rebuild
+    m1, m2 = retail.published_marts(spark, SF_SMALL), retail.published_marts(spark, SF_SMALL)
+    assert m1["CATEGORY_SALES"].inputFiles() == m2["CATEGORY_SALES"].inputFiles()
+    # the written table is the cleaned lines, row for row
+    assert a.count() == retail.clean_lines(spark, SF_SMALL).count()
