@@ -33,7 +33,7 @@ def remainder(doc_id, modulus: int):
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit mixer (splitmix finaliser): consistent hashed randomness."""
-    x = x.astype(np.uint64, copy=True)
+    x = np.asarray(x).astype(np.uint64, copy=True)
     x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skiff.llm import bpe, quality, secrets, toxicity
+from skiff.llm import ann, bpe, decontam, neardup, quality, secrets, toxicity
 from skiff.llm.common import documents
 
 #: Folder of the public vocabulary files, a parameter.
@@ -21,11 +22,19 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity.score_frame(docs, toxicity.fit(docs, labels(spark, sf_dir)))
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(documents(spark, sf_dir))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(documents(spark, sf_dir))
 
@@ -35,14 +44,21 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_frame(docs, quality.fit(docs, labels(spark, sf_dir)))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, sf_dir), tokenizer_content())
 
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_toxicity": op2_toxicity,
+    "op3_neardup": op3_neardup,
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
+    "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
 ORACLES: dict[str, str] = {}
