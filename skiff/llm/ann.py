@@ -202,20 +202,20 @@ def search(rows: DataFrame, query_filter, top: int = TOP) -> DataFrame:
     def compare(left, right):
         if not len(left) or not len(right):
             return pd.DataFrame({"ask": [], "score": [], "vec_id": []}).astype({"ask": "int64", "score": "float64", "vec_id": "int64"})
-        x, y = np.array(left["v"].tolist()), np.array(right["v"].tolist())
+        x, y, ask = np.array(left["v"].tolist()), np.array(right["v"].tolist()), right["ask"].to_numpy()
+        ids = left["ids"].tolist()
+        owner, flat = np.repeat(np.arange(len(x)), [len(i) for i in ids]), np.concatenate(ids)
+        order = np.argsort(flat, kind="stable")  # then a stable sort by distance leaves ties in order of id
+        owner, flat = owner[order], flat[order]
         out = []
-        for q, ask in zip(y, right["ask"]):
-            d = np.sqrt(((x - q) ** 2).sum(1))
-            if len(d) > top + 1:  # as many entries as can hold the nearest ids, ties included
-                keep = np.flatnonzero(d <= np.partition(d, top)[top])
-            else:
-                keep = np.arange(len(d))
-            ids = left["ids"].iloc[keep].tolist()
-            n = [len(i) for i in ids]
-            rows = pd.DataFrame({"score": np.repeat(d[keep], n), "vec_id": np.concatenate(ids)})
-            rows = rows.sort_values(["score", "vec_id"]).head(top + 1)
-            out.append(rows.assign(ask=ask))
-        return pd.concat(out)[["ask", "score", "vec_id"]].astype({"ask": "int64", "vec_id": "int64"})
+        step = max(1, (1 << 21) // x.size)
+        for a in range(0, len(y), step):
+            d = np.sqrt(((y[a : a + step, None, :] - x[None, :, :]) ** 2).sum(2))[:, owner]
+            best = np.argsort(d, axis=1, kind="stable")[:, : top + 1]
+            out.append(pd.DataFrame({
+                "ask": np.repeat(ask[a : a + step], best.shape[1]),
+                "score": np.take_along_axis(d, best, 1).ravel(), "vec_id": flat[best].ravel()}))
+        return pd.concat(out)
 
     found = (
         posted.select("list", "slice", "v", "ids").groupBy("list", "slice")
