@@ -34,11 +34,12 @@ def remainder(doc_id, modulus: int):
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit mixer (splitmix finaliser): consistent hashed randomness."""
     x = np.asarray(x).astype(np.uint64, copy=True)
-    x ^= x >> np.uint64(30)
+    t = x >> np.uint64(30)
+    x ^= t
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
+    x ^= np.right_shift(x, np.uint64(27), out=t if t.ndim else None)
     x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    x ^= np.right_shift(x, np.uint64(31), out=t if t.ndim else None)
     return x
 
 
@@ -75,16 +76,25 @@ def text_pieces(texts, limit: int = PIECE_BYTES):
         k = end
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(n: int, base: int) -> np.ndarray:
-    p = np.full(n + 1, base, np.uint64)
-    p[0] = 1
-    return np.cumprod(p, dtype=np.uint64)
+    """Powers 0 to n of an odd base, modulo 2**64; a piece's worth is remembered."""
+    known = _POWERS.get(base)
+    if known is None or len(known) <= n:
+        p = np.full(max(n, PIECE_BYTES) + 1, base, np.uint64)
+        p[0] = 1
+        known = np.cumprod(p, dtype=np.uint64)
+        if n <= 4 * PIECE_BYTES:
+            _POWERS[base] = known
+    return known[: n + 1]
 
 
 def prefix_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Running sums and inverse powers from which the hash of any substring follows."""
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(BYTE_VALUE[raw] * _powers(len(raw), _BASE)[:-1], dtype=np.uint64, out=sums[1:])
+    np.cumsum(BYTE_VALUE.take(raw) * _powers(len(raw), _BASE)[:-1], dtype=np.uint64, out=sums[1:])
     return sums, _powers(len(raw), _INVERSE)
 
 

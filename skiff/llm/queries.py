@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skiff.llm import ann, bpe, decontam, neardup, quality, secrets, toxicity
+from skiff.llm import ann, bpe, decontam, neardup, quality, secrets, substrings, toxicity
 from skiff.llm.common import documents
 
 #: Folder of the public vocabulary files, a parameter.
@@ -44,6 +44,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_frame(docs, quality.fit(docs, labels(spark, sf_dir)))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated(documents(spark, sf_dir))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op3_neardup": op3_neardup,
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
+    "op7_substrings": op7_substrings,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
