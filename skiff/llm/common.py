@@ -55,7 +55,7 @@ BYTE_VALUE = _RNG.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint6
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text handled at once inside a task.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 18
 
 
 def text_pieces(texts, limit: int = PIECE_BYTES):

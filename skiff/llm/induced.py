@@ -21,7 +21,7 @@ import tempfile
 import numpy as np
 
 #: Bytes up to which order and common prefixes are exact.
-DEPTH = 64
+DEPTH = 58
 #: Bytes of queued tuples kept in memory before they spill.
 MEMORY = 256 << 20
 
@@ -67,15 +67,15 @@ class TupleQueue:
 
 def _words(text: np.ndarray) -> np.ndarray:
     """Eight bytes from every position, as big-endian numbers (zeros after the end)."""
-    padded = np.concatenate([text, np.zeros(DEPTH + 8, np.uint8)]).astype(np.uint64)
-    out = np.zeros(len(text) + DEPTH, np.uint64)
+    padded = np.concatenate([text, np.zeros(DEPTH + 16, np.uint8)]).astype(np.uint64)
+    out = np.zeros(len(text) + DEPTH + 8, np.uint64)
     for k in range(8):
         out = out << np.uint64(8) | padded[k : k + len(out)]
     return out
 
 
 def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Common prefix lengths of suffix pairs, DEPTH at most."""
+    """Common prefix lengths of suffix pairs, some bytes over DEPTH at most."""
     n, going = np.zeros(len(a), np.int64), np.arange(len(a))
     for k in range(0, DEPTH, 8):
         x = words[a[going] + k] ^ words[b[going] + k]
@@ -94,28 +94,33 @@ def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray
 
 
 def _sorted_seeds(words: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Seeds by their first DEPTH bytes."""
-    order, group = np.argsort(words[seeds], kind="stable"), None
-    seeds = seeds[order]
+    """Seeds by their first DEPTH bytes: eight bytes first, then five at a time together with the
+    number of the group that is still tied."""
     key = words[seeds]
-    group = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])]) if len(seeds) else np.zeros(0, np.int64)
-    for k in range(8, DEPTH, 8):
-        tied = np.zeros(len(seeds), bool)
-        same = group[1:] == group[:-1]
-        tied[1:] |= same
-        tied[:-1] |= same
-        at = np.flatnonzero(tied)
-        if not len(at):
+    order = np.argsort(key)
+    seeds, key = seeds[order], key[order]
+    begins = np.concatenate([[True], key[1:] != key[:-1]]) if len(seeds) else np.zeros(0, bool)
+    tied, depth = np.arange(len(seeds)), 8
+    while depth < DEPTH:
+        alone = begins & np.concatenate([begins[1:], [True]])
+        tied, begins = tied[~alone], begins[~alone]
+        if not len(tied):
             break
-        key, own = words[seeds[at] + k], group[at]
-        order = np.lexsort((key, own))
-        seeds[at] = seeds[at][order]
-        key = key[order]
-        new = np.concatenate([[False], (key[1:] != key[:-1]) | (own[1:] != own[:-1])])
-        first = np.concatenate([[True], own[1:] != own[:-1]])
-        base = np.zeros(len(seeds), np.int64)
-        base[at] = new & ~first
-        group = np.concatenate([[0], np.cumsum((group[1:] != group[:-1]) | (base[1:] > 0))])
+        group = np.cumsum(begins) - 1
+        own = seeds[tied]
+        if group[-1] < 1 << 24:
+            key = group.astype(np.uint64) << np.uint64(40) | words[own + depth] >> np.uint64(24)
+            order = np.argsort(key)
+            key = key[order]
+            begins = np.concatenate([[True], key[1:] != key[:-1]])
+            depth += 5
+        else:
+            key = words[own + depth]
+            order = np.lexsort((key, group))
+            key, group = key[order], group[order]
+            begins = np.concatenate([[True], (key[1:] != key[:-1]) | (group[1:] != group[:-1])])
+            depth += 8
+        seeds[tied] = own[order]
     return seeds
 
 

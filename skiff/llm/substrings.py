@@ -32,7 +32,7 @@ from skiff.llm.common import mix64, prefix_hashes, substring_hashes
 from skiff.llm.induced import suffix_array
 
 LENGTH, GRAM = 50, 24
-_PIECE = 1 << 20
+_PIECE = 1 << 16
 
 
 def segments(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -61,7 +61,8 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
                 cut = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)]))
                 lo, hi = window[cut], window[np.concatenate([cut[1:] - 1, [len(window) - 1]])]
                 a = anchor[cut]
-                parts.append((substring_hashes(sums, inverse, a, a + gram), row[lo] + k, lo + base, hi + base,
+                # hashed once more: the smallest hashes would crowd the first key ranges
+                parts.append((mix64(substring_hashes(sums, inverse, a, a + gram)), row[lo] + k, lo + base, hi + base,
                               substring_hashes(sums, inverse, lo, hi + length)))
         k = end
     if not parts:
