@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skiff.llm import ann, bpe, decontam, neardup, quality, secrets, substrings, toxicity
+from skiff.llm import ann, bpe, decontam, lm, neardup, quality, secrets, substrings, toxicity
 from skiff.llm.common import documents
 
 #: Folder of the public vocabulary files, a parameter.
@@ -48,6 +48,10 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated(documents(spark, sf_dir))
 
 
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
     "op7_substrings": op7_substrings,
+    "op8_lm": op8_lm,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }

@@ -31,7 +31,7 @@ from skiff.llm.blocks import block_table, block_texts, is_shared, ranges, run_fo
 from skiff.llm.common import mix64, prefix_hashes, substring_hashes
 from skiff.llm.induced import suffix_array
 
-LENGTH, GRAM = 50, 24
+LENGTH, GRAM = 50, 20
 _PIECE = 1 << 16
 
 
