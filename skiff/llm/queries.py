@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skiff.llm import ann, bpe, decontam, lm, neardup, quality, secrets, substrings, toxicity
+from skiff.llm import ann, bpe, decontam, lm, neardup, passages, quality, secrets, substrings, toxicity
 from skiff.llm.common import documents
 
 #: Folder of the public vocabulary files, a parameter.
@@ -35,6 +35,10 @@ def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(documents(spark, sf_dir))
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(documents(spark, sf_dir))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(documents(spark, sf_dir))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op1_ann": op1_ann,
     "op2_toxicity": op2_toxicity,
     "op3_neardup": op3_neardup,
+    "op4_passages": op4_passages,
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
     "op7_substrings": op7_substrings,

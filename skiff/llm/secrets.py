@@ -143,13 +143,20 @@ def redact_text(text: str, mark: str = "[SECRET]") -> str:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with secrets in ``text`` replaced, all other columns (and null texts) kept."""
+    """``docs`` with secrets in ``text`` replaced (and n_chars, where it is a column, counted
+    anew for the texts that change); all other columns and null texts stay."""
     names = docs.columns
-    at = names.index("text")
+    at, size = names.index("text"), names.index("n_chars") if "n_chars" in names else -1
 
     def run(batches):
         for batch in batches:
-            new = pa.array([None if t is None else redact_text(t, mark) for t in batch.column(at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([new if k == at else c for k, c in enumerate(batch.columns)], names=names)
+            old = batch.column(at).to_pylist()
+            new = [None if t is None else redact_text(t, mark) for t in old]
+            columns = list(batch.columns)
+            columns[at] = pa.array(new, batch.column(at).type)
+            if size >= 0:
+                counts = zip(batch.column(size).to_pylist(), old, new)
+                columns[size] = pa.array([n if a == b else len(b) for n, a, b in counts], batch.column(size).type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(run, docs.schema)
