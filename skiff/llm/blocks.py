@@ -125,5 +125,23 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
+def bucketed(df: DataFrame, folder: str, name: str, key: str, buckets: int) -> DataFrame:
+    """``df`` as a table bucketed by ``key`` in the shared folder: one shuffle now, none later."""
+    full = f"skiff_{name}_{uuid.uuid4().hex[:12]}"
+    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", f"{folder}/{full}").saveAsTable(full)
+    return df.sparkSession.table(full)
+
+
+def planes(x: np.ndarray, width: int = 8) -> bytes:
+    """Integers as bytes, all lowest bytes first, so that compression finds the empty high ones."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unplanes(data: bytes, width: int = 8) -> np.ndarray:
+    wide = np.zeros((len(data) // width, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
+    return wide.view("<u8").ravel().astype(np.uint64)
+
+
 def run_folder(docs: DataFrame, label: str) -> str:
     return new_run_dir(docs.sparkSession, label)

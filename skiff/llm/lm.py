@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skiff.llm.blocks import block_table, block_texts, run_folder, written
+from skiff.llm.blocks import block_table, block_texts, bucketed, planes, run_folder, unplanes, written
 from skiff.llm.common import mix64, uniform, words
 
 END = np.uint64(0x5EED0FE0D0C5A11E)
@@ -85,14 +85,13 @@ def _top(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _six(keys: np.ndarray) -> bytes:
-    return np.ascontiguousarray((keys >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def _width(bits: int) -> int:
+    """Bytes that tell words apart inside a model whose ranges have ``bits`` bits."""
+    return min(8, -(-(32 + bits) // 8))
 
 
-def _unsix(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return wide.view("<u8").ravel().astype(np.uint64)
+def _cut(keys: np.ndarray, bits: int) -> np.ndarray:
+    return keys >> np.uint64(64 - 8 * _width(bits))
 
 
 def _held(ids: np.ndarray) -> np.ndarray:
@@ -138,7 +137,8 @@ def score(docs: DataFrame) -> DataFrame:
         return _rows([(b, block[0].as_py(), known[a:e].tobytes(), count[a:e].tobytes()) for b, a, e in _cuts(_top(known, bits))],
                      [("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
-    sent = written(table.groupBy("block").applyInArrow(send_words, "bucket long, block long, keys binary, counts binary"), folder, "words")
+    sent = bucketed(table.groupBy("block").applyInArrow(send_words, "bucket long, block long, keys binary, counts binary"),
+                    folder, "words", "bucket", min(1 << bits, 100_000))
 
     def count_words(bucket, group):
         blocks = group["block"].to_pylist()
@@ -148,7 +148,7 @@ def score(docs: DataFrame) -> DataFrame:
         np.add.at(total, at, np.frombuffer(b"".join(group["counts"].to_pylist()), np.uint32))
         out, a = [], 0
         for b, k in zip(blocks, keys):
-            out.append((b, bucket[0].as_py(), total[at[a : a + len(k)]].tobytes(), None, None))
+            out.append((b, bucket[0].as_py(), planes(total[at[a : a + len(k)]], 6), None, None))
             a += len(k)
         out.append((-1, bucket[0].as_py(), None, int(total.sum()), int((total > 0).sum())))
         return _rows(out, [("block", pa.int64()), ("bucket", pa.int64()), ("counts", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
@@ -157,9 +157,15 @@ def score(docs: DataFrame) -> DataFrame:
     n, v = (int(x or 0) for x in counted.where("block = -1").agg(F.sum("n"), F.sum("v")).first())
     counts = counted.where("block >= 0").select("block", "bucket", F.lit(1).alias("kind"), F.col("counts").alias("a"), F.lit(None).cast("binary").alias("b"))
 
-    def joined(rows, kind, column, dtype):
-        parts = sorted((r[1], r[column]) for r in rows if r[2] == kind)
-        return np.frombuffer(b"".join(p for _, p in parts), dtype)
+    def joined(rows, kind, column, read):
+        parts = [read(p) for _, p in sorted((r[1], r[column]) for r in rows if r[2] == kind)]
+        return np.concatenate(parts) if parts else read(b"")
+
+    def six(data):
+        return unplanes(data, 6).astype(np.int64)
+
+    def floats(data):
+        return np.frombuffer(data, np.float32).astype(np.float64)
 
     # 2. pairs with a restaurant, by shard
     def send_pairs(block, left, right):
@@ -167,16 +173,16 @@ def score(docs: DataFrame) -> DataFrame:
         if left.num_rows:
             ids, at, known, first = _block(left)
             rows = list(zip(*(right[c].to_pylist() for c in ("block", "bucket", "kind", "a"))))
-            count = joined(rows, 1, 3, np.int64)
+            count = joined(rows, 1, 3, six)
             shard, u, w, token, _ = _pairs(at, known, first, count, bits)
             train = np.repeat(~_held(ids), np.diff(first))
-            c = np.bincount(token[train & (token >= 0)], minlength=len(u)).astype(np.uint32)
+            c = np.bincount(token[train & (token >= 0)], minlength=len(u))
             # the parent's first guess of each word's probability, in eighths of octaves
-            level = np.round(8 * np.log2((n + 1) / (count[w] + 0.5))).astype(np.int64).clip(0, 65535).astype(np.uint16)
+            level = np.round(8 * np.log2((n + 1) / (count[w] + 0.5))).astype(np.int64).clip(0, 65535)
             for s, a, e in _cuts(shard):
                 of, one, run = np.unique(u[a:e], return_index=True, return_counts=True)
                 out.append((s, block[0].as_py(), known[of].tobytes(), count[of].tobytes(), run.astype(np.uint32).tobytes(),
-                            _six(known[w[a:e]]), level[a:e].tobytes(), c[a:e].tobytes()))
+                            planes(_cut(known[w[a:e]], bits), _width(bits)), planes(level[a:e], 2), planes(c[a:e], 5)))
         return _rows(out, [("shard", pa.int64()), ("block", pa.int64()), *((x, pa.binary()) for x in ("us", "cs", "runs", "ws", "levels", "counts"))])
 
     pairs = (table.groupBy("block").cogroup(counts.groupBy("block"))
@@ -185,12 +191,13 @@ def score(docs: DataFrame) -> DataFrame:
     # 3. seating
     def sit(shard, group):
         col = {c: [np.frombuffer(x, t) for x in group[c].to_pylist()] for c, t in
-               (("us", np.uint64), ("cs", np.int64), ("runs", np.uint32), ("levels", np.uint16), ("counts", np.uint32))}
+               (("us", np.uint64), ("cs", np.int64), ("runs", np.uint32))}
+        col |= {c: [unplanes(x, width).astype(np.int64) for x in group[c].to_pylist()] for c, width in (("levels", 2), ("counts", 5))}
         runs = np.concatenate(col["runs"])
         u_of = np.repeat(np.concatenate(col["us"]), runs)
         whole = np.repeat(np.concatenate(col["cs"]), runs)
-        w_of = _unsix(b"".join(group["ws"].to_pylist()))
-        c_of, q_of = np.concatenate(col["counts"]), 2.0 ** (np.concatenate(col["levels"]).astype(np.float64) / -8.0)
+        w_of = np.concatenate([unplanes(x, _width(bits)) for x in group["ws"].to_pylist()])
+        c_of, q_of = np.concatenate(col["counts"]), 2.0 ** (np.concatenate(col["levels"]) / -8.0)
         key = mix64(u_of ^ (w_of * np.uint64(0x9E3779B97F4A7C15)))
         _, one, at = np.unique(key, return_index=True, return_inverse=True)
         c = np.bincount(at, c_of, minlength=len(one))
@@ -212,13 +219,13 @@ def score(docs: DataFrame) -> DataFrame:
             out.append((b, shard[0].as_py(), None, held[at[a : a + size]].astype(np.float32).tobytes(), None, None))
             a += size
         customers = np.bincount(word_row, c, minlength=len(words_here))
-        for kind, name, values in ((1, words_here, [customers, *kept_w]), (2, names >> np.uint64(16), kept_u)):
+        for kind, name, values in ((1, words_here, [customers, *kept_w]), (2, _cut(names, bits), kept_u)):
             order = np.argsort(name)
             name, values = name[order], [x[order] for x in values]
             used = values[0] > 0
             name, values = name[used], [x[used] for x in values]
-            for b, a, e in _cuts((name >> np.uint64(48 - bits)).astype(np.int64)):
-                out.append((None, b, kind, None, _six(name[a:e] << np.uint64(16)), np.concatenate([x[a:e] for x in values]).astype(np.uint32).tobytes()))
+            for b, a, e in _cuts((name >> np.uint64(8 * _width(bits) - bits)).astype(np.int64)):
+                out.append((None, b, kind, None, planes(name[a:e], _width(bits)), planes(np.concatenate([x[a:e] for x in values]).astype(np.int64), 5)))
         return _rows(out, [("block", pa.int64()), ("bucket", pa.int64()), ("kind", pa.int32()), ("held", pa.binary()), ("names", pa.binary()), ("tables", pa.binary())])
 
     seated = written(pairs.groupBy("shard").applyInArrow(sit, "block long, bucket long, kind int, held binary, names binary, tables binary"), folder, "seated")
@@ -231,11 +238,11 @@ def score(docs: DataFrame) -> DataFrame:
         known, at = np.unique(np.concatenate(keys), return_inverse=True)
         c = np.zeros(len(known))
         np.add.at(c, at, np.frombuffer(b"".join(left["counts"].to_pylist()), np.uint32))
-        cut = known >> np.uint64(16)
+        cut = _cut(known, bits)
         seen, tables, contexts = np.zeros(len(known)), np.zeros((SAMPLES, len(known))), np.zeros((SAMPLES, len(known)))
         for kind, name, values in zip(*(right[x].to_pylist() for x in ("kind", "names", "tables"))):
-            place = np.searchsorted(cut, _unsix(name))
-            got = np.frombuffer(values, np.uint32).reshape(-1, len(place)).astype(np.float64)
+            place = np.searchsorted(cut, unplanes(name, _width(bits)))
+            got = unplanes(values, 5).reshape(-1, len(place)).astype(np.float64)
             if kind == 1:
                 np.add.at(seen, place, got[0])
                 for s in range(SAMPLES):
@@ -252,7 +259,8 @@ def score(docs: DataFrame) -> DataFrame:
         out, a = [], 0
         for b, k in zip(blocks, keys):
             i = at[a : a + len(k)]
-            out.append((b, bucket[0].as_py(), np.stack([x[i] for x in least], 1).tobytes(), np.stack([x[i] for x in contexts], 1).astype(np.float32).tobytes(), None))
+            of = i[c[i] >= MIN_CONTEXT]
+            out.append((b, bucket[0].as_py(), np.stack([x[i] for x in least], 1).tobytes(), np.stack([x[of] for x in contexts], 1).astype(np.float32).tobytes(), None))
             a += len(k)
         out.append((-1, bucket[0].as_py(), None, None, sums))
         return _rows(out, answer)
@@ -272,10 +280,11 @@ def score(docs: DataFrame) -> DataFrame:
             return _rows([], empty)
         ids, at, known, first = _block(left)
         rows = list(zip(*(right[c].to_pylist() for c in ("block", "bucket", "kind", "a", "b"))))
-        count = joined(rows, 1, 3, np.int64)
-        held = joined(rows, 2, 3, np.float32).astype(np.float64)
-        least = joined(rows, 3, 3, np.float32).reshape(-1, SAMPLES).astype(np.float64)
-        contexts = joined(rows, 3, 4, np.float32).reshape(-1, SAMPLES).astype(np.float64)
+        count = joined(rows, 1, 3, six)
+        held = joined(rows, 2, 3, floats)
+        least = joined(rows, 3, 3, floats).reshape(-1, SAMPLES)
+        contexts = np.zeros((len(known), SAMPLES))
+        contexts[count >= MIN_CONTEXT] = joined(rows, 3, 4, floats).reshape(-1, SAMPLES)
         shard, u, w, token, context = _pairs(at, known, first, count, bits)
         p, mass = np.zeros(len(known)), []
         word_p = []
