@@ -24,14 +24,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from skiff.llm.blocks import block_table, block_texts, is_shared, run_folder, shared_keys, written
+from skiff.llm.blocks import block_table, block_texts, is_shared, pack, planes, ranges, run_folder, shared_keys, short, unpack, unplanes, written
 from skiff.llm.common import mix64, shingles, words
 
 WORDS, LEAST = 5, 46
 HASHES, ENOUGH = 6, 2
 SHARE = 8 / 9
+_PIECE = 1 << 17
 
 
 def compact_windows(values: np.ndarray, first: np.ndarray, least: int = LEAST):
@@ -56,21 +56,34 @@ def compact_windows(values: np.ndarray, first: np.ndarray, least: int = LEAST):
 
 
 def block_windows(raw: np.ndarray, off: np.ndarray):
-    """(key, text, l, c, r, function) of a block's windows, places counted inside each text."""
-    h, _, _, first = words(raw, off)
-    long = np.diff(first) >= WORDS + LEAST - 1
-    s, sf = shingles(h, first, WORDS)
-    if not long.any():
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 5)
-    parts = []
-    for j in range(HASHES):
-        v = mix64(s + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-        l, c, r = compact_windows(v, sf)
-        row = np.searchsorted(sf, c, "right") - 1
-        parts.append((mix64(v[c] + np.uint64(j)), row, l - sf[row], c - sf[row], r - sf[row], np.full(len(c), j)))
+    """(key, text, l, r, function) of a block's windows, places counted inside each text; a few texts
+    at a time, so that the arrays stay in cache."""
+    parts, k = [], 0
+    while k < len(off) - 1:
+        end = max(k + 1, int(np.searchsorted(off, off[k] + _PIECE, "right")) - 1)
+        h, _, _, first = words(raw[off[k] : off[end]], off[k : end + 1] - off[k])
+        s, sf = shingles(h, first, WORDS)
+        for j in range(HASHES):
+            v = mix64(s + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
+            l, c, r = compact_windows(v, sf)
+            row = np.searchsorted(sf, c, "right") - 1
+            parts.append((mix64(v[c] + np.uint64(j)), row + k, l - sf[row], r - sf[row], np.full(len(c), j)))
+        k = end
+    if not parts:
+        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 4)
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def _shared_windows(raw, off, bits, buckets, flags):
+    """The block's windows with shared minima, in sending order."""
+    key, row, l, r, f = block_windows(raw, off)
+    hit = is_shared(key, bits, buckets, flags)
+    key, row, l, r, f = (x[hit] for x in (key, row, l, r, f))
+    cut = short(key, bits)
+    order = np.lexsort((l, row, cut))
+    return tuple(x[order] for x in (cut, row, l, r, f))
+
+
 def passages(docs: DataFrame) -> DataFrame:
     """(doc_id, source_id, start_word, end_word, shared) for ``docs`` (doc_id, text)."""
     folder = run_folder(docs, "passages")
@@ -81,73 +94,110 @@ def passages(docs: DataFrame) -> DataFrame:
         return key, row
 
     flags = written(shared_keys(table, keys_of, bits), folder, "flags")
-    schema = "key long, block long, doc_id long, l int, c int, r int, f int"
-
+    # 1. windows meet the smallest document that has their minimum
     def collide(block, left, right):
-        ids, key, row, l, c, r, f = np.zeros(0, np.int64), *block_windows(np.zeros(0, np.uint8), np.zeros(1, np.int64))
+        out = []
         if left.num_rows:
             ids, raw, off = block_texts(left)
-            key, row, l, c, r, f = block_windows(raw, off)
-            hit = is_shared(key, bits, right["bucket"].to_pylist(), right["flags"].to_pylist())
-            key, row, l, c, r, f = (x[hit] for x in (key, row, l, c, r, f))
-        return pa.table({"key": pa.array(key.view(np.int64)), "block": pa.array(np.full(len(key), block[0].as_py())), "doc_id": pa.array(ids[row] if len(row) else row),
-                         **{n: pa.array(x.astype(np.int32)) for n, x in (("l", l), ("c", c), ("r", r), ("f", f))}})
-
-    windows = written(table.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(collide, schema), folder, "windows")
-    source = windows.groupBy("key").agg(F.min(F.struct("doc_id", "block", "l", "r")).alias("s"))
-    found = (
-        windows.join(source, "key").where("s.doc_id < doc_id")
-        .groupBy("block", "doc_id", F.col("s.doc_id").alias("source_id"), F.col("s.block").alias("source_block"), "f", "l", "r")
-        .agg(F.min("s.l").alias("sl"), F.max("s.r").alias("sr"))
-    )
-    found = written(found, folder, "found")
-    asked = found.groupBy("source_block", "source_id", "block").agg(F.min("sl").alias("a"), F.max("sr").alias("b"))
-
+            cut, row, l, r, _ = _shared_windows(raw, off, bits, right["bucket"].to_pylist(), right["flags"].to_pylist())
+            for b, a, e in ranges(cut, bits):
+                out.append((b, block[0].as_py(), pack(cut[a:e]), planes(ids[row[a:e]]), planes(l[a:e], 5), planes(r[a:e], 5)))
+        return _table(out, [("bucket", pa.int64()), ("block", pa.int64()), *((n, pa.binary()) for n in ("keys", "ids", "l", "r"))])
+
+    def link(bucket, group):
+        blocks = group["block"].to_pylist()
+        keys = [unpack(x) for x in group["keys"].to_pylist()]
+        size = [len(x) for x in keys]
+        block = np.repeat(np.array(blocks), size)
+        doc, l, r = (np.concatenate([unplanes(x, w) for x in group[n].to_pylist()]).view(np.int64) for n, w in (("ids", 8), ("l", 5), ("r", 5)))
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        order = np.lexsort((l, doc, at))
+        head = order[np.flatnonzero(np.concatenate([[True], at[order][1:] != at[order][:-1]]))]
+        s = head[at]
+        later = doc[s] < doc
+        out, a = [], 0
+        for b, n in zip(blocks, size):
+            i = slice(a, a + n)
+            out.append((b, 1, bucket[0].as_py(), planes(np.where(later[i], doc[s[i]] + 1, 0)), None, None))
+            a += n
+        # what blocks ask of the sources' blocks: shingles l to r of a document
+        i = np.flatnonzero(later)
+        ask, inverse = np.unique(np.column_stack([block[s[i]], block[i], doc[s[i]]]), axis=0, return_inverse=True) if len(i) else (np.zeros((0, 3), np.int64), i)
+        first, last = np.full(len(ask), 1 << 39), np.zeros(len(ask), np.int64)
+        np.minimum.at(first, inverse.ravel(), l[s[i]])
+        np.maximum.at(last, inverse.ravel(), r[s[i]])
+        cut = np.flatnonzero(np.concatenate([[True], (ask[1:, :2] != ask[:-1, :2]).any(1)])) if len(ask) else []
+        for a, e in zip(cut, [*cut[1:], len(ask)]):
+            out.append((int(ask[a, 0]), 2, int(ask[a, 1]), planes(ask[a:e, 2]), planes(first[a:e], 5), planes(last[a:e], 5)))
+        return _table(out, [("block", pa.int64()), ("kind", pa.int32()), ("number", pa.int64()), *((n, pa.binary()) for n in ("sources", "a", "b"))])
+
+    sent = table.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(
+        collide, "bucket long, block long, keys binary, ids binary, l binary, r binary")
+    links = written(sent.groupBy("bucket").applyInArrow(
+        link, "block long, kind int, number long, sources binary, a binary, b binary"), folder, "links")
+
+    # 2. sources lend their shingles, once to each block that asks
     def lend(block, left, right):
         out = []
         if left.num_rows and right.num_rows:
             ids, raw, off = block_texts(left)
             h, _, _, first = words(raw, off)
             s, sf = shingles(h, first, WORDS)
-            for i, to, a, b in zip(*(right[x].to_pylist() for x in ("source_id", "block", "a", "b"))):
+            wanted: dict[tuple[int, int], list[int]] = {}
+            for to, sources, a, b in zip(*(right[n].to_pylist() for n in ("number", "sources", "a", "b"))):
+                for i, x, y in zip(unplanes(sources).view(np.int64).tolist(), unplanes(a, 5).tolist(), unplanes(b, 5).tolist()):
+                    have = wanted.setdefault((to, i), [x, y])
+                    have[0], have[1] = min(have[0], x), max(have[1], y)
+            for (to, i), (x, y) in wanted.items():
                 for k in range(int(np.searchsorted(ids, i)), int(np.searchsorted(ids, i, "right"))):
-                    out.append((to, i, s[sf[k] : sf[k + 1]][a : b + 1].tobytes()))
-        return pa.table({"block": pa.array([x[0] for x in out], pa.int64()), "source_id": pa.array([x[1] for x in out], pa.int64()),
-                         "lent": pa.array([x[2] for x in out], pa.binary())})
-
-    lent = (table.groupBy("block").cogroup(asked.withColumnRenamed("block", "to").withColumnRenamed("source_block", "block")
-                                           .withColumnRenamed("to", "target").groupBy("block"))
-            .applyInArrow(lambda k, a, b: lend(k, a, b.rename_columns(["block" if n == "target" else "own" if n == "block" else n for n in b.column_names])),
-                          "block long, source_id long, lent binary"))
-    lent = written(lent, folder, "lent")
-    both = found.select("block", "doc_id", "source_id", "f", "l", "r", F.lit(None).cast("binary").alias("lent")).unionByName(
-        lent.selectExpr("block", "cast(null as bigint) doc_id", "source_id", "cast(null as int) f", "cast(null as int) l", "cast(null as int) r", "lent"))
+                    # 40 bits of a shingle tell a passage's shingles apart
+                    out.append((to, i, planes(np.unique(s[sf[k] : sf[k + 1]][x : y + 1] >> np.uint64(24)), 5)))
+        return _table(out, [("block", pa.int64()), ("source", pa.int64()), ("lent", pa.binary())])
+
+    lent = written(table.groupBy("block").cogroup(links.where("kind = 2").groupBy("block")).applyInArrow(
+        lend, "block long, source long, lent binary"), folder, "lent")
 
+    # 3. the interval join of a document's collisions with each source, and the exact check
     def verify(block, left, right):
         out = []
         if left.num_rows and right.num_rows:
             ids, raw, off = block_texts(left)
+            rows = list(zip(*(right[n].to_pylist() for n in ("bucket", "flags", "sources", "source", "lent"))))
+            flagged = [x for x in rows if x[1] is not None]
+            linked = sorted((x for x in rows if x[2] is not None), key=lambda x: x[0])
+            cut, row, l, r, f = _shared_windows(raw, off, bits, [x[0] for x in flagged], [x[1] for x in flagged])
+            source = np.concatenate([unplanes(x[2]) for x in linked]).view(np.int64) - 1 if linked else np.zeros(0, np.int64)
+            hit = source >= 0
+            row, l, r, f, source = (x[hit] for x in (row, l, r, f, source))
+            order = np.lexsort((l, source, row))
+            row, l, r, f, source = (x[order] for x in (row, l, r, f, source))
+            lent_by: dict[int, list[np.ndarray]] = {}
+            for x in rows:
+                if x[4] is not None:
+                    lent_by.setdefault(x[3], []).append(unplanes(x[4], 5))
+            known = {i: np.unique(np.concatenate(x)) for i, x in lent_by.items()}
             h, _, _, first = words(raw, off)
             s, sf = shingles(h, first, WORDS)
-            given = right["lent"].is_valid().to_numpy(zero_copy_only=False) if hasattr(right["lent"].is_valid(), "to_numpy") else None
-            loans: dict[int, list[np.ndarray]] = {}
-            rows = right.filter(pa.array(given))
-            for i, data in zip(rows["source_id"].to_pylist(), rows["lent"].to_pylist()):
-                loans.setdefault(i, []).append(np.frombuffer(data, np.uint64))
-            known = {i: np.unique(np.concatenate(x)) for i, x in loans.items()}
-            rows = right.filter(pa.array(~given))
-            doc, src, f, l, r = (np.asarray(rows[x].to_pylist(), np.int64) for x in ("doc_id", "source_id", "f", "l", "r"))
-            order = np.lexsort((l, src, doc))
-            doc, src, f, l, r = (x[order] for x in (doc, src, f, l, r))
-            cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (src[1:] != src[:-1])])) if len(doc) else []
-            for a, b in zip(cut, [*cut[1:], len(doc)]):
-                for k in range(int(np.searchsorted(ids, doc[a])), int(np.searchsorted(ids, doc[a], "right"))):
-                    out += [(int(doc[a]), int(src[a]), *p) for p in _verified(s[sf[k] : sf[k + 1]], f[a:b], l[a:b], r[a:b], known.get(int(src[a])))]
-        kinds = (("doc_id", pa.int64()), ("source_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("shared", pa.int64()))
-        return pa.table({n: pa.array([x[k] for x in out], t) for k, (n, t) in enumerate(kinds)})
-
-    return table.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(
-        verify, "doc_id long, source_id long, start_word long, end_word long, shared long").distinct()
+            s >>= np.uint64(24)
+            start = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (source[1:] != source[:-1])])) if len(row) else []
+            for a, e in zip(start, [*start[1:], len(row)]):
+                k = int(row[a])
+                out += [(int(ids[k]), int(source[a]), *p) for p in
+                        _verified(s[sf[k] : sf[k + 1]], f[a:e], l[a:e], r[a:e], known.get(int(source[a])))]
+        return _table(out, [(n, pa.int64()) for n in ("doc_id", "source_id", "start_word", "end_word", "shared")])
+
+    none = "cast(null as binary)"
+    given = (
+        flags.selectExpr("block", "bucket", "flags", f"{none} sources", "cast(null as bigint) source", f"{none} lent")
+        .unionByName(links.where("kind = 1").selectExpr("block", "number bucket", f"{none} flags", "sources", "cast(null as bigint) source", f"{none} lent"))
+        .unionByName(lent.selectExpr("block", "cast(null as bigint) bucket", f"{none} flags", f"{none} sources", "source", "lent"))
+    )
+    return table.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(
+        verify, "doc_id long, source_id long, start_word long, end_word long, shared long")
+
+
+def _table(out, schema) -> pa.Table:
+    return pa.table({name: pa.array([x[k] for x in out], kind) for k, (name, kind) in enumerate(schema)})
 
 
 def _verified(s, f, l, r, known):
