@@ -32,13 +32,17 @@ WORDS, LEAST = 5, 46
 HASHES, ENOUGH = 6, 2
 SHARE = 8 / 9
 _PIECE = 1 << 17
+_LOW, _SCRAMBLE = np.uint64(0xFFFFFFFF), np.uint64(0x9E3779B1)
+_UNSCRAMBLE = np.uint64(pow(0x9E3779B1, -1, 1 << 32))
 
 
 def compact_windows(values: np.ndarray, first: np.ndarray, least: int = LEAST):
     """(l, c, r) of the compact windows of at least ``least`` values; ``first`` bounds the texts."""
     lo, hi = first[:-1], first[1:]
     out = []
-    packed = values & ~np.uint64(0xFFFFFFFF) | np.arange(len(values), dtype=np.uint64)
+    # equal values (repeated shingles) are told apart by a scrambled position: trees stay shallow
+    place = np.arange(len(values), dtype=np.uint64) * _SCRAMBLE & _LOW
+    packed = values & ~_LOW | place
     while True:
         ok = hi - lo >= least
         lo, hi = lo[ok], hi[ok]
@@ -47,7 +51,7 @@ def compact_windows(values: np.ndarray, first: np.ndarray, least: int = LEAST):
         if len(packed) == hi[-1]:  # reduceat needs ends inside the array
             packed = np.append(packed, np.uint64(0xFFFFFFFFFFFFFFFF))
         cuts = np.column_stack([lo, hi]).ravel()
-        c = (np.minimum.reduceat(packed, cuts)[::2] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        c = (np.minimum.reduceat(packed, cuts)[::2] * _UNSCRAMBLE & _LOW).astype(np.int64)
         out.append((lo, c, hi - 1))
         lo, hi = np.column_stack([lo, c + 1]).ravel(), np.column_stack([c, hi]).ravel()
     if not out:
@@ -126,15 +130,15 @@ def passages(docs: DataFrame) -> DataFrame:
         first, last = np.full(len(ask), 1 << 39), np.zeros(len(ask), np.int64)
         np.minimum.at(first, inverse.ravel(), l[s[i]])
         np.maximum.at(last, inverse.ravel(), r[s[i]])
-        cut = np.flatnonzero(np.concatenate([[True], (ask[1:, :2] != ask[:-1, :2]).any(1)])) if len(ask) else []
+        cut = np.flatnonzero(np.concatenate([[True], ask[1:, 0] != ask[:-1, 0]])) if len(ask) else []
         for a, e in zip(cut, [*cut[1:], len(ask)]):
-            out.append((int(ask[a, 0]), 2, int(ask[a, 1]), planes(ask[a:e, 2]), planes(first[a:e], 5), planes(last[a:e], 5)))
-        return _table(out, [("block", pa.int64()), ("kind", pa.int32()), ("number", pa.int64()), *((n, pa.binary()) for n in ("sources", "a", "b"))])
+            out.append((int(ask[a, 0]), 2, None, planes(ask[a:e, 2]), planes(ask[a:e, 1]), np.concatenate([first[a:e], last[a:e]]).astype("<u4").tobytes()))
+        return _table(out, [("block", pa.int64()), ("kind", pa.int32()), ("number", pa.int64()), *((n, pa.binary()) for n in ("sources", "to", "bounds"))])
 
     sent = table.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(
         collide, "bucket long, block long, keys binary, ids binary, l binary, r binary")
     links = written(sent.groupBy("bucket").applyInArrow(
-        link, "block long, kind int, number long, sources binary, a binary, b binary"), folder, "links")
+        link, "block long, kind int, number long, sources binary, to binary, bounds binary"), folder, "links")
 
     # 2. sources lend their shingles, once to each block that asks
     def lend(block, left, right):
@@ -144,8 +148,9 @@ def passages(docs: DataFrame) -> DataFrame:
             h, _, _, first = words(raw, off)
             s, sf = shingles(h, first, WORDS)
             wanted: dict[tuple[int, int], list[int]] = {}
-            for to, sources, a, b in zip(*(right[n].to_pylist() for n in ("number", "sources", "a", "b"))):
-                for i, x, y in zip(unplanes(sources).view(np.int64).tolist(), unplanes(a, 5).tolist(), unplanes(b, 5).tolist()):
+            for sources, target, bounds in zip(*(right[n].to_pylist() for n in ("sources", "to", "bounds"))):
+                low, high = np.frombuffer(bounds, "<u4").reshape(2, -1).tolist()
+                for i, to, x, y in zip(unplanes(sources).view(np.int64).tolist(), unplanes(target).view(np.int64).tolist(), low, high):
                     have = wanted.setdefault((to, i), [x, y])
                     have[0], have[1] = min(have[0], x), max(have[1], y)
             for (to, i), (x, y) in wanted.items():
@@ -169,8 +174,14 @@ def passages(docs: DataFrame) -> DataFrame:
             source = np.concatenate([unplanes(x[2]) for x in linked]).view(np.int64) - 1 if linked else np.zeros(0, np.int64)
             hit = source >= 0
             row, l, r, f, source = (x[hit] for x in (row, l, r, f, source))
-            order = np.lexsort((l, source, row))
+            # sources that fewer than ENOUGH functions point to cannot have a candidate
+            order = np.lexsort((f, source, row))
             row, l, r, f, source = (x[order] for x in (row, l, r, f, source))
+            new = np.concatenate([[True], (row[1:] != row[:-1]) | (source[1:] != source[:-1])]) if len(row) else np.zeros(0, bool)
+            other = new | np.concatenate([[False], f[1:] != f[:-1]]) if len(row) else new
+            group = np.cumsum(new) - 1
+            keep = np.bincount(group, other)[group] >= ENOUGH if len(row) else new
+            row, l, r, f, source = (x[keep] for x in (row, l, r, f, source))
             lent_by: dict[int, list[np.ndarray]] = {}
             for x in rows:
                 if x[4] is not None:
