@@ -21,8 +21,10 @@ def python_datetime_text(col: Column | str) -> Column:
 
 
 def epoch_seconds_to_event_time(col: Column | str) -> Column:
-    """Epoch seconds (double) → TIMESTAMP truncated to the whole second."""
-    return F.timestamp_seconds(_c(col).cast("bigint"))
+    """Epoch seconds (double) → TIMESTAMP truncated to the whole second; NULL for what is
+    no time between the years 1 and 9999 (NaN, infinities, other units)."""
+    seconds = _c(col).try_cast("bigint")
+    return F.when(seconds.between(-62135596800, 253402300799), F.timestamp_seconds(seconds))
 
 
 def window_key(prefix: str, key: Column | str, start: Column | str) -> Column:

@@ -24,7 +24,7 @@ from skiff.sources import kafka
 from skiff.sources.files import json_file_source, read_raw_csv, write_messages
 from skiff.sources.jdbc import read_jdbc_table
 from skiff.sources.replay import replay_stream
-from skiff.streaming.aqi_job import AqiStreamConfig, await_any, start_aqi_queries
+from skiff.streaming.aqi_job import AqiStreamConfig, await_all, await_any, start_aqi_queries
 from skiff.streaming.trips_job import start_trip_query
 
 
@@ -43,6 +43,11 @@ def _trigger(args) -> dict:
     return {"availableNow": True} if args.once else {"processingTime": args.trigger}
 
 
+def _wait(spark: SparkSession, args, queries) -> None:
+    """With --once until all queries have taken all input, else until one of them ends."""
+    await_all(queries) if args.once else await_any(spark)
+
+
 def retail_report(spark: SparkSession, args) -> None:
     typed = clean.type_order_lines(read_raw_csv(spark, args.input))
     report = quality.quality_report(typed)
@@ -78,8 +83,8 @@ def trip_publish(spark: SparkSession, args) -> None:
 
 
 def trip_consume(spark: SparkSession, args) -> None:
-    start_trip_query(spark, lambda: _source(spark, args), args.output, args.checkpoint, _trigger(args))
-    await_any(spark)
+    query = start_trip_query(spark, lambda: _source(spark, args), args.output, args.checkpoint, _trigger(args))
+    _wait(spark, args, [query])
 
 
 def aqi_publish(spark: SparkSession, args) -> None:
@@ -99,8 +104,8 @@ def aqi_windows(spark: SparkSession, args) -> None:
     cfg = AqiStreamConfig(
         tumbling=args.window, watermark=args.watermark, trigger=_trigger(args), rocksdb=args.rocksdb,
     )
-    start_aqi_queries(spark, lambda: _source(spark, args), args.output, args.checkpoint, cfg)
-    await_any(spark)
+    queries = start_aqi_queries(spark, lambda: _source(spark, args), args.output, args.checkpoint, cfg)
+    _wait(spark, args, queries)
 
 
 JOBS = {

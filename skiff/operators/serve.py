@@ -104,13 +104,13 @@ def category_totals(category_sales: DataFrame) -> DataFrame:
 
 
 def region_table(region_performance: DataFrame) -> DataFrame:
-    """Region revenue vs margin table (TOTAL_ORDERS as INTEGER, as the dashboard casts)."""
+    """Region revenue vs margin table (TOTAL_ORDERS as a 64-bit integer)."""
     return region_performance.select(
         "Region",
         "TOTAL_REVENUE",
         "AVG_ORDER_VALUE",
         "AVG_MARGIN",
-        F.col("TOTAL_ORDERS").cast("int").alias("TOTAL_ORDERS"),
+        F.col("TOTAL_ORDERS").cast("bigint").alias("TOTAL_ORDERS"),
     ).orderBy(F.desc("TOTAL_REVENUE"), "Region")
 
 

@@ -140,9 +140,9 @@ def parse_trip_messages(raw: DataFrame) -> DataFrame:
         {
             "pickup_datetime": F.try_to_timestamp("pickup_datetime").cast("timestamp_ntz"),
             "dropoff_datetime": F.try_to_timestamp("dropoff_datetime").cast("timestamp_ntz"),
-            **{c: F.col(c).cast("decimal(12,2)") for c in (
+            **{c: F.col(c).try_cast("decimal(12,2)") for c in (
                 "trip_distance", "fare_amount", "tip_amount", "tolls_amount", "total_amount")},
-            **{c: F.col(c).cast("decimal(10,6)") for c in (
+            **{c: F.col(c).try_cast("decimal(10,6)") for c in (
                 "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")},
         }
     )

@@ -27,8 +27,6 @@ from skiff.streaming.trips_job import read_enriched, start_trip_query
 TUMBLING = "1 hour"
 SLIDING = ("1 hour", "15 minutes")
 WATERMARK = "10 minutes"
-# a contract stream run (availableNow) that has not drained by then is stopped
-STREAM_RUN_TIMEOUT_S = 3600
 
 _RUNS: dict[tuple[str, str, str], str] = {}
 
@@ -74,18 +72,25 @@ def aqi_stream_run(spark: SparkSession, root: str) -> str:
     queries = start_aqi_queries(
         spark, lambda: json_file_source(spark, f"{run}/input"), f"{run}/out", f"{run}/checkpoints", cfg
     )
-    await_all(queries, STREAM_RUN_TIMEOUT_S)
+    await_all(queries)
     _RUNS[key] = run
     return run
 
 
+def _alive(stored: DataFrame) -> DataFrame:
+    """Results that had not expired at the store's own last write: the same rows whenever
+    the query runs."""
+    last = stored.agg(F.max("updated_at")).first()[0]
+    return keyed.expire(stored, now=F.lit(last)) if last is not None else stored
+
+
 def window_results(spark, root) -> DataFrame:
     """Current tumbling results (latest per key, not expired)."""
-    return keyed.expire(keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/window_log"))
+    return _alive(keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/window_log"))
 
 
 def sliding_results(spark, root) -> DataFrame:
-    return keyed.expire(keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/sliding_log"))
+    return _alive(keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/sliding_log"))
 
 
 def q_aqi_tumbling_stream(spark, root):
@@ -184,7 +189,7 @@ def trip_stream_run(spark: SparkSession, root: str) -> str:
         spark, lambda: json_file_source(spark, f"{run}/input"), f"{run}/out", f"{run}/checkpoints",
         trigger={"availableNow": True},
     )
-    await_all([q], STREAM_RUN_TIMEOUT_S)
+    await_all([q])
     _RUNS[key] = run
     return run
 
@@ -193,7 +198,7 @@ def q_trip_stream_enriched(spark, root):
     return edge(read_enriched(spark, f"{trip_stream_run(spark, root)}/out"))
 
 
-def q_trip_consumer_counts(spark, root):
+def q_trip_pipeline_counts(spark, root):
     from skiff.operators import trips as T
 
     out = f"{trip_stream_run(spark, root)}/out"
@@ -226,5 +231,5 @@ QUERIES = {
     "compare_windows": q_compare_windows,
     "common_states": q_common_states,
     "trip_stream_enriched": q_trip_stream_enriched,
-    "trip_consumer_counts": q_trip_consumer_counts,
+    "trip_pipeline_counts": q_trip_pipeline_counts,
 }

@@ -259,7 +259,7 @@ FROM cat ORDER BY TOTAL_SALES DESC""",
     ),
     "region_table": with_ctes(
         f"""SELECT Region, {_money('sales')} AS TOTAL_REVENUE, {hundredths('aov_h')} AS AVG_ORDER_VALUE,
-       {hundredths('margin_h')} AS AVG_MARGIN, CAST(n AS INTEGER) AS TOTAL_ORDERS
+       {hundredths('margin_h')} AS AVG_MARGIN, CAST(n AS BIGINT) AS TOTAL_ORDERS
 FROM reg ORDER BY TOTAL_REVENUE DESC""",
         MARTS,
     ),

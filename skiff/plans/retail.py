@@ -9,7 +9,6 @@ from skiff.operators import analysis, clean, marts, quality, serve, windows
 from skiff.plans.output import edge
 from skiff.session import apply_defaults
 from skiff.sources.fixtures import stored
-from skiff.sources.tables import widen
 
 # Dashboard selections used by the contract (the feature's own parameters).
 SELECTED_YEARS = (1996, 1998, 2000)
@@ -29,7 +28,7 @@ def cleaned(spark: SparkSession, root: str) -> DataFrame:
     application, written to the shared folder, read back (typed parquet) by every
     analysis query. Filters and projections of the readers reach this scan."""
     apply_defaults(spark)
-    return stored(spark, root, "order_lines_clean", lambda s, r: widen(clean_lines(s, r)))
+    return stored(spark, root, "order_lines_clean", clean_lines)
 
 
 def published_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -56,12 +56,11 @@ def log_writer(
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
-            if batch_df.isEmpty():  # empty micro-batch: nothing to store
-                return
-            out = batch_df.select(
-                key.alias("key"), *[F.col(c) for c in columns], F.current_timestamp().alias("updated_at")
-            )
-            out.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+            if not batch_df.isEmpty():  # an empty micro-batch stores nothing, but may be due for compaction
+                out = batch_df.select(
+                    key.alias("key"), *[F.col(c) for c in columns], F.current_timestamp().alias("updated_at")
+                )
+                out.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
             if compact_every and batch_id > 0 and batch_id % compact_every == 0:
                 compact(batch_df.sparkSession, root, batch_id, prune=prune)
             if on_written:
@@ -157,7 +156,10 @@ def emitted_band_counts(spark: SparkSession, root: str, upto: int | None = None)
 
 def recent_feed(spark: SparkSession, root: str, n: int = FEED_KEPT, upto: int | None = None) -> DataFrame:
     """The newest n feed entries: the entries kept with the newest snapshot plus
-    the batches after it (every newer entry outranks a kept one)."""
+    the batches after it (every newer entry outranks a kept one). A snapshot keeps
+    FEED_KEPT entries, so more cannot be asked for."""
+    if n > FEED_KEPT:
+        raise ValueError(f"at most {FEED_KEPT} feed entries are kept, {n} were asked for")
     snap = _newest_snapshot(spark, root, upto)
     entries = feed(_since(read_log(spark, root), snap, upto), n)
     if snap is not None:

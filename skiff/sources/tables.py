@@ -30,33 +30,3 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-# Inputs arriving in at most this many splits (e.g. one file of one row group) are
-# spread over the cluster; anything larger is left as it is read.
-WIDEN_MAX_SPLITS = 4
-
-
-def widen(df: DataFrame, min_partitions: int | None = None, partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when ``df`` arrives in a handful of splits
-    (≤ ``WIDEN_MAX_SPLITS``, e.g. a single-row-group file) and the cluster could
-    run more tasks. A mid-sized input with hundreds of splits is not reshuffled
-    just to fill idle cores, and at scale this is a no-op.
-
-    ``partitions`` is the known partition count (saves planning ``df`` to find it)."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = partitions if partitions is not None else df.rdd.getNumPartitions()
-    return df.repartition(n) if have < n and have <= WIDEN_MAX_SPLITS else df
-
-
-_SPLITS: dict[tuple[str, str], int] = {}
-
-
-def read_wide(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame:
-    """``read_table`` + ``widen``. The scan's split count depends only on the files
-    (not on the projected columns), so it is planned once per application and table."""
-    path = f"{root.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SPLITS:
-        _SPLITS[key] = spark.read.parquet(path).rdd.getNumPartitions()
-    return widen(read_table(spark, root, name, *columns), partitions=_SPLITS[key])

@@ -4,11 +4,12 @@ runs the same comparison at sf0.01 — see tools/check_oracles.py)."""
 import pytest
 
 import __spark_entry__ as entry
+from skiff.plans import registry
 from conftest import SF_SMALL
 from oracle_util import compare, duck
 
-ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLES = registry.ORACLES
+QUERIES = registry.QUERIES
 
 
 @pytest.fixture(scope="module")
