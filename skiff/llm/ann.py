@@ -35,7 +35,8 @@ LIST, LISTS = 64, 4_096
 REPLICAS, CLOSURE = 4, 1.15
 PROBES, FEWEST, RATIO = 288, 16, 1.5
 SLICE = 4_096
-DEGREE, BEAM = 24, 128
+GROUP = 32
+DEGREE, BEAM = 24, 64
 
 
 def _square(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -165,6 +166,7 @@ def search(rows: DataFrame, query_filter, top: int = TOP) -> DataFrame:
     total = points.count()
     k = int(min(max(1, total // LIST), LISTS, max(1, len(sample) // 4)))
     centroids = balanced_centroids(sample, k)
+    centroids = centroids[np.argsort(centroids @ np.linalg.svd(centroids - centroids.mean(0), full_matrices=False)[2][0], kind="stable")]
     usual = float(np.mean([_square(sample[a : a + 4096], centroids).min(1).mean() for a in range(0, len(sample), 4096)]))
     graph = spark.sparkContext.broadcast(CentroidGraph(centroids, usual))
 
@@ -199,27 +201,34 @@ def search(rows: DataFrame, query_filter, top: int = TOP) -> DataFrame:
         .join(F.broadcast(sizes), "list").withColumn("slice", F.explode(F.expr("sequence(0L, slices - 1)")))
     )
 
+    # neighbouring lists make a group: a query gets one short answer from a group, not from each list
+    near_lists = F.expr(f"list div {GROUP}").alias("group")
+
     def compare(left, right):
-        if not len(left) or not len(right):
-            return pd.DataFrame({"ask": [], "score": [], "vec_id": []}).astype({"ask": "int64", "score": "float64", "vec_id": "int64"})
-        x, y, ask = np.array(left["v"].tolist()), np.array(right["v"].tolist()), right["ask"].to_numpy()
-        ids = left["ids"].tolist()
-        owner, flat = np.repeat(np.arange(len(x)), [len(i) for i in ids]), np.concatenate(ids)
-        order = np.argsort(flat, kind="stable")  # then a stable sort by distance leaves ties in order of id
-        owner, flat = owner[order], flat[order]
-        out = []
-        step = max(1, (1 << 21) // x.size)
-        for a in range(0, len(y), step):
-            d = np.sqrt(((y[a : a + step, None, :] - x[None, :, :]) ** 2).sum(2))[:, owner]
-            best = np.argsort(d, axis=1, kind="stable")[:, : top + 1]
-            out.append(pd.DataFrame({
-                "ask": np.repeat(ask[a : a + step], best.shape[1]),
-                "score": np.take_along_axis(d, best, 1).ravel(), "vec_id": flat[best].ravel()}))
-        return pd.concat(out)
+        """Nearest entries of each query over a group of lists, each list with the queries that read it."""
+        out = [pd.DataFrame({"ask": np.zeros(0, np.int64), "score": np.zeros(0), "vec_id": np.zeros(0, np.int64)})]
+        asking = dict(iter(right.groupby("list")))
+        for number, part in left.groupby("list"):
+            if number not in asking:
+                continue
+            x, y = np.array(part["v"].tolist()), np.array(asking[number]["v"].tolist())
+            ask, ids = asking[number]["ask"].to_numpy(), part["ids"].tolist()
+            owner, flat = np.repeat(np.arange(len(x)), [len(i) for i in ids]), np.concatenate(ids)
+            order = np.argsort(flat, kind="stable")  # then a stable sort by distance leaves ties in order of id
+            owner, flat = owner[order], flat[order]
+            step = max(1, (1 << 21) // x.size)
+            for a in range(0, len(y), step):
+                d = np.sqrt(((y[a : a + step, None, :] - x[None, :, :]) ** 2).sum(2))[:, owner]
+                best = np.argsort(d, axis=1, kind="stable")[:, : top + 1]
+                out.append(pd.DataFrame({
+                    "ask": np.repeat(ask[a : a + step], best.shape[1]),
+                    "score": np.take_along_axis(d, best, 1).ravel(), "vec_id": flat[best].ravel()}))
+        merged = pd.concat(out).drop_duplicates(["ask", "vec_id"]).sort_values(["ask", "score", "vec_id"])
+        return merged.groupby("ask").head(top + 1)
 
     found = (
-        posted.select("list", "slice", "v", "ids").groupBy("list", "slice")
-        .cogroup(probing.select("list", "slice", "v", "ask").groupBy("list", "slice"))
+        posted.select(near_lists, "list", "slice", "v", "ids").groupBy("group", "slice")
+        .cogroup(probing.select(near_lists, "list", "slice", "v", "ask").groupBy("group", "slice"))
         .applyInPandas(compare, "ask long, score double, vec_id long").distinct()
         .withColumn("r", F.row_number().over(Window.partitionBy("ask").orderBy("score", "vec_id"))).where(F.col("r") <= top + 1)
     )
