@@ -1,7 +1,7 @@
 """Approximate nearest neighbours over balanced posting lists.
 
 Centroids come from balanced k-means on a bounded sample (an assignment pays for a list's
-load, so lists stay near LIST vectors). They are searched through an in-memory graph: each
+load, so lists stay near one size, LIST vectors or more). They are searched through an in-memory graph: each
 centroid is linked to its nearest ones, a batch of vectors walks the graph best-first. A
 vector near a boundary is replicated to up to REPLICAS lists: the next centroids join while their
 distance stays within CLOSURE of the nearest and no list already chosen is closer to them
@@ -30,10 +30,10 @@ from skiff.llm.common import prepare
 
 TOP = 10
 SAMPLE = 32_768
-#: Vectors a list should hold; at most LISTS lists (their centroids are broadcast: LISTS x dimension doubles).
+#: Vectors a list should hold at least; at most LISTS lists (their centroids are broadcast: LISTS x dimension doubles).
 LIST, LISTS = 64, 4_096
 REPLICAS, CLOSURE = 4, 1.15
-PROBES, FEWEST, RATIO = 288, 16, 1.5
+PROBES, FEWEST, RATIO = 176, 16, 1.5
 SLICE = 4_096
 GROUP = 32
 DEGREE, BEAM = 24, 64
@@ -164,7 +164,9 @@ def search(rows: DataFrame, query_filter, top: int = TOP) -> DataFrame:
     points = points.where(F.size("v") == size)
     sample = np.unique(np.array([v for v in drawn if len(v) == size]), axis=0)
     total = points.count()
-    k = int(min(max(1, total // LIST), LISTS, max(1, len(sample) // 4)))
+    # lists grow with the square root of the rows once they are full, so that neither the search for
+    # lists nor the reading of lists outgrows the other
+    k = int(min(max(1, total // LIST), max(1, 2 * total**0.5), LISTS, max(1, len(sample) // 4)))
     centroids = balanced_centroids(sample, k)
     centroids = centroids[np.argsort(centroids @ np.linalg.svd(centroids - centroids.mean(0), full_matrices=False)[2][0], kind="stable")]
     usual = float(np.mean([_square(sample[a : a + 4096], centroids).min(1).mean() for a in range(0, len(sample), 4096)]))
