@@ -17,6 +17,8 @@ of toxic labels (0 without any). Repeated rows give repeated results.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -157,15 +159,20 @@ def _passage_means(s: np.ndarray, starts: np.ndarray, n: np.ndarray) -> tuple[np
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> SubwordSoftmax:
-    """Fit on a bounded sample of labelled rows."""
-    rows = labelled_sample(docs, labels, "toxic", size).select("doc_id", "text", "y").toPandas()
-    rows = rows.sort_values(["doc_id", "y", "text"], kind="stable")
-    return fit_texts(pa.array(rows["text"], pa.string()), rows["y"].to_numpy())
+    """Fit on a bounded sample of labelled rows, in one task: the driver gets the model only."""
+
+    def train(table):
+        table = table.sort_by([("doc_id", "ascending"), ("y", "ascending"), ("text", "ascending")])
+        return pa.table({"model": pa.array([pickle.dumps(fit_texts(table["text"], table["y"].to_numpy()))], pa.binary())})
+
+    sample = labelled_sample(docs, labels, "toxic", size).select("doc_id", "text", "y")
+    got = sample.groupBy(F.lit(0).alias("all")).applyInArrow(train, "model binary").collect()
+    return pickle.loads(got[0].model) if got else fit_texts(pa.array([], pa.string()), np.zeros(0, np.int64))
 
 
 def fit_texts(texts: pa.Array, y: np.ndarray) -> SubwordSoftmax:
     known: dict[int, int] = {}
-    grams, gram_first, tokens, counts = [np.zeros(0, np.int64)], [0], [np.zeros(0, np.int64)], []
+    grams, gram_first, tokens, counts = [np.zeros(0, np.int32)], [0], [np.zeros(0, np.int32)], []
     for _, raw, off in text_pieces(texts):
         h, starts, ends, first = words(raw, off)
         value, one, at = np.unique(h, return_index=True, return_inverse=True)
@@ -174,8 +181,8 @@ def fit_texts(texts: pa.Array, y: np.ndarray) -> SubwordSoftmax:
         if len(new):
             g, gf = word_grams(_LOWER[raw], starts[one[new]], ends[one[new]])
             gram_first += (gf[1:] + gram_first[-1]).tolist()
-            grams.append(g)
-        tokens.append(ids[at])
+            grams.append(g.astype(np.int32))
+        tokens.append(ids[at].astype(np.int32))
         counts.append(np.diff(first))
     doc_first = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, np.int64)
     return SubwordSoftmax().fit(np.concatenate(grams), np.array(gram_first), np.concatenate(tokens), doc_first, np.asarray(y))
