@@ -6,14 +6,20 @@ start in [l, c] and end in [c, r] share the minimum at c. Only windows of LEAST
 or more are kept, some 2 n / LEAST of them, made for all texts of a block level by level of the trees.
 
 Windows of one function with equal minima collide. ``shared_keys`` drops minima that no other
-document has; every other window is joined to the document with the smallest id that has the minimum (so a
+document has; every other window is joined first to the document with the smallest id that has the minimum (so a
 passage in a third of all rows gives one link a row, not all pairs). The interval join of a
 document's collisions with one source counts how many functions cover each shingle; runs
-covered by ENOUGH of HASHES functions are candidates. A pair at similarity 0.8 is missed by a probability
-of 0.002. The source's shingles come to the candidates' block, once for all documents of
+covered by ENOUGH of HASHES functions are candidates. A pair at similarity 0.8 that only two documents hold is
+missed by a probability of 0.002. The source's shingles come to the candidates' block, once for all documents of
 the block, and verify them exactly: a passage is a maximal union of 50-word windows that share at least
 8/9 of their shingles with the source (a similarity of 0.8 between passages of one size).
 
+Where a window's first link is not confirmed around its minimum, all windows with that minimum meet again with
+the shingles around it. Two of them are compared unless confirmed links around this minimum already connect them:
+a window can only be similar to another if 8/9 of LEAST successive shingles occur in others too, and two similar
+windows share one of their rarest shingles (prefix filter), so texts that share nothing but a frequent line cost no
+pairs, and nothing is left out. One function is enough for such a link; the exact check is the same.
+
 Result: one row per passage: doc_id, source_id (smaller), start_word, end_word (exclusive), shared (matching
 shingles). Null or short texts give none; repeated ids are no sources of each other; rows
 without an id are left out.
@@ -60,7 +66,7 @@ def compact_windows(values: np.ndarray, first: np.ndarray, least: int = LEAST):
 
 
 def block_windows(raw: np.ndarray, off: np.ndarray):
-    """(key, text, l, r, function) of a block's windows, places counted inside each text; a few texts
+    """(key, text, l, r, function, c) of a block's windows, places counted inside each text; a few texts
     at a time, so that the arrays stay in cache."""
     parts, k = [], 0
     while k < len(off) - 1:
@@ -71,21 +77,86 @@ def block_windows(raw: np.ndarray, off: np.ndarray):
             v = mix64(s + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
             l, c, r = compact_windows(v, sf)
             row = np.searchsorted(sf, c, "right") - 1
-            parts.append((mix64(v[c] + np.uint64(j)), row + k, l - sf[row], r - sf[row], np.full(len(c), j)))
+            parts.append((mix64(v[c] + np.uint64(j)), row + k, l - sf[row], r - sf[row], np.full(len(c), j), c - sf[row]))
         k = end
     if not parts:
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 4)
+        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 5)
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def _shared_windows(raw, off, bits, buckets, flags):
     """The block's windows with shared minima, in sending order."""
-    key, row, l, r, f = block_windows(raw, off)
+    key, row, l, r, f, c = block_windows(raw, off)
     hit = is_shared(key, bits, buckets, flags)
-    key, row, l, r, f = (x[hit] for x in (key, row, l, r, f))
+    key, row, l, r, f, c = (x[hit] for x in (key, row, l, r, f, c))
     cut = short(key, bits)
     order = np.lexsort((l, row, cut))
-    return tuple(x[order] for x in (cut, row, l, r, f))
+    return tuple(x[order] for x in (cut, row, l, r, f, c))
+
+
+def similar_links(group: np.ndarray, doc: np.ndarray, joined: np.ndarray, size: np.ndarray, marks: np.ndarray):
+    """(later, earlier) windows of one minimum whose surroundings are similar, as few as connect all that are.
+
+    ``marks``: the shingles around each window's minimum, ``size`` of them a window; ``joined`` windows of
+    a group are connected already."""
+    need = int(np.ceil(SHARE * LEAST - 1e-9))
+    alive = np.arange(len(size))
+    while len(alive):  # a shingle that no other window of the group has is no hit
+        kept = np.zeros(len(size), bool)
+        kept[alive] = True
+        of = np.repeat(np.arange(len(size)), size)
+        on = kept[of]
+        of, value = of[on], marks[on].astype(np.uint64) | group[of[on]].astype(np.uint64) << np.uint64(24)
+        _, at, times = np.unique(value, return_inverse=True, return_counts=True)
+        often = times[at]
+        first = np.concatenate([[0], np.cumsum(size[alive])])
+        sums = np.concatenate([[0], np.cumsum(often > 1)])
+        start = np.arange(max(len(of) - LEAST + 1, 0))
+        good = (of[start] == of[start + LEAST - 1]) & (sums[start + LEAST] - sums[start] >= need)
+        still = np.unique(of[start[good]])
+        if len(still) == len(alive):
+            break
+        alive = still
+    if not len(alive):
+        return []
+    boss = list(range(len(size)))
+
+    def find(i):
+        while boss[i] != i:
+            boss[i] = boss[boss[i]]
+            i = boss[i]
+        return i
+
+    star: dict[int, int] = {}
+    for i in np.flatnonzero(joined).tolist():
+        boss[i] = star.setdefault(int(group[i]), i)
+    out, held, lists = [], {}, {}
+    place = {int(i): k for k, i in enumerate(alive)}
+    for i in alive[np.lexsort((doc[alive], group[alive]))].tolist():
+        a, e = first[place[i]], first[place[i] + 1]
+        own = value[a:e]
+        prefix = dict.fromkeys(own[np.lexsort((own, often[a:e]))][: len(own) - need + 1].tolist())
+        tested = set()
+        for x in prefix:
+            classes = lists.get(x, {})
+            for root in list(classes):
+                members = classes.pop(root)
+                now = find(root)
+                for j in members if now != find(i) else ():
+                    if j in tested or doc[j] == doc[i]:
+                        continue
+                    tested.add(j)
+                    sums = np.concatenate([[0], np.cumsum(np.isin(own, held[j]))])
+                    if (sums[LEAST:] - sums[:-LEAST] >= need).any():
+                        out.append((i, j))
+                        boss[find(i)] = now = find(j)
+                        break
+                now = find(now)
+                classes[now] = classes[now] + members if now in classes else members
+        held[i] = own
+        for x in prefix:
+            lists.setdefault(x, {}).setdefault(find(i), []).append(i)
+    return out
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -103,7 +174,7 @@ def passages(docs: DataFrame) -> DataFrame:
         out = []
         if left.num_rows:
             ids, raw, off = block_texts(left)
-            cut, row, l, r, _ = _shared_windows(raw, off, bits, right["bucket"].to_pylist(), right["flags"].to_pylist())
+            cut, row, l, r, *_ = _shared_windows(raw, off, bits, right["bucket"].to_pylist(), right["flags"].to_pylist())
             for b, a, e in ranges(cut, bits):
                 out.append((b, block[0].as_py(), pack(cut[a:e]), planes(ids[row[a:e]]), planes(l[a:e], 5), planes(r[a:e], 5)))
         return _table(out, [("bucket", pa.int64()), ("block", pa.int64()), *((n, pa.binary()) for n in ("keys", "ids", "l", "r"))])
@@ -124,15 +195,14 @@ def passages(docs: DataFrame) -> DataFrame:
             i = slice(a, a + n)
             out.append((b, 1, bucket[0].as_py(), planes(np.where(later[i], doc[s[i]] + 1, 0)), None, None))
             a += n
-        # what blocks ask of the sources' blocks: shingles l to r of a document
         i = np.flatnonzero(later)
-        ask, inverse = np.unique(np.column_stack([block[s[i]], block[i], doc[s[i]]]), axis=0, return_inverse=True) if len(i) else (np.zeros((0, 3), np.int64), i)
-        first, last = np.full(len(ask), 1 << 39), np.zeros(len(ask), np.int64)
-        np.minimum.at(first, inverse.ravel(), l[s[i]])
-        np.maximum.at(last, inverse.ravel(), r[s[i]])
-        cut = np.flatnonzero(np.concatenate([[True], ask[1:, 0] != ask[:-1, 0]])) if len(ask) else []
-        for a, e in zip(cut, [*cut[1:], len(ask)]):
-            out.append((int(ask[a, 0]), 2, None, planes(ask[a:e, 2]), planes(ask[a:e, 1]), np.concatenate([first[a:e], last[a:e]]).astype("<u4").tobytes()))
+        out += _asks(block[s[i]], block[i], doc[s[i]], l[s[i]], r[s[i]])
+        # windows of minima that more than two documents have: (key, block, place in the block's windows, no link)
+        docs_of = np.bincount(at[order][np.concatenate([[True], (at[order][1:] != at[order][:-1]) | (doc[order][1:] != doc[order][:-1])])])
+        i = np.flatnonzero(docs_of[at] > 2)
+        if len(i):
+            within = i - np.repeat(np.cumsum([0, *size[:-1]]), size)[i]
+            out.append((None, 3, bucket[0].as_py(), planes(at[i], 5), planes(block[i]), planes(within * 2 + ~later[i], 5)))
         return _table(out, [("block", pa.int64()), ("kind", pa.int32()), ("number", pa.int64()), *((n, pa.binary()) for n in ("sources", "to", "bounds"))])
 
     sent = table.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(
@@ -170,18 +240,19 @@ def passages(docs: DataFrame) -> DataFrame:
             rows = list(zip(*(right[n].to_pylist() for n in ("bucket", "flags", "sources", "source", "lent"))))
             flagged = [x for x in rows if x[1] is not None]
             linked = sorted((x for x in rows if x[2] is not None), key=lambda x: x[0])
-            cut, row, l, r, f = _shared_windows(raw, off, bits, [x[0] for x in flagged], [x[1] for x in flagged])
+            cut, row, l, r, f, c = _shared_windows(raw, off, bits, [x[0] for x in flagged], [x[1] for x in flagged])
+            slices, joined, w = list(ranges(cut, bits)), np.zeros(len(cut), bool), np.arange(len(cut))
             source = np.concatenate([unplanes(x[2]) for x in linked]).view(np.int64) - 1 if linked else np.zeros(0, np.int64)
             hit = source >= 0
-            row, l, r, f, source = (x[hit] for x in (row, l, r, f, source))
+            row, l, r, f, source, w = (x[hit] for x in (row, l, r, f, source, w))
             # sources that fewer than ENOUGH functions point to cannot have a candidate
             order = np.lexsort((f, source, row))
-            row, l, r, f, source = (x[order] for x in (row, l, r, f, source))
+            row, l, r, f, source, w = (x[order] for x in (row, l, r, f, source, w))
             new = np.concatenate([[True], (row[1:] != row[:-1]) | (source[1:] != source[:-1])]) if len(row) else np.zeros(0, bool)
             other = new | np.concatenate([[False], f[1:] != f[:-1]]) if len(row) else new
             group = np.cumsum(new) - 1
             keep = np.bincount(group, other)[group] >= ENOUGH if len(row) else new
-            row, l, r, f, source = (x[keep] for x in (row, l, r, f, source))
+            row, l, r, f, source, w = (x[keep] for x in (row, l, r, f, source, w))
             lent_by: dict[int, list[np.ndarray]] = {}
             for x in rows:
                 if x[4] is not None:
@@ -193,9 +264,11 @@ def passages(docs: DataFrame) -> DataFrame:
             start = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (source[1:] != source[:-1])])) if len(row) else []
             for a, e in zip(start, [*start[1:], len(row)]):
                 k = int(row[a])
-                out += [(int(ids[k]), int(source[a]), *p) for p in
-                        _verified(s[sf[k] : sf[k + 1]], f[a:e], l[a:e], r[a:e], known.get(int(source[a])))]
-        return _table(out, [(n, pa.int64()) for n in ("doc_id", "source_id", "start_word", "end_word", "shared")])
+                for p in _verified(s[sf[k] : sf[k + 1]], f[a:e], l[a:e], r[a:e], known.get(int(source[a]))):
+                    out.append((block[0].as_py(), k, int(source[a]), *p, None, None))
+                    joined[w[a:e]] |= (c[w[a:e]] >= p[0]) & (c[w[a:e]] < p[1] - WORDS + 1)
+            out += [(block[0].as_py(), *(None,) * 5, b, np.packbits(joined[a:e]).tobytes()) for b, a, e in slices]
+        return _table(out, [*((n, pa.int64()) for n in ("block", "place", "source_id", "start_word", "end_word", "shared", "bucket")), ("joined", pa.binary())])
 
     none = "cast(null as binary)"
     given = (
@@ -203,15 +276,146 @@ def passages(docs: DataFrame) -> DataFrame:
         .unionByName(links.where("kind = 1").selectExpr("block", "number bucket", f"{none} flags", "sources", "cast(null as bigint) source", f"{none} lent"))
         .unionByName(lent.selectExpr("block", "cast(null as bigint) bucket", f"{none} flags", f"{none} sources", "source", "lent"))
     )
-    return table.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(
-        verify, "doc_id long, source_id long, start_word long, end_word long, shared long")
+    first = written(table.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(
+        verify, "block long, place long, source_id long, start_word long, end_word long, shared long, bucket long, joined binary"), folder, "first")
+
+    # 4. minima with unconfirmed links: their windows meet again, with the shingles around
+    def pend(bucket, left, right):
+        out = []
+        if left.num_rows:
+            bits_of = dict(zip(right["block"].to_pylist(), right["joined"].to_pylist()))
+            for sources, to, bounds in zip(*(left[n].to_pylist() for n in ("sources", "to", "bounds"))):
+                key, block, within = (unplanes(x, n).astype(np.int64) for x, n in ((sources, 5), (to, 8), (bounds, 5)))
+                done, within = within % 2 > 0, within // 2
+                for b in np.unique(block).tolist():
+                    i = block == b
+                    done[i] |= np.unpackbits(np.frombuffer(bits_of[b], np.uint8))[within[i]] > 0
+                open_ = np.isin(key, key[~done])
+                for b in np.unique(block[open_]).tolist():
+                    i = np.flatnonzero(open_ & (block == b))
+                    out.append((b, bucket[0].as_py(), planes(key[i], 5), planes(within[i] * 2 + done[i], 5)))
+        return _table(out, [("block", pa.int64()), ("bucket", pa.int64()), ("groups", pa.binary()), ("places", pa.binary())])
+
+    pending = written(links.where("kind = 3").withColumnRenamed("number", "bucket").groupBy("bucket")
+                      .cogroup(first.where("joined is not null").select("bucket", "block", "joined").groupBy("bucket"))
+                      .applyInArrow(pend, "block long, bucket long, groups binary, places binary"), folder, "pending")
+
+    def around(block, left, right):
+        out = []
+        asked = [x for x in zip(*(right[n].to_pylist() for n in ("bucket", "groups", "places"))) if x[1] is not None]
+        if left.num_rows and asked:
+            ids, raw, off = block_texts(left)
+            flagged = [x for x in zip(right["bucket"].to_pylist(), right["flags"].to_pylist()) if x[1] is not None]
+            cut, row, l, r, _, c = _shared_windows(raw, off, bits, [x[0] for x in flagged], [x[1] for x in flagged])
+            h, _, _, first_word = words(raw, off)
+            s, sf = shingles(h, first_word, WORDS)
+            start = {b: a for b, a, _ in ranges(cut, bits)}
+            for b, groups, places in asked:
+                place = unplanes(places, 5).astype(np.int64)
+                i = start[b] + place // 2
+                low, high = np.maximum(l[i], c[i] - LEAST + 1), np.minimum(r[i], c[i] + LEAST - 1) + 1
+                size = high - low
+                at = np.repeat(sf[row[i]] + low - np.cumsum(size) + size, size) + np.arange(size.sum())
+                out.append((b, block[0].as_py(), groups, planes(ids[row[i]]), planes(row[i], 5), planes(l[i], 5), planes(r[i], 5),
+                            planes(place % 2, 1), planes(size, 1), planes(s[at] >> np.uint64(40), 3)))
+        return _table(out, [("bucket", pa.int64()), ("block", pa.int64()),
+                            *((n, pa.binary()) for n in ("groups", "ids", "places", "l", "r", "joined", "sizes", "marks"))])
+
+    def relink(bucket, group):
+        blocks = group["block"].to_pylist()
+        column = {n: [unplanes(x, w) for x in group[n].to_pylist()] for n, w in
+                  (("groups", 5), ("ids", 8), ("places", 5), ("l", 5), ("r", 5), ("joined", 1), ("sizes", 1), ("marks", 3))}
+        block = np.repeat(np.array(blocks), [len(x) for x in column["groups"]])
+        key, doc, place, l, r, joined, size, marks = (np.concatenate(x).view(np.int64) for x in column.values())
+        found = np.array(similar_links(key, doc, joined > 0, size, marks), np.int64).reshape(-1, 2)
+        i, j = found[:, 0], found[:, 1]
+        out = _asks(block[j], block[i], doc[j], l[j], r[j])
+        for b in np.unique(block[i]).tolist():
+            k = block[i] == b
+            out.append((b, 1, None, planes(doc[j[k]]), planes(place[i[k]], 5), np.concatenate([l[i[k]], r[i[k]]]).astype("<u4").tobytes()))
+        return _table(out, [("block", pa.int64()), ("kind", pa.int32()), ("number", pa.int64()), *((n, pa.binary()) for n in ("sources", "to", "bounds"))])
+
+    asked = flags.selectExpr("block", "bucket", "flags", f"{none} groups", f"{none} places").unionByName(
+        pending.selectExpr("block", "bucket", f"{none} flags", "groups", "places"))
+    relinks = written(
+        table.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
+            around, "bucket long, block long, groups binary, ids binary, places binary, l binary, r binary, joined binary, sizes binary, marks binary")
+        .groupBy("bucket").applyInArrow(relink, "block long, kind int, number long, sources binary, to binary, bounds binary"), folder, "relinks")
+    relent = written(table.groupBy("block").cogroup(relinks.where("kind = 2").groupBy("block")).applyInArrow(
+        lend, "block long, source long, lent binary"), folder, "relent")
+
+    # 5. the exact check of these links; a pair's passages of both rounds are merged
+    def finish(block, left, right):
+        out = []
+        if left.num_rows and right.num_rows:
+            ids, raw, off = block_texts(left)
+            pairs: dict[tuple[int, int], list] = {}
+            lent_by: dict[int, list[np.ndarray]] = {}
+            linked: dict[tuple[int, int], list] = {}
+            for place, source, a, e, shared, lent_, sources, to, bounds in zip(*(right[n].to_pylist() for n in (
+                    "place", "source", "start_word", "end_word", "shared", "lent", "sources", "to", "bounds"))):
+                if lent_ is not None:
+                    lent_by.setdefault(source, []).append(unplanes(lent_, 5))
+                elif sources is not None:
+                    l, r = np.frombuffer(bounds, "<u4").astype(np.int64).reshape(2, -1)
+                    for x in zip(unplanes(to, 5).tolist(), unplanes(sources).view(np.int64).tolist(), l.tolist(), r.tolist()):
+                        linked.setdefault(x[:2], []).append(x[2:])
+                else:
+                    pairs.setdefault((place, source), []).append((a, e, shared))
+            known = {i: np.unique(np.concatenate(x)) for i, x in lent_by.items()}
+            if linked:
+                h, _, _, first_word = words(raw, off)
+                s, sf = shingles(h, first_word, WORDS)
+                s >>= np.uint64(24)
+            for (k, source), spans in linked.items():
+                own, l, r = s[sf[k] : sf[k + 1]], *(np.array(x) for x in zip(*spans))
+                more = _verified(own, np.zeros(len(l), np.int64), l, r, known.get(source), 1)
+                if more:
+                    pairs[k, source] = _merged(pairs.get((k, source), []), more, np.isin(own, known[source]))
+            out = [(int(ids[k]), source, *p) for (k, source), found in pairs.items() for p in found]
+        return _table(out, [(n, pa.int64()) for n in ("doc_id", "source_id", "start_word", "end_word", "shared")])
+
+    longs = ("place", "source", "start_word", "end_word", "shared")
+    rounds = (
+        first.where("joined is null").selectExpr("block", "place", "source_id source", *longs[2:], *(f"{none} {n}" for n in ("lent", "sources", "to", "bounds")))
+        .unionByName(relent.selectExpr("block", "source", "lent"), allowMissingColumns=True)
+        .unionByName(relinks.where("kind = 1").selectExpr("block", "sources", "to", "bounds"), allowMissingColumns=True)
+    )
+    return table.groupBy("block").cogroup(rounds.groupBy("block")).applyInArrow(
+        finish, "doc_id long, source_id long, start_word long, end_word long, shared long")
+
+
+def _asks(source_block, block, source, low, high):
+    """What blocks ask of the sources' blocks: shingles ``low`` to ``high`` of a document."""
+    ask, inverse = np.unique(np.column_stack([source_block, block, source]), axis=0, return_inverse=True) if len(source) else (np.zeros((0, 3), np.int64), source)
+    first, last = np.full(len(ask), 1 << 39), np.zeros(len(ask), np.int64)
+    np.minimum.at(first, inverse.ravel(), low)
+    np.maximum.at(last, inverse.ravel(), high)
+    cut = np.flatnonzero(np.concatenate([[True], ask[1:, 0] != ask[:-1, 0]])) if len(ask) else []
+    return [(int(ask[a, 0]), 2, None, planes(ask[a:e, 2]), planes(ask[a:e, 1]), np.concatenate([first[a:e], last[a:e]]).astype("<u4").tobytes())
+            for a, e in zip(cut, [*cut[1:], len(ask)])]
+
+
+def _merged(passages, more, hit):
+    """Passages of one pair, (start word, end word, shared) each, overlapping ones united; ``hit``: the text's
+    shingles that count where no earlier passage lies."""
+    hit = hit.astype(np.int64)
+    inside = np.zeros(len(hit), bool)
+    for a, e, _ in more:
+        inside[a : e - WORDS + 1] = True
+    for a, e, shared in passages:  # an earlier passage keeps its count
+        hit[a : e - WORDS + 1] = 0
+        hit[a] = shared
+        inside[a : e - WORDS + 1] = True
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], inside, [0]])))
+    return [(int(a), int(e) + WORDS - 1, int(hit[a:e].sum())) for a, e in edge.reshape(-1, 2)]
 
 
 def _table(out, schema) -> pa.Table:
     return pa.table({name: pa.array([x[k] for x in out], kind) for k, (name, kind) in enumerate(schema)})
 
 
-def _verified(s, f, l, r, known):
+def _verified(s, f, l, r, known, enough=ENOUGH):
     """Passages of one text that its source confirms: (start word, end word, shared shingles)."""
     if known is None or not len(known) or len(s) < LEAST:
         return []
@@ -221,7 +425,7 @@ def _verified(s, f, l, r, known):
         np.add.at(own, l[f == j], 1)
         np.add.at(own, np.minimum(r[f == j] + 1, len(s)), -1)
         cover += np.cumsum(own) > 0
-    candidate = cover[:-1] >= ENOUGH
+    candidate = cover[:-1] >= enough
     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
     hit = (known[at] == s) & candidate
     sums = np.concatenate([[0], np.cumsum(hit)])

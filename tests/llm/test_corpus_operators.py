@@ -155,6 +155,35 @@ def test_passages(spark, docs, awkward, nothing):
     assert passages.passages(nothing).count() == 0
 
 
+def test_passages_behind_a_smaller_text_that_shares_a_part(spark):
+    """Copies in b and c of passages whose first half an unrelated smaller text has too."""
+    n, rows = 200, [(k, " ".join(f"common{j}" for j in range(12)) + " " + " ".join(f"h{k}x{j}" for j in range(40))) for k in range(-300, 0)]
+    for k in range(n):
+        passage = [f"p{k}w{j}" for j in range(50)]
+        around = lambda name: [f"{name}{k}v{j}" for j in range(30)]
+        rows += [(k, " ".join(around("a") + passage[:27] + around("i"))),
+                 (n + k, " ".join(around("b") + passage + around("j"))), (2 * n + k, " ".join(around("c") + passage + around("l")))]
+    got = {(r.doc_id, r.source_id): r for r in passages.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert set(got) == {(2 * n + k, n + k) for k in range(n)}
+    assert all(r.start_word <= 30 and r.end_word >= 80 and r.shared >= 41 for r in got.values())
+
+
+def test_similar_links_connect_all_similar_windows():
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 1 << 24, 46)
+    rows, doc = [], []
+    for k in range(60):  # four texts, each in 15 documents, and a line that all share
+        own = np.concatenate([common[:10], np.random.default_rng(100 + k % 4).integers(0, 1 << 24, 50)]) if k % 5 else rng.integers(0, 1 << 24, 60)
+        own[:10] = common[:10]
+        rows.append(own)
+        doc.append(k)
+    size = np.array([len(x) for x in rows])
+    links = passages.similar_links(np.zeros(60, np.int64), np.array(doc), np.zeros(60, bool), size, np.concatenate(rows))
+    for k, group in roots(range(60), links).items():
+        assert group == (min(j for j in range(60) if j % 4 == k % 4 and j % 5) if k % 5 else k)
+    assert len(links) == 48 - 4 and all(i > j for i, j in links)
+
+
 def test_leaks(spark, docs, awkward, nothing):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     cut = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
