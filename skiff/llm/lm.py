@@ -1,9 +1,9 @@
 """Language-model scoring with a hierarchical Pitman-Yor bigram model.
 
-Every word seen at least MIN_CONTEXT times in training opens a restaurant for the words that follow
+Every word seen in training (MIN_CONTEXT times) opens a restaurant for the words that follow
 it; all restaurants share one parent over the vocabulary, whose base is uniform over V + 1
 words (one for unseen ones). Customers are training tokens, or, in the parent, the tables
-of its restaurants plus the tokens after rarer words. Seating is sampled by Gibbs sweeps: all
+of its restaurants. Seating is sampled by Gibbs sweeps: all
 customers of a dish are seated anew, one by one, given the tables of the other dishes of
 their restaurant (those of the last sweep); of each sweep's seating the parent's probability
 follows, and the predictive probabilities of SAMPLES sweeps are averaged.
@@ -34,7 +34,7 @@ from skiff.llm.blocks import block_table, block_texts, bucketed, planes, run_fol
 from skiff.llm.common import mix64, uniform, words
 
 END = np.uint64(0x5EED0FE0D0C5A11E)
-MIN_CONTEXT, SPLIT = 64, 400_000
+MIN_CONTEXT, SPLIT = 1, 400_000
 DISCOUNT, STRENGTH = 0.75, 1.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.5, 1.0
 SWEEPS, SAMPLES = 4, 2

@@ -136,6 +136,17 @@ def test_lm_base_and_model(spark, docs, awkward, nothing):
     assert lm.score(nothing).count() == 0
 
 
+def test_lm_rare_contexts_count(spark):
+    """Pairs seen five times in training: a held-out text of these pairs beats the same words in other pairs."""
+    held = [k for k in range(10_000, 10_100) if zlib.crc32(str(k).encode()) % 5 == 1][:2]
+    train = [k for k in range(2000) if zlib.crc32(str(k).encode()) % 5 != 1][:500]
+    rows = [(k, " ".join(f"x{j % 100} y{j % 100}" for j in range(i, i + 1))) for i, k in enumerate(train)]
+    rows += [(held[0], " ".join(f"x{j} y{j}" for j in range(100))), (held[1], " ".join(f"x{j} y{(j + 50) % 100}" for j in range(100)))]
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held[0]].held_out and math.isclose(got[held[0]].base_score, got[held[1]].base_score)
+    assert got[held[0]].score > got[held[1]].score + 50
+
+
 def test_passages(spark, docs, awkward, nothing):
     found = collections.defaultdict(set)
     for r in passages.passages(docs).collect():
