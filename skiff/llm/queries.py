@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skiff.llm import ann, bpe, decontam, lm, neardup, passages, quality, secrets, substrings, toxicity
+from skiff.llm import align, ann, bpe, decontam, lm, neardup, passages, piece_bpe, quality, secrets, substrings, toxicity
 from skiff.llm.common import documents
 
 #: Folder of the public vocabulary files, a parameter.
@@ -18,6 +18,13 @@ def tokenizer_content(name: str = "byte_bpe_50k.json") -> str:
     return bpe.load(os.path.join(TOKENIZERS, name))
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file, as its package tells it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
@@ -64,6 +71,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, sf_dir), tokenizer_content())
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids and decoded text of every document, checked against the library batch by batch."""
+    return piece_bpe.encode_decode(documents(spark, sf_dir), piece_bpe.load(vocabulary("piece_bpe_32k.model")), check=True)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE tokens of every document aligned with its pieces."""
+    return align.align(documents(spark, sf_dir), bpe.load(vocabulary("byte_bpe_50k.json")), piece_bpe.load(vocabulary("piece_bpe_32k.model")))
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_toxicity": op2_toxicity,
@@ -75,5 +92,7 @@ QUERIES = {
     "op8_lm": op8_lm,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_alignment": op13_alignment,
 }
 ORACLES: dict[str, str] = {}
