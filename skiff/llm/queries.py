@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skiff.llm import align, ann, bpe, decontam, lm, neardup, passages, piece_bpe, quality, secrets, substrings, toxicity
-from skiff.llm.common import documents
+from skiff.llm import align, ann, bpe, centroids, decontam, lm, neardup, passages, piece_bpe, quality, secrets, substrings, toxicity
+from skiff.llm.common import documents, prepare
 
 #: Folder of the public vocabulary files, a parameter.
 TOKENIZERS = os.environ.get("SKIFF_TOKENIZERS", "/opt/tokenizers")
@@ -71,6 +71,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, sf_dir), tokenizer_content())
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings of 64 components in 40 clusters after 5 rounds."""
+    return centroids.cluster(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids and decoded text of every document, checked against the library batch by batch."""
     return piece_bpe.encode_decode(documents(spark, sf_dir), piece_bpe.load(vocabulary("piece_bpe_32k.model")), check=True)
@@ -92,7 +97,8 @@ QUERIES = {
     "op8_lm": op8_lm,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
+    "op11_centroids": op11_centroids,
     "op12_sentencepiece": op12_sentencepiece,
     "op13_alignment": op13_alignment,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_centroids": centroids.cluster_sql()}
