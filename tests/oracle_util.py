@@ -12,6 +12,7 @@ import duckdb
 
 VIEW_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
 
