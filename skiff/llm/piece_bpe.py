@@ -5,10 +5,10 @@ The agenda (a heap) holds each adjacent pair that is a piece, best score first a
 equals; taking one joins it and puts the two pairs beside it on the agenda; an entry whose symbols
 have changed since is skipped. Characters without a piece become their UTF-8 bytes.
 
-Texts are cut where no piece can reach across (before a space that follows something else, and
-around characters that occur in no longer piece), so each distinct segment is merged once and
-remembered. Inside Arrow batches the ids and the decoded text can be checked against the
-sentencepiece library.
+Texts are cut where no piece can reach across: before a space that follows something else, and
+between characters that no chain of pieces connects (letters of one script, punctuation). Each
+distinct segment is merged once and remembered, and so is each distinct word. Inside Arrow batches
+the ids and the decoded text can be checked against the sentencepiece library.
 
 Handled: merge-type models with byte fallback, identity normaliser and only normal, byte, control
 and unknown pieces; another model is refused with ValueError. Empty or null text: the begin and end
@@ -36,6 +36,7 @@ REMEMBERED = 600_000
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 _PIECE, _TRAINER, _NORMALIZER = 1, 2, 3
 _MERGE_TYPE, _UNK_SURFACE = 2, " ⁇ "
+_SPACED = re.compile(" +[^ ]+| +")
 
 
 def _fields(data: bytes):
@@ -89,8 +90,9 @@ class PieceTokenizer:
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.names, kinds)) if k == NORMAL}
         best = sorted({scores[i] for i in self.ids.values()}, reverse=True)
         place = {s: r for r, s in enumerate(best)}
-        #: Agenda order of each piece that a pair can make: 0 is the best score, equal scores equal.
-        self.order = {p: place[scores[i]] for p, i in self.ids.items() if len(p) > 1}
+        #: Agenda order of each piece that a pair can make: the place of its score (0 is the best,
+        #: equal scores equal), room for the pair's position, and the piece's length.
+        self.order = {p: place[scores[i]] << 40 | len(p) for p, i in self.ids.items() if 1 < len(p) < 1 << 8}
         self.byte_ids = {int(p[3:-1], 16): i for i, (p, k) in enumerate(zip(self.names, kinds)) if k == BYTE}
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         #: Bytes of each id in a decoded text (control: none).
@@ -102,35 +104,61 @@ class PieceTokenizer:
                 self.surface[i] = bytes([self.byte_of[i]])
         self.surface[self.unknown] = self.unk_surface.encode()
         self.control = {i for i, k in enumerate(kinds) if k == CONTROL}
-        inner = sorted(set("".join(self.order)) - {SPACE})
         across = any(a != SPACE and b == SPACE for p in self.order for a, b in zip(p, p[1:]))
-        chars = "".join(map(re.escape, inner))
-        self.cut = re.compile(f"{SPACE}*[{chars}]+|{SPACE}+|[^{SPACE}{chars}]+") if inner and not across else None
+        self.cut = None if across else re.compile("|".join(self._runs()))
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _runs(self) -> list[str]:
+        """Patterns of segments: spaces and then characters of one kind, where two characters are
+        of one kind if some piece holds them side by side, directly or through others."""
+        kind: dict[str, str] = {}
+
+        def root(c):
+            while kind.setdefault(c, c) != c:
+                c = kind[c]
+            return c
+
+        for p in self.order:
+            for a, b in zip(p, p[1:]):
+                if b != SPACE:
+                    kind[root(b)] = root(b if a == SPACE else a)
+        kinds: dict[str, list[str]] = {}
+        for c in sorted(kind):
+            kinds.setdefault(root(c), []).append(re.escape(c))
+        chars = ["".join(k) for k in kinds.values()]
+        return [f"{SPACE}*[{k}]+" for k in chars] + [f"{SPACE}+", f"[^{SPACE}{''.join(chars)}]+"]
 
     def merge(self, segment: str) -> list[str]:
         """The segment's final symbols, by the agenda."""
         sym, n, order = list(segment), len(segment), self.order.get
-        agenda = [(r, k, 2) for k, pair in enumerate(map(str.__add__, sym, sym[1:])) if (r := order(pair)) is not None]
+        agenda = [e + (k << 8) for k, pair in enumerate(map(str.__add__, sym, sym[1:])) if (e := order(pair)) is not None]
         if not agenda:
             return sym
+        if n >= 1 << 32:
+            raise ValueError("a segment of 2**32 characters or more")
         heapq.heapify(agenda)
+        pop, push = heapq.heappop, heapq.heappush
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while agenda:
-            _, i, size = heapq.heappop(agenda)
+            entry = pop(agenda)
+            i = entry >> 8 & 0xFFFFFFFF
             left, j = sym[i], after[i]
-            if not left or j >= n or len(left) + len(sym[j]) != size:
+            if not left or j >= n:
+                continue
+            joined = left + sym[j]
+            if len(joined) != entry & 255:
                 continue  # one of the two has been joined to something since
-            sym[i] = joined = left + sym[j]
+            sym[i] = joined
             sym[j] = ""
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := order(joined + sym[k])) is not None:
-                    heapq.heappush(agenda, (r, i, size + len(sym[k])))
+                if (e := order(joined + sym[k])) is not None:
+                    push(agenda, e + (i << 8))
             h = before[i]
-            if h >= 0 and (r := order(sym[h] + joined)) is not None:
-                heapq.heappush(agenda, (r, h, size + len(sym[h])))
+            if h >= 0 and (e := order(sym[h] + joined)) is not None:
+                push(agenda, e + (h << 8))
         return [s for s in sym if s]
 
     def segment_ids(self, segment: str) -> list[int]:
@@ -143,17 +171,33 @@ class PieceTokenizer:
                 out.append(i)
         return out
 
+    def _coded(self, spaced: str) -> bytes:
+        """Ids of a text written with U+2581, cut into segments, each merged once."""
+        parts = self.cut.findall(spaced) if self.cut else [spaced]
+        for segment in parts:
+            if segment not in self.known:
+                ids = self.segment_ids(segment)
+                self.known[segment] = struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join(map(self.known.__getitem__, parts))
+
+    def _words(self, text: str) -> list[str] | None:
+        """The text's words without the one space before each (further spaces stay); none where
+        spaces written as U+2581 may join across words."""
+        if not text or not self.cut or SPACE in text:
+            return None
+        words = text.split(" ")
+        return words if "" not in words else [w[1:] for w in _SPACED.findall(" " + text)]
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text without begin and end, as little-endian unsigned 32-bit integers."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        spaced = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
-        parts = [self.cut.findall(t) if self.cut else [t] for t in spaced]
-        for new in set().union(*parts).difference(self.known) if parts else ():
-            ids = self.segment_ids(new)
-            self.known[new] = struct.pack(f"<{len(ids)}I", *ids)
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        for memory in (self.known, self.words):
+            if len(memory) > REMEMBERED:
+                memory.clear()
+        parts = [self._words(t) for t in texts]
+        for new in set().union(*filter(None, parts)).difference(self.words):
+            self.words[new] = self._coded(SPACE + new.replace(" ", SPACE))
+        get = self.words.__getitem__
+        return [b"".join(map(get, p)) if p else self._coded(SPACE + t.replace(" ", SPACE)) if t else b"" for p, t in zip(parts, texts)]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes joined, the space added before the text removed."""
@@ -214,14 +258,16 @@ def encode_decode(docs: DataFrame, content: bytes, with_ids: bool = False, check
 
     def run(batches):
         tok = tokenizer(shared.value)
+        begin, end = (struct.pack("<I", i) for i in (tok.bos, tok.eos))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            ids = [[tok.bos, *np.frombuffer(c, "<u4").tolist(), tok.eos] for c in tok.encode_batch(texts)]
+            coded = [begin + c + end for c in tok.encode_batch(texts)]
+            ids = [np.frombuffer(c, "<u4").tolist() for c in coded]
             decoded = list(map(tok.decode, ids))
             cols = {
                 "doc_id": batch.column(0),
                 "n_tokens": pa.array(list(map(len, ids)), pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest() for x in ids], pa.string()),
+                "ids_sha256": pa.array([hashlib.sha256(c).hexdigest() for c in coded], pa.string()),
                 "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()),
             }
             if with_ids:
