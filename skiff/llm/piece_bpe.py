@@ -94,6 +94,8 @@ class PieceTokenizer:
         #: equal scores equal), room for the pair's position, and the piece's length.
         self.order = {p: place[scores[i]] << 40 | len(p) for p, i in self.ids.items() if 1 < len(p) < 1 << 8}
         self.byte_ids = {int(p[3:-1], 16): i for i, (p, k) in enumerate(zip(self.names, kinds)) if k == BYTE}
+        self.packed = {p: struct.pack("<I", i) for p, i in self.ids.items()}
+        self.byte_packed = [struct.pack("<I", self.byte_ids[b]) for b in range(256)]
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         #: Bytes of each id in a decoded text (control: none).
         self.surface: list[bytes] = [p.replace(SPACE, " ").encode() for p in self.names]
@@ -132,21 +134,21 @@ class PieceTokenizer:
     def merge(self, segment: str) -> list[str]:
         """The segment's final symbols, by the agenda."""
         sym, n, order = list(segment), len(segment), self.order.get
-        agenda = [e + (k << 8) for k, pair in enumerate(map(str.__add__, sym, sym[1:])) if (e := order(pair)) is not None]
+        agenda = [e + (k << 8) for k, pair in enumerate(map(str.__add__, sym, sym[1:])) if (e := order(pair))]
         if not agenda:
             return sym
         if n >= 1 << 32:
             raise ValueError("a segment of 2**32 characters or more")
-        heapq.heapify(agenda)
+        agenda.sort()  # a heap from the start
         pop, push = heapq.heappop, heapq.heappush
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while agenda:
             entry = pop(agenda)
             i = entry >> 8 & 0xFFFFFFFF
-            left, j = sym[i], after[i]
-            if not left or j >= n:
+            j = after[i]
+            if j >= n or not sym[i]:
                 continue
-            joined = left + sym[j]
+            joined = sym[i] + sym[j]
             if len(joined) != entry & 255:
                 continue  # one of the two has been joined to something since
             sym[i] = joined
@@ -154,31 +156,26 @@ class PieceTokenizer:
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (e := order(joined + sym[k])) is not None:
+                if e := order(joined + sym[k]):
                     push(agenda, e + (i << 8))
-            h = before[i]
-            if h >= 0 and (e := order(sym[h] + joined)) is not None:
-                push(agenda, e + (h << 8))
+            if i:
+                h = before[i]
+                if e := order(sym[h] + joined):
+                    push(agenda, e + (h << 8))
         return [s for s in sym if s]
 
-    def segment_ids(self, segment: str) -> list[int]:
-        out: list[int] = []
-        for s in self.merge(segment):
-            i = self.ids.get(s)
-            if i is None:
-                out.extend(map(self.byte_ids.__getitem__, s.encode()))
-            else:
-                out.append(i)
+    def _learned(self, segment: str) -> bytes:
+        """Ids of a segment met for the first time."""
+        get = self.packed.get
+        coded = [get(s) or b"".join(map(self.byte_packed.__getitem__, s.encode())) for s in self.merge(segment)]
+        self.known[segment] = out = b"".join(coded)
         return out
 
     def _coded(self, spaced: str) -> bytes:
         """Ids of a text written with U+2581, cut into segments, each merged once."""
+        known, learned = self.known, self._learned
         parts = self.cut.findall(spaced) if self.cut else [spaced]
-        for segment in parts:
-            if segment not in self.known:
-                ids = self.segment_ids(segment)
-                self.known[segment] = struct.pack(f"<{len(ids)}I", *ids)
-        return b"".join(map(self.known.__getitem__, parts))
+        return b"".join([known[s] if s in known else learned(s) for s in parts])
 
     def _words(self, text: str) -> list[str] | None:
         """The text's words without the one space before each (further spaces stay); none where
