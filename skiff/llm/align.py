@@ -18,6 +18,7 @@ group of many repeated tokens is expanded by its distinct ids.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from functools import lru_cache
 
@@ -49,15 +50,21 @@ class Aligner:
         self.leading = np.arange(self.width) < (self.width - np.char.str_len(ids.astype(str)))[:, None]
 
     def tokens(self, texts: list[str]) -> tuple[list, list]:
-        """Ids of both sides for each text; none where their bytes are not a space and the text."""
-        a = [np.frombuffer(x, "<u4") for x in self.a.encode_batch([" " + t if t else "" for t in texts])]
-        b = [np.frombuffer(x, "<u4") for x in self.b.encode_batch(texts)]
-        none = np.zeros(0, "<u4")
-        for k, t in enumerate(texts):
-            raw = (" " + t).encode()
-            if not t or any(b"".join(map(s.__getitem__, x.tolist())) != raw for s, x in ((self.a.pieces, a[k]), (self.b.surface, b[k]))):
-                a[k] = b[k] = none
-        return a, b
+        """Ids of both sides for each text; none where their bytes are not a space and the text.
+        Both tokenizers keep every byte, but B reads U+2581 as a space."""
+        texts = ["" if piece_bpe.SPACE in t else t for t in texts]
+        a = self.a.encode_batch([" " + t if t else "" for t in texts])
+        b = self.b.encode_batch(texts)
+        return [np.frombuffer(x, "<u4") for x in a], [np.frombuffer(x, "<u4") for x in b]
+
+    def forget(self) -> None:
+        """Give the memory of remembered words back to the machine."""
+        for memory in (self.a.known, self.b.known, self.b.words):
+            memory.clear()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
 
     def align(self, texts: list[str]) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
         """Counts and digests of each text, and (text, pair, links) of all distinct linked pairs,
@@ -178,8 +185,8 @@ def _block_row(block: int, parts: list) -> pa.RecordBatch:
         cols[c] = [np.concatenate([p[1][c] for p in parts]).tolist()]
     cols["groups_sha256"] = pa.array([[s for p in parts for s in p[1]["groups_sha256"]]], pa.list_(pa.string()))
     cols["n_pairs"] = [np.bincount(text, minlength=sum(rows)).tolist()]
-    cols["at"] = pa.array([planes(at, 4)], pa.binary())
-    cols["links"] = pa.array([planes(times)], pa.binary())
+    for c, x in (("at", at), ("links", times)):
+        cols[c] = pa.array([planes(x, max(1, -(-int(x.max(initial=0)).bit_length() // 8)))], pa.binary())
     for c, x in (("pair", known), ("docs", docs)):
         cols[c] = pa.array([x], pa.list_(pa.int64()))
     return pa.RecordBatch.from_pydict(cols)
@@ -201,6 +208,8 @@ def blocks(docs: DataFrame, a_content: str, b_content: bytes) -> DataFrame:
                 block, size, parts = block + 1, 0, []
         if parts:
             yield _block_row(block, parts)
+        parts.clear()
+        aligner.forget()  # the worker waits for its next task while the counts are added up
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _BLOCK)
 
@@ -212,8 +221,8 @@ def _finish(block: pa.Table, totals: pa.Table) -> pa.Table:
     row = block.to_pylist()[0]
     order = np.argsort(totals["pair"].to_numpy())
     n, top = totals["n"].to_numpy()[order], totals["top"].to_numpy()[order]
-    at, links = unplanes(row["at"], 4).astype(np.int64), unplanes(row["links"]).astype(np.int64)
     ends = np.cumsum(row["n_pairs"]).astype(np.int64)
+    at, links = (unplanes(row[c], max(1, len(row[c]) // max(1, ends[-1]))).astype(np.int64) for c in ("at", "links"))
     sums = [np.concatenate([[0], np.cumsum(links * v[at])]) for v in (n, top.astype(np.int64))]
     total, best = (s[ends] - s[ends - row["n_pairs"]] for s in sums)
     cols = {"doc_id": pa.array(row["doc_id"], pa.int64())} | {c: pa.array(row[c], pa.int64()) for c in _PER_TEXT}
