@@ -4,8 +4,8 @@ retail-report   raw order-line CSV → data-quality report tables (parquet)
 retail-marts    raw order-line CSV → clean → four marts → parquet folder, catalog or JDBC
 trip-publish    trip table (parquet or JDBC) → validate/normalise → JSON messages (files or Kafka)
 trip-consume    JSON trip messages (files or Kafka) → enrich → enriched / rejects / points store
-aqi-publish     air-quality CSV → messages → looping paced replay → files or Kafka
-aqi-windows     JSON AQI messages (files or Kafka) → tumbling + sliding windows → keyed store
+aqi-publish     air-quality CSV folder → messages, paced by files per trigger → files or Kafka
+aqi-windows     JSON AQI messages (files or Kafka) → tumbling + sliding windows → keyed store; rejects
 """
 
 from __future__ import annotations
@@ -21,10 +21,9 @@ from skiff.operators import trips as T
 from skiff.session import apply_defaults
 from skiff.sinks import tables
 from skiff.sources import kafka
-from skiff.sources.files import json_file_source, read_raw_csv, write_messages
+from skiff.sources.files import json_file_source, raw_csv_stream, read_raw_csv, write_messages
 from skiff.sources.jdbc import read_jdbc_table
-from skiff.sources.replay import replay_stream
-from skiff.streaming.aqi_job import AqiStreamConfig, await_all, await_any, start_aqi_queries
+from skiff.streaming.aqi_job import AqiStreamConfig, await_all, await_any, start_aqi_queries, start_reject_query
 from skiff.streaming.trips_job import start_trip_query
 
 
@@ -88,23 +87,26 @@ def trip_consume(spark: SparkSession, args) -> None:
 
 
 def aqi_publish(spark: SparkSession, args) -> None:
-    rows = read_raw_csv(spark, args.input)
-    stream = replay_stream(spark, A.build_aqi_messages(rows), ["state", "city", "date"], args.rows_per_second)
-    values = A.to_json_value(stream.drop("replay_loop", "replay_time"))
+    # messages are stamped when their micro-batch is sent (the stream's current time)
+    rows = raw_csv_stream(spark, args.input, args.max_files_per_trigger)
+    values = A.to_json_value(A.build_aqi_messages(rows))
     if args.brokers:
         w = values.writeStream.format("kafka").options(**kafka.kafka_sink_options(
             args.brokers, args.topic, retries=5, retry_backoff_ms=1000))
     else:
         w = values.writeStream.format("text").option("path", args.output)
-    w.option("checkpointLocation", args.checkpoint).start()
-    await_any(spark)
+    query = w.option("checkpointLocation", args.checkpoint).trigger(**_trigger(args)).start()
+    _wait(spark, args, [query])
 
 
 def aqi_windows(spark: SparkSession, args) -> None:
     cfg = AqiStreamConfig(
         tumbling=args.window, watermark=args.watermark, trigger=_trigger(args), rocksdb=args.rocksdb,
+        keep_days=args.keep_days,
     )
-    queries = start_aqi_queries(spark, lambda: _source(spark, args), args.output, args.checkpoint, cfg)
+    source = lambda: _source(spark, args)
+    queries = start_aqi_queries(spark, source, args.output, args.checkpoint, cfg)
+    queries.append(start_reject_query(spark, source, args.output, args.checkpoint, _trigger(args)))
     _wait(spark, args, queries)
 
 
@@ -140,7 +142,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--window", default=A.DEFAULT_TUMBLING)
     p.add_argument("--watermark", default=A.DEFAULT_WATERMARK)
     p.add_argument("--rocksdb", action="store_true")
-    p.add_argument("--rows-per-second", type=int, default=10)
+    p.add_argument("--keep-days", type=int, help="results of how many days the window store keeps (default: all)")
     return p
 
 

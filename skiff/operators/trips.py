@@ -7,6 +7,8 @@ ratios are DECIMAL so rounding is HALF_UP on exact values.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -15,6 +17,7 @@ from pyspark.sql.types import (
 
 from skiff.functions.bands import fare_category
 from skiff.functions.timefmt import python_datetime_text
+from skiff.operators.aqi import REJECT_BAD_VALUE, REJECT_MISSING, REJECT_UNDECODABLE, reject_reason
 from skiff.operators.ordinal import with_global_ordinal
 
 # ---------------------------------------------------------------------------
@@ -65,7 +68,16 @@ TRIP_MESSAGE = StructType(
 
 REJECT_DISTANCE = "non_positive_distance"
 REJECT_FARE = "non_positive_fare"
-REJECT_ENRICH = "enrichment_error"
+REJECT_NO_MILES = "zero_distance"
+#: DECIMAL form of a trip's distance and money (a larger value is a bad one).
+TRIP_NUMBER, TRIP_DEGREES = "decimal(18,6)", "decimal(16,10)"
+_AMOUNTS = ("trip_distance", "fare_amount", "tip_amount", "tolls_amount", "total_amount")
+_DEGREES = ("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
+_TIMES = ("pickup_datetime", "dropoff_datetime")
+_NEEDED = ("trip_distance", "fare_amount", "pickup_datetime", "dropoff_datetime")
+_CORRUPT = "_corrupt_record"
+#: Consumption order inside a micro-batch; also decides which write of a point is the last.
+ORDER_IN_BATCH = ("order_in_batch", "trip_id")
 
 
 def _c(c: str | Column) -> Column:
@@ -121,31 +133,32 @@ def normalise_trips(df: DataFrame, ingest_time: Column | None = None) -> DataFra
     return out.select(*TRIP_COLUMNS, "event_timestamp")
 
 
-def to_trip_messages(normalised: DataFrame) -> DataFrame:
-    """One JSON ``value`` per trip in the message layout (numbers as doubles)."""
+def to_trip_messages(normalised: DataFrame, keep: Sequence[Column] = ()) -> DataFrame:
+    """One JSON ``value`` per trip in the message layout (numbers as doubles); columns in
+    ``keep`` come along."""
     cols = []
     for f in TRIP_MESSAGE.fields:
         if f.name in ("pickup_datetime", "dropoff_datetime", "event_timestamp"):
             cols.append(python_datetime_text(f.name).alias(f.name))
         else:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-    return normalised.select(F.to_json(F.struct(*cols)).alias("value"))
+    return normalised.select(F.to_json(F.struct(*cols)).alias("value"), *keep)
 
 
 def parse_trip_messages(raw: DataFrame) -> DataFrame:
-    """``value`` JSON text → typed trip rows; undecodable messages keep NULL fields
-    (they are rejected by enrichment instead of failing the query)."""
-    parsed = raw.select(F.from_json(F.col("value").cast("string"), TRIP_MESSAGE).alias("m")).select("m.*")
-    return parsed.withColumns(
-        {
-            "pickup_datetime": F.try_to_timestamp("pickup_datetime").cast("timestamp_ntz"),
-            "dropoff_datetime": F.try_to_timestamp("dropoff_datetime").cast("timestamp_ntz"),
-            **{c: F.col(c).try_cast("decimal(12,2)") for c in (
-                "trip_distance", "fare_amount", "tip_amount", "tolls_amount", "total_amount")},
-            **{c: F.col(c).try_cast("decimal(10,6)") for c in (
-                "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")},
-        }
-    )
+    """``value`` JSON text → typed trip rows, the ``message`` itself, and ``bad_value``: the first
+    column whose value is there but is not of its type, not finite, or too large. Such and
+    undecodable messages are rejected by enrichment instead of failing the query."""
+    message = F.col("value").cast("string")
+    layout = StructType([*TRIP_MESSAGE.fields, StructField(_CORRUPT, StringType())])
+    place = F.col("offset") if "offset" in raw.columns else F.lit(0)  # a topic's offset, where the source has one
+    m = raw.select(message.alias("message"), place.cast("long").alias("order_in_batch"),
+                   F.from_json(message, layout, {"columnNameOfCorruptRecord": _CORRUPT}).alias("m"))
+    m = m.select("message", "order_in_batch", "m.*")
+    typed = {c: F.col(c).try_cast(TRIP_NUMBER) for c in _AMOUNTS} | {c: F.col(c).try_cast(TRIP_DEGREES) for c in _DEGREES}
+    typed |= {c: F.try_to_timestamp(c).cast("timestamp_ntz") for c in _TIMES}
+    lost = F.coalesce(*[F.when(F.col(c).isNotNull() & as_type.isNull(), F.lit(c)) for c, as_type in typed.items()])
+    return m.withColumns({"bad_value": lost, **typed})
 
 
 # ------------------------------------------------------------------ consumer side
@@ -156,19 +169,22 @@ def _duration_minutes() -> Column:
     )
 
 
-def enrichment_error() -> Column:
-    """TRUE when a trip cannot be enriched (missing input or zero distance)."""
-    needed = [F.col(c).isNull() for c in ("trip_distance", "fare_amount", "pickup_datetime", "dropoff_datetime")]
-    bad = needed[0]
-    for b in needed[1:]:
-        bad = bad | b
-    return bad | (F.col("trip_distance") == 0)
+def enrichment_error(df: DataFrame) -> Column:
+    """TRUE when a trip cannot be enriched: a needed input is missing, the distance is zero or,
+    for decoded messages, some value is bad."""
+    bad = F.coalesce(F.col("trip_distance") == 0, F.lit(False))
+    for c in _NEEDED:
+        bad = bad | F.col(c).isNull()
+    for c in ("bad_value", _CORRUPT):
+        if c in df.columns:
+            bad = bad | F.col(c).isNotNull()
+    return bad
 
 
 def enrich_trips(df: DataFrame) -> DataFrame:
     """Add trip_duration_mins, fare_per_mile, speed_mph (from the ROUNDED duration,
     capped at 80) and fare_category; trips that cannot be enriched are dropped."""
-    ok = df.filter(~enrichment_error())
+    ok = df.filter(~enrichment_error(df)).drop("message", "bad_value", _CORRUPT)
     with_duration = ok.withColumn("trip_duration_mins", _duration_minutes())
     return with_duration.withColumns(
         {
@@ -186,29 +202,42 @@ def enrich_trips(df: DataFrame) -> DataFrame:
 
 
 def enrichment_rejects(df: DataFrame) -> DataFrame:
-    return df.filter(enrichment_error()).select("trip_id", F.lit(REJECT_ENRICH).alias("reason"))
+    """(trip_id, reason, message) of what cannot be enriched. Reasons tell apart messages that are
+    no JSON object, missing keys, bad values and a zero distance; ``message`` is the text as it
+    came (NULL for rows that were no messages)."""
+    has = [c for c in ("message", "bad_value", _CORRUPT) if c in df.columns]
+    message = F.col("message") if "message" in has else F.lit(None).cast("string")
+    reason = F.when(F.lit(False), F.lit(None).cast("string"))
+    if "message" in has:
+        reason = reason.when(F.from_json(message, "map<string,string>").isNull(), F.lit(REJECT_UNDECODABLE))
+    if "bad_value" in has:
+        reason = reason.when(F.col("bad_value").isNotNull(), F.concat(F.lit(f"{REJECT_BAD_VALUE}:"), F.col("bad_value")))
+    for c in _NEEDED:
+        why = reject_reason(message, c) if "message" in has else F.lit(f"{REJECT_MISSING}:{c}")
+        reason = reason.when(F.col(c).isNull(), why)
+    reason = reason.when(F.col("trip_distance") == 0, F.lit(REJECT_NO_MILES)).otherwise(F.lit(REJECT_BAD_VALUE))
+    return df.filter(enrichment_error(df)).select("trip_id", reason.alias("reason"), message.alias("message"))
 
 
 def to_points(enriched: DataFrame, time_col: str = "pickup_datetime") -> DataFrame:
-    """Time-series point layout: measurement, tags (string map), fields (double map), time."""
-    tags = F.create_map(*[x for t in TAG_COLUMNS for x in (F.lit(t), F.col(t).cast("string"))])
-    fields = F.create_map(*[x for f in FIELD_COLUMNS for x in (F.lit(f), F.col(f).cast("double"))])
+    """Time-series points, one row each: measurement, text tags, typed fields, time, and the
+    point's place in its batch (a column ``order_in_batch`` of the source, if it has one)."""
+    types = {"trip_id": "long", "passenger_count": "int"}
+    place = F.col("order_in_batch").cast("long") if "order_in_batch" in enriched.columns else F.lit(0).cast("long")
     return enriched.select(
         F.lit(MEASUREMENT).alias("measurement"),
-        tags.alias("tags"),
-        fields.alias("fields"),
+        *[F.col(t).cast("string").alias(t) for t in TAG_COLUMNS],
         F.col(time_col).alias("time"),
+        *[F.col(f).cast(types.get(f, "double")).alias(f) for f in FIELD_COLUMNS],
+        place.alias("order_in_batch"),
     )
 
 
 def point_values(points: DataFrame) -> DataFrame:
-    """One row per stored value: measurement, tag columns, time, field, value."""
-    return points.select(
-        "measurement",
-        *[F.col("tags")[t].alias(t) for t in TAG_COLUMNS],
-        "time",
-        F.explode("fields").alias("field", "value"),
-    )
+    """One row per stored value: measurement, tag columns, time, field, value (double)."""
+    keys = ["measurement", *TAG_COLUMNS, "time"]
+    numbers = points.select(*keys, *[F.col(f).cast("double").alias(f) for f in FIELD_COLUMNS])
+    return numbers.unpivot(keys, list(FIELD_COLUMNS), "field", "value")
 
 
 def flow_counts(trips: DataFrame) -> DataFrame:
@@ -227,29 +256,16 @@ def flow_counts(trips: DataFrame) -> DataFrame:
     )
 
 
-def consumer_counts(enriched: DataFrame, rejects: DataFrame, stored: DataFrame) -> DataFrame:
-    """Consumer counters from what the stream stored, as ONE aggregate over the
-    outputs (no join): consumed = enriched + rejected, enrich_errors, sink_ok =
-    point writes (one per enriched trip, written in the same micro-batch: a failed
-    write fails and replays the batch, so every enriched trip's point lands), and
-    series_times = distinct (series, time) in the point store after last-write-wins.
-    ``stored`` has measurement, tag columns and time per stored point or value
-    (``sinks.points.stored_series``, ``stored_points`` or ``point_values``)."""
-    series = F.struct("measurement", *TAG_COLUMNS, "time")
-    none = F.lit(None).cast(stored.select(series.alias("s")).schema["s"].dataType)
-    rows = (
-        enriched.select(F.lit("enriched").alias("_kind"), none.alias("_series"))
-        .unionByName(rejects.select(F.lit("reject").alias("_kind"), none.alias("_series")))
-        .unionByName(stored.select(F.lit("point").alias("_kind"), series.alias("_series")))
-    )
-    kind = F.col("_kind")
-    return rows.agg(
-        F.count_if(kind != "point").alias("consumed"),
-        F.count_if(kind == "enriched").alias("enriched"),
-        F.count_if(kind == "reject").alias("enrich_errors"),
-        F.count_if(kind == "enriched").alias("sink_ok"),
-        F.count_distinct("_series").alias("series_times"),
-    )
+def consumer_counts(measured: DataFrame, stored: DataFrame) -> DataFrame:
+    """Consumer counters: ``measured`` is one row of the totals that the stream's metrics and its
+    sink reported (consumed, enriched, enrich_errors, sink_ok, sink_error); series_times counts
+    the distinct (series, time) of ``stored`` point writes. Both sides are one row."""
+    series = stored.agg(F.count_distinct(F.struct("measurement", *TAG_COLUMNS, "time")).alias("n")).scalar()
+    return measured.select("consumed", "enriched", "enrich_errors", "sink_ok", "sink_error", series.alias("series_times"))
+
+
+def in_sample(position: Column, head: int = SAMPLE_HEAD, every: int = SAMPLE_EVERY) -> Column:
+    return (position <= head) | (position % every == 0)
 
 
 def systematic_sample(
@@ -257,9 +273,11 @@ def systematic_sample(
     order: tuple[str, ...] = ("pickup_datetime", "trip_id"),
     head: int = SAMPLE_HEAD,
     every: int = SAMPLE_EVERY,
+    before: int = 0,
 ) -> DataFrame:
     """Enriched trips whose position in the consumption order (1-based, counting
-    trips that later fail enrichment too) is <= head or a multiple of ``every``."""
+    trips that later fail enrichment too) is <= head or a multiple of ``every``.
+    ``before`` rows were consumed earlier (a stream's earlier micro-batches)."""
     numbered = with_global_ordinal(consumed, list(order))
-    o = F.col("ordinal")
-    return enrich_trips(numbered).filter((o <= head) | (o % every == 0))
+    numbered = numbered.withColumn("ordinal", F.col("ordinal") + F.lit(before))
+    return enrich_trips(numbered.filter(in_sample(F.col("ordinal"), head, every)))

@@ -1,32 +1,35 @@
 """Contract queries of the air-quality flow.
 
 Batch queries window the messages directly; stream queries run the real streaming
-job (JSON files → decode → watermark → windows → keyed store, trigger availableNow)
-over the same messages and read the stored results back. Contract window sizes fit
+jobs (JSON files → decode → watermark → windows → keyed store) over the same messages,
+which arrive in several micro-batches, and read the stored results back. Contract window sizes fit
 the 30-day event span: 1 h tumbling, 1 h / 15 min sliding, 10 min watermark.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skiff.operators import aqi as A
 from skiff.operators import serve
+from skiff.operators import trips as T
 from skiff.plans.output import edge
 from skiff.session import apply_defaults, new_run_dir
 from skiff.sinks import keyed
+from skiff.sinks.points import stored_points, stored_series
 from skiff.sources import fixtures
-from skiff.sources.files import json_file_source, write_messages
+from skiff.sources.files import json_file_source, write_slices
 from skiff.streaming.aqi_job import (
-    SLIDING_COLUMNS, TUMBLING_COLUMNS, AqiStreamConfig, await_all, start_aqi_queries,
+    SLIDING_COLUMNS, TUMBLING_COLUMNS, AqiStreamConfig, await_all, start_aqi_queries, start_reject_query,
 )
-from skiff.sinks.points import stored_series
-from skiff.streaming.trips_job import read_enriched, start_trip_query
+from skiff.streaming.progress import ProgressTable, observed, read_progress
+from skiff.streaming.trips_job import FLOW_METRICS, flow_totals, read_enriched, read_rejects, read_sample, start_trip_query
 
 TUMBLING = "1 hour"
 SLIDING = ("1 hour", "15 minutes")
 WATERMARK = "10 minutes"
+KEPT_DAYS = 15  # of the out-of-order run
 
 _RUNS: dict[tuple[str, str, str], str] = {}
 
@@ -59,38 +62,116 @@ def q_aqi_sliding_batch(spark, root):
 
 
 # ------------------------------------------------------------------ stream runs
-def aqi_stream_run(spark: SparkSession, root: str) -> str:
-    """Run both AQI streaming queries to completion over the messages of ``root``
-    (once per application and input) and return the run folder."""
-    key = (spark.sparkContext.applicationId, root.rstrip("/"), "aqi")
+def _run_once(spark: SparkSession, root: str, label: str, start) -> str:
+    """Run a paced stream to its end, once per application and input; returns its folder.
+
+    ``start(run)`` writes the messages slice by slice and starts the queries over them with
+    trigger availableNow; it returns (queries, rows of each slice). Every slice must have become
+    one micro-batch, which the stored progress shows."""
+    key = (spark.sparkContext.applicationId, root.rstrip("/"), label)
     if key in _RUNS:
         return _RUNS[key]
-    run = new_run_dir(spark, "aqi-stream")
-    write_messages(A.to_json_value(messages(spark, root)), f"{run}/input")
-    cfg = AqiStreamConfig(tumbling=TUMBLING, sliding=SLIDING, watermark=WATERMARK,
-                          trigger={"availableNow": True})
-    queries = start_aqi_queries(
-        spark, lambda: json_file_source(spark, f"{run}/input"), f"{run}/out", f"{run}/checkpoints", cfg
-    )
-    await_all(queries)
+    apply_defaults(spark)
+    run = new_run_dir(spark, label)
+    table = ProgressTable(spark, f"{run}/progress")
+    queries, slices = start(run)
+    try:
+        await_all(queries)
+        table.close(queries)
+    except BaseException:
+        spark.streams.removeListener(table)
+        raise
+    got = read_progress(spark, f"{run}/progress") if slices else None
+    for q in queries if slices else ():
+        rows = [r.rows_in for r in got.filter(F.col("query") == q.name).orderBy("batch_id").select("rows_in").collect()]
+        if rows != slices:  # one row a slice
+            raise RuntimeError(f"{q.name} took {rows} messages a batch, the slices have {slices}")
     _RUNS[key] = run
     return run
 
 
-def _alive(stored: DataFrame) -> DataFrame:
-    """Results that had not expired at the store's own last write: the same rows whenever
-    the query runs."""
-    last = stored.agg(F.max("updated_at")).first()[0]
-    return keyed.expire(stored, now=F.lit(last)) if last is not None else stored
+def aqi_stream_run(spark: SparkSession, root: str) -> str:
+    """The tumbling, sliding and reject queries over the paced messages: a micro-batch per span
+    of event time, and one of damaged messages."""
+
+    def start(run):
+        files, rows = write_slices(fixtures.aqi_paced(spark, root), f"{run}/input")
+        source = lambda: json_file_source(spark, f"{run}/input", files)
+        # the contract store's clock is event time, so that its rows are the same whenever it runs
+        cfg = AqiStreamConfig(tumbling=TUMBLING, sliding=SLIDING, watermark=WATERMARK,
+                              trigger={"availableNow": True}, clock=F.col("window_end"))
+        queries = start_aqi_queries(spark, source, f"{run}/out", f"{run}/checkpoints", cfg)
+        queries.append(start_reject_query(spark, source, f"{run}/out", f"{run}/checkpoints", {"availableNow": True}))
+        return queries, rows
+
+    return _run_once(spark, root, "aqi-stream", start)
+
+
+def aqi_late_run(spark: SparkSession, root: str) -> str:
+    """The tumbling query over messages that arrive out of order, twice: one store keeps every
+    result, the other only those of the newest days."""
+
+    def start(run):
+        files, rows = write_slices(fixtures.aqi_late(spark, root), f"{run}/input")
+        source = lambda: json_file_source(spark, f"{run}/input", files)
+        queries = []
+        for store, days in (("all", None), ("kept", KEPT_DAYS)):
+            cfg = AqiStreamConfig(tumbling=TUMBLING, sliding=None, watermark=WATERMARK, trigger={"availableNow": True},
+                                  keep_days=days, clock=F.col("window_end"))
+            queries += start_aqi_queries(spark, source, f"{run}/{store}", f"{run}/checkpoints/{store}", cfg)
+        return queries, rows
+
+    return _run_once(spark, root, "aqi-late", start)
+
+
+def _log(spark, root) -> str:
+    return f"{aqi_stream_run(spark, root)}/out/window_log"
 
 
 def window_results(spark, root) -> DataFrame:
-    """Current tumbling results (latest per key, not expired)."""
-    return _alive(keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/window_log"))
+    """Current tumbling results (latest per key)."""
+    return keyed.current(spark, _log(spark, root))
 
 
 def sliding_results(spark, root) -> DataFrame:
-    return _alive(keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/sliding_log"))
+    return keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/sliding_log")
+
+
+def q_aqi_unexpired_windows(spark, root):
+    """Windows updated within the store's time to live before its last update."""
+    log = _log(spark, root)
+    alive = keyed.expire(keyed.current(spark, log), now=keyed.last_update(keyed.read_log(spark, log)))
+    return edge(alive.select("state", "window_start", "avg_aqi", "record_count", "band"))
+
+
+def q_aqi_stream_rejects(spark, root):
+    return spark.read.parquet(f"{aqi_stream_run(spark, root)}/out/rejects").select("message", "reason")
+
+
+def q_aqi_late_rows(spark, root):
+    """Per micro-batch of the out-of-order run: messages in, messages that reached a window (the
+    growth of the emitted windows over what they had before), messages the watermark
+    dropped, and the (window, state) groups Spark reports as dropped."""
+    run = aqi_late_run(spark, root)
+    log = keyed.read_log(spark, f"{run}/all/window_log").select("key", "record_count", "batch_id")
+    before = F.lag("record_count", 1, 0).over(Window.partitionBy("key").orderBy("batch_id"))
+    added = (log.select("batch_id", (F.col("record_count") - before).alias("more"))
+             .groupBy("batch_id").agg(F.sum("more").alias("rows_added")))
+    seen = read_progress(spark, f"{run}/progress").groupBy("batch_id").agg(  # both queries report the same
+        F.max("rows_in").alias("rows_in"), F.max("groups_dropped").alias("groups_dropped"))
+    return (seen.join(added, "batch_id", "left").withColumn("rows_added", F.coalesce("rows_added", F.lit(0)))
+            .select("batch_id", "rows_in", "rows_added", (F.col("rows_in") - F.col("rows_added")).alias("rows_dropped"), "groups_dropped"))
+
+
+def q_aqi_late_windows(spark, root):
+    """Results of the days that the out-of-order run still keeps."""
+    rows = keyed.current(spark, f"{aqi_late_run(spark, root)}/kept/window_log")
+    return edge(rows.select("state", "window_start", "avg_aqi", "max_aqi", "min_aqi", "record_count", "band"))
+
+
+def q_aqi_late_band_counts(spark, root):
+    """Emission counters of that run, those of its dropped days included."""
+    return keyed.emitted_band_counts(spark, f"{aqi_late_run(spark, root)}/kept/window_log")
 
 
 def q_aqi_tumbling_stream(spark, root):
@@ -126,15 +207,19 @@ def q_band_counts_exact(spark, root):
 
 
 def q_band_counts_emitted(spark, root):
-    return keyed.emitted_band_counts(spark, f"{aqi_stream_run(spark, root)}/out/window_log")
+    return _emitted(spark, root)
+
+
+def _emitted(spark, root):
+    return keyed.emitted_band_counts(spark, _log(spark, root))
 
 
 def q_band_distribution(spark, root):
-    return serve.band_distribution(_band_counts_exact(spark, root))
+    return serve.band_distribution(_emitted(spark, root))
 
 
 def q_dominant_band(spark, root):
-    return serve.dominant_band(_band_counts_exact(spark, root))
+    return serve.dominant_band(_emitted(spark, root))
 
 
 def q_live_kpis(spark, root):
@@ -146,12 +231,15 @@ def q_latest_per_state(spark, root):
 
 
 def q_latest_500_windows(spark, root):
-    keys = keyed.current(spark, f"{aqi_stream_run(spark, root)}/out/window_log")
-    return keyed.retain_latest(keys, keyed.LATEST_KEYS_KEPT)
+    return keyed.retain_latest(window_results(spark, root), keyed.LATEST_KEYS_KEPT)
+
+
+def q_latest_500_sliding(spark, root):
+    return keyed.retain_latest(sliding_results(spark, root), keyed.LATEST_KEYS_KEPT)
 
 
 def q_recent_feed(spark, root):
-    return keyed.read_feed(keyed.recent_feed(spark, f"{aqi_stream_run(spark, root)}/out/window_log"), 10)
+    return keyed.read_feed(keyed.recent_feed(spark, _log(spark, root)), 10)
 
 
 def q_timeline_50(spark, root):
@@ -176,37 +264,41 @@ def q_common_states(spark, root):
 
 # ------------------------------------------------------------ trip stream (A1)
 def trip_stream_run(spark: SparkSession, root: str) -> str:
-    from skiff.operators import trips as T
+    """The trip consumer over the paced messages: a micro-batch per span of pickup time, one of
+    corrections and one of damaged messages."""
 
-    key = (spark.sparkContext.applicationId, root.rstrip("/"), "trips")
-    if key in _RUNS:
-        return _RUNS[key]
-    apply_defaults(spark)
-    run = new_run_dir(spark, "trip-stream")
-    produced = T.to_trip_messages(T.normalise_trips(fixtures.trips(spark, root)))
-    write_messages(produced, f"{run}/input")
-    q = start_trip_query(
-        spark, lambda: json_file_source(spark, f"{run}/input"), f"{run}/out", f"{run}/checkpoints",
-        trigger={"availableNow": True},
-    )
-    await_all([q])
-    _RUNS[key] = run
-    return run
+    def start(run):
+        files, rows = write_slices(fixtures.trip_paced(spark, root), f"{run}/input")
+        source = lambda: json_file_source(spark, f"{run}/input", files)
+        return [start_trip_query(spark, source, f"{run}/out", f"{run}/checkpoints", {"availableNow": True})], rows
+
+    return _run_once(spark, root, "trip-stream", start)
 
 
 def q_trip_stream_enriched(spark, root):
     return edge(read_enriched(spark, f"{trip_stream_run(spark, root)}/out"))
 
 
-def q_trip_pipeline_counts(spark, root):
-    from skiff.operators import trips as T
+def q_trip_stream_rejects(spark, root):
+    return read_rejects(spark, f"{trip_stream_run(spark, root)}/out").select("message", "reason")
 
-    out = f"{trip_stream_run(spark, root)}/out"
-    return T.consumer_counts(
-        keyed.read_appended(spark, f"{out}/enriched"),
-        keyed.read_appended(spark, f"{out}/rejects"),
-        stored_series(spark, f"{out}/points"),
-    )
+
+def q_trip_stream_sample(spark, root):
+    return edge(read_sample(spark, f"{trip_stream_run(spark, root)}/out").select(
+        "ordinal", "trip_id", "pickup_datetime", "fare_amount", "fare_category", "fare_per_mile", "speed_mph", "trip_duration_mins"))
+
+
+def q_trip_points_stored(spark, root):
+    return edge(stored_points(spark, f"{trip_stream_run(spark, root)}/out/points"))
+
+
+def q_trip_pipeline_counts(spark, root):
+    """Consumer counters: the stream's own metrics, the sink's, and the stored series."""
+    run = trip_stream_run(spark, root)
+    flow = observed(read_progress(spark, f"{run}/progress"), FLOW_METRICS, "consumed", "enriched", "enrich_errors")
+    sink = flow_totals(spark, f"{run}/out").select("sink_ok", "sink_error")
+    measured = flow.select("*", sink.select("sink_ok").scalar().alias("sink_ok"), sink.select("sink_error").scalar().alias("sink_error"))
+    return T.consumer_counts(measured, stored_series(spark, f"{run}/out/points"))
 
 
 QUERIES = {
@@ -225,11 +317,20 @@ QUERIES = {
     "live_kpis": q_live_kpis,
     "latest_per_state": q_latest_per_state,
     "latest_500_windows": q_latest_500_windows,
+    "latest_500_sliding": q_latest_500_sliding,
+    "aqi_unexpired_windows": q_aqi_unexpired_windows,
+    "aqi_stream_rejects": q_aqi_stream_rejects,
+    "aqi_late_rows": q_aqi_late_rows,
+    "aqi_late_windows": q_aqi_late_windows,
+    "aqi_late_band_counts": q_aqi_late_band_counts,
     "recent_feed": q_recent_feed,
     "timeline_50": q_timeline_50,
     "newest_windows": q_newest_windows,
     "compare_windows": q_compare_windows,
     "common_states": q_common_states,
     "trip_stream_enriched": q_trip_stream_enriched,
+    "trip_stream_rejects": q_trip_stream_rejects,
+    "trip_stream_sample": q_trip_stream_sample,
+    "trip_points_stored": q_trip_points_stored,
     "trip_pipeline_counts": q_trip_pipeline_counts,
 }

@@ -50,7 +50,8 @@ enr AS (
          CASE WHEN fare_amount < 10 THEN 'Low' WHEN fare_amount < 25 THEN 'Medium'
               WHEN fare_amount < 50 THEN 'High' ELSE 'Premium' END AS fare_category
   FROM dur
-)"""
+),
+again AS (SELECT * REPLACE (tip_amount + 1 AS tip_amount, total_amount + 1 AS total_amount) FROM enr WHERE trip_id % 60 = 0)"""
 
 _NORM_OUT = """trip_id, pickup_datetime, dropoff_datetime, passenger_count,
        CAST(trip_distance AS DOUBLE) AS trip_distance,
@@ -118,16 +119,27 @@ WHERE ordinal <= 5 OR ordinal % 50 = 0"""
 FROM trips"""
     ),
     "fare_category_counts": _w("SELECT fare_category, COUNT(*) AS trips FROM enr GROUP BY fare_category"),
-    # what the consumer stream stores: every sent trip is consumed; enriched trips
-    # write one point each; the store keeps one point per (series, time)
+    # what the consumer stream stores: every sent trip, the corrections (their points replace
+    # the first ones) and the damaged messages, which are rejected
+    "trip_stream_enriched": _w(f"SELECT {_NORM_OUT}, {_ENR_OUT} FROM (SELECT * FROM enr UNION ALL BY NAME SELECT * FROM again)"),
+    "trip_points_stored": _w(
+        f"""SELECT 'taxi_trips' AS measurement, payment_type, vendor_id, fare_category, pickup_datetime AS time, trip_id,
+       passenger_count, {', '.join(f'{expr} AS {name}' for name, expr in _FIELDS[2:])}
+FROM (SELECT *, 0 AS turn FROM enr UNION ALL BY NAME SELECT *, 1 AS turn FROM again)
+QUALIFY ROW_NUMBER() OVER (PARTITION BY payment_type, vendor_id, fare_category, pickup_datetime ORDER BY turn DESC, trip_id DESC) = 1"""
+    ),
+    "trip_stream_sample": _w(
+        f"""SELECT ordinal, trip_id, pickup_datetime, CAST(fare_amount AS DOUBLE) AS fare_amount, fare_category,
+       {hundredths('fpm_h')} AS fare_per_mile, {hundredths('speed_h')} AS speed_mph,
+       {hundredths('dur_h')} AS trip_duration_mins
+FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY turn, pickup_datetime, trip_id) AS ordinal
+      FROM (SELECT *, 0 AS turn FROM enr UNION ALL BY NAME SELECT *, 1 AS turn FROM again))
+WHERE ordinal <= 5 OR ordinal % 50 = 0"""
+    ),
     "trip_pipeline_counts": _w(
-        """SELECT COUNT(*) AS consumed,
-       CAST(COUNT_IF(pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL) AS BIGINT) AS enriched,
-       CAST(COUNT_IF(pickup_datetime IS NULL OR dropoff_datetime IS NULL) AS BIGINT) AS enrich_errors,
-       CAST(COUNT_IF(pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL) AS BIGINT) AS sink_ok,
-       (SELECT COUNT(*) FROM (SELECT DISTINCT payment_type, vendor_id, fare_category, pickup_datetime
-                              FROM enr WHERE pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL) d)
-         AS series_times
-FROM norm"""
+        """SELECT enriched + damaged AS consumed, enriched, damaged AS enrich_errors, enriched AS sink_ok, CAST(0 AS BIGINT) AS sink_error,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT payment_type, vendor_id, fare_category, pickup_datetime FROM enr) d) AS series_times
+FROM (SELECT (SELECT COUNT(*) FROM enr) + (SELECT COUNT(*) FROM again) AS enriched,
+             (SELECT COUNT(*) FROM events WHERE event_id % 40 = 0) AS damaged)"""
     ),
 }

@@ -1,33 +1,28 @@
-"""Keyed result store for stream outputs, without a table format.
+"""Keyed result store for stream outputs: plain Parquet in folders by result day.
 
-Layout: ``<root>/batch_id=<n>/part-*.parquet`` — every micro-batch writes the rows
-it emitted (update mode: the windows that changed) into its own directory with
-``mode("overwrite")``. A replayed batch rewrites the same directory, so the sink
-is idempotent and a source that delivers at least once yields effectively-once
-results. Readers merge: the row with the highest ``batch_id`` wins per key,
+Layout: ``<root>/day=<date>/batch_id=<n>``. A micro-batch writes the rows it emitted
+(update mode: the windows that changed) with dynamic partition overwrite, so a
+replayed batch rewrites its own folders and a source that delivers at least once
+yields effectively-once results. A batch writes only what it emitted, however much
+is stored. Readers merge: the row with the highest ``batch_id`` wins per key,
 computed with a partial aggregate (``max_by``), so no key — however hot — is
 sorted in one task. Nothing is collected to the driver.
 
-Compaction (``compact``) folds all versions up to a batch into
-``<root>_snapshots/upto=<n>``; ``current_versions`` then reads that snapshot plus
-only the newer batch folders (partition pruning), so reading the current table
-costs O(keys + recent batches) however long the stream has run. When the log
-carries band counters / feed columns, the same compaction also stores the
-cumulative emitted band counters (``<root>_emitted/upto=<n>``, one row per band)
-and the newest feed entries (``<root>_feed/upto=<n>``), so the history readers
-(``emitted_band_counts``, ``recent_feed``) are bounded the same way. With
-``prune=True`` the batch folders up to the second-newest snapshot (and older
-snapshots) are then deleted: storage stays O(keys + 2 compaction intervals).
+A window is emitted in the few batches between its first row and the watermark, so
+the log holds a small multiple of the current table. Old results leave by whole
+day folders (``drop_days``); what they added to the emission counters is first
+rolled up into ``<root>_closed/day=<date>/upto=<n>``, one row per band.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
 from skiff.operators.windows import latest_per_key
 
@@ -41,200 +36,47 @@ LATEST_KEYS_KEPT = 500
 FEED_KEPT = 100
 
 
+def write_partitions(df: DataFrame, root: str, batch_id: int, by: Sequence[str] = ("day",)) -> None:
+    """Write a batch's rows to ``<root>/<by...>/batch_id=<n>``; a replay of the batch
+    rewrites the same folders and touches no other. Rows are rebalanced by folder, so
+    a folder gets few files and a large one is still split over tasks."""
+    out = df.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", *[F.col(c) for c in by])
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, "batch_id").parquet(root)
+
+
 def log_writer(
     root: str,
     key: Column,
     columns: Sequence[str],
-    on_written: Callable[[int], None] | None = None,
-    compact_every: int | None = None,
-    prune: bool = False,
+    day: Column | None = None,
+    clock: Column | None = None,
+    on_written: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function appending one batch directory per micro-batch;
-    with ``compact_every=k`` it also folds the log into a snapshot every k batches
-    (and with ``prune=True`` drops the history the snapshots have absorbed)."""
+    """A ``foreachBatch`` function storing each micro-batch under the day of its results
+    (``day``, default: the window's start). ``clock`` gives ``updated_at`` (default: the
+    time of writing). An empty micro-batch stores nothing."""
+    day = day if day is not None else F.to_date("window_start")
+    clock = clock if clock is not None else F.current_timestamp()
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist()
-        try:
-            if not batch_df.isEmpty():  # an empty micro-batch stores nothing, but may be due for compaction
-                out = batch_df.select(
-                    key.alias("key"), *[F.col(c) for c in columns], F.current_timestamp().alias("updated_at")
-                )
-                out.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
-            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-                compact(batch_df.sparkSession, root, batch_id, prune=prune)
-            if on_written:
-                on_written(batch_id)
-        finally:
-            batch_df.unpersist()
+        out = batch_df.select(key.alias("key"), *[F.col(c) for c in columns], clock.alias("updated_at"), day.alias("day"))
+        write_partitions(out, root, batch_id)
+        if on_written:
+            on_written(batch_df, batch_id)
 
     return write
 
 
-def read_log(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
-    """Every stored emission, with its ``batch_id`` (from the directory name)."""
+def read_log(spark: SparkSession, root: str, schema: StructType | str | None = None, since: dt.date | None = None) -> DataFrame:
+    """Every stored emission with its ``day`` and ``batch_id`` (folder names); only the
+    folders from day ``since`` on are read. ``schema`` stands in for an empty store."""
     try:
-        return spark.read.parquet(root)
+        log = spark.read.parquet(root)
     except AnalysisException:
         if schema is None:
             raise
         return spark.createDataFrame([], schema)
-
-
-def snapshot_root(root: str) -> str:
-    return f"{root.rstrip('/')}_snapshots"
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def snapshot_ids(spark: SparkSession, root: str) -> list[int]:
-    """Completed snapshots (folder listing on the driver: metadata only)."""
-    p, fs = _hadoop_path(spark, snapshot_root(root))
-    if not fs.exists(p):
-        return []
-    ids = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("upto=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            ids.append(int(name.split("=", 1)[1]))
-    return sorted(ids)
-
-
-def _newest_snapshot(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    ids = [i for i in snapshot_ids(spark, root) if below is None or i < below]
-    return ids[-1] if ids else None
-
-
-def _since(log: DataFrame, after: int | None, upto: int | None = None) -> DataFrame:
-    """Batch folders in (after, upto]; partition pruning reads only those."""
-    c = F.col("batch_id")
-    cond = F.lit(True)
-    if after is not None:
-        cond = cond & (c > after)
-    if upto is not None:
-        cond = cond & (c <= upto)
-    return log.filter(cond)
-
-
-def current_versions(spark: SparkSession, root: str, schema: StructType | None = None,
-                     upto: int | None = None) -> DataFrame:
-    """Rows that can still be current: newest snapshot + batch folders after it
-    (as of batch ``upto`` when given: only snapshots older than it are used)."""
-    log = read_log(spark, root, schema)
-    snap = _newest_snapshot(spark, root, upto)
-    newer = _since(log, snap, upto)
-    if snap is None:
-        return newer
-    return newer.unionByName(spark.read.parquet(f"{snapshot_root(root)}/upto={snap}"))
-
-
-COUNTER_COLUMNS = ("band", "record_count")
-FEED_COLUMNS = ("state", "avg_aqi", "band", "window_start", "record_count", "window_ts")
-
-
-def emitted_root(root: str) -> str:
-    return f"{root.rstrip('/')}_emitted"
-
-
-def feed_root(root: str) -> str:
-    return f"{root.rstrip('/')}_feed"
-
-
-def emitted_band_counts(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
-    """Records per band summed over EVERY emission (counter increments): the
-    counters folded into the newest snapshot plus the batches after it."""
-    snap = _newest_snapshot(spark, root, upto)
-    parts = band_counts(_since(read_log(spark, root), snap, upto))
-    if snap is not None:
-        parts = parts.unionByName(spark.read.parquet(f"{emitted_root(root)}/upto={snap}"))
-    return parts.groupBy("band").agg(F.sum("count").alias("count"))
-
-
-def recent_feed(spark: SparkSession, root: str, n: int = FEED_KEPT, upto: int | None = None) -> DataFrame:
-    """The newest n feed entries: the entries kept with the newest snapshot plus
-    the batches after it (every newer entry outranks a kept one). A snapshot keeps
-    FEED_KEPT entries, so more cannot be asked for."""
-    if n > FEED_KEPT:
-        raise ValueError(f"at most {FEED_KEPT} feed entries are kept, {n} were asked for")
-    snap = _newest_snapshot(spark, root, upto)
-    entries = feed(_since(read_log(spark, root), snap, upto), n)
-    if snap is not None:
-        entries = entries.unionByName(spark.read.parquet(f"{feed_root(root)}/upto={snap}"))
-    return entries.orderBy(F.desc("batch_id"), F.desc("window_ts"), F.desc("state")).limit(n)
-
-
-def compact(spark: SparkSession, root: str, upto: int, key: str = "key", prune: bool = False) -> None:
-    """Write the latest version of every key as of batch ``upto`` to a snapshot
-    (plus the emitted counters and newest feed entries when the log has them).
-
-    Idempotent: it overwrites only its own folders and reads only older snapshots.
-    Readers switch to it once the key snapshot's ``_SUCCESS`` marker exists; that
-    folder is written last, so a failed compaction is never read."""
-    cols = read_log(spark, root).columns
-    if all(c in cols for c in COUNTER_COLUMNS):
-        emitted_band_counts(spark, root, upto).write.mode("overwrite").parquet(
-            f"{emitted_root(root)}/upto={upto}"
-        )
-    if all(c in cols for c in FEED_COLUMNS):
-        recent_feed(spark, root, FEED_KEPT, upto).write.mode("overwrite").parquet(
-            f"{feed_root(root)}/upto={upto}"
-        )
-    latest(current_versions(spark, root, upto=upto), key).write.mode("overwrite").parquet(
-        f"{snapshot_root(root)}/upto={upto}"
-    )
-    if prune:
-        prune_history(spark, root)
-
-
-def prune_history(spark: SparkSession, root: str) -> None:
-    """Delete what the second-newest snapshot has absorbed: batch folders up to it
-    and older snapshots. Readers planned against the newest or the previous
-    snapshot read only folders after it, so they are unaffected.
-    (Folder listing and deletes on the driver: metadata operations only.)"""
-    snaps = snapshot_ids(spark, root)
-    if len(snaps) < 2:
-        return
-    keep_from = snaps[-2]
-    p, fs = _hadoop_path(spark, root)
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= keep_from:
-            fs.delete(st.getPath(), True)
-    for folder in (snapshot_root(root), emitted_root(root), feed_root(root)):
-        fp, ffs = _hadoop_path(spark, folder)
-        if not ffs.exists(fp):
-            continue
-        for st in ffs.listStatus(fp):
-            name = st.getPath().getName()
-            if name.startswith("upto=") and int(name.split("=", 1)[1]) < keep_from:
-                ffs.delete(st.getPath(), True)
-
-
-def read_appended(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
-    """Every row of an append-only batch log (one folder per micro-batch, rows never
-    replaced): the newest snapshot plus the batch folders after it."""
-    snap = _newest_snapshot(spark, root, upto)
-    newer = _since(spark.read.parquet(root), snap, upto)
-    if snap is None:
-        return newer
-    return newer.unionByName(spark.read.parquet(f"{snapshot_root(root)}/upto={snap}"))
-
-
-def compact_appended(spark: SparkSession, root: str, upto: int, prune: bool = False) -> None:
-    """Fold an append-only log up to batch ``upto`` into one snapshot (larger files,
-    same rows); idempotent, visible once its ``_SUCCESS`` marker exists."""
-    read_appended(spark, root, upto).write.mode("overwrite").parquet(f"{snapshot_root(root)}/upto={upto}")
-    if prune:
-        prune_history(spark, root)
-
-
-def current(spark: SparkSession, root: str, key: str = "key") -> DataFrame:
-    """The current table: latest version per key."""
-    return latest(current_versions(spark, root), key)
+    return log if since is None else log.filter(F.col("day") >= F.lit(since))
 
 
 def latest(log: DataFrame, key: str = "key") -> DataFrame:
@@ -243,6 +85,11 @@ def latest(log: DataFrame, key: str = "key") -> DataFrame:
     return latest_per_key(log, [key], ["batch_id"], values)
 
 
+def current(spark: SparkSession, root: str, key: str = "key", since: dt.date | None = None) -> DataFrame:
+    """The current table: latest version per key."""
+    return latest(read_log(spark, root, since=since), key)
+
+
 def expire(df: DataFrame, ttl_seconds: int = RESULT_TTL_SECONDS, now: Column | None = None,
            updated_col: str = "updated_at") -> DataFrame:
     """Drop rows not updated within ``ttl_seconds`` of ``now`` (default: query time)."""
@@ -250,12 +97,19 @@ def expire(df: DataFrame, ttl_seconds: int = RESULT_TTL_SECONDS, now: Column | N
     return df.filter(F.col(updated_col) > now - F.make_dt_interval(secs=F.lit(ttl_seconds)))
 
 
+def last_update(stored: DataFrame, updated_col: str = "updated_at") -> Column:
+    """The store's newest ``updated_at`` as a scalar subquery (planned with the query that
+    uses it, no job of its own)."""
+    return stored.agg(F.max(updated_col)).scalar()
+
+
 def retain_latest(df: DataFrame, n: int = LATEST_KEYS_KEPT, score: str = "window_ts", key: str = "key") -> DataFrame:
     """The n keys with the highest score (ties: greater key first), as a ranking
     store keeps them. Top-k: each task keeps its own n best before the merge."""
     return df.select(key, score).orderBy(F.desc(score), F.desc(key)).limit(n)
 
 
+# ------------------------------------------------------------------ counters
 def band_counts(rows: DataFrame) -> DataFrame:
     """Records per band. Over ``latest`` rows: each window counted once, in its final
     band ("exact"). Over the whole log: every emission adds its whole count under
@@ -263,6 +117,69 @@ def band_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("band").agg(F.sum("record_count").alias("count"))
 
 
+def closed_root(root: str) -> str:
+    return f"{root.rstrip('/')}_closed"
+
+
+_CLOSED = "band string, count bigint, day date, upto int"
+
+
+def _open(spark: SparkSession, root: str) -> DataFrame:
+    """Emissions that no roll-up holds yet: of a rolled-up day, only later batches."""
+    closed = read_log(spark, closed_root(root), _CLOSED).groupBy("day").agg(F.max("upto").alias("_upto"))
+    log = read_log(spark, root).join(closed, "day", "left")
+    return log.filter(F.col("_upto").isNull() | (F.col("batch_id") > F.col("_upto"))).drop("_upto")
+
+
+def emitted_band_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Records per band summed over EVERY emission ever stored (counter increments):
+    the roll-ups of dropped days plus the days still there."""
+    closed = read_log(spark, closed_root(root), _CLOSED).select("band", "count")
+    return band_counts(_open(spark, root)).unionByName(closed).groupBy("band").agg(F.sum("count").alias("count"))
+
+
+def _days(spark: SparkSession, root: str):
+    """(date, path) of the day folders (a listing on the driver: metadata only)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for st in fs.listStatus(p) if fs.exists(p) else ():
+        name = st.getPath().getName()
+        try:
+            out.append((dt.date.fromisoformat(name.removeprefix("day=")), st.getPath()))
+        except ValueError:
+            continue
+    return fs, sorted(out, key=lambda d: d[0])
+
+
+def drop_days(spark: SparkSession, root: str, before: dt.date, counters: bool = True) -> list[dt.date]:
+    """Delete the folders of days before ``before``; returns the days. With ``counters`` their
+    emissions are first rolled up per day and band. Doing it again, also after a failure
+    between the two steps, changes nothing."""
+    fs, days = _days(spark, root)
+    old = [(d, p) for d, p in days if d < before]
+    if not old:
+        return []
+    if counters:
+        rows = _open(spark, root).filter(F.col("day") < F.lit(before))
+        per_day = rows.groupBy("day", "band").agg(F.sum("record_count").alias("count"), F.max("batch_id").alias("_last"))
+        upto = per_day.groupBy("day").agg(F.max("_last").alias("upto"))
+        (per_day.drop("_last").join(upto, "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day", "upto").parquet(closed_root(root)))
+    for _, path in old:
+        fs.delete(path, True)
+    return [d for d, _ in old]
+
+
+def keep_newest_days(spark: SparkSession, root: str, days: int, counters: bool = True) -> list[dt.date]:
+    """Drop the days that are ``days`` or more before the newest stored one."""
+    _, stored = _days(spark, root)
+    if not stored:
+        return []
+    return drop_days(spark, root, stored[-1][0] - dt.timedelta(days=days - 1), counters)
+
+
+# ------------------------------------------------------------------ feed
 def feed(log: DataFrame, n: int = FEED_KEPT) -> DataFrame:
     """Newest n feed entries: newest batch first; inside a batch, rows are pushed in
     ascending (window_ts, state) order, so the last pushed is first."""
@@ -282,6 +199,13 @@ def feed(log: DataFrame, n: int = FEED_KEPT) -> DataFrame:
     )
 
 
+def recent_feed(spark: SparkSession, root: str, n: int = FEED_KEPT) -> DataFrame:
+    """The newest n feed entries of a store (it keeps FEED_KEPT, more cannot be asked for)."""
+    if n > FEED_KEPT:
+        raise ValueError(f"at most {FEED_KEPT} feed entries are kept, {n} were asked for")
+    return feed(read_log(spark, root), n)
+
+
 FEED_ENTRY = "state string, avg_aqi double, band string, window string, count bigint"
 
 

@@ -1,86 +1,57 @@
-"""Time-series point store on Parquet.
-
-Points are written per micro-batch (``<root>/batch_id=<n>``, overwrite → idempotent).
-Reading applies the time-series store rule: one value per (series, time, field),
-the last write wins — a ``max_by`` partial aggregate keyed by the series.
-
-``compact_points`` folds the batch folders up to a batch into one snapshot of
-stored values (``<root>_snapshots/upto=<n>``, larger files, duplicates already
-merged); readers take the newest complete snapshot plus only the newer batch
-folders. With ``prune=True`` the folders the second-newest snapshot has absorbed
-are deleted, so a long-running stream does not accumulate one folder per trigger.
+"""Time-series point store on Parquet: one row per point, typed tags and fields.
+
+Layout: ``<root>/day=<date>/tag=<payment type>/batch_id=<n>``, written per micro-batch with
+dynamic partition overwrite (a replayed batch rewrites its own folders; a batch writes
+its own points only, whatever is stored). A reader asks for days and a tag and reads
+only those folders. Reading applies the store rule: one point per series and time, the
+last write wins for the whole point. Writes are ordered by (batch, position), where the
+position inside a batch is the source's (its columns in ``ORDER_IN_BATCH``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skiff.operators.trips import TAG_COLUMNS
-from skiff.sinks.keyed import _hadoop_path, _newest_snapshot, _since, snapshot_ids, snapshot_root
-
-
-def write_points(points: DataFrame, root: str, batch_id: int) -> None:
-    points.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
-
+from skiff.operators.trips import FIELD_COLUMNS, ORDER_IN_BATCH, TAG_COLUMNS
+from skiff.operators.windows import latest_per_key
+from skiff.sinks.keyed import write_partitions
 
-def _values(log: DataFrame, tags) -> DataFrame:
-    return log.select(
-        "measurement",
-        *[F.col("tags")[t].alias(t) for t in tags],
-        "time",
-        "batch_id",
-        F.explode("fields").alias("field", "value"),
-    )
+#: The tag that points are foldered by (a handful of values).
+FOLDER_TAG = "payment_type"
+SERIES = ("measurement", *TAG_COLUMNS, "time")
 
 
-def _merged(spark: SparkSession, root: str, tags, upto: int | None = None) -> DataFrame:
-    """Stored values as of ``upto`` (default: now), with the batch that wrote them."""
-    snap = _newest_snapshot(spark, root, upto)
-    values = _values(_since(spark.read.parquet(root), snap, upto), tags)
-    if snap is not None:
-        values = values.unionByName(spark.read.parquet(f"{snapshot_root(root)}/upto={snap}"))
-    keys = ["measurement", *tags, "time", "field"]
-    return values.groupBy(*keys).agg(
-        F.max_by("value", "batch_id").alias("value"), F.max("batch_id").alias("batch_id")
-    )
-
-
-def stored_points(spark: SparkSession, root: str, tags=TAG_COLUMNS) -> DataFrame:
-    """measurement, tag columns, time, field, value — one row per stored value."""
-    return _merged(spark, root, tags).drop("batch_id")
-
-
-def stored_series(spark: SparkSession, root: str, tags=TAG_COLUMNS) -> DataFrame:
-    """measurement, tag columns, time of every point write still represented in the
-    store (duplicates possible: count distinct for the number of series-times).
-    No field explode and no last-write merge, so counting stays cheap."""
-    snap = _newest_snapshot(spark, root)
-    cols = ["measurement", *tags, "time"]
-    rows = _since(spark.read.parquet(root), snap).select(
-        "measurement", *[F.col("tags")[t].alias(t) for t in tags], "time"
-    )
-    if snap is not None:
-        rows = rows.unionByName(spark.read.parquet(f"{snapshot_root(root)}/upto={snap}").select(*cols))
-    return rows
-
-
-def compact_points(spark: SparkSession, root: str, upto: int, tags=TAG_COLUMNS, prune: bool = False) -> None:
-    """Fold everything up to batch ``upto`` into a snapshot of stored values
-    (idempotent; reads only older snapshots; visible once its ``_SUCCESS`` exists)."""
-    _merged(spark, root, tags, upto).write.mode("overwrite").parquet(f"{snapshot_root(root)}/upto={upto}")
-    if prune:
-        snaps = snapshot_ids(spark, root)
-        if len(snaps) < 2:
-            return
-        keep_from = snaps[-2]
-        p, fs = _hadoop_path(spark, root)
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= keep_from:
-                fs.delete(st.getPath(), True)
-        sp, sfs = _hadoop_path(spark, snapshot_root(root))
-        for st in sfs.listStatus(sp):
-            name = st.getPath().getName()
-            if name.startswith("upto=") and int(name.split("=", 1)[1]) < keep_from:
-                sfs.delete(st.getPath(), True)
+def write_points(points: DataFrame, root: str, batch_id: int) -> None:
+    """Store a batch's points (``operators.trips.to_points``)."""
+    out = points.withColumns({"day": F.to_date("time"), "tag": F.col(FOLDER_TAG)})
+    write_partitions(out, root, batch_id, by=("day", "tag"))
+
+
+def read_points(spark: SparkSession, root: str, since: dt.date | None = None, until: dt.date | None = None,
+                tag: str | None = None) -> DataFrame:
+    """Every point write of the days asked for (both inclusive) and, if given, of one
+    payment type; other folders are not read."""
+    log = spark.read.parquet(root)
+    if since is not None:
+        log = log.filter(F.col("day") >= F.lit(since))
+    if until is not None:
+        log = log.filter(F.col("day") <= F.lit(until))
+    if tag is not None:
+        log = log.filter((F.col("tag") == F.lit(tag)) & (F.col(FOLDER_TAG) == F.lit(tag)))
+    return log
+
+
+def stored_points(spark: SparkSession, root: str, since: dt.date | None = None, until: dt.date | None = None,
+                  tag: str | None = None) -> DataFrame:
+    """measurement, tags, time and fields: one row per series and time, as last written."""
+    log = read_points(spark, root, since, until, tag)
+    return latest_per_key(log, SERIES, ["batch_id", *ORDER_IN_BATCH], FIELD_COLUMNS)
+
+
+def stored_series(spark: SparkSession, root: str) -> DataFrame:
+    """measurement, tags and time of every point write (duplicates possible): only these
+    columns are read, and nothing is merged."""
+    return spark.read.parquet(root).select(*SERIES)

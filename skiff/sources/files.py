@@ -4,6 +4,10 @@ stands in for a message topic (same contract: one text column ``value``)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Messages of a file below which a slice is written as a single one.
+ROWS_PER_FILE = 1_000
 
 
 def read_raw_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -17,11 +21,37 @@ def read_raw_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Dat
     )
 
 
+def raw_csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same as a stream over a folder of CSV files with one header (read once for the
+    column names), ``maxFilesPerTrigger`` files a micro-batch."""
+    names = read_raw_csv(spark, path).columns
+    reader = spark.readStream.format("csv").option("header", "true").schema(", ".join(f"`{n}` string" for n in names))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)
+
+
 def write_messages(values: DataFrame, path: str) -> None:
     """Write a ``value`` column as JSON-lines text files (one file per partition)."""
     values.select("value").write.mode("overwrite").text(path)
 
 
+def write_slices(values: DataFrame, path: str, order: str = "slice") -> tuple[int, list[int]]:
+    """Write messages (``value``) in arrival order: the slices one after another, each as the
+    same number of files, so that a stream that takes that many files per trigger gets one
+    slice per micro-batch. Returns that number and the rows of each slice."""
+    rows = {r[order]: r["n"] for r in values.groupBy(order).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not rows:
+        write_messages(values, path)
+        return 1, []
+    spread = values.sparkSession.sparkContext.defaultParallelism
+    files = max(1, min(spread, min(rows.values()) // ROWS_PER_FILE))
+    for k in sorted(rows):
+        one = values.filter(F.col(order) == k).select("value").repartition(files)
+        one.write.mode("append").text(path)
+    return files, [rows[k] for k in sorted(rows)]
+
+
 def json_file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame over a directory of JSON-lines files (column ``value``).
 

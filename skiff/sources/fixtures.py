@@ -17,7 +17,7 @@ Only the columns each query needs survive pruning down to the parquet scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from skiff.session import new_run_dir
@@ -44,6 +44,31 @@ PAYMENT_BY_EVENT = {
 }
 VENDORS = ("CMT", "VTS", "DDS")
 
+# ---------------------------------------------------------------------------
+# Fixed values of the paced streams: spans of event time, and the damaged messages
+# (# stands for the event's id, @ for its time, $ for its type; kinds in turn).
+# ---------------------------------------------------------------------------
+AQI_SLICES, LATE_SLICES, TRIP_SLICES = 3, 5, 3
+DAMAGED_AQI = (
+    "not json #",
+    '{"state":"$","timestamp":@}',
+    '{"state":"$","aqi":"high","timestamp":@}',
+    '{"state":"$","aqi":12.5,"timestamp":1e30}',
+    '{"state":"$","aqi":12.5,"timestamp":NaN}',
+    '{"state":"$","aqi":12.5,"timestamp":1e12}',
+    '{"state":"$","aqi":12.5}',
+)
+DAMAGED_TRIPS = (
+    "not json #",
+    '{"trip_id":#,"pickup_datetime":"@","dropoff_datetime":"@","trip_distance":1e30,"fare_amount":12.5}',
+    '{"trip_id":#,"pickup_datetime":"@","dropoff_datetime":"@","trip_distance":2.5,"fare_amount":12.5,"tip_amount":1e12}',
+    '{"trip_id":#,"pickup_datetime":"@","dropoff_datetime":"@","trip_distance":2.5,"fare_amount":NaN}',
+    '{"trip_id":#,"pickup_datetime":"@","dropoff_datetime":"@","trip_distance":2.5}',
+    '{"trip_id":#,"pickup_datetime":"soon","dropoff_datetime":"@","trip_distance":2.5,"fare_amount":12.5}',
+    '{"trip_id":#,"pickup_datetime":"@","dropoff_datetime":"@","trip_distance":0,"fare_amount":12.5}',
+    '{"trip_id":#,"pickup_datetime":"@',
+)
+
 
 def order_lines(spark: SparkSession, root: str) -> DataFrame:
     """Typed order lines: one row per lineitem, money as DECIMAL(18,2)."""
@@ -192,9 +217,10 @@ def aqi_csv_rows(spark: SparkSession, root: str) -> DataFrame:
     """Air-quality rows shaped like the reference CSV (all text; lat/lng/population
     empty; no Category column, so the message derives it from the band), plus the
     event's epoch seconds as ``_epoch``."""
-    e = read_table(spark, root, "events", "ts", "user_id", "event_type", "value")
+    e = read_table(spark, root, "events", "event_id", "ts", "user_id", "event_type", "value")
     return e.select(
-        F.col("value").cast("string").alias("AQI"),
+        # finer than the cents of the event's value, so that rounding shows where it happens
+        F.expr("cast(cast(value as decimal(10,2)) + (event_id % 1000) * 0.000001 as decimal(12,6))").cast("string").alias("AQI"),
         F.col("event_type").alias("state_name"),
         F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("city_ascii"),
         F.date_format("ts", "yyyy-MM-dd").alias("Date"),
@@ -203,6 +229,7 @@ def aqi_csv_rows(spark: SparkSession, root: str) -> DataFrame:
         F.lit("").alias("lng"),
         F.lit("").alias("population"),
         (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000.0)).alias("_epoch"),
+        F.col("event_id").alias("_id"),
     )
 
 
@@ -214,4 +241,75 @@ def aqi_messages(spark: SparkSession, root: str) -> DataFrame:
     return build_aqi_messages(aqi_csv_rows(spark, root), timestamp=F.col("_epoch"))
 
 
+# ------------------------------------------------------------------ paced message streams
+def _time_slice(seconds: Column, bounds: Row, slices: int) -> Column:
+    """Which of ``slices`` equal spans of the events' time a whole second lies in."""
+    first, last = bounds["first"] or 0, bounds["last"] or 0
+    return F.call_function("div", (seconds - F.lit(first)) * F.lit(slices), F.lit(last - first + 1))
+
+
+def _bounds(spark: SparkSession, root: str) -> Row:
+    """First and last whole second of the events (one row)."""
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    return read_table(spark, root, "events", "ts").agg(F.min(second).alias("first"), F.max(second).alias("last")).first()
+
+
+def _aqi_values(spark: SparkSession, root: str, slice_of) -> DataFrame:
+    """(value, slice) of all air-quality messages; ``slice_of`` maps (second, event id) to a slice."""
+    from skiff.operators.aqi import AQI_MESSAGE, build_aqi_messages
+
+    rows = aqi_csv_rows(spark, root)
+    built = build_aqi_messages(rows, timestamp=F.col("_epoch"), keep=("_id",))
+    value = F.to_json(F.struct(*[F.col(f.name) for f in AQI_MESSAGE.fields]))
+    second = F.floor(F.col("timestamp")).cast("long")
+    return built.select(value.alias("value"), slice_of(second, F.col("_id")).cast("int").alias("slice"))
+
+
+def aqi_paced(spark: SparkSession, root: str) -> DataFrame:
+    """(value, slice): the messages in AQI_SLICES spans of time, so that windows which straddle
+    two spans are emitted twice, then a slice of damaged messages (every 50th event; see
+    the fixed values)."""
+    bounds = _bounds(spark, root)
+    good = _aqi_values(spark, root, lambda second, _: _time_slice(second, bounds, AQI_SLICES))
+    e = read_table(spark, root, "events", "event_id", "ts", "event_type").filter(F.col("event_id") % 50 == 0)
+    second = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
+    kinds = [F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lit(t), "#", F.col("event_id").cast("string")), "@", second),
+                              "[$]", F.col("event_type")) for t in DAMAGED_AQI]
+    kind = (F.floor(F.col("event_id") / 50) % len(kinds) + 1).cast("int")
+    damaged = e.select(F.element_at(F.array(*kinds), kind).alias("value"), F.lit(AQI_SLICES).alias("slice"))
+    return good.unionByName(damaged)
+
+
+def aqi_late(spark: SparkSession, root: str) -> DataFrame:
+    """(value, slice): the messages in LATE_SLICES spans of time, but every 7th event arrives one
+    slice late and every other 11th two slices late (the last slice takes what is left)."""
+    bounds = _bounds(spark, root)
+
+    def arrival(second, event):
+        late = F.when(event % 7 == 0, F.lit(1)).when(event % 11 == 0, F.lit(2)).otherwise(F.lit(0))
+        return F.least(_time_slice(second, bounds, LATE_SLICES) + late, F.lit(LATE_SLICES - 1))
+
+    return _aqi_values(spark, root, arrival)
+
+
+def trip_paced(spark: SparkSession, root: str) -> DataFrame:
+    """(value, slice): the producer's trip messages in TRIP_SLICES spans of pickup time; then
+    corrections (every 60th trip again, with one more unit of tip and total), then
+    damaged messages (every 40th event; see the fixed values)."""
+    from skiff.operators import trips as T
+
+    bounds = _bounds(spark, root)
+    sent = T.normalise_trips(trips(spark, root), F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    second = F.unix_seconds(F.col("pickup_datetime").cast("timestamp"))
+    first = T.to_trip_messages(sent, keep=(_time_slice(second, bounds, TRIP_SLICES).cast("int").alias("slice"),))
+    more = {c: F.col(c) + F.lit(1) for c in ("tip_amount", "total_amount")}
+    again = T.to_trip_messages(sent.filter(F.col("trip_id") % 60 == 0).withColumns(more), keep=(F.lit(TRIP_SLICES).alias("slice"),))
+    e = read_table(spark, root, "events", "event_id", "ts").filter(F.col("event_id") % 40 == 0)
+    time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    kinds = [F.regexp_replace(F.regexp_replace(F.lit(t), "#", F.col("event_id").cast("string")), "@", time) for t in DAMAGED_TRIPS]
+    kind = (F.floor(F.col("event_id") / 40) % len(kinds) + 1).cast("int")
+    damaged = e.select(F.element_at(F.array(*kinds), kind).alias("value"), F.lit(TRIP_SLICES + 1).alias("slice"))
+    return first.unionByName(again).unionByName(damaged)
+
+
 _BUILDERS = {"order_lines_raw": order_lines_raw, "order_lines": order_lines}

@@ -14,15 +14,15 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skiff.functions.timefmt import window_key
 from skiff.operators.aqi import (
-    DEFAULT_SLIDING, DEFAULT_TUMBLING, DEFAULT_WATERMARK, parse_aqi, sliding, tumbling,
+    DEFAULT_SLIDING, DEFAULT_TUMBLING, DEFAULT_WATERMARK, parse_aqi, rejected_messages, sliding, tumbling,
 )
-from skiff.sinks.keyed import log_writer
+from skiff.sinks.keyed import keep_newest_days, log_writer, write_partitions
 
 TUMBLING_COLUMNS = (
     "state", "window_start", "window_end", "avg_aqi", "max_aqi", "min_aqi", "record_count", "window_ts", "band",
@@ -34,16 +34,15 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 @dataclass
 class AqiStreamConfig:
     tumbling: str = DEFAULT_TUMBLING
-    sliding: tuple[str, str] = DEFAULT_SLIDING
+    sliding: tuple[str, str] | None = DEFAULT_SLIDING
     watermark: str = DEFAULT_WATERMARK
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     rocksdb: bool = False
-    # fold the keyed result logs into a snapshot every k micro-batches, so reading
-    # the current table costs O(keys + k batches) however long the stream runs
-    compact_every: int | None = 50
-    # after compacting, drop the batch folders and snapshots the second-newest
-    # snapshot has absorbed (the readers are snapshot-aware)
-    prune_history: bool = True
+    # keep the results of the newest k days; older day folders are dropped whole after a
+    # micro-batch (their emission counters are rolled up first)
+    keep_days: int | None = None
+    # time of an update as it is stored (default: when it is written)
+    clock: Column | None = None
 
 
 def start_aqi_queries(
@@ -53,47 +52,53 @@ def start_aqi_queries(
     checkpoint_root: str,
     cfg: AqiStreamConfig | None = None,
 ) -> list[StreamingQuery]:
-    """Start the tumbling and the sliding query; returns both handles."""
+    """Start the tumbling and (unless ``cfg.sliding`` is None) the sliding query; returns the handles."""
     cfg = cfg or AqiStreamConfig()
     if cfg.rocksdb:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     tag = uuid.uuid4().hex[:8]
+    events = parse_aqi(source())
 
-    t = tumbling(parse_aqi(source()), cfg.tumbling, watermark=cfg.watermark)
-    q_tumbling = (
-        t.writeStream.outputMode("update")
-        .foreachBatch(
-            log_writer(
-                f"{out_root}/window_log",
-                window_key("window", F.col("state"), F.col("window_start")),
-                TUMBLING_COLUMNS,
-                compact_every=cfg.compact_every,
-                prune=cfg.prune_history,
-            )
+    def start(name: str, windows: DataFrame, key: str, columns, log: str, counters: bool) -> StreamingQuery:
+        def retain(batch_df: DataFrame, batch_id: int) -> None:
+            keep_newest_days(batch_df.sparkSession, f"{out_root}/{log}", cfg.keep_days, counters)
+
+        writer = log_writer(
+            f"{out_root}/{log}", window_key(key, F.col("state"), F.col("window_start")), columns,
+            clock=cfg.clock, on_written=retain if cfg.keep_days else None,
         )
-        .option("checkpointLocation", f"{checkpoint_root}/tumbling")
-        .trigger(**cfg.trigger)
-        .queryName(f"aqi_tumbling_{tag}")
-        .start()
-    )
-    s = sliding(parse_aqi(source()), cfg.sliding[0], cfg.sliding[1], watermark=cfg.watermark)
-    q_sliding = (
-        s.writeStream.outputMode("update")
-        .foreachBatch(
-            log_writer(
-                f"{out_root}/sliding_log",
-                window_key("sliding", F.col("state"), F.col("window_start")),
-                SLIDING_COLUMNS,
-                compact_every=cfg.compact_every,
-                prune=cfg.prune_history,
-            )
+        return (
+            windows.writeStream.outputMode("update")
+            .foreachBatch(writer)
+            .option("checkpointLocation", f"{checkpoint_root}/{name}")
+            .trigger(**cfg.trigger)
+            .queryName(f"aqi_{name}_{tag}")
+            .start()
         )
-        .option("checkpointLocation", f"{checkpoint_root}/sliding")
-        .trigger(**cfg.trigger)
-        .queryName(f"aqi_sliding_{tag}")
+
+    queries = [start("tumbling", tumbling(events, cfg.tumbling, watermark=cfg.watermark),
+                     "window", TUMBLING_COLUMNS, "window_log", True)]
+    if cfg.sliding:
+        queries.append(start("sliding", sliding(events, *cfg.sliding, watermark=cfg.watermark),
+                             "sliding", SLIDING_COLUMNS, "sliding_log", False))
+    return queries
+
+
+def start_reject_query(spark: SparkSession, source: Callable[[], DataFrame], out_root: str, checkpoint_root: str,
+                       trigger: dict | None = None) -> StreamingQuery:
+    """Store the messages that no window can take, with their reason, under ``<out_root>/rejects``."""
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        write_partitions(batch_df, f"{out_root}/rejects", batch_id, by=())
+
+    return (
+        rejected_messages(source()).writeStream.outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{checkpoint_root}/rejects")
+        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+        .queryName(f"aqi_rejects_{uuid.uuid4().hex[:8]}")
         .start()
     )
-    return [q_tumbling, q_sliding]
 
 
 def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:

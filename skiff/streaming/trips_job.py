@@ -1,9 +1,13 @@
-"""Taxi-trip consumer as a stateless stream: decode → enrich → store.
+"""Taxi-trip consumer as a stream: decode → enrich → store, sample, count.
 
-Each micro-batch writes, into its own ``batch_id`` directory (idempotent replay):
-the enriched trips, the rejected messages with a reason, and the time-series
-points. Checkpointed offsets + idempotent writes replace the reference's
-auto-committed consumer group (which could lose or repeat records).
+Each micro-batch writes into folders of its own (idempotent replay): the enriched
+trips and the points by day, the rejected messages with reason and text, the sampled
+trips, and one row of counters. Checkpointed offsets + idempotent writes replace the
+reference's auto-committed consumer group (which could lose or repeat records).
+
+The sample takes every 50th consumed message, so a micro-batch needs the number of
+messages before it: the counters of the earlier batches, which are stored. A replayed
+batch finds the same ones.
 """
 
 from __future__ import annotations
@@ -11,36 +15,68 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skiff.operators import trips as T
-from skiff.sinks.keyed import compact_appended, read_appended
-from skiff.sinks.points import compact_points, write_points
+from skiff.sinks.keyed import write_partitions
+from skiff.sinks.points import write_points
 
 FLOW_METRICS = "trip_flow"
+FLOW = "consumed long, enriched long, enrich_errors long, sink_ok long, sink_error long, batch_id int"
+SAMPLE_COLUMNS = ("trip_id", "pickup_datetime", "dropoff_datetime", "trip_distance", "fare_amount")
+
+
+def read_flow(spark: SparkSession, out_root: str) -> DataFrame:
+    """The counters of every micro-batch."""
+    try:
+        return spark.read.parquet(f"{out_root}/flow")
+    except AnalysisException:  # nothing stored yet
+        return spark.createDataFrame([], FLOW)
+
+
+def flow_totals(spark: SparkSession, out_root: str) -> DataFrame:
+    counters = [c.split()[0] for c in FLOW.split(", ")[:-1]]
+    return read_flow(spark, out_root).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counters])
+
 
+def _write_sample(batch: DataFrame, out_root: str, batch_id: int) -> None:
+    spark = batch.sparkSession
+    before = 0
+    if batch_id:  # the first batch has none before it
+        before = read_flow(spark, out_root).filter(F.col("batch_id") < batch_id).agg(F.sum("consumed")).first()[0] or 0
+    narrow = batch.select(*SAMPLE_COLUMNS, "bad_value")  # only this goes through the ordinal's range sort
+    write_partitions(T.systematic_sample(narrow, before=before).withColumn("day", F.to_date("pickup_datetime")),
+                     f"{out_root}/sample", batch_id)
+
+
+def trip_batch_writer(out_root: str, store: Callable[[DataFrame, str, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for decoded trips. ``store(points, root, batch_id)`` writes the
+    points (default: the point store); where it fails, the batch's points are counted as sink
+    errors and kept under ``<out_root>/unwritten`` instead, and the stream goes on."""
 
-def trip_batch_writer(
-    out_root: str, compact_every: int | None = None, prune: bool = False
-) -> Callable[[DataFrame, int], None]:
     def write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
         batch_df.persist()
         try:
-            if batch_df.isEmpty():
-                return
+            n, bad = batch_df.agg(F.count(F.lit(1)), F.count_if(T.enrichment_error(batch_df))).first()  # one row
+            good = n - bad
+            write_partitions(T.enrichment_rejects(batch_df), f"{out_root}/rejects", batch_id, by=())
             enriched = T.enrich_trips(batch_df)
-            enriched.write.mode("overwrite").parquet(f"{out_root}/enriched/batch_id={batch_id}")
-            T.enrichment_rejects(batch_df).write.mode("overwrite").parquet(
-                f"{out_root}/rejects/batch_id={batch_id}"
-            )
-            write_points(T.to_points(enriched), f"{out_root}/points", batch_id)
-            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-                spark = batch_df.sparkSession
-                compact_points(spark, f"{out_root}/points", batch_id, prune=prune)
-                for log in ("enriched", "rejects"):
-                    compact_appended(spark, f"{out_root}/{log}", batch_id, prune=prune)
+            stored = enriched.drop("order_in_batch").withColumn("day", F.to_date("pickup_datetime"))
+            write_partitions(stored, f"{out_root}/enriched", batch_id)
+            points = T.to_points(enriched)
+            try:
+                (store or write_points)(points, f"{out_root}/points", batch_id)
+                failed = 0
+            except Exception:  # the sink is down: nothing is lost, and the failure is counted
+                write_points(points, f"{out_root}/unwritten", batch_id)
+                failed = good
+            _write_sample(batch_df, out_root, batch_id)
+            row = (n, good, bad, good - failed, failed, batch_id)
+            spark.createDataFrame([row], FLOW).drop("batch_id").write.mode("overwrite").parquet(f"{out_root}/flow/batch_id={batch_id}")
         finally:
             batch_df.unpersist()
 
@@ -53,23 +89,21 @@ def start_trip_query(
     out_root: str,
     checkpoint_root: str,
     trigger: dict | None = None,
-    compact_every: int | None = 50,
-    prune_history: bool = True,
+    store: Callable[[DataFrame, str, int], None] | None = None,
 ) -> StreamingQuery:
-    """Start the consumer stream. Every ``compact_every`` micro-batches the
-    point store and the enriched / rejects logs are folded into snapshots and
-    (``prune_history``) the folders they have absorbed are dropped, so a long-running
-    consumer does not accumulate one folder per trigger."""
-    # consumer counters, reported per micro-batch in progress.observedMetrics
-    parsed = T.parse_trip_messages(source()).observe(
+    """Start the consumer stream. Its flow counters are also reported per micro-batch in
+    ``progress.observedMetrics`` (see ``streaming.progress``)."""
+    parsed = T.parse_trip_messages(source())
+    bad = T.enrichment_error(parsed)
+    parsed = parsed.observe(
         FLOW_METRICS,
         F.count(F.lit(1)).alias("consumed"),
-        F.count_if(~T.enrichment_error()).alias("enriched"),
-        F.count_if(T.enrichment_error()).alias("enrich_errors"),
+        F.count_if(~bad).alias("enriched"),
+        F.count_if(bad).alias("enrich_errors"),
     )
     return (
         parsed.writeStream.outputMode("append")
-        .foreachBatch(trip_batch_writer(out_root, compact_every, prune_history))
+        .foreachBatch(trip_batch_writer(out_root, store))
         .option("checkpointLocation", f"{checkpoint_root}/trips")
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .queryName(f"trip_enrichment_{uuid.uuid4().hex[:8]}")
@@ -78,4 +112,13 @@ def start_trip_query(
 
 
 def read_enriched(spark: SparkSession, out_root: str) -> DataFrame:
-    return read_appended(spark, f"{out_root}/enriched").drop("batch_id", "event_timestamp")
+    return spark.read.parquet(f"{out_root}/enriched").drop("day", "batch_id", "event_timestamp")
+
+
+def read_sample(spark: SparkSession, out_root: str) -> DataFrame:
+    return spark.read.parquet(f"{out_root}/sample").drop("day", "batch_id")
+
+
+def read_rejects(spark: SparkSession, out_root: str) -> DataFrame:
+    """(trip_id, reason, message, batch_id) of every message that was not enriched."""
+    return spark.read.parquet(f"{out_root}/rejects")
