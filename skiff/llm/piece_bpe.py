@@ -8,7 +8,7 @@ have changed since is skipped. Characters without a piece become their UTF-8 byt
 Texts are cut where no piece can reach across: before a space that follows something else, and
 between characters that no chain of pieces connects (letters of one script, punctuation). Each
 distinct segment is merged once and remembered, and so is each distinct word. Inside Arrow batches
-the ids and the decoded text can be checked against the sentencepiece library.
+words or whole texts can be checked against the sentencepiece library.
 
 Handled: merge-type models with byte fallback, identity normaliser and only normal, byte, control
 and unknown pieces; another model is refused with ValueError. Empty or null text: the begin and end
@@ -110,6 +110,9 @@ class PieceTokenizer:
         self.cut = None if across else re.compile("|".join(self._runs()))
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        #: With a library every word is checked in the batch that brings it; ``odd`` holds those
+        #: that differ, and ``agrees`` tells for each text of the last batch whether it has none.
+        self.library, self.odd, self.agrees = None, set(), []
 
     def _runs(self) -> list[str]:
         """Patterns of segments: spaces and then characters of one kind, where two characters are
@@ -191,10 +194,21 @@ class PieceTokenizer:
             if len(memory) > REMEMBERED:
                 memory.clear()
         parts = [self._words(t) for t in texts]
-        for new in set().union(*filter(None, parts)).difference(self.words):
-            self.words[new] = self._coded(SPACE + new.replace(" ", SPACE))
+        new = list(set().union(*filter(None, parts)).difference(self.words))
+        for word in new:
+            self.words[word] = self._coded(SPACE + word.replace(" ", SPACE))
         get = self.words.__getitem__
-        return [b"".join(map(get, p)) if p else self._coded(SPACE + t.replace(" ", SPACE)) if t else b"" for p, t in zip(parts, texts)]
+        coded = [b"".join(map(get, p)) if p else self._coded(SPACE + t.replace(" ", SPACE)) if t else b"" for p, t in zip(parts, texts)]
+        if self.library is None:
+            return coded
+        new = [w for w in new if w]  # the library takes no space alone, so texts that end in one are checked whole
+        whole = [k for k, p in enumerate(parts) if not p or not p[-1]]
+        theirs = self.library.encode(new + [texts[k] for k in whole], num_threads=1)
+        self.odd.update(w for w, ids in zip(new, theirs) if struct.pack(f"<{len(ids)}I", *ids) != get(w))
+        self.agrees = [not self.odd or self.odd.isdisjoint(p or ()) for p in parts]
+        for k, ids in zip(whole, theirs[len(new) :]):
+            self.agrees[k] = struct.pack(f"<{len(ids)}I", *ids) == coded[k]
+        return coded
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes joined, the space added before the text removed."""
@@ -229,11 +243,6 @@ class PieceTokenizer:
         return "".join(out)
 
 
-@lru_cache(maxsize=2)
-def tokenizer(content: bytes) -> PieceTokenizer:
-    return PieceTokenizer(content)
-
-
 @lru_cache(maxsize=1)
 def _library(content: bytes):
     import sentencepiece
@@ -241,20 +250,35 @@ def _library(content: bytes):
     return sentencepiece.SentencePieceProcessor(model_proto=content)
 
 
+@lru_cache(maxsize=2)
+def tokenizer(content: bytes, checked: bool = False) -> PieceTokenizer:
+    """A worker's tokenizer; a ``checked`` one compares its words with the library's."""
+    tok = PieceTokenizer(content)
+    tok.library = _library(content) if checked else None
+    return tok
+
+
 def load(path: str) -> bytes:
     """A model file's content (bounded: a vocabulary of some 0.5 MB)."""
     with open(path, "rb") as f:
         return f.read()
 
 
-def encode_decode(docs: DataFrame, content: bytes, with_ids: bool = False, check: bool = False) -> DataFrame:
+CHECKS = (None, "words", "texts")
+
+
+def encode_decode(docs: DataFrame, content: bytes, with_ids: bool = False, check: str | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_tokens with begin and end, sha256 of ids and of the
-    decoded text; with ``with_ids`` the ids; with ``check`` whether the sentencepiece library
-    gives the same ids and text, batch by batch. ``content``: see load(), broadcast once."""
+    decoded text; with ``with_ids`` the ids. ``check`` adds whether the sentencepiece library
+    agrees, Arrow batch by Arrow batch: "words" gives it every word when a worker first meets it
+    (and whole texts that are no sequence of words), "texts" gives it every whole text and
+    compares the decoded text as well. ``content``: see load(), broadcast once."""
+    if check not in CHECKS:
+        raise ValueError(f"check is one of {CHECKS}")
     shared = docs.sparkSession.sparkContext.broadcast(content)
 
     def run(batches):
-        tok = tokenizer(shared.value)
+        tok = tokenizer(shared.value, check == "words")
         begin, end = (struct.pack("<I", i) for i in (tok.bos, tok.eos))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -269,11 +293,13 @@ def encode_decode(docs: DataFrame, content: bytes, with_ids: bool = False, check
             }
             if with_ids:
                 cols["ids"] = pa.array(ids, pa.list_(pa.int64()))
-            if check:
+            if check == "words":
+                cols["agrees"] = pa.array(tok.agrees, pa.bool_())
+            elif check:
                 lib = _library(shared.value)
                 theirs = lib.encode(texts, add_bos=True, add_eos=True, num_threads=1)
-                texts_back = lib.decode(theirs, num_threads=1) if theirs else []
-                cols["agrees"] = pa.array([a == b and c == d for a, b, c, d in zip(ids, theirs, decoded, texts_back)], pa.bool_())
+                back = lib.decode(theirs, num_threads=1) if theirs else []
+                cols["agrees"] = pa.array([a == b and c == d for a, b, c, d in zip(ids, theirs, decoded, back)], pa.bool_())
             yield pa.RecordBatch.from_pydict(cols)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -68,19 +68,39 @@ def test_other_models_are_refused(model):
 
 
 def test_piece_rows(spark, awkward, nothing, model, library):
-    rows = piece_bpe.encode_decode(awkward, model, with_ids=True, check=True).collect()
+    rows = piece_bpe.encode_decode(awkward, model, with_ids=True, check="texts").collect()
     texts = awkward.collect()
     assert len(rows) == len(texts) and all(r.agrees for r in rows)
     for r, t in zip(rows, texts):
         want = library.encode(t.text or "", add_bos=True, add_eos=True)
         assert (r.doc_id, r.ids, r.n_tokens) == (t.doc_id, want, len(want))
         assert r.decoded_sha256 == hashlib.sha256(library.decode(want).encode()).hexdigest()
-    assert piece_bpe.encode_decode(nothing, model, check=True).count() == 0
+    words = piece_bpe.encode_decode(awkward, model, check="words").collect()
+    assert [r.ids_sha256 for r in words] == [r.ids_sha256 for r in rows] and all(r.agrees for r in words)
+    for check in piece_bpe.CHECKS:
+        assert piece_bpe.encode_decode(nothing, model, check=check).count() == 0
 
 
-def test_op12_agrees_with_the_library_on_every_document(spark):
-    rows = op12_sentencepiece(spark, SF)
-    assert rows.where("agrees").count() == rows.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+def test_op12_agrees_with_the_library_on_every_document(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole = piece_bpe.encode_decode(docs, model, check="texts")
+    by_word = op12_sentencepiece(spark, SF)
+    assert whole.where("agrees").count() == by_word.where("agrees").count() == docs.count()
+    assert by_word.drop("agrees").exceptAll(whole.drop("agrees")).count() == 0
+
+
+def test_a_word_that_differs_is_reported(model):
+    tok = piece_bpe.PieceTokenizer(model)
+
+    class Other:
+        def encode(self, texts, num_threads):
+            return [[7] if t in ("strange", "a\u2581b") else np.frombuffer(piece_bpe.PieceTokenizer.encode_batch(tok_plain, [t])[0], "<u4").tolist() for t in texts]
+
+    tok_plain, tok.library = piece_bpe.PieceTokenizer(model), Other()
+    tok.encode_batch(["a strange text", "a text", "", "a\u2581b"])
+    assert tok.agrees == [False, True, True, False]
+    tok.encode_batch(["no", "strange"])
+    assert tok.agrees == [True, False]
 
 
 # ------------------------------------------------------------------ alignment
