@@ -225,12 +225,14 @@ def sliding(
         agg = src.groupBy(F.window(time_col, duration, slide).alias("win"), F.col(key)).agg(*_partial_aggs(measure, False))
         return _finish(agg, key, False)
     width, step = seconds_of(duration), seconds_of(slide)
+    if not 0 < step <= width:
+        raise ValueError("the slide must be positive and no longer than the window")
     pane = math.gcd(width, step)
     panes = events.groupBy(F.window(time_col, f"{pane} seconds").alias("_pane"), F.col(key)).agg(*_partial_aggs(measure, False))
     at = F.unix_timestamp(F.col("_pane.start"))
     newest = at - F.pmod(at, F.lit(step))  # start of the newest window that covers the pane
     starts = F.sequence(newest, at + F.lit(pane - width), F.lit(-step))
-    dealt = panes.withColumn("_start", F.explode(F.when(newest >= at + F.lit(pane - width), starts)))
+    dealt = panes.withColumn("_start", F.explode(starts))
     merged = [_MERGE[c](c).alias(c) for c in ("_sum", "_odd", "_n", "record_count")]
     agg = dealt.groupBy("_start", key).agg(*merged)
     start = F.timestamp_seconds("_start")

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from skiff.operators import aqi as A
@@ -82,3 +83,33 @@ def test_nan_average_is_nan_and_hazardous(spark):
     rows = [('{"state":"A","aqi":NaN,"timestamp":1}',), ('{"state":"A","aqi":5.0,"timestamp":2}',)]
     r = A.tumbling(A.parse_aqi(_msgs(spark, rows))).first()
     assert r.avg_aqi != r.avg_aqi and r.band == "Hazardous" and r.record_count == 2
+
+
+def test_averages_of_fine_large_and_odd_values(spark):
+    def mean(*values):
+        rows = [(f'{{"state":"A","aqi":{v},"timestamp":1}}',) for v in values]
+        r = A.tumbling(A.parse_aqi(_msgs(spark, rows))).first()
+        assert r.record_count == len(values)
+        return r.avg_aqi
+
+    assert mean("0.004", "0.007") == 0.01  # 0.0055: nothing is cut before the mean
+    assert mean("10.0049", "10.0051") == 10.01  # exactly 10.005: half up
+    assert mean("1e30", "2e30") == pytest.approx(1.5e30)
+    assert mean("1e308", "5.0") == 5e307
+    assert mean('"Infinity"', "5.0") == float("inf")
+    assert mean('"Infinity"', '"-Infinity"') != mean('"Infinity"', '"-Infinity"')
+
+
+def test_sliding_panes_equal_rows_dealt_to_windows(spark):
+    rows = [(f'{{"state":"{"AB"[k % 2]}","aqi":{k * 1.37 % 90},"timestamp":{k * 7.3}}}',) for k in range(300)]
+    events = A.parse_aqi(_msgs(spark, rows))
+    for duration, slide in (("60 seconds", "15 seconds"), ("50 seconds", "20 seconds"), ("10 seconds", "10 seconds")):
+        by = (F.window("event_time", duration, slide).alias("win"), "state")
+        dealt = A._finish(events.groupBy(*by).agg(*A._partial_aggs("aqi", False)), "state", False)
+        got = A.sliding(events, duration, slide)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, dealt.collect()))
+    with pytest.raises(ValueError):
+        A.sliding(events, "10 seconds", "25 seconds")
+    plan = A.sliding(events)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("partial_sum"):]
+    assert "Expand" not in below and "Generate" not in below  # rows are dealt to windows after they are added up

@@ -4,6 +4,7 @@ from decimal import Decimal
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from skiff.sinks import keyed
@@ -45,15 +46,12 @@ def test_late_rows_update_then_drop(spark, tmp_dir):
             [_msg("A", 40.0, 996)],  # late and now beyond the watermark → dropped
         ],
     )
-    # compaction every 2 micro-batches: the current table (snapshot + newer batch
-    # folders) must equal the merge of the whole log
-    qs = _run(spark, inp, f"{tmp_dir}/run", AqiStreamConfig(trigger={"availableNow": True}, compact_every=2))
+    qs = _run(spark, inp, f"{tmp_dir}/run")
     root = f"{tmp_dir}/run/out/window_log"
     log = keyed.read_log(spark, root)
     latest = {r.window_ts: r for r in keyed.latest(log).collect()}
     assert latest[990].record_count == 2 and latest[990].avg_aqi == 20.0
     assert latest[1200].record_count == 1
-    assert keyed.snapshot_ids(spark, root) == [2]
     current = {r.window_ts: (r.record_count, r.avg_aqi) for r in keyed.current(spark, root).collect()}
     assert current == {k: (r.record_count, r.avg_aqi) for k, r in latest.items()}
     dropped = sum(
@@ -85,12 +83,12 @@ def test_restart_resumes_from_checkpoint(spark, tmp_dir):
 
 def test_replayed_batch_is_idempotent_and_empty_batch_skipped(spark, tmp_dir):
     root = f"{tmp_dir}/log"
-    write = keyed.log_writer(root, F.col("k"), ["k", "v"])
+    write = keyed.log_writer(root, F.col("k"), ["k", "v"], day=F.lit("2024-01-01").cast("date"))
     batch = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     write(batch, 0)
     write(batch, 0)  # replay of the same batch id rewrites, never duplicates
     write(spark.createDataFrame([], "k string, v int"), 1)
-    assert not os.path.exists(f"{root}/batch_id=1")
+    assert not os.path.exists(f"{root}/day=2024-01-01/batch_id=1")
     log = keyed.read_log(spark, root)
     assert log.count() == 2
     write(spark.createDataFrame([("a", 5)], "k string, v int"), 2)
@@ -136,87 +134,144 @@ def test_trip_stream_counters(spark, tmp_dir):
     assert total == {"consumed": 3, "enriched": 1, "enrich_errors": 2}
     enriched = read_enriched(spark, f"{tmp_dir}/out").collect()
     assert [(r.trip_id, float(r.speed_mph)) for r in enriched] == [(1, 12.0)]
-    rejects = spark.read.parquet(f"{tmp_dir}/out/rejects").count()
-    assert rejects == 2
+    assert spark.read.parquet(f"{tmp_dir}/out/rejects").count() == 2
     from skiff.sinks.points import stored_points
     pts = stored_points(spark, f"{tmp_dir}/out/points")
-    assert pts.count() == len(T.FIELD_COLUMNS)
+    assert T.point_values(pts).count() == len(T.FIELD_COLUMNS)
 
 
-def test_replay_stream_cycles_in_order(spark, tmp_dir):
-    from skiff.sources.replay import replay_stream
+def _emitted_rows(batch):
+    """Every batch re-emits state A's first window (update mode) and adds windows of its own day."""
+    out = []
+    for state, day in (("A", 0), ("A", batch), (f"S{batch % 3}", batch)):
+        start = dt.datetime(2024, 1, 1 + day, 1)
+        aqi = 40.0 + 25 * batch
+        out.append((state, start, start + dt.timedelta(hours=1), aqi, aqi, aqi, batch + 1, int(start.timestamp()),
+                    "Good" if aqi <= 50 else "Moderate" if aqi <= 100 else "Unhealthy"))
+    return out
 
-    static = spark.createDataFrame([(i, f"r{i}") for i in range(1, 6)], "id int, name string")
-    stream = replay_stream(spark, static, ["id"], rows_per_batch=4)
-    q = (stream.writeStream.format("memory").queryName("replay_t").outputMode("append")
-         .trigger(processingTime="200 milliseconds").start())
-    deadline = time.time() + 60
-    while time.time() < deadline and spark.table("replay_t").count() < 12:
-        time.sleep(0.5)
-    q.stop()
-    rows = spark.table("replay_t").orderBy("replay_loop", "id").collect()
-    assert len(rows) >= 12
-    first = [(r.replay_loop, r.id) for r in rows[:7]]
-    assert first == [(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (2, 1), (2, 2)]
 
+EMITTED = ("state string, window_start timestamp, window_end timestamp, avg_aqi double, max_aqi double, "
+           "min_aqi double, record_count long, window_ts long, band string")
 
-def test_compaction_keeps_current_table(spark, tmp_dir):
-    root = f"{tmp_dir}/log"
-    write = keyed.log_writer(root, F.col("k"), ["k", "v"], compact_every=2)
-    batches = [[("a", 1), ("b", 1)], [("a", 2)], [("c", 3)], [("b", 4)], [("a", 5), ("d", 5)]]
-    for i, rows in enumerate(batches):
-        write(spark.createDataFrame(rows, "k string, v int"), i)
-    assert keyed.snapshot_ids(spark, root) == [2, 4]
-    full = {r.key: r.v for r in keyed.latest(keyed.read_log(spark, root)).collect()}
-    cur = {r.key: (r.v, r.batch_id) for r in keyed.current(spark, root).collect()}
-    assert {k: v for k, (v, _) in cur.items()} == full == {"a": 5, "b": 4, "c": 3, "d": 5}
-    assert cur["c"][1] == 2  # the version keeps its original batch id
-    compact_again = keyed.compact(spark, root, 4)  # idempotent rerun
-    assert compact_again is None and keyed.current(spark, root).count() == 4
 
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
 
-def test_compaction_with_pruning_keeps_counters_and_feed(spark, tmp_dir):
+
+def test_old_days_are_dropped_whole_and_counters_stay(spark, tmp_dir):
     from skiff.functions.timefmt import window_key
     from skiff.streaming.aqi_job import TUMBLING_COLUMNS
 
-    schema = ("state string, window_start timestamp, window_end timestamp, avg_aqi double, max_aqi double, "
-              "min_aqi double, record_count long, window_ts long, band string")
-
-    def rows(batch):
-        # every batch re-emits state A's first window (update mode) and adds a new one
-        out = []
-        for state, ts in (("A", 0), ("A", 60 * (batch + 1)), (f"S{batch % 3}", 30 * batch)):
-            start = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=ts)
-            aqi = 40.0 + 25 * batch
-            out.append((state, start, start + dt.timedelta(seconds=30), aqi, aqi, aqi, batch + 1, ts,
-                        "Good" if aqi <= 50 else "Moderate" if aqi <= 100 else "Unhealthy"))
-        return out
-
     key = window_key("window", F.col("state"), F.col("window_start"))
-    pruned = keyed.log_writer(f"{tmp_dir}/pruned", key, TUMBLING_COLUMNS, compact_every=2, prune=True)
-    full = keyed.log_writer(f"{tmp_dir}/full", key, TUMBLING_COLUMNS)
-    for b in range(7):
-        df = spark.createDataFrame(rows(b), schema)
-        pruned(df, b)
-        full(df, b)
-    root, full_root = f"{tmp_dir}/pruned", f"{tmp_dir}/full"
-    assert keyed.snapshot_ids(spark, root) == [4, 6]  # snapshot 2 pruned
-    kept = sorted(int(p.split("=")[1]) for p in os.listdir(root) if p.startswith("batch_id="))
-    assert kept == [5, 6]  # folders up to the second-newest snapshot are gone
-
-    def rows_of(df):
-        return sorted(tuple(r) for r in df.collect())
-
-    full_log = keyed.read_log(spark, full_root)
+    full, kept = f"{tmp_dir}/full", f"{tmp_dir}/kept"
+    keep = lambda df, n: keyed.keep_newest_days(spark, kept, 3)
+    for root, after in ((full, None), (kept, keep)):
+        write = keyed.log_writer(root, key, TUMBLING_COLUMNS, on_written=after)
+        for b in range(7):
+            write(spark.createDataFrame(_emitted_rows(b), EMITTED), b)
+    days = sorted(x for x in os.listdir(kept) if x.startswith("day="))
+    assert days == ["day=2024-01-05", "day=2024-01-06", "day=2024-01-07"]
     cols = ["key", "avg_aqi", "record_count", "band", "batch_id"]
-    assert rows_of(keyed.current(spark, root).select(cols)) == rows_of(keyed.latest(full_log).select(cols))
-    assert rows_of(keyed.emitted_band_counts(spark, root)) == rows_of(keyed.band_counts(full_log))
-    assert rows_of(keyed.recent_feed(spark, root, 5)) == rows_of(keyed.feed(full_log, 5))
+    newest = keyed.current(spark, full).filter("window_start >= '2024-01-05'")
+    assert _rows(keyed.current(spark, kept).select(cols)) == _rows(newest.select(cols))
+    since = keyed.current(spark, full, since=dt.date(2024, 1, 5))
+    assert _rows(since.select(cols)) == _rows(newest.select(cols))
+    assert _rows(keyed.emitted_band_counts(spark, kept)) == _rows(keyed.emitted_band_counts(spark, full)) == _rows(
+        keyed.band_counts(keyed.read_log(spark, full)))
+    assert _rows(keyed.recent_feed(spark, kept, 2)) == _rows(keyed.recent_feed(spark, full, 2))
 
 
-def test_await_all_stops_a_stream_that_does_not_end(spark, tmp_dir):
-    import pytest
+def test_drop_again_after_a_failure_counts_nothing_twice(spark, tmp_dir, monkeypatch):
+    from skiff.functions.timefmt import window_key
+    from skiff.streaming.aqi_job import TUMBLING_COLUMNS
+
+    root = f"{tmp_dir}/log"
+    write = keyed.log_writer(root, window_key("window", F.col("state"), F.col("window_start")), TUMBLING_COLUMNS)
+    for b in range(4):
+        write(spark.createDataFrame(_emitted_rows(b), EMITTED), b)
+    want = _rows(keyed.emitted_band_counts(spark, root))
+    real = keyed._days
+
+    class Refuses:
+        def delete(self, path, recursive):
+            raise OSError("lost")
+
+    monkeypatch.setattr(keyed, "_days", lambda s, r: (Refuses(), real(s, r)[1]))
+    with pytest.raises(OSError):  # rolled up, not deleted
+        keyed.drop_days(spark, root, dt.date(2024, 1, 3))
+    monkeypatch.undo()
+    assert _rows(keyed.emitted_band_counts(spark, root)) == want
+    write(spark.createDataFrame(_emitted_rows(0)[:1], EMITTED), 9)  # a rolled-up day gets a later row
+    after = {r.band: r["count"] for r in keyed.emitted_band_counts(spark, root).collect()}
+    assert after["Good"] == dict(want)["Good"] + 1
+    assert keyed.drop_days(spark, root, dt.date(2024, 1, 3)) == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    assert {r.band: r["count"] for r in keyed.emitted_band_counts(spark, root).collect()} == after
+    assert keyed.drop_days(spark, root, dt.date(2024, 1, 3)) == []
+
+
+def test_a_batch_writes_only_its_own_folders(spark, tmp_dir):
+    from skiff.functions.timefmt import window_key
+    from skiff.streaming.aqi_job import TUMBLING_COLUMNS
+
+    root = f"{tmp_dir}/log"
+    write = keyed.log_writer(root, window_key("window", F.col("state"), F.col("window_start")), TUMBLING_COLUMNS)
+
+    def files():
+        return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
+
+    sizes = []
+    for b in range(5):
+        before = files()
+        write(spark.createDataFrame(_emitted_rows(b), EMITTED), b)
+        now = files()
+        assert all(now[f] == t for f, t in before.items())  # history untouched
+        sizes.append(sum(os.path.getsize(f) for f in now.keys() - before.keys()))
+    assert max(sizes[1:]) < 1.5 * min(sizes[1:])  # and the bytes of a batch do not grow with it
+
+
+def test_paced_slices_become_micro_batches(spark, tmp_dir):
+    from skiff.sources.files import write_slices
+
+    values = spark.range(3_500).select(F.concat(F.lit("m"), F.col("id")).alias("value"), (F.col("id") % 3).cast("int").alias("slice"))
+    files, rows = write_slices(values, f"{tmp_dir}/in")
+    assert rows == [1167, 1167, 1166] and files == 1
+    q = (json_file_source(spark, f"{tmp_dir}/in", files).writeStream.format("noop")
+         .trigger(availableNow=True).option("checkpointLocation", f"{tmp_dir}/ckpt").start())
+    q.awaitTermination()
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == rows
+
+
+def test_progress_table_keeps_what_each_batch_measured(spark, tmp_dir):
+    from skiff.streaming.progress import ProgressTable, observed, read_progress
+
+    inp = f"{tmp_dir}/in"
+    _write_batches(inp, [[_msg("A", 10.0, 1000)], [_msg("A", 20.0, 1200)], [_msg("A", 30.0, 995)], [_msg("A", 40.0, 996)]])
+    table = ProgressTable(spark, f"{tmp_dir}/progress", prefix="aqi_tumbling")
+    qs = _run(spark, inp, f"{tmp_dir}/run")
+    table.close(qs)
+    got = [(r.batch_id, r.rows_in, r.groups_dropped) for r in read_progress(spark, f"{tmp_dir}/progress").orderBy("batch_id").collect()]
+    assert got == [(0, 1, 0), (1, 1, 0), (2, 1, 0), (3, 1, 1)]
+    assert observed(read_progress(spark, f"{tmp_dir}/progress"), "nothing", "n").first().n == 0
+
+
+def test_aqi_rejects_keep_message_and_reason(spark, tmp_dir):
+    from skiff.streaming.aqi_job import start_reject_query
+
+    inp = f"{tmp_dir}/in"
+    os.makedirs(inp)
+    bad = {"not json": "undecodable", "[1]": "undecodable", '{"state":"A","timestamp":1}': "missing:aqi",
+           '{"aqi":"x","timestamp":1}': "bad_value:aqi", '{"aqi":1.0,"timestamp":1e30}': "bad_value:timestamp",
+           '{"aqi":1.0,"timestamp":NaN}': "bad_value:timestamp", '{"aqi":1.0}': "missing:timestamp", '{"aqi":null}': "missing:aqi"}
+    with open(f"{inp}/a.json", "w") as f:
+        f.write("\n".join([*bad, '{"state":"A","aqi":NaN,"timestamp":5}', '{"state":"A","aqi":1e30,"timestamp":5}']) + "\n")
+    q = start_reject_query(spark, lambda: json_file_source(spark, inp), f"{tmp_dir}/out", f"{tmp_dir}/ckpt", {"availableNow": True})
+    await_all([q])
+    got = {r.message: r.reason for r in spark.read.parquet(f"{tmp_dir}/out/rejects").collect()}
+    assert got == bad
 
+
+def test_await_all_stops_a_stream_that_does_not_end(spark, tmp_dir):
     inp = f"{tmp_dir}/in"
     _write_batches(inp, [[_msg("A", 10.0, 1000)]])
     cfg = AqiStreamConfig(trigger={"processingTime": "1 second"})  # never ends by itself
@@ -226,65 +281,98 @@ def test_await_all_stops_a_stream_that_does_not_end(spark, tmp_dir):
     assert not any(q.isActive for q in qs)
 
 
-def test_point_store_compaction_and_pruning_keep_stored_values(spark, tmp_dir):
+def _points(spark, batch):
+    """Trip 1 is written by every batch (same series and time), another trip only once."""
     from skiff.operators import trips as T
-    from skiff.sinks.points import compact_points, stored_points, write_points
 
-    schema = ("trip_id long, pickup_datetime timestamp, dropoff_datetime timestamp, passenger_count int, "
-              "trip_distance decimal(8,2), fare_amount decimal(8,2), payment_type string, vendor_id string")
     t0 = dt.datetime(2024, 1, 1, 8, 0)
+    rows = [(1, t0, t0 + dt.timedelta(minutes=10), 1, Decimal(f"{batch + 1}.00"), Decimal("12.50"), "Cash", "CMT", batch),
+            (1, t0, t0 + dt.timedelta(minutes=10), 1, Decimal(f"{batch + 1}.50"), Decimal("12.50"), "Cash", "CMT", batch + 1),
+            (100 + batch, t0 + dt.timedelta(days=batch), t0 + dt.timedelta(days=batch, minutes=5), 2, Decimal("3.00"), Decimal("30.00"), "Card", "VTS", 0)]
+    df = spark.createDataFrame(rows, "trip_id long, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, passenger_count int, "
+                               "trip_distance decimal(18,6), fare_amount decimal(18,6), payment_type string, vendor_id string, order_in_batch long")
+    zero = ["pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude", "tip_amount", "tolls_amount", "total_amount"]
+    return T.to_points(T.enrich_trips(df.withColumns({c: F.lit(0).cast("decimal(10,2)") for c in zero})))
 
-    def batch(b):
-        # trip 1 is rewritten by every batch (same series and time: last write wins)
-        return [(1, t0, t0 + dt.timedelta(minutes=10), 1, Decimal(f"{b + 1}.00"), Decimal("12.50"), "Cash", "CMT"),
-                (100 + b, t0 + dt.timedelta(minutes=b), t0 + dt.timedelta(minutes=b + 5), 2,
-                 Decimal("3.00"), Decimal("30.00"), "Card", "VTS")]
-
-    pruned, full = f"{tmp_dir}/pruned", f"{tmp_dir}/full"
-    for b in range(7):
-        cols = ["pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude",
-                "tip_amount", "tolls_amount", "total_amount"]
-        df = spark.createDataFrame(batch(b), schema).withColumns({c: F.lit(0).cast("decimal(10,2)") for c in cols})
-        points = T.to_points(T.enrich_trips(df))
-        write_points(points, pruned, b)
-        write_points(points, full, b)
-        if b > 0 and b % 2 == 0:
-            compact_points(spark, pruned, b, prune=True)
-    assert keyed.snapshot_ids(spark, pruned) == [4, 6]
-    assert sorted(int(p.split("=")[1]) for p in os.listdir(pruned) if p.startswith("batch_id=")) == [5, 6]
-    got = sorted(tuple(r) for r in stored_points(spark, pruned).collect())
-    want = sorted(tuple(r) for r in stored_points(spark, full).collect())
-    assert got == want and len(want) == 8 * len(T.FIELD_COLUMNS)
-    from skiff.sinks.points import stored_series
-
-    assert stored_series(spark, pruned).distinct().count() == stored_series(spark, full).distinct().count() == 8
-
-
-def test_trip_stream_compaction_keeps_every_output(spark, tmp_dir):
-    from skiff.sinks.points import stored_points
-    from skiff.streaming.trips_job import read_enriched, start_trip_query
+
+def test_last_point_write_wins_by_batch_and_position(spark, tmp_dir):
+    from skiff.operators import trips as T
+    from skiff.sinks.points import read_points, stored_points, stored_series, write_points
+
+    root = f"{tmp_dir}/points"
+    for b in (0, 1, 2, 2):  # the last batch is replayed
+        write_points(_points(spark, b), root, b)
+    assert read_points(spark, root).count() == 9
+    got = {r.trip_id: r.trip_distance for r in stored_points(spark, root).collect()}
+    assert got == {1: 3.5, 100: 3.0, 101: 3.0, 102: 3.0}
+    assert T.point_values(stored_points(spark, root)).count() == 4 * len(T.FIELD_COLUMNS)
+    assert stored_series(spark, root).distinct().count() == 4
+    some = stored_points(spark, root, since=dt.date(2024, 1, 2), tag="Card")
+    assert {r.trip_id for r in some.collect()} == {101, 102}
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "(tag" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def _trip(i, **more):
+    return {"trip_id": i, "pickup_datetime": f"2024-01-01 0{i // 100}:{i % 100:02d}:00", "dropoff_datetime": f"2024-01-01 0{i // 100}:{i % 100:02d}:59",
+            "passenger_count": 1, "trip_distance": 1.5, "fare_amount": 9.0, "payment_type": "Cash", "vendor_id": "CMT"} | more
+
+
+def _run_trips(spark, tmp_dir, batches, **more):
+    from skiff.streaming.trips_job import start_trip_query
 
     inp = f"{tmp_dir}/in"
-    trips = [[{"trip_id": 10 * b + i, "pickup_datetime": f"2024-01-01 0{b}:0{i}:00",
-               "dropoff_datetime": f"2024-01-01 0{b}:1{i}:00", "passenger_count": 1,
-               "trip_distance": 1.5 + i, "fare_amount": 9.0 + 10 * i, "payment_type": "Cash"}
-              for i in range(3)] + [{"trip_id": 900 + b, "trip_distance": 0.0}]  # one reject per batch
-             for b in range(7)]
-    _write_batches(inp, trips)
-    outs = {}
-    for label, every in (("compacted", 2), ("plain", None)):
-        q = start_trip_query(spark, lambda: json_file_source(spark, inp, 1), f"{tmp_dir}/{label}",
-                             f"{tmp_dir}/ckpt-{label}", trigger={"availableNow": True}, compact_every=every)
-        await_all([q], 300)
-        outs[label] = f"{tmp_dir}/{label}"
-    c, p = outs["compacted"], outs["plain"]
-    assert keyed.snapshot_ids(spark, f"{c}/enriched") == [4, 6]
-    assert sorted(x for x in os.listdir(f"{c}/enriched") if x.startswith("batch_id=")) == ["batch_id=5", "batch_id=6"]
-
-    def rows(df):
-        return sorted(tuple(r) for r in df.collect())
-
-    assert rows(read_enriched(spark, c)) == rows(read_enriched(spark, p)) and len(rows(read_enriched(spark, p))) == 21
-    assert rows(keyed.read_appended(spark, f"{c}/rejects").drop("batch_id")) == rows(
-        keyed.read_appended(spark, f"{p}/rejects").drop("batch_id"))
-    assert rows(stored_points(spark, f"{c}/points")) == rows(stored_points(spark, f"{p}/points"))
+    _write_batches(inp, batches)
+    q = start_trip_query(spark, lambda: json_file_source(spark, inp, 1), f"{tmp_dir}/out", f"{tmp_dir}/ckpt",
+                         trigger={"availableNow": True}, **more)
+    await_all([q], 300)
+    return q
+
+
+def test_failing_sink_is_counted_and_loses_nothing(spark, tmp_dir):
+    from skiff.sinks.points import stored_points, write_points
+    from skiff.streaming.trips_job import flow_totals, read_enriched
+
+    def store(points, root, batch_id):
+        if batch_id == 1:
+            raise OSError("sink down")
+        write_points(points, root, batch_id)
+
+    _run_trips(spark, tmp_dir, [[_trip(100), _trip(101)], [_trip(102), _trip(103), _trip(104, trip_distance=0)], [_trip(105)]], store=store)
+    total = flow_totals(spark, f"{tmp_dir}/out").first().asDict()
+    assert total == {"consumed": 6, "enriched": 5, "enrich_errors": 1, "sink_ok": 3, "sink_error": 2}
+    assert {r.trip_id for r in stored_points(spark, f"{tmp_dir}/out/points").collect()} == {100, 101, 105}
+    assert {r.trip_id for r in stored_points(spark, f"{tmp_dir}/out/unwritten").collect()} == {102, 103}
+    assert read_enriched(spark, f"{tmp_dir}/out").count() == 5
+
+
+def test_streamed_sample_counts_on_over_batches(spark, tmp_dir):
+    from skiff.streaming.trips_job import read_sample
+
+    batches = [[_trip(100 + k) for k in range(30)], [_trip(200 + k, trip_distance=1.5 if k != 19 else 0) for k in range(50)],
+               [_trip(300 + k) for k in range(40)]]
+    _run_trips(spark, tmp_dir, batches)
+    got = sorted((r.ordinal, r.trip_id) for r in read_sample(spark, f"{tmp_dir}/out").collect())
+    # position 50 is the 20th of the second batch, which is not enriched; position 100 the 20th of the third
+    assert got == [(1, 100), (2, 101), (3, 102), (4, 103), (5, 104), (100, 319)]
+
+
+def test_trip_rejects_tell_reasons_apart(spark, tmp_dir):
+    from skiff.streaming.trips_job import read_rejects
+
+    inp = f"{tmp_dir}/in"
+    os.makedirs(inp)
+    bad = {"not json": "undecodable", "[1,2]": "undecodable",
+           json.dumps(_trip(100, trip_distance=1e30)): "bad_value:trip_distance", json.dumps(_trip(101, tip_amount=1e12)): "bad_value:tip_amount",
+           json.dumps(_trip(102, fare_amount=float("nan"))): "bad_value:fare_amount", json.dumps(_trip(103, tolls_amount=float("inf"))): "bad_value:tolls_amount",
+           json.dumps({k: v for k, v in _trip(104).items() if k != "fare_amount"}): "missing:fare_amount",
+           json.dumps(_trip(105, pickup_datetime="soon")): "bad_value:pickup_datetime", json.dumps(_trip(106, trip_distance=0)): "zero_distance",
+           json.dumps(_trip(107, trip_distance="far")): "bad_value:trip_distance", json.dumps(_trip(108, tip_amount="much")): "bad_value"}
+    with open(f"{inp}/a.json", "w") as f:
+        f.write("\n".join([*bad, json.dumps(_trip(109, trip_distance=0.004, fare_amount=0.004))]) + "\n")
+    from skiff.streaming.trips_job import read_enriched, start_trip_query
+
+    await_all([start_trip_query(spark, lambda: json_file_source(spark, inp), f"{tmp_dir}/out", f"{tmp_dir}/ckpt", {"availableNow": True})])
+    assert {r.message: r.reason for r in read_rejects(spark, f"{tmp_dir}/out").collect()} == bad
+    kept = read_enriched(spark, f"{tmp_dir}/out").collect()  # digits are not cut on load
+    assert [(r.trip_id, float(r.trip_distance), float(r.fare_per_mile)) for r in kept] == [(109, 0.004, 1.0)]

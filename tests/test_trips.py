@@ -4,7 +4,6 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from skiff.operators import trips as T
-from skiff.sources.synthetic import synthetic_trips
 
 SCHEMA = (
     "trip_id long, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, passenger_count int, "
@@ -86,9 +85,10 @@ def test_points_layout(spark):
     df = spark.createDataFrame([_trip(7, 600, Decimal("2.00"), Decimal("20.00"))], SCHEMA)
     pts = T.to_points(T.enrich_trips(df)).first()
     assert pts.measurement == "taxi_trips"
-    assert pts.tags == {"payment_type": "Cash", "vendor_id": "CMT", "fare_category": "Medium"}
-    assert set(pts.fields) == set(T.FIELD_COLUMNS) and pts.fields["trip_id"] == 7.0
-    assert pts.time == T0
+    assert (pts.payment_type, pts.vendor_id, pts.fare_category) == ("Cash", "CMT", "Medium")
+    assert pts.trip_id == 7 and pts.trip_distance == 2.0 and pts.time == T0
+    values = {r.field: r.value for r in T.point_values(T.to_points(T.enrich_trips(df))).collect()}
+    assert set(values) == set(T.FIELD_COLUMNS) and values["trip_id"] == 7.0
 
 
 def test_systematic_sample_positions(spark):
@@ -98,34 +98,13 @@ def test_systematic_sample_positions(spark):
     assert got == [1, 2, 3, 4, 5, 50, 100]
 
 
-def test_synthetic_trips_ranges_and_shares(spark):
-    df = synthetic_trips(spark, n=20000, seed=3, num_partitions=4)
-    s = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("trip_distance").alias("dmin"), F.max("trip_distance").alias("dmax"),
-        F.avg((F.col("passenger_count") == 1).cast("int")).alias("p1"),
-        F.avg((F.col("payment_type") == "Credit Card").cast("int")).alias("cc"),
-        F.min(F.expr("timestampdiff(SECOND, pickup_datetime, dropoff_datetime)")).alias("dmin_s"),
-        F.max(F.expr("timestampdiff(SECOND, pickup_datetime, dropoff_datetime)")).alias("dmax_s"),
-        F.count_distinct("vendor_id").alias("vendors"),
-    ).first()
-    assert s.n == 20000 and s.dmin >= Decimal("0.50") and s.dmax <= Decimal("25.00")
-    assert abs(s.p1 - 0.55) < 0.02 and abs(s.cc - 0.67) < 0.02
-    assert 300 <= s.dmin_s and s.dmax_s <= 2700 and s.vendors == 3
-    indep = synthetic_trips(spark, n=4000, seed=3, independent_dropoff=True)
-    backwards = indep.filter(F.col("dropoff_datetime") < F.col("pickup_datetime")).count()
-    assert 1500 < backwards < 2500  # about half end before they start
-
-
-def test_consumer_counts_from_stored_logs(spark):
+def test_consumer_counts_from_measures_and_stored_points(spark):
     rows = [
         _trip(1, 600, Decimal("2.00"), Decimal("12.50")),
         _trip(2, 600, Decimal("3.00"), Decimal("12.50")),  # same series and time as trip 1
         _trip(3, 600, Decimal("2.00"), Decimal("30.00")),  # other fare category: own series
-        _trip(4, 600, Decimal("0.00"), Decimal("12.50")),  # zero distance: enrichment error
     ]
-    df = spark.createDataFrame(rows, SCHEMA)
-    enriched = T.enrich_trips(df)
-    points = T.to_points(enriched)
-    c = T.consumer_counts(enriched, T.enrichment_rejects(df), T.point_values(points)).collect()[0].asDict()
-    assert c == {"consumed": 4, "enriched": 3, "enrich_errors": 1, "sink_ok": 3, "series_times": 2}
+    points = T.to_points(T.enrich_trips(spark.createDataFrame(rows, SCHEMA)))
+    measured = spark.createDataFrame([(4, 3, 1, 2, 1)], "consumed long, enriched long, enrich_errors long, sink_ok long, sink_error long")
+    c = T.consumer_counts(measured, points).collect()[0].asDict()
+    assert c == {"consumed": 4, "enriched": 3, "enrich_errors": 1, "sink_ok": 2, "sink_error": 1, "series_times": 2}
