@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,7 @@ from skiff.sinks.keyed import write_partitions
 from skiff.sinks.points import write_points
 
 FLOW_METRICS = "trip_flow"
-FLOW = "consumed long, enriched long, enrich_errors long, sink_ok long, sink_error long, batch_id int"
+FLOW_COUNTERS = ("consumed", "enriched", "enrich_errors", "sink_ok", "sink_error")
 SAMPLE_COLUMNS = ("trip_id", "pickup_datetime", "dropoff_datetime", "trip_distance", "fare_amount")
 
 
@@ -34,12 +35,11 @@ def read_flow(spark: SparkSession, out_root: str) -> DataFrame:
     try:
         return spark.read.parquet(f"{out_root}/flow")
     except AnalysisException:  # nothing stored yet
-        return spark.createDataFrame([], FLOW)
+        return spark.createDataFrame([], ", ".join(f"{c} long" for c in FLOW_COUNTERS) + ", batch_id int")
 
 
 def flow_totals(spark: SparkSession, out_root: str) -> DataFrame:
-    counters = [c.split()[0] for c in FLOW.split(", ")[:-1]]
-    return read_flow(spark, out_root).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counters])
+    return read_flow(spark, out_root).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in FLOW_COUNTERS])
 
 
 def _write_sample(batch: DataFrame, out_root: str, batch_id: int) -> None:
@@ -63,20 +63,33 @@ def trip_batch_writer(out_root: str, store: Callable[[DataFrame, str, int], None
         try:
             n, bad = batch_df.agg(F.count(F.lit(1)), F.count_if(T.enrichment_error(batch_df))).first()  # one row
             good = n - bad
-            write_partitions(T.enrichment_rejects(batch_df), f"{out_root}/rejects", batch_id, by=())
             enriched = T.enrich_trips(batch_df)
             stored = enriched.drop("order_in_batch").withColumn("day", F.to_date("pickup_datetime"))
-            write_partitions(stored, f"{out_root}/enriched", batch_id)
             points = T.to_points(enriched)
-            try:
-                (store or write_points)(points, f"{out_root}/points", batch_id)
-                failed = 0
-            except Exception:  # the sink is down: nothing is lost, and the failure is counted
-                write_points(points, f"{out_root}/unwritten", batch_id)
-                failed = good
-            _write_sample(batch_df, out_root, batch_id)
-            row = (n, good, bad, good - failed, failed, batch_id)
-            spark.createDataFrame([row], FLOW).drop("batch_id").write.mode("overwrite").parquet(f"{out_root}/flow/batch_id={batch_id}")
+
+            def store_points() -> int:
+                """Points that the sink did not take."""
+                try:
+                    (store or write_points)(points, f"{out_root}/points", batch_id)
+                    return 0
+                except Exception:  # the sink is down: nothing is lost, and the failure is counted
+                    write_points(points, f"{out_root}/unwritten", batch_id)
+                    return good
+
+            # four independent outputs of the cached batch, written side by side
+            with ThreadPoolExecutor(4) as pool:
+                failed = pool.submit(store_points)
+                others = [
+                    pool.submit(write_partitions, T.enrichment_rejects(batch_df), f"{out_root}/rejects", batch_id, ()),
+                    pool.submit(write_partitions, stored, f"{out_root}/enriched", batch_id),
+                    pool.submit(_write_sample, batch_df, out_root, batch_id),
+                ]
+                for f in others:
+                    f.result()
+                failed = failed.result()
+            counters = dict(zip(FLOW_COUNTERS, (n, good, bad, good - failed, failed)))
+            row = spark.range(1).select(*[F.lit(v).cast("long").alias(c) for c, v in counters.items()])
+            row.coalesce(1).write.mode("overwrite").parquet(f"{out_root}/flow/batch_id={batch_id}")
         finally:
             batch_df.unpersist()
 
