@@ -13,9 +13,11 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-# Accumulator type for averages of measures with up to 4 decimals (exact sums).
-MEAN_ACC = "decimal(20,4)"
+# Money as it is loaded: 6 decimals, so nothing is rounded before results are; 18 digits
+# are the widest that Spark keeps in a long.
+MONEY = "decimal(18,6)"
+# Accumulator type for averages (exact sums of measures with up to 8 decimals).
+MEAN_ACC = "decimal(26,8)"
 
 
 def _c(col: Column | str) -> Column:
@@ -60,11 +62,11 @@ def percent_of(num: Column | str, den: Column | str, scale: int = 2) -> Column:
 
 
 def row_percent_of(num: Column | str, den: Column | str, scale: int = 2) -> Column:
-    """Per-row ``round(num / den * 100, scale)`` for two DECIMAL(18,2) values (e.g. a
-    line's profit margin), on Spark's decimal division: the quotient keeps 16
-    fractional digits, and a quotient that is not a tie lies at least
-    1 / (1000 · |den in cents|) from one, so the single rounding is exact for every
-    |den| < 2·10^11. Cheaper than ``percent_of`` on hundreds of millions of rows;
+    """Per-row ``round(num / den * 100, scale)`` for two MONEY values (e.g. a line's
+    profit margin), on Spark's decimal division: the quotient keeps 16 fractional
+    digits, and a quotient that is not a tie lies at least 1 / (200 · |den in
+    millionths|) from one, so the single rounding is exact for every
+    |den| < 5·10^7. Cheaper than ``percent_of`` on hundreds of millions of rows;
     use ``percent_of`` for aggregated (unbounded) denominators."""
     return F.round(F.try_divide(_c(num) * F.lit(100), _c(den)), scale)
 

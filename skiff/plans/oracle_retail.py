@@ -25,6 +25,10 @@ def cents(x: str) -> str:
     return f"CAST(({x}) * 100 AS BIGINT)"
 
 
+def millionths(x: str) -> str:
+    return f"CAST(({x}) * 1000000 AS BIGINT)"
+
+
 _NET = "CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))"
 _DT = "'%Y-%m-%d %H:%M:%S.%g'"
 
@@ -36,11 +40,10 @@ order_lines AS (
          CAST(l.l_shipdate AS DATE) AS Ship_Date, p.p_type AS Category, p.p_brand AS Sub_Category,
          r.r_name AS Region, c.c_mktsegment AS Segment, CAST(l.l_quantity AS INTEGER) AS Quantity,
          CAST(l.l_discount AS DECIMAL(4,2)) AS Discount,
-         CAST(ROUND({_NET} * 0.01, 2) AS DECIMAL(18,2)) AS Sales,
-         CAST(ROUND(({_NET} - CAST(l.l_quantity AS DECIMAL(6,0)) * CAST(p.p_retailprice AS DECIMAL(10,2)) * 2.1)
-                    * 0.01, 2) AS DECIMAL(18,2)) AS Profit,
-         CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_tax AS DECIMAL(4,2)) * 0.01, 2)
-              AS DECIMAL(18,2)) AS Shipping_Cost
+         CAST({_NET} * 0.01 AS DECIMAL(18,6)) AS Sales,
+         CAST(({_NET} - CAST(l.l_quantity AS DECIMAL(6,0)) * CAST(p.p_retailprice AS DECIMAL(10,2)) * 2.1)
+              * 0.01 AS DECIMAL(18,6)) AS Profit,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_tax AS DECIMAL(4,2)) * 0.01 AS DECIMAL(18,6)) AS Shipping_Cost
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -71,8 +74,8 @@ typed AS (
          "Order.Priority" AS Order_Priority, "Product.ID" AS Product_ID, "Product.Name" AS Product_Name,
          Category, "Sub.Category" AS Sub_Category, Segment, Region,
          TRY_CAST(Quantity AS INTEGER) AS Quantity, TRY_CAST(Discount AS DECIMAL(10,4)) AS Discount,
-         TRY_CAST(Sales AS DECIMAL(18,2)) AS Sales, TRY_CAST(Profit AS DECIMAL(18,2)) AS Profit,
-         TRY_CAST("Shipping.Cost" AS DECIMAL(18,2)) AS Shipping_Cost
+         TRY_CAST(Sales AS DECIMAL(18,6)) AS Sales, TRY_CAST(Profit AS DECIMAL(18,6)) AS Profit,
+         TRY_CAST("Shipping.Cost" AS DECIMAL(18,6)) AS Shipping_Cost
   FROM raw
 ),
 kept AS (
@@ -81,7 +84,7 @@ kept AS (
     AND Category IS NOT NULL AND Region IS NOT NULL AND Sales > 0
 ),
 lines AS (
-  SELECT *, {half_up(f"{cents('Profit')} * 10000", cents('Sales'))} AS margin_h,
+  SELECT *, {half_up(f"{millionths('Profit')} * 10000", millionths('Sales'))} AS margin_h,
          CASE WHEN Sales >= 1000 THEN 'High' WHEN Sales >= 300 THEN 'Medium' ELSE 'Low' END AS Sales_Band,
          CAST(year(Order_Date) AS INTEGER) AS Year
   FROM kept
@@ -104,8 +107,8 @@ def _money(x: str) -> str:
 # Per-group totals in exact form (hundredths for means), shared by marts.
 def _group_totals(keys: str) -> str:
     return f"""
-  SELECT {keys}, SUM(Sales) AS sales, SUM(Profit) AS profit, COUNT(*) AS n,
-         {_mean_h('margin_h')} AS margin_h, {_mean_h(cents('Sales'))} AS aov_h
+  SELECT {keys}, ROUND(SUM(Sales), 2) AS sales, ROUND(SUM(Profit), 2) AS profit, SUM(Profit) < 0 AS loses, COUNT(*) AS n,
+         {_mean_h('margin_h')} AS margin_h, {half_up(f"SUM({millionths('Sales')})", 'COUNT(Sales) * 10000')} AS aov_h
   FROM lines GROUP BY {keys}"""
 
 
@@ -124,7 +127,7 @@ _TYPED_OUT = """Order_ID, Line_No, CAST(Order_Date AS VARCHAR) AS Order_Date, CA
        CAST(Profit AS DOUBLE) AS Profit, CAST(Shipping_Cost AS DOUBLE) AS Shipping_Cost"""
 
 _YEARLY_CAT = """,
-ycat AS (SELECT Category, Year, SUM(Sales) AS ys FROM lines GROUP BY Category, Year)"""
+ycat AS (SELECT Category, Year, ROUND(SUM(Sales), 2) AS ys FROM lines GROUP BY Category, Year)"""
 
 
 ORACLES: dict[str, str] = {
@@ -168,7 +171,7 @@ FROM reg ORDER BY Avg_Order_Value DESC""",
     ),
     "subcategory_losses": with_ctes(
         f"""SELECT Sub_Category, Category, {_money('sales')} AS Total_Sales, {_money('profit')} AS Total_Profit,
-       {hundredths('margin_h')} AS Avg_Margin_Pct, n AS Order_Count FROM sub WHERE profit < 0
+       {hundredths('margin_h')} AS Avg_Margin_Pct, n AS Order_Count FROM sub WHERE loses
 ORDER BY Total_Profit""",
         MARTS,
     ),
@@ -294,14 +297,14 @@ FROM sub_rank ORDER BY Category, SALES_RANK""",
 
 def _describe() -> str:
     # column -> (value expression, its scale): mean*10^4 = sum(value*10^scale) * 10^(4-scale) / n
-    spec = {"Sales": 2, "Profit": 2, "Quantity": 0, "Discount": 4}
+    spec = {"Sales": 6, "Profit": 6, "Quantity": 0, "Discount": 4}
     parts = []
     for c, s in spec.items():
         scaled = f"CAST({c} * {10 ** s} AS BIGINT)"
-        mean_num = f"SUM({scaled}) * {10 ** (4 - s)}"
+        mean_num, mean_den = f"SUM({scaled}) * {10 ** max(4 - s, 0)}", f"COUNT({c}) * {10 ** max(s - 4, 0)}"
         parts.append(
             f"""SELECT '{c}' AS column_name, COUNT({c}) AS n,
-       CAST({half_up(mean_num, f'COUNT({c})')} AS DOUBLE) / 10000 AS mean,
+       CAST({half_up(mean_num, mean_den)} AS DOUBLE) / 10000 AS mean,
        ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 4) AS stddev,
        CAST(MIN({c}) AS DOUBLE) AS min_value, CAST(MAX({c}) AS DOUBLE) AS max_value FROM typed"""
         )

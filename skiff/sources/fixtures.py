@@ -71,7 +71,7 @@ DAMAGED_TRIPS = (
 
 
 def order_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Typed order lines: one row per lineitem, money as DECIMAL(18,2)."""
+    """Typed order lines: one row per lineitem, money as DECIMAL(18,6)."""
     li = read_table(
         spark, root, "lineitem",
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
@@ -117,14 +117,14 @@ def order_lines(spark: SparkSession, root: str) -> DataFrame:
         F.col("c_mktsegment").alias("Segment"),
         F.col("l_quantity").cast("int").alias("Quantity"),
         F.col("l_discount").cast("decimal(4,2)").alias("Discount"),
-        F.expr(f"cast(round({net} * 0.01, 2) as decimal(18,2))").alias("Sales"),
+        # six decimals, so that rounding shows where it happens
+        F.expr(f"cast({net} * 0.01 as decimal(18,6))").alias("Sales"),
         F.expr(
-            f"cast(round(({net} - cast(l_quantity as decimal(6,0))"
-            " * cast(p_retailprice as decimal(10,2)) * 2.1) * 0.01, 2) as decimal(18,2))"
+            f"cast(({net} - cast(l_quantity as decimal(6,0))"
+            " * cast(p_retailprice as decimal(10,2)) * 2.1) * 0.01 as decimal(18,6))"
         ).alias("Profit"),
         F.expr(
-            "cast(round(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(4,2)) * 0.01, 2)"
-            " as decimal(18,2))"
+            "cast(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(4,2)) * 0.01 as decimal(18,6))"
         ).alias("Shipping_Cost"),
     )
 
