@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from skiff.operators import aqi as A
 from skiff.operators import clean, marts, quality
 from skiff.operators import trips as T
-from skiff.session import apply_defaults
+from skiff.session import apply_defaults, new_run_dir
 from skiff.sinks import tables
 from skiff.sources import kafka
 from skiff.sources.files import json_file_source, raw_csv_stream, read_raw_csv, write_messages
-from skiff.sources.jdbc import read_jdbc_table
+from skiff.sources.jdbc import read_jdbc_ordered
 from skiff.streaming.aqi_job import AqiStreamConfig, await_all, await_any, start_aqi_queries, start_reject_query
 from skiff.streaming.trips_job import start_trip_query
 
@@ -48,10 +48,10 @@ def _wait(spark: SparkSession, args, queries) -> None:
 
 
 def retail_report(spark: SparkSession, args) -> None:
-    typed = clean.type_order_lines(read_raw_csv(spark, args.input))
-    report = quality.quality_report(typed)
-    report["cleaning_summary"] = quality.cleaning_summary(typed)
-    for name, df in report.items():
+    rows, kept = quality.report_rows(read_raw_csv(spark, args.input))
+    groups = new_run_dir(spark, "quality")  # one scan of the input; the parts read its few rows
+    quality.report_groups(rows, kept).write.parquet(groups)
+    for name, df in quality.report_from_groups(spark.read.parquet(groups), rows.schema).items():
         df.write.mode("overwrite").parquet(f"{args.output}/{name}")
 
 
@@ -62,7 +62,7 @@ def retail_marts(spark: SparkSession, args) -> None:
             tables.write_jdbc(df, args.jdbc_url, name)
     elif args.database:
         tables.setup_namespace(spark, args.database)
-        tables.publish_marts(bundle, args.database)
+        tables.swap_marts(bundle, args.database)
     else:
         for name, df in bundle.items():
             df.write.mode("overwrite").parquet(f"{args.output}/{name}")
@@ -70,7 +70,7 @@ def retail_marts(spark: SparkSession, args) -> None:
 
 def trip_publish(spark: SparkSession, args) -> None:
     if args.jdbc_url:
-        src = read_jdbc_table(spark, args.jdbc_url, args.table, "trip_id", args.lower, args.upper, args.partitions)
+        src = read_jdbc_ordered(spark, args.jdbc_url, args.table, "pickup_datetime", ["trip_id"], args.partitions)
     else:
         src = spark.read.parquet(args.input)
     values = T.to_trip_messages(T.normalise_trips(src))
@@ -130,8 +130,6 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--database")
     p.add_argument("--jdbc-url")
     p.add_argument("--table")
-    p.add_argument("--lower", type=int, default=1)
-    p.add_argument("--upper", type=int, default=25_000)
     p.add_argument("--partitions", type=int, default=8)
     p.add_argument("--brokers")
     p.add_argument("--topic")

@@ -52,7 +52,9 @@ REJECT_UNDECODABLE, REJECT_MISSING, REJECT_BAD_VALUE = "undecodable", "missing",
 
 
 def _text(df: DataFrame, name: str, default: str) -> Column:
-    return F.trim(F.col(f"`{name}`")) if name in df.columns else F.lit(default)
+    """The column's text trimmed; an empty cell (NULL from the CSV reader) is the empty text, and
+    only a column that is not there at all takes the default."""
+    return F.coalesce(F.trim(F.col(f"`{name}`")), F.lit("")) if name in df.columns else F.lit(default)
 
 
 def _number_or_zero(df: DataFrame, name: str) -> Column:

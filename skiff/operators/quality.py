@@ -1,14 +1,15 @@
-"""Data-quality reporting, each report a single scan with partial aggregation."""
+"""Data-quality reporting: single reports, and the whole report from one scan of the raw text."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skiff.functions.numeric import exact_mean
-from skiff.operators.clean import keep_predicate
+from skiff.operators.clean import ORDER_DATE_FORMAT, keep_predicate, normalise_names, parse_dates, tolerant_cast
 
 DISTRIBUTION_COLUMNS = ("Category", "Segment", "Region")
 STAT_COLUMNS = ("Sales", "Profit", "Quantity", "Discount")
@@ -41,6 +42,15 @@ def value_counts(df: DataFrame, columns: Sequence[str] = DISTRIBUTION_COLUMNS) -
     )
 
 
+STATISTICS = ("n", "mean", "stddev", "min_value", "max_value")
+
+
+def _statistics(c: str) -> dict[str, Column]:
+    as_double = F.col(c).cast("double")
+    values = (F.count(c), exact_mean(c, 4).cast("double"), F.round(F.stddev_samp(as_double), 4), F.min(as_double), F.max(as_double))
+    return dict(zip(STATISTICS, values))
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str] = STAT_COLUMNS) -> DataFrame:
     """Typed ``describe()``: one row per column: column_name, n, mean, stddev,
     min_value, max_value.
@@ -50,20 +60,10 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] = STAT_COLUMNS) -> Da
     stddev (sample) rounded to 4 places.
     """
     cols = list(columns)
-    aggs = []
-    for c in cols:
-        aggs += [
-            F.count(c).alias(f"{c}__n"),
-            exact_mean(c, 4).cast("double").alias(f"{c}__mean"),
-            F.round(F.stddev_samp(F.col(c).cast("double")), 4).alias(f"{c}__stddev"),
-            F.min(c).cast("double").alias(f"{c}__min_value"),
-            F.max(c).cast("double").alias(f"{c}__max_value"),
-        ]
-    one = df.agg(*aggs)
-    stats = ("n", "mean", "stddev", "min_value", "max_value")
+    one = df.agg(*[a.alias(f"{c}__{s}") for c in cols for s, a in _statistics(c).items()])
     rows = F.array(
         *[
-            F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in stats])
+            F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in STATISTICS])
             for c in cols
         ]
     )
@@ -84,12 +84,50 @@ def cleaning_summary(typed: DataFrame) -> DataFrame:
     ).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def quality_report(typed: DataFrame) -> dict[str, DataFrame]:
-    """The data-quality printout as DataFrames (each an independent single scan)."""
+# ------------------------------------------------------------------ the whole report in one scan
+def report_groups(df: DataFrame, kept: Column | None = None, distributions: Sequence[str] = DISTRIBUTION_COLUMNS,
+                  statistics: Sequence[str] = STAT_COLUMNS) -> DataFrame:
+    """Everything the report shows, from ONE scan of ``df``: GROUPING SETS give a row per value of
+    each distribution column and one row over all, with every count and statistic. ``kept``
+    marks the rows that cleaning keeps. Only #values rows per task reach the shuffle."""
+    dims, stats = list(distributions), list(statistics)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null__{c}") for c in df.columns]
+    aggs += [a.alias(f"{c}__{s}") for c in stats for s, a in _statistics(c).items()]
+    aggs.append((F.count_if(kept) if kept is not None else F.count(F.lit(1))).alias("kept"))
+    return df.groupingSets([*[[c] for c in dims], []], *dims).agg(F.grouping_id().alias("_gid"), *aggs)
+
+
+def report_from_groups(groups: DataFrame, schema: StructType, distributions: Sequence[str] = DISTRIBUTION_COLUMNS,
+                       statistics: Sequence[str] = STAT_COLUMNS) -> dict[str, DataFrame]:
+    """The report's parts from a ``report_groups`` result (#values rows, live or stored);
+    ``schema`` is that of the reported rows."""
+    dims = list(distributions)
+    total = groups.filter(F.col("_gid") == (1 << len(dims)) - 1)
+    counted = groups.filter(F.col("_gid") != (1 << len(dims)) - 1)
+    # the grouping id has a 0 bit for the one column that a row is grouped by (first column: highest bit)
+    own = [(F.col("_gid").bitwiseAND(1 << (len(dims) - 1 - k)) == 0, c) for k, c in enumerate(dims)]
+    name, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for is_own, c in own:
+        name = F.when(is_own, F.lit(c)).otherwise(name)
+        value = F.when(is_own, F.col(c).cast("string")).otherwise(value)
+    columns = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+                                 (F.col("n") - F.col(f"null__{f.name}")).alias("non_null")) for f in schema.fields])
+    stats = F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in STATISTICS]) for c in statistics])
     return {
-        "row_count": row_count(typed),
-        "schema": schema_report(typed),
-        "null_counts": null_counts(typed),
-        "value_counts": value_counts(typed),
-        "describe": describe_numeric(typed),
+        "row_count": total.select(F.col("n").alias("row_count")),
+        "schema": total.select(F.explode(columns).alias("c")).select("c.*"),
+        "null_counts": total.select(*[F.col(f"null__{f.name}").alias(f.name) for f in schema.fields]),
+        "value_counts": counted.select(name.alias("column_name"), value.alias("value"), "n").orderBy("column_name", F.desc("n"), "value"),
+        "describe": total.select(F.explode(stats).alias("r")).select("r.*"),
+        "cleaning_summary": total.select(F.col("n").alias("rows_before"), F.col("kept").alias("rows_after"), (F.col("n") - F.col("kept")).alias("removed")),
     }
+
+
+def report_rows(raw: DataFrame) -> tuple[DataFrame, Column]:
+    """The rows a report is about — cast, with their dates as the text they came as — and which of
+    them cleaning keeps (it parses the dates)."""
+    rows = tolerant_cast(normalise_names(raw))
+    kept = keep_predicate(parse_dates(rows))
+    dated = F.try_to_date(F.col("Order_Date"), ORDER_DATE_FORMAT).isNotNull()
+    return rows, kept & dated

@@ -7,6 +7,8 @@ Spark's DECIMAL ``round`` gives.
 
 from __future__ import annotations
 
+from skiff.plans.retail import EMPTY_YEAR, SELECTED_CATEGORY, SELECTED_YEARS
+
 
 def half_up(num: str, den: str) -> str:
     """round(num / den) half away from zero, integers, den > 0."""
@@ -130,6 +132,21 @@ _YEARLY_CAT = """,
 ycat AS (SELECT Category, Year, ROUND(SUM(Sales), 2) AS ys FROM lines GROUP BY Category, Year)"""
 
 
+# Columns of the quality report and their types, in the input's order.
+REPORTED = [(c, "string") for c in (
+    "Order_ID", "Line_No", "Order_Date", "Ship_Date", "Customer_ID", "Customer_Name", "Order_Priority", "Product_ID",
+    "Product_Name", "Category", "Sub_Category", "Segment", "Region",
+)] + [("Quantity", "int"), ("Discount", "decimal(10,4)"), ("Sales", "decimal(18,6)"), ("Profit", "decimal(18,6)"), ("Shipping_Cost", "decimal(18,6)")]
+AS_LOADED = """,
+as_loaded AS (
+  SELECT "Order.ID" AS Order_ID, "Line.No" AS Line_No, "Order.Date" AS Order_Date, "Ship.Date" AS Ship_Date,
+         "Customer.ID" AS Customer_ID, "Customer.Name" AS Customer_Name, "Order.Priority" AS Order_Priority,
+         "Product.ID" AS Product_ID, "Product.Name" AS Product_Name, Category, "Sub.Category" AS Sub_Category, Segment, Region,
+         TRY_CAST(Quantity AS INTEGER) AS Quantity, TRY_CAST(Discount AS DECIMAL(10,4)) AS Discount,
+         TRY_CAST(Sales AS DECIMAL(18,6)) AS Sales, TRY_CAST(Profit AS DECIMAL(18,6)) AS Profit,
+         TRY_CAST("Shipping.Cost" AS DECIMAL(18,6)) AS Shipping_Cost
+  FROM raw)"""
+
 ORACLES: dict[str, str] = {
     "clean_orders": with_ctes(
         f"SELECT {_TYPED_OUT}, {hundredths('margin_h')} AS Profit_Margin, Sales_Band, Year FROM lines"
@@ -196,17 +213,12 @@ FROM (SELECT *, LAG(ys, 1) OVER (PARTITION BY Category ORDER BY Year) AS prev FR
 ORDER BY Category, Year""",
         _YEARLY_CAT,
     ),
+    # before the dates are parsed: they are still text
     "null_counts": with_ctes(
-        "SELECT "
-        + ", ".join(
-            f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS {c}"
-            for c in (
-                "Order_ID", "Line_No", "Order_Date", "Ship_Date", "Customer_ID", "Customer_Name",
-                "Order_Priority", "Product_ID", "Product_Name", "Category", "Sub_Category", "Segment",
-                "Region", "Quantity", "Discount", "Sales", "Profit", "Shipping_Cost",
-            )
-        )
-        + " FROM typed"
+        "SELECT " + ", ".join(f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS {c}" for c, _ in REPORTED) + " FROM as_loaded", AS_LOADED
+    ),
+    "schema_report": with_ctes(
+        "\nUNION ALL\n".join(f"SELECT '{c}' AS \"column\", '{t}' AS type, COUNT({c}) AS non_null FROM as_loaded" for c, t in REPORTED), AS_LOADED
     ),
     "value_counts": with_ctes(
         """SELECT column_name, value, COUNT(*) AS n FROM (
@@ -312,3 +324,19 @@ def _describe() -> str:
 
 
 ORACLES["describe_numeric"] = _describe()
+ORACLES["mart_yearly_revenue"] = with_ctes(
+    f"""SELECT Year, {_money('sales')} AS TOTAL_REVENUE, {_money('profit')} AS TOTAL_PROFIT, n AS TOTAL_ORDERS,
+       {hundredths('margin_h')} AS AVG_MARGIN FROM yr""",
+    MARTS,
+)
+ORACLES["mart_region_performance"] = with_ctes(
+    f"""SELECT Region, {hundredths('aov_h')} AS AVG_ORDER_VALUE, {_money('sales')} AS TOTAL_REVENUE,
+       {hundredths('margin_h')} AS AVG_MARGIN, n AS TOTAL_ORDERS FROM reg""",
+    MARTS,
+)
+# the dashboard's selections: years, a category, and years without data
+ORACLES["kpi_yearly_selected"] = ORACLES["kpi_yearly"] + f" WHERE Year IN {SELECTED_YEARS}"
+ORACLES["kpi_yearly_none"] = ORACLES["kpi_yearly"] + f" WHERE Year = {EMPTY_YEAR}"
+ORACLES["kpi_category_selected"] = ORACLES["kpi_category"] + f" WHERE Category = '{SELECTED_CATEGORY}'"
+ORACLES["top_subcategories_selected"] = ORACLES["top_subcategories"].replace(
+    "FROM sub_rank ORDER", f"FROM sub_rank WHERE Category = '{SELECTED_CATEGORY}' ORDER")

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skiff.operators import analysis, clean, marts, quality, serve, windows
 from skiff.plans.output import edge
-from skiff.session import apply_defaults
+from skiff.session import apply_defaults, new_run_dir
+from skiff.sinks import tables
 from skiff.sources.fixtures import stored
 
 # Dashboard selections used by the contract (the feature's own parameters).
 SELECTED_YEARS = (1996, 1998, 2000)
+EMPTY_YEAR = 1900
+SELECTED_CATEGORY = "LARGE"
 
 
 def typed_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -31,11 +36,29 @@ def cleaned(spark: SparkSession, root: str) -> DataFrame:
     return stored(spark, root, "order_lines_clean", clean_lines)
 
 
+_DATABASES: dict[tuple[str, str], str] = {}
+
+
 def published_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The four marts as published: their common GROUPING SETS aggregate is
-    written once (#groups rows) and every serving query reads it back."""
-    groups = stored(spark, root, "mart_groups", lambda s, r: marts.mart_groups(cleaned(s, r)))
-    return marts.marts_from_groups(groups)
+    """The four marts as published: built from one scan of the cleaned lines, loaded into
+    tables of a catalog database (once per application and input) and read back from there."""
+    key = (spark.sparkContext.applicationId, root.rstrip("/"))
+    database = _DATABASES.get(key)
+    if database is None:
+        database = f"skiff_marts_{uuid.uuid4().hex[:12]}"
+        tables.setup_namespace(spark, database, new_run_dir(spark, database), select=False)
+        tables.swap_marts(marts.build_marts(cleaned(spark, root)), database)
+        _DATABASES[key] = database
+    return {name: spark.table(f"{database}.{name}") for name in marts.MART_NAMES}
+
+
+def quality_report(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All parts of the data-quality report over the raw lines, from one scan of them."""
+    apply_defaults(spark)
+    raw = stored(spark, root, "order_lines_raw")
+    rows, kept = quality.report_rows(raw)
+    groups = stored(spark, root, "quality_groups", lambda s, r: quality.report_groups(rows, kept))
+    return quality.report_from_groups(groups, rows.schema)
 
 
 def q_clean_orders(spark, root):
@@ -64,7 +87,7 @@ def q_sales_band_counts(spark, root):
 
 
 def q_order_line_count(spark, root):
-    return quality.row_count(typed_lines(spark, root))
+    return quality_report(spark, root)["row_count"]
 
 
 def q_category_sales(spark, root):
@@ -114,19 +137,23 @@ def q_yoy_growth(spark, root):
 
 
 def q_null_counts(spark, root):
-    return quality.null_counts(typed_lines(spark, root))
+    return quality_report(spark, root)["null_counts"]
 
 
 def q_value_counts(spark, root):
-    return quality.value_counts(typed_lines(spark, root))
+    return quality_report(spark, root)["value_counts"]
 
 
 def q_describe_numeric(spark, root):
-    return quality.describe_numeric(typed_lines(spark, root))
+    return quality_report(spark, root)["describe"]
+
+
+def q_schema_report(spark, root):
+    return quality_report(spark, root)["schema"]
 
 
 def q_cleaning_summary(spark, root):
-    return quality.cleaning_summary(typed_lines(spark, root))
+    return quality_report(spark, root)["cleaning_summary"]
 
 
 def q_mart_category_sales(spark, root):
@@ -137,6 +164,14 @@ def q_mart_subcategory_rank(spark, root):
     return edge(published_marts(spark, root)["SUBCATEGORY_RANK"])
 
 
+def q_mart_yearly_revenue(spark, root):
+    return edge(published_marts(spark, root)["YEARLY_REVENUE"])
+
+
+def q_mart_region_performance(spark, root):
+    return edge(published_marts(spark, root)["REGION_PERFORMANCE"])
+
+
 def q_profit_efficiency(spark, root):
     return edge(serve.profit_efficiency(published_marts(spark, root)["CATEGORY_SALES"]))
 
@@ -153,6 +188,23 @@ def q_kpi_category(spark, root):
     return edge(serve.kpi_category(published_marts(spark, root)["CATEGORY_SALES"], category=None))
 
 
+def q_kpi_yearly_selected(spark, root):
+    return edge(serve.kpi_yearly(published_marts(spark, root)["YEARLY_REVENUE"], years=SELECTED_YEARS))
+
+
+def q_kpi_yearly_none(spark, root):
+    """A year without data: every KPI is 0."""
+    return edge(serve.kpi_yearly(published_marts(spark, root)["YEARLY_REVENUE"], years=(EMPTY_YEAR,)))
+
+
+def q_kpi_category_selected(spark, root):
+    return edge(serve.kpi_category(published_marts(spark, root)["CATEGORY_SALES"], category=SELECTED_CATEGORY))
+
+
+def q_top_subcategories_selected(spark, root):
+    return edge(serve.top_subcategories(published_marts(spark, root)["SUBCATEGORY_RANK"], category=SELECTED_CATEGORY, n=10))
+
+
 def q_top_subcategories(spark, root):
     return edge(serve.top_subcategories(published_marts(spark, root)["SUBCATEGORY_RANK"], category=None, n=10))
 
@@ -192,6 +244,13 @@ QUERIES = {
     "cleaning_summary": q_cleaning_summary,
     "mart_category_sales": q_mart_category_sales,
     "mart_subcategory_rank": q_mart_subcategory_rank,
+    "mart_yearly_revenue": q_mart_yearly_revenue,
+    "mart_region_performance": q_mart_region_performance,
+    "schema_report": q_schema_report,
+    "kpi_yearly_selected": q_kpi_yearly_selected,
+    "kpi_yearly_none": q_kpi_yearly_none,
+    "kpi_category_selected": q_kpi_category_selected,
+    "top_subcategories_selected": q_top_subcategories_selected,
     "profit_efficiency": q_profit_efficiency,
     "revenue_per_order": q_revenue_per_order,
     "kpi_yearly": q_kpi_yearly,

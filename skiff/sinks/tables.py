@@ -7,6 +7,7 @@ The reference collected every mart to the driver and inserted rows in batches of
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
@@ -24,10 +25,12 @@ def _ident(name: str) -> str:
     return name
 
 
-def setup_namespace(spark: SparkSession, database: str) -> None:
-    """Idempotent namespace creation + selection."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)}")
-    spark.catalog.setCurrentDatabase(database)
+def setup_namespace(spark: SparkSession, database: str, location: str | None = None, select: bool = True) -> None:
+    """Idempotent namespace creation (its tables under ``location``, if given) + selection."""
+    at = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)}{at}")
+    if select:
+        spark.catalog.setCurrentDatabase(database)
 
 
 def publish_mart(df: DataFrame, name: str, database: str | None = None, mode: str = "overwrite") -> str:
@@ -41,6 +44,27 @@ def publish_marts(marts: dict[str, DataFrame], database: str | None = None) -> l
     return [publish_mart(df, name, database) for name, df in marts.items()]
 
 
+def swap_mart(df: DataFrame, name: str, database: str, keep: int = 2) -> str:
+    """Replace a published mart without a moment in which it is missing or half written.
+
+    Each load writes a table of its own (``<name>__v<id>``); once that is complete the view
+    ``<name>``, which readers query, is pointed at it in one catalog change. The newest ``keep``
+    versions stay, so that a query planned before the change still finds its files."""
+    spark, view = df.sparkSession, f"{_ident(database)}.{_ident(name)}"
+    known = sorted(t.name for t in spark.catalog.listTables(database) if t.name.lower().startswith(f"{name.lower()}__v"))
+    number = int(known[-1].rsplit("__v", 1)[1].split("_")[0]) + 1 if known else 1
+    version = f"{name}__v{number:08d}_{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").saveAsTable(f"{database}.{version}")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {database}.{version}")
+    for old in known[: max(0, len(known) + 1 - keep)]:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{old}")
+    return view
+
+
+def swap_marts(marts: dict[str, DataFrame], database: str) -> list[str]:
+    return [swap_mart(df, name, database) for name, df in marts.items()]
+
+
 def warehouse_type(dt: DataType, text_length: int = 500) -> str:
     """Spark type → warehouse column type (BIGINT for counts, exact DECIMAL money)."""
     if isinstance(dt, StringType):

@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DRIVER_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-    "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
-
-
 def read_table(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame:
     """``spark.read.parquet(<root>/<name>.parquet)`` projected to ``columns``.
 

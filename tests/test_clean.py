@@ -64,6 +64,41 @@ def test_schema_report_and_describe(spark):
     assert d["Sales"].n == 2 and d["Sales"].mean == 1.5 and d["Sales"].stddev == 0.7071
 
 
+def test_whole_report_from_one_scan(spark):
+    raw = spark.createDataFrame(
+        [("1", "2011-01-07 00:00:00.000", "A", "X", "N", "10.004999", "1.5", "2", "0.1"),
+         ("2", "bad", "A", "X", None, "0.004", "-1", "3", "0"),
+         ("3", "2011-01-08 00:00:00.000", "B", "Y", "S", "n/a", "1", "x", None),
+         ("4", None, "B", "Y", "S", "-5", "1", "4", "0.25"),
+         ("5", "2011-01-09 00:00:00.000", "B", None, "S", "0.004", "1", "4", "0.25")],
+        "`Order.ID` string, `Order.Date` string, Category string, Segment string, Region string, Sales string, Profit string, "
+        "Quantity string, Discount string")
+    rows, kept = quality.report_rows(raw)
+    groups = quality.report_groups(rows, kept)
+    assert groups._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    parts = quality.report_from_groups(groups, rows.schema)
+    typed = clean.type_order_lines(raw)
+    assert parts["row_count"].first()[0] == 5
+    nulls = parts["null_counts"].first().asDict()
+    assert nulls["Order_Date"] == 1 and nulls["Sales"] == 1 and nulls["Region"] == 1  # 'bad' is a text, not a NULL
+    assert {(r.column, r.type, r.non_null) for r in parts["schema"].collect()} >= {("Order_Date", "string", 4), ("Sales", "decimal(18,6)", 4)}
+    as_rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert as_rows(parts["value_counts"]) == as_rows(quality.value_counts(typed))
+    assert as_rows(parts["describe"]) == as_rows(quality.describe_numeric(typed))
+    assert as_rows(parts["cleaning_summary"]) == as_rows(quality.cleaning_summary(typed)) == [(5, 2, 3)]
+
+
+def test_fine_digits_survive_the_load(spark):
+    """A price below half a cent is a sale, and nothing is rounded before it is summed."""
+    raw = spark.createDataFrame([("0.004", "0.001")] * 1000 + [("999.996", "1")] + [("10.0049", "1")] * 1000, "Sales string, Profit string")
+    raw = raw.selectExpr("Sales", "Profit", "'2011-01-07 00:00:00.000' AS `Order.Date`", "'A' AS Category", "'R' AS Region")
+    lines = clean.load_clean(raw)
+    total = lines.agg(F.sum("Sales").alias("s"), F.count(F.lit(1)).alias("n")).first()
+    assert total.n == 2001 and total.s == Decimal("4") + Decimal("999.996") + Decimal("10004.9")
+    assert {r.Sales_Band for r in lines.filter("Sales > 900").collect()} == {"Medium"}
+    assert {r.Profit_Margin for r in lines.filter("Sales < 1").collect()} == {Decimal("25.00")}
+
+
 def test_value_counts_one_pass(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x")], "Category string, Region string")
     got = {(r.column_name, r.value, r.n) for r in quality.value_counts(df, ["Category", "Region"]).collect()}

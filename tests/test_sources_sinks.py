@@ -1,3 +1,6 @@
+import datetime as dt
+
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -6,7 +9,7 @@ from skiff.operators import clean, marts
 from skiff.sinks import tables
 from skiff.sources import fixtures, kafka
 from skiff.sources.files import read_raw_csv
-from skiff.sources.jdbc import read_jdbc_table
+from skiff.sources.jdbc import day_ranges, read_jdbc_ordered, read_jdbc_table
 
 
 def test_raw_csv_round_trip_gives_same_marts(spark, tmp_dir):
@@ -44,6 +47,55 @@ def test_jdbc_write_and_partitioned_read(spark):
     )
     assert back.rdd.getNumPartitions() == 4
     assert back.count() == 1000 and back.agg(F.sum("v")).first()[0] == 1001000
+    own = read_jdbc_table(spark, url, "trips", partition_column="trip_id", num_partitions=4,
+                          properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})  # the source's own bounds
+    sizes = own.groupBy(F.spark_partition_id()).count().collect()
+    assert own.count() == 1000 and all(240 < r["count"] < 260 for r in sizes)
+
+
+def test_day_ranges_are_about_equal():
+    d = [dt.date(2024, 1, k) for k in range(1, 11)]
+    assert day_ranges([], 4) == []
+    assert day_ranges([(d[0], 5)], 4) == [(d[0], None)]
+    even = day_ranges([(x, 10) for x in d], 5)
+    assert [a for a, _ in even] == d[::2] and [b for _, b in even] == [*d[2::2], None]
+    hot = day_ranges([(x, 1_000 if x == d[3] else 10) for x in d], 4)  # one day holds nearly all
+    assert hot[0][0] == d[0] and hot[-1][1] is None and len(hot) <= 4
+    for a, b in zip(hot, hot[1:]):
+        assert a[1] == b[0]
+
+
+def test_jdbc_ordered_read_keeps_time_order_without_a_shuffle(spark):
+    url, driver = "jdbc:derby:memory:skifford;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    start = dt.datetime(2024, 1, 1)
+    rows = [(k, start + dt.timedelta(hours=(k * 37) % 240, minutes=k % 3)) for k in range(500)] + [(1000, None), (1001, None)]
+    df = spark.createDataFrame(rows, "trip_id long, pickup_datetime timestamp")
+    tables.write_jdbc(df, url, "ordered_trips", properties=driver)
+    back = read_jdbc_ordered(spark, url, "ordered_trips", "pickup_datetime", ["trip_id"], parts=4, properties=driver)
+    assert back.rdd.getNumPartitions() == 5  # four ranges and the rows without a time
+    got = [(r.trip_id, r.pickup_datetime) for r in back.collect()]
+    assert got == sorted(rows, key=lambda r: (r[1] is not None, r[1] or start, r[0]))
+    assert "Exchange" not in back._jdf.queryExecution().executedPlan().toString()
+    none = read_jdbc_ordered(spark, url, "(SELECT * FROM ordered_trips WHERE \"trip_id\" < 0) t", "pickup_datetime", parts=4, properties=driver)
+    assert none.count() == 0
+
+
+def test_swapped_marts_are_never_missing(spark):
+    tables.setup_namespace(spark, "skiff_swap", select=False)
+    numbers = lambda n: spark.range(n).select(F.col("id").alias("k"))
+    view = tables.swap_mart(numbers(3), "M", "skiff_swap")
+    planned = spark.table(view)  # a reader of the first version
+    for n in (4, 5):
+        tables.swap_mart(numbers(n), "M", "skiff_swap")
+        assert spark.sql("SELECT COUNT(*) FROM skiff_swap.M").first()[0] == n
+        if n == 4:
+            assert planned.count() == 3
+    versions = [t.name for t in spark.catalog.listTables("skiff_swap") if "__v" in t.name]
+    assert len(versions) == 2
+    with pytest.raises(Exception):  # a load that fails leaves the published version
+        tables.swap_mart(numbers(3).select(F.raise_error(F.lit("bad")).alias("k")), "M", "skiff_swap")
+    assert spark.table("skiff_swap.M").count() == 5
+    assert spark.catalog.currentDatabase() == "default"
 
 
 def test_kafka_options():
