@@ -44,6 +44,7 @@ def main() -> None:
         ("order_lines_clean_build", retail.cleaned),
         ("marts_publish", retail.published_marts),
         ("aqi_stream_job", aqi_plans.aqi_stream_run),
+        ("aqi_late_job", aqi_plans.aqi_late_run),
         ("trip_stream_job", aqi_plans.trip_stream_run),
     )
     for name, run in one_time:

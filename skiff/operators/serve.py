@@ -116,10 +116,14 @@ def region_table(region_performance: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------- stream result tables
 def live_kpis(window_results: DataFrame) -> DataFrame:
-    """Total records, mean of window averages (exact, 2 places), peak AQI, #windows."""
+    """Total records, mean of window averages (exact, 2 places), peak AQI, #windows. A window
+    whose average is no number is left out of the mean, as the reference's mean leaves it out;
+    an infinite average makes the mean infinite."""
+    avg = F.nullif(F.col("avg_aqi"), F.lit(float("nan")))
+    infinite = F.sum(F.when(F.abs(avg) == F.lit(float("inf")), avg))
     return window_results.agg(
         F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_records"),
-        exact_mean("avg_aqi", 2).cast("double").alias("global_avg_aqi"),
+        F.coalesce(infinite, exact_mean(avg, 2).cast("double")).alias("global_avg_aqi"),
         F.max("max_aqi").alias("peak_aqi"),
         F.count(F.lit(1)).alias("active_windows"),
     )

@@ -280,6 +280,7 @@ FROM reg ORDER BY TOTAL_REVENUE DESC""",
     ),
 }
 
+ORACLES["csv_clean_orders"] = ORACLES["clean_orders"]
 ORACLES["least_profitable_top20"] = with_ctes(
     f"""SELECT Sub_Category, Category, {_money('sales')} AS Total_Sales, {_money('profit')} AS Total_Profit,
        {hundredths('margin_h')} AS Avg_Margin_Pct, n AS Order_Count FROM sub

@@ -93,6 +93,7 @@ ORACLES = {
 FROM trips WHERE NOT (COALESCE(trip_distance, 0) > 0 AND COALESCE(fare_amount, 0) > 0)"""
     ),
     "trips_enriched": _w(f"SELECT {_NORM_OUT}, {_ENR_OUT} FROM enr"),
+    "trips_ingested": _w("SELECT trip_id, TRUE AS stamped FROM norm"),
     "trip_points": _w(
         "\nUNION ALL\n".join(
             f"SELECT 'taxi_trips' AS measurement, payment_type, vendor_id, fare_category, "

@@ -11,6 +11,7 @@ from skiff.operators import analysis, clean, marts, quality, serve, windows
 from skiff.plans.output import edge
 from skiff.session import apply_defaults, new_run_dir
 from skiff.sinks import tables
+from skiff.sources.files import read_raw_csv
 from skiff.sources.fixtures import stored
 
 # Dashboard selections used by the contract (the feature's own parameters).
@@ -36,6 +37,7 @@ def cleaned(spark: SparkSession, root: str) -> DataFrame:
     return stored(spark, root, "order_lines_clean", clean_lines)
 
 
+_CSV: dict[tuple[str, str], str] = {}
 _DATABASES: dict[tuple[str, str], str] = {}
 
 
@@ -65,6 +67,17 @@ def q_clean_orders(spark, root):
     return edge(clean_lines(spark, root))
 
 
+def q_csv_clean_orders(spark, root):
+    """The cleaned lines from CSV files, read schema-on-read as the reference reads its input."""
+    apply_defaults(spark)
+    key = (spark.sparkContext.applicationId, root.rstrip("/"))
+    if key not in _CSV:
+        folder = new_run_dir(spark, "order-lines-csv")
+        stored(spark, root, "order_lines_raw").write.option("header", "true").csv(folder)
+        _CSV[key] = folder
+    return edge(clean.load_clean(read_raw_csv(spark, _CSV[key])))
+
+
 def q_tolerant_cast(spark, root):
     return edge(
         typed_lines(spark, root).select(
@@ -223,6 +236,7 @@ def q_region_table(spark, root):
 
 QUERIES = {
     "clean_orders": q_clean_orders,
+    "csv_clean_orders": q_csv_clean_orders,
     "tolerant_cast": q_tolerant_cast,
     "profit_margin": q_profit_margin,
     "sales_band_counts": q_sales_band_counts,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,15 @@ def q_trips_normalised(spark, root):
     return edge(consumed_trips(spark, root))
 
 
+def q_trips_ingested(spark, root):
+    """Every published trip carries the time of its ingestion: stamped between the start of this
+    query's planning and its end, with text that reads back as that time."""
+    planned = F.lit(dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=1)).cast("timestamp")
+    message = T.to_trip_messages(T.normalise_trips(source_trips(spark, root)), keep=("trip_id",))
+    stamp = F.to_timestamp(F.get_json_object("value", "$.event_timestamp"))
+    return message.select("trip_id", ((stamp >= planned) & (stamp <= F.current_timestamp())).alias("stamped"))
+
+
 def q_trips_rejected(spark, root):
     return T.rejected_trips(source_trips(spark, root))
 
@@ -66,6 +77,7 @@ def q_fare_category_counts(spark, root):
 
 QUERIES = {
     "trips_normalised": q_trips_normalised,
+    "trips_ingested": q_trips_ingested,
     "trips_rejected": q_trips_rejected,
     "trips_enriched": q_trips_enriched,
     "trip_points": q_trip_points,

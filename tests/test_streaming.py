@@ -376,3 +376,36 @@ def test_trip_rejects_tell_reasons_apart(spark, tmp_dir):
     assert {r.message: r.reason for r in read_rejects(spark, f"{tmp_dir}/out").collect()} == bad
     kept = read_enriched(spark, f"{tmp_dir}/out").collect()  # digits are not cut on load
     assert [(r.trip_id, float(r.trip_distance), float(r.fare_per_mile)) for r in kept] == [(109, 0.004, 1.0)]
+
+
+def test_batch_whose_commit_was_lost_is_replayed_without_a_trace(spark, tmp_dir):
+    """The sink has a batch, the checkpoint does not know: the restarted query takes it again."""
+    from skiff.sinks.points import read_points
+    from skiff.streaming.trips_job import flow_totals, read_enriched, read_sample
+
+    batches = [[_trip(100 + k) for k in range(30)], [_trip(200 + k) for k in range(30)] + [_trip(299, trip_distance=0)]]
+    _run_trips(spark, tmp_dir, batches)
+
+    def state():
+        out = f"{tmp_dir}/out"
+        return [_rows(flow_totals(spark, out)), _rows(read_enriched(spark, out)), _rows(read_sample(spark, out)),
+                _rows(spark.read.parquet(f"{out}/rejects")), _rows(read_points(spark, f"{out}/points"))]
+
+    before = state()
+    commits = f"{tmp_dir}/ckpt/trips/commits"
+    for name in ("1", ".1.crc"):
+        os.remove(f"{commits}/{name}")
+    _run_trips(spark, tmp_dir, [])
+    assert os.path.exists(f"{commits}/1") and state() == before
+
+
+def test_live_kpis_of_odd_averages(spark):
+    from skiff.operators.serve import live_kpis
+
+    def kpis(*averages):
+        rows = [(a, a, 1) for a in averages]
+        return live_kpis(spark.createDataFrame(rows, "avg_aqi double, max_aqi double, record_count long")).first()
+
+    assert kpis(1.0, 2.0, float("nan")).global_avg_aqi == 1.5
+    assert kpis(1.0, float("inf")).global_avg_aqi == float("inf")
+    assert kpis(1.0, float("nan")).total_records == 2
