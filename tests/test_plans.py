@@ -42,11 +42,20 @@ def test_fact_joins_are_never_broadcast(spark):
 
 
 def test_aggregations_are_partial_before_exchange(spark):
-    for name in ("category_sales", "value_counts", "aqi_sliding_batch", "latest_per_state"):
+    for name in ("category_sales", "aqi_sliding_batch", "latest_per_state"):
         phys = _plan(QUERIES[name](spark, SF_SMALL))
         assert re.search(r"partial_(sum|count|max_by)", phys), name
 
 
+def test_quality_report_is_one_scan_with_partial_aggregation(spark):
+    from skiff.operators import quality
+    from skiff.sources.fixtures import stored
+
+    rows, kept = quality.report_rows(stored(spark, SF_SMALL, "order_lines_raw"))
+    phys = _plan(quality.report_groups(rows, kept))
+    assert phys.count("FileScan") == 1 and "partial_count" in phys
+
+
 def test_no_single_partition_window_over_rows(spark):
     for name in ("subcategory_rank", "cumulative_revenue", "yoy_growth", "latest_per_state"):
         phys = _plan(QUERIES[name](spark, SF_SMALL))
