@@ -14,9 +14,10 @@ result, so a vector that a third of all rows share costs one entry (an exact red
 cap). Equal query vectors are searched once.
 
 Distances are Euclidean in double precision on the original vectors; ties go to the smaller
-id. Vectors that are null, zero, of another length than the sample's first, or hold null or
-non-finite components take no part, nor do rows without an id. Fewer candidates than TOP give
-all that the probed lists hold. Rows that repeat an id with the same vector count once.
+id. Vectors that are null, zero, or hold null or non-finite components take no part, nor do
+rows without an id. Distances need one length: the most frequent one (ties: the smaller),
+vectors of another take no part. Fewer candidates than TOP give all that the probed lists
+hold. A repeated id counts once, with its smallest vector (compared component by component).
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from skiff.llm.common import prepare
 
 TOP = 10
-SAMPLE = 32_768
+#: Vectors that centroids are fitted on, and their bytes at most (they pass through the driver).
+SAMPLE, SAMPLE_BYTES = 32_768, 64 << 20
 #: Vectors a list should hold at least; at most LISTS lists (their centroids are broadcast: LISTS x dimension doubles).
 LIST, LISTS = 64, 4_096
 REPLICAS, CLOSURE = 4, 1.15
@@ -156,14 +158,15 @@ def search(rows: DataFrame, query_filter, top: int = TOP) -> DataFrame:
     (vec_id, embedding). ``query_filter``: which vec_id are queries (a column condition)."""
     spark = prepare(rows.sparkSession)
     points = valid_vectors(rows)
-    drawn = points.select("v", F.xxhash64("vec_id").alias("o"), "vec_id").orderBy("o", "vec_id").limit(SAMPLE).select("v").toPandas()["v"]
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not len(drawn):
-        return spark.createDataFrame([], schema)
-    size = len(drawn.iloc[0])
+    lengths = points.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n"))
+    usual_length = lengths.orderBy(F.desc("n"), "size").first()
+    if usual_length is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    size, total = usual_length["size"], usual_length["n"]
     points = points.where(F.size("v") == size)
-    sample = np.unique(np.array([v for v in drawn if len(v) == size]), axis=0)
-    total = points.count()
+    draws = max(1, min(SAMPLE, SAMPLE_BYTES // (8 * size)))
+    drawn = points.select("v", F.xxhash64("vec_id").alias("o"), "vec_id").orderBy("o", "vec_id").limit(draws).select("v").toPandas()["v"]
+    sample = np.unique(np.array(drawn.tolist()), axis=0)
     # lists grow with the square root of the rows once they are full, so that neither the search for
     # lists nor the reading of lists outgrows the other
     k = int(min(max(1, total // LIST), max(1, 2 * total**0.5), LISTS, max(1, len(sample) // 4)))
@@ -174,13 +177,14 @@ def search(rows: DataFrame, query_filter, top: int = TOP) -> DataFrame:
 
     # equal vectors: one entry with its smallest ids, ranked in two steps so that no group meets whole
     near = Window.partitionBy("v", "salt").orderBy("vec_id")
+    points = points.groupBy("vec_id").agg(F.min("v").alias("v"))
     entry = (
-        points.distinct().withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
+        points.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
         .withColumn("r", F.row_number().over(near)).where(F.col("r") <= top + 1)
         .withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("r") <= top + 1)
         .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     )
-    wanted = points.where(query_filter).distinct()
+    wanted = points.where(query_filter)
     asked = wanted.groupBy("v").agg(F.min("vec_id").alias("ask"))
 
     def assign(how):
