@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, CalendarIntervalType, DataType, MapType, StructType, VariantType
 
 #: Rows a Python task receives at once; whole texts, so small batches bound memory.
 ROWS_PER_BATCH = 256
@@ -26,6 +27,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def orderable(kind: DataType) -> bool:
+    """Whether Spark can compare values of a type (maps and variants have no order)."""
+    if isinstance(kind, ArrayType):
+        return orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (MapType, VariantType, CalendarIntervalType))
+
+
+#: Rows of a table of ids up to which it is broadcast (16 bytes a row); always behind a count.
+BROADCAST_IDS = 1_000_000
+
+
+def bounded(ids: DataFrame) -> DataFrame:
+    """``ids`` marked for broadcast if a count proves it small; otherwise joins shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def remainder(doc_id, modulus: int):
     """crc32 of the id as text, modulo ``modulus``: the fixed train / held-out split."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus

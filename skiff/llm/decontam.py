@@ -7,11 +7,13 @@ weighted shingle similarity (multiset Jaccard) of at least 0.8 with it. Steps:
    item sizes: a window of m shingles that is similar enough misses at most k = m // 9 of
    them, so by the pigeonhole principle it holds a run of (m - k) / (k + 1) matching ones, and
    a stride no longer than that run cannot step over it. No window is lost.
-2. Windows that can still reach the similarity (enough sampled shingles, then enough
-   shingles of the item at all) get a 64-bit SimHash over their weighted shingles.
+2. Windows that can still reach the similarity with some item (enough sampled shingles, then
+   enough shingles of the item at all) get a 64-bit SimHash over their weighted shingles.
+   From here on a window knows the item size it was cut for, but no item.
 3. Multi-index Hamming blocks: eight 8-bit blocks; two fingerprints within RADIUS = 23
    differ in at most two bits of some block, so joining the windows' blocks with all
-   values within two bits of the items' blocks misses no pair within the radius.
+   values within two bits of the blocks of the items of that size misses no pair within
+   the radius. A window meets an item through its fingerprint alone.
 4. The pairs within the radius are verified by the exact similarity.
 
 Words: lower-cased runs of letters and digits. Items under five words have no shingles
@@ -25,6 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skiff.llm.common import bounded, free_name
+from skiff.session import new_run_dir
+
 SIMILARITY = 0.8
 WORDS = 5
 RADIUS, BLOCKS = 23, 8
@@ -99,20 +104,23 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
             "x -> x.lo <= x.hi), x -> sequence(x.lo, x.hi))))"))
         .select("doc_id", F.struct("item_id", "n", "size", "starts").alias("f"))
     )
-    # 2. the windows themselves, each document's shingles hashed once
-    by_doc = pairs.groupBy("doc_id").agg(F.collect_list("f").alias("found"))
+    # 2. the windows themselves, each document's shingles hashed once; only texts with a candidate move
+    folder = new_run_dir(docs.sparkSession, "decontam")
+    pairs.groupBy("doc_id").agg(F.collect_list("f").alias("found")).write.parquet(f"{folder}/found")
+    by_doc = docs.sparkSession.read.parquet(f"{folder}/found")
+    held = docs.join(bounded(by_doc.select("doc_id")), "doc_id", "left_semi")
     whole = (
-        docs.join(by_doc, "doc_id").select("doc_id", "found", word_array(F.col("text")).alias("w"))
+        held.join(by_doc, "doc_id").select("doc_id", "found", word_array(F.col("text")).alias("w"))
         .select("doc_id", "found", _shingle_hashes("w").alias("dh"))
         .select("doc_id", "dh", F.explode("found").alias("f")).where("size(dh) = f.n")
         .select("doc_id", F.col("f.item_id").alias("item_id"), F.col("f.size").alias("size"), F.col("f.starts").alias("starts"), "dh")
     )
     prints = it.select("item_id", "ih", "m", _fingerprint("ih").alias("item_print"), _numbered("ih").alias("item_set"))
     windows = (
-        whole.join(small(it.select("item_id", "ih", "k")), "item_id")
+        whole.join(small(it.select("item_id", "ih", "m", "k")), "item_id")
         .withColumn("start", F.explode(F.expr(
             "filter(starts, s -> size(filter(slice(dh, s + 1, size), h -> array_contains(ih, h))) >= size - k)")))
-        .select("doc_id", "item_id", "start", F.expr("slice(dh, start + 1, size)").alias("win"))
+        .select("doc_id", "m", "start", F.expr("slice(dh, start + 1, size)").alias("win")).distinct()
         .withColumn("print", _fingerprint("win"))
     )
     # 3. multi-index Hamming blocks
@@ -126,7 +134,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         windows.select("*", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
         .withColumn("value", F.expr("coalesce(cast(shiftrightunsigned(print, block * 8) & 255L as int), -1)"))
         .join(small(near.drop("ih", "mask")) if facts["n"] * 296 <= BROADCAST_SHINGLES else near.drop("ih", "mask"),
-              ["item_id", "block", "value"])
+              ["m", "block", "value"])
         .where(f"bit_count(print ^ item_print) <= {RADIUS}")
         # a pair that meets in several blocks counts in the first
         .where("block = filter(sequence(0, 7), b -> bit_count(shiftrightunsigned(print ^ item_print, b * 8) & 255L) <= 2)[0]")
@@ -144,5 +152,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of ``docs``, all columns, whose document leaks no item."""
-    ids = leaks(docs.select("doc_id", "text"), items).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(ids, F.col("doc_id") == F.col("__leak"), "left_anti")
+    spark, leak = docs.sparkSession, free_name(docs, "leak")
+    folder = f"{new_run_dir(spark, 'leaks')}/ids"
+    leaks(docs.select("doc_id", "text"), items).select(F.col("doc_id").alias(leak)).distinct().write.parquet(folder)
+    return docs.join(bounded(spark.read.parquet(folder)), F.col("doc_id") == F.col(leak), "left_anti")
