@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skiff.llm.common import mix64, prepare, shingles, text_pieces, uniform, words
+from skiff.llm.common import free_name, mix64, orderable, prepare, shingles, text_pieces, uniform, words
 from skiff.llm.components import components
 from skiff.session import new_run_dir
 
@@ -232,9 +232,12 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` (all columns) per class: its smallest doc_id, and of rows that
-    repeat that id the smallest. Rows without an id stay."""
-    firsts = classes(docs.select("doc_id", "text")).where("doc_id = class_id").select(F.col("doc_id").alias("__first"))
-    named = docs.where("doc_id is not null").join(firsts, F.col("doc_id") == F.col("__first"), "left_semi")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    one = named.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("__row")).select("doc_id", "__row.*").select(*docs.columns)
-    return one.union(docs.where("doc_id is null"))
+    repeat that id the smallest (columns without an order compare as JSON text). Rows without
+    an id stay."""
+    first, row = free_name(docs, "first"), free_name(docs, "row")
+    firsts = classes(docs.select("doc_id", "text")).where("doc_id = class_id").select(F.col("doc_id").alias(first))
+    named = docs.where("doc_id is not null").join(firsts, F.col("doc_id") == F.col(first), "left_semi")
+    rest = [f"`{c}`" for c in docs.columns if c != "doc_id"]
+    key = [F.col(f"`{f.name}`") if orderable(f.dataType) else F.to_json(F.struct(f"`{f.name}`")) for f in docs.schema.fields if f.name != "doc_id"]
+    one = named.groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.struct(*key)).alias(row)).select("doc_id", f"{row}.*")
+    return one.select(*[f"`{c}`" for c in docs.columns]).union(docs.where("doc_id is null"))
