@@ -2,22 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skiff.llm import align, ann, bpe, centroids, decontam, lm, neardup, passages, piece_bpe, quality, secrets, substrings, toxicity
 from skiff.llm.common import documents, prepare
 
-#: Folder of the public vocabulary files, a parameter.
-TOKENIZERS = os.environ.get("SKIFF_TOKENIZERS", "/opt/tokenizers")
-
-
-def tokenizer_content(name: str = "byte_bpe_50k.json") -> str:
-    return bpe.load(os.path.join(TOKENIZERS, name))
-
-
 def vocabulary(name: str) -> str:
     """Place of a public vocabulary file, as its package tells it."""
     import public_tokenizers
@@ -25,6 +15,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def tokenizer_content(name: str = "byte_bpe_50k.json") -> str:
+    return bpe.load(vocabulary(name))
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
@@ -83,7 +77,7 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE tokens of every document aligned with its pieces."""
-    return align.align(documents(spark, sf_dir), bpe.load(vocabulary("byte_bpe_50k.json")), piece_bpe.load(vocabulary("piece_bpe_32k.model")))
+    return align.align(documents(spark, sf_dir), tokenizer_content(), piece_bpe.load(vocabulary("piece_bpe_32k.model")))
 
 
 QUERIES = {

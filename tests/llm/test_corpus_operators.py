@@ -219,8 +219,26 @@ def test_leaks(spark, docs, awkward, nothing):
     assert set(got) == set(want) and all(math.isclose(got[k], want[k]) for k in got)
     assert decontam.leaks(nothing, items).count() == 0
     assert decontam.leaks(docs, items.limit(0)).count() == 0
-    kept = decontam.drop_leaks(awkward, items)
-    assert kept.columns == awkward.columns and kept.count() == awkward.count()
+    named = awkward.withColumn("leak", F.col("score")).withColumn("first", F.col("score"))
+    kept = decontam.drop_leaks(named, items)
+    assert kept.columns == named.columns and kept.count() == named.count()
+
+
+def test_windows_meet_items_through_their_fingerprints(spark, monkeypatch):
+    """With the opposite fingerprints for the windows, no item is found."""
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    frame = spark.createDataFrame([(k, "lead in words here " + r.text + " and after") for k, r in enumerate(items.limit(5).collect())], "doc_id long, text string")
+    assert decontam.leaks(frame, items).select("doc_id").distinct().count() == 5
+    real = decontam._fingerprint
+    monkeypatch.setattr(decontam, "_fingerprint", lambda array: F.bitwise_not(real(array)) if array == "win" else real(array))
+    assert decontam.leaks(frame, items).count() == 0
+
+
+def test_keep_one_of_rows_without_an_order(spark, awkward):
+    odd = awkward.withColumn("first", F.create_map(F.lit("k"), F.col("score"))).withColumn("row", F.array(F.col("first")))
+    kept = neardup.keep_one(odd)
+    ids = [r.doc_id for r in kept.collect()]
+    assert kept.columns == odd.columns and len(ids) == len(set(ids)) and None in ids and 8 not in ids
 
 
 def test_neighbours(spark):
@@ -243,6 +261,18 @@ def test_neighbours(spark):
     assert ann.search(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_vectors_of_an_odd_length_and_repeated_ids(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(size=8).round(3).tolist()) for k in range(200)]
+    odd = [(500 + k, [1.0, 2.0, 3.0]) for k in range(40)] + [(0, [9.0] * 8), (600, [1.0])]
+    for few in (rows + odd, odd + rows):
+        got = collections.defaultdict(list)
+        for r in ann.search(spark.createDataFrame(few, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0).collect():
+            got[r.query_id].append((r.rank, r.vec_id))
+        assert sorted(got) == [0, 100]
+        assert all(sorted(r for r, _ in g) == list(range(1, 11)) and max(i for _, i in g) < 200 for g in got.values())
+
+
 def test_pipeline(spark):
     from skiff.llm.queries import QUERIES
 
@@ -254,4 +284,5 @@ def test_pipeline(spark):
     leaked = {r.doc_id for r in decontam.leaks(kept.where(F.col("doc_id").isin(list(firsts))), spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
     assert {r.doc_id for r in out} == firsts - leaked
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "decontaminate", "secrets", "encode"]
-    assert sorted(QUERIES) == sorted(["op1_ann", "op2_toxicity", "op3_neardup", "op4_passages", "op5_secrets", "op6_quality", "op7_substrings", "op8_lm", "op9_decontamination", "op10_bpe"])
+    assert sorted(QUERIES) == sorted(["op1_ann", "op2_toxicity", "op3_neardup", "op4_passages", "op5_secrets", "op6_quality", "op7_substrings", "op8_lm", "op9_decontamination", "op10_bpe",
+                                      "op11_centroids", "op12_sentencepiece", "op13_alignment"])

@@ -1,7 +1,6 @@
 """BPE, secrets, quality and toxicity: library, brute force and held-out accuracy."""
 
 import hashlib
-import os
 import re
 
 import numpy as np
@@ -10,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from skiff.llm import bpe, quality, secrets, toxicity
-from skiff.llm.queries import TOKENIZERS, op2_toxicity, op5_secrets, op6_quality, tokenizer_content
+from skiff.llm.queries import op2_toxicity, op5_secrets, op6_quality, tokenizer_content, vocabulary
 
 SF = "/root/testdata/sf0.01"
 
@@ -22,7 +21,7 @@ def tokenizer():
 
 @pytest.fixture(scope="module")
 def library():
-    return pytest.importorskip("tokenizers").Tokenizer.from_file(os.path.join(TOKENIZERS, "byte_bpe_50k.json"))
+    return pytest.importorskip("tokenizers").Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
 
 
 @settings(max_examples=150, deadline=None)
