@@ -13,7 +13,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skiff.llm.common import prepare, text_pieces
@@ -24,17 +24,18 @@ BLOCK_BYTES, RANGE_BYTES = 6 << 20, 4 << 20
 KEY_BITS = 40  # besides the bits of the key range
 
 
-def block_table(docs: DataFrame, folder: str) -> tuple[DataFrame, int]:
+def block_table(docs: DataFrame, folder: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
     """(doc_id, text, block) as a table bucketed by block in the shared folder, and the
     number of bits that deal keys to ranges. A task writes its own blocks: no shuffle."""
     spark = prepare(docs.sparkSession)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, docs.rdd.getNumPartitions())
-    slices = max(1, -(-total // (parts * BLOCK_BYTES)))
+    slices = max(1, -(-total // (parts * block_bytes)))
     name = f"skiff_blocks_{uuid.uuid4().hex[:12]}"
     blocked = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
         "block", F.spark_partition_id().cast("long") * slices + F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(slices)))
     blocked.write.bucketBy(min(parts * slices, 100_000), "block").option("path", f"{folder}/{name}").saveAsTable(name)
+    _TABLES.setdefault(folder, []).append(name)
     return spark.table(name), max(1, int(total // RANGE_BYTES)).bit_length()
 
 
@@ -119,6 +120,22 @@ def is_shared(keys: np.ndarray, bits: int, buckets, flags) -> np.ndarray:
     return hit[np.searchsorted(known, cut)]
 
 
+#: Names of the tables that runs have registered, by run folder.
+_TABLES: dict[str, list[str]] = {}
+
+
+def drop_tables(spark: SparkSession, folder: str) -> None:
+    """Take a finished run's tables out of the catalog."""
+    for name in _TABLES.pop(folder, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished stages: it does so once the driver has
+    collected their plans, which it may otherwise put off for long while disks fill."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives lost executors."""
     df.write.parquet(f"{folder}/{name}")
@@ -129,6 +146,7 @@ def bucketed(df: DataFrame, folder: str, name: str, key: str, buckets: int) -> D
     """``df`` as a table bucketed by ``key`` in the shared folder: one shuffle now, none later."""
     full = f"skiff_{name}_{uuid.uuid4().hex[:12]}"
     df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", f"{folder}/{full}").saveAsTable(full)
+    _TABLES.setdefault(folder, []).append(full)
     return df.sparkSession.table(full)
 
 

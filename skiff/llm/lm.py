@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skiff.llm.blocks import block_table, block_texts, bucketed, planes, run_folder, unplanes, written
+from skiff.llm.blocks import block_table, block_texts, bucketed, drop_tables, planes, release, run_folder, unplanes, written
 from skiff.llm.common import mix64, uniform, words
 
 END = np.uint64(0x5EED0FE0D0C5A11E)
@@ -38,6 +38,8 @@ MIN_CONTEXT, SPLIT = 1, 400_000
 DISCOUNT, STRENGTH = 0.75, 1.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.5, 1.0
 SWEEPS, SAMPLES = 4, 2
+#: Text of a block: the larger, the fewer words and pairs are sent twice; some 20 bytes of arrays a byte.
+BLOCK_BYTES = 16 << 20
 HELD_OUT = 1
 
 
@@ -94,6 +96,11 @@ def _cut(keys: np.ndarray, bits: int) -> np.ndarray:
     return keys >> np.uint64(64 - 8 * _width(bits))
 
 
+def _float_planes(x: np.ndarray) -> bytes:
+    """Single-precision numbers, all lowest bytes first: most masses are alike, so most bytes repeat."""
+    return np.ascontiguousarray(x.astype("<f4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
 def _held(ids: np.ndarray) -> np.ndarray:
     none = (1 << 63) - 1
     return np.array([i != none and zlib.crc32(str(i).encode()) % 5 == HELD_OUT for i in ids.tolist()], bool)
@@ -103,7 +110,7 @@ def _rows(out, schema) -> pa.Table:
     return pa.table({name: pa.array([x[k] for x in out], kind) for k, (name, kind) in enumerate(schema)})
 
 
-def _pairs(at, known, first, count, bits):
+def _pairs(at, known, first, count, bits, limit):
     """The block's pairs (context, word) with a restaurant: their shard, context, word, and the
     pair of each token (-1 without a restaurant), pairs in sending order."""
     end = int(np.searchsorted(known, END))
@@ -114,7 +121,7 @@ def _pairs(at, known, first, count, bits):
     key = context[has] * len(known) + at[has]
     pair, of = np.unique(key, return_inverse=True)
     u, w = pair // len(known), pair % len(known)
-    split = np.maximum(1, -(-count[u] // SPLIT)).astype(np.uint64)
+    split = np.maximum(1, -(-count[u] // limit)).astype(np.uint64)
     shard = _top(mix64(mix64(known[u]) + mix64(known[w] ^ np.uint64(0xABCDEF)) % split), bits)
     order = np.lexsort((w, u, shard))
     number = np.empty(len(order), np.int64)
@@ -124,28 +131,36 @@ def _pairs(at, known, first, count, bits):
     return shard[order], u[order], w[order], token, context
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    folder = run_folder(docs, "lm")
-    table, bits = block_table(docs, folder)
+def score(docs: DataFrame, split: int = SPLIT) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): held_out, n_tokens, n_known, train_tokens, base_score, score.
+    ``split``: customers from which on a restaurant is split over shards."""
+    spark, folder = docs.sparkSession, run_folder(docs, "lm")
+    table, bits = block_table(docs, folder, BLOCK_BYTES)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        """A stage's result; what it shuffled is no longer needed."""
+        out = written(df, folder, name)
+        release(spark)
+        return out
 
     # 1. words and their training counts, by range
     def send_words(block, group):
         ids, at, known, first = _block(group)
         train = np.repeat(~_held(ids), np.diff(first))
-        count = np.bincount(at[train], minlength=len(known)).astype(np.uint32)
-        return _rows([(b, block[0].as_py(), known[a:e].tobytes(), count[a:e].tobytes()) for b, a, e in _cuts(_top(known, bits))],
+        count = np.bincount(at[train], minlength=len(known))
+        return _rows([(b, block[0].as_py(), planes(known[a:e]), planes(count[a:e], 4)) for b, a, e in _cuts(_top(known, bits))],
                      [("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     sent = bucketed(table.groupBy("block").applyInArrow(send_words, "bucket long, block long, keys binary, counts binary"),
                     folder, "words", "bucket", min(1 << bits, 100_000))
+    release(spark)
 
     def count_words(bucket, group):
         blocks = group["block"].to_pylist()
-        keys = [np.frombuffer(k, np.uint64) for k in group["keys"].to_pylist()]
+        keys = [unplanes(k) for k in group["keys"].to_pylist()]
         known, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.zeros(len(known), np.int64)
-        np.add.at(total, at, np.frombuffer(b"".join(group["counts"].to_pylist()), np.uint32))
+        np.add.at(total, at, np.concatenate([unplanes(c, 4) for c in group["counts"].to_pylist()]).astype(np.int64))
         out, a = [], 0
         for b, k in zip(blocks, keys):
             out.append((b, bucket[0].as_py(), planes(total[at[a : a + len(k)]], 6), None, None))
@@ -153,7 +168,7 @@ def score(docs: DataFrame) -> DataFrame:
         out.append((-1, bucket[0].as_py(), None, int(total.sum()), int((total > 0).sum())))
         return _rows(out, [("block", pa.int64()), ("bucket", pa.int64()), ("counts", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
 
-    counted = written(sent.groupBy("bucket").applyInArrow(count_words, "block long, bucket long, counts binary, n long, v long"), folder, "counted")
+    counted = kept(sent.groupBy("bucket").applyInArrow(count_words, "block long, bucket long, counts binary, n long, v long"), "counted")
     n, v = (int(x or 0) for x in counted.where("block = -1").agg(F.sum("n"), F.sum("v")).first())
     counts = counted.where("block >= 0").select("block", "bucket", F.lit(1).alias("kind"), F.col("counts").alias("a"), F.lit(None).cast("binary").alias("b"))
 
@@ -167,6 +182,9 @@ def score(docs: DataFrame) -> DataFrame:
     def floats(data):
         return np.frombuffer(data, np.float32).astype(np.float64)
 
+    def masses(data):
+        return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<f4").ravel().astype(np.float64)
+
     # 2. pairs with a restaurant, by shard
     def send_pairs(block, left, right):
         out = []
@@ -174,15 +192,15 @@ def score(docs: DataFrame) -> DataFrame:
             ids, at, known, first = _block(left)
             rows = list(zip(*(right[c].to_pylist() for c in ("block", "bucket", "kind", "a"))))
             count = joined(rows, 1, 3, six)
-            shard, u, w, token, _ = _pairs(at, known, first, count, bits)
+            shard, u, w, token, _ = _pairs(at, known, first, count, bits, split)
             train = np.repeat(~_held(ids), np.diff(first))
             c = np.bincount(token[train & (token >= 0)], minlength=len(u))
-            # the parent's first guess of each word's probability, in eighths of octaves
-            level = np.round(8 * np.log2((n + 1) / (count[w] + 0.5))).astype(np.int64).clip(0, 65535)
+            # the parent's first guess of each word's probability, in fifths of octaves: one byte
+            level = np.round(5 * np.log2((n + 1) / (count[w] + 0.5))).astype(np.int64).clip(0, 255)
             for s, a, e in _cuts(shard):
-                of, one, run = np.unique(u[a:e], return_index=True, return_counts=True)
-                out.append((s, block[0].as_py(), known[of].tobytes(), count[of].tobytes(), run.astype(np.uint32).tobytes(),
-                            planes(_cut(known[w[a:e]], bits), _width(bits)), planes(level[a:e], 2), planes(c[a:e], 5)))
+                of, run = np.unique(u[a:e], return_counts=True)
+                out.append((s, block[0].as_py(), planes(_cut(known[of], bits), _width(bits)), planes(count[of], 6), planes(run, 4),
+                            planes(_cut(known[w[a:e]], bits), _width(bits)), planes(level[a:e], 1), planes(c[a:e], 5)))
         return _rows(out, [("shard", pa.int64()), ("block", pa.int64()), *((x, pa.binary()) for x in ("us", "cs", "runs", "ws", "levels", "counts"))])
 
     pairs = (table.groupBy("block").cogroup(counts.groupBy("block"))
@@ -190,20 +208,19 @@ def score(docs: DataFrame) -> DataFrame:
 
     # 3. seating
     def sit(shard, group):
-        col = {c: [np.frombuffer(x, t) for x in group[c].to_pylist()] for c, t in
-               (("us", np.uint64), ("cs", np.int64), ("runs", np.uint32))}
-        col |= {c: [unplanes(x, width).astype(np.int64) for x in group[c].to_pylist()] for c, width in (("levels", 2), ("counts", 5))}
-        runs = np.concatenate(col["runs"])
+        col = {c: [unplanes(x, width) for x in group[c].to_pylist()] for c, width in
+               (("us", _width(bits)), ("cs", 6), ("runs", 4), ("ws", _width(bits)), ("levels", 1), ("counts", 5))}
+        runs = np.concatenate(col["runs"]).astype(np.int64)
         u_of = np.repeat(np.concatenate(col["us"]), runs)
-        whole = np.repeat(np.concatenate(col["cs"]), runs)
-        w_of = np.concatenate([unplanes(x, _width(bits)) for x in group["ws"].to_pylist()])
-        c_of, q_of = np.concatenate(col["counts"]), 2.0 ** (np.concatenate(col["levels"]) / -8.0)
+        whole = np.repeat(np.concatenate(col["cs"]).astype(np.int64), runs)
+        w_of, c_of = np.concatenate(col["ws"]), np.concatenate(col["counts"]).astype(np.int64)
+        q_of = 2.0 ** (np.concatenate(col["levels"]).astype(np.int64) / -5.0)
         key = mix64(u_of ^ (w_of * np.uint64(0x9E3779B97F4A7C15)))
         _, one, at = np.unique(key, return_index=True, return_inverse=True)
         c = np.bincount(at, c_of, minlength=len(one))
         u, w, q, seeds = u_of[one], w_of[one], q_of[one], key[one]
         names, place, row = np.unique(u, return_index=True, return_inverse=True)
-        share = np.maximum(1, -(-whole[one][place] // SPLIT))  # shards of the restaurant
+        share = np.maximum(1, -(-whole[one][place] // split))  # shards of the restaurant
         own = (c > 0).astype(np.float64)
         held, kept_w, kept_u = np.zeros(len(c)), [], []
         words_here, word_row = np.unique(w, return_inverse=True)
@@ -216,10 +233,10 @@ def score(docs: DataFrame) -> DataFrame:
                 kept_u.append(np.bincount(row, own, minlength=len(names)))
         out, a = [], 0
         for b, size in zip(group["block"].to_pylist(), map(len, col["counts"])):
-            out.append((b, shard[0].as_py(), None, held[at[a : a + size]].astype(np.float32).tobytes(), None, None))
+            out.append((b, shard[0].as_py(), None, _float_planes(held[at[a : a + size]]), None, None))
             a += size
         customers = np.bincount(word_row, c, minlength=len(words_here))
-        for kind, name, values in ((1, words_here, [customers, *kept_w]), (2, _cut(names, bits), kept_u)):
+        for kind, name, values in ((1, words_here, [customers, *kept_w]), (2, names, kept_u)):
             order = np.argsort(name)
             name, values = name[order], [x[order] for x in values]
             used = values[0] > 0
@@ -228,16 +245,16 @@ def score(docs: DataFrame) -> DataFrame:
                 out.append((None, b, kind, None, planes(name[a:e], _width(bits)), planes(np.concatenate([x[a:e] for x in values]).astype(np.int64), 5)))
         return _rows(out, [("block", pa.int64()), ("bucket", pa.int64()), ("kind", pa.int32()), ("held", pa.binary()), ("names", pa.binary()), ("tables", pa.binary())])
 
-    seated = written(pairs.groupBy("shard").applyInArrow(sit, "block long, bucket long, kind int, held binary, names binary, tables binary"), folder, "seated")
+    seated = kept(pairs.groupBy("shard").applyInArrow(sit, "block long, bucket long, kind int, held binary, names binary, tables binary"), "seated")
 
     # 4. the parent restaurant, by range of words
     def parent(bucket, left, right):
-        blocks, keys = left["block"].to_pylist(), [np.frombuffer(k, np.uint64) for k in left["keys"].to_pylist()]
+        blocks, keys = left["block"].to_pylist(), [unplanes(k) for k in left["keys"].to_pylist()]
         if not blocks:
             return _rows([], answer)
         known, at = np.unique(np.concatenate(keys), return_inverse=True)
         c = np.zeros(len(known))
-        np.add.at(c, at, np.frombuffer(b"".join(left["counts"].to_pylist()), np.uint32))
+        np.add.at(c, at, np.concatenate([unplanes(x, 4) for x in left["counts"].to_pylist()]).astype(np.float64))
         cut = _cut(known, bits)
         seen, tables, contexts = np.zeros(len(known)), np.zeros((SAMPLES, len(known))), np.zeros((SAMPLES, len(known)))
         for kind, name, values in zip(*(right[x].to_pylist() for x in ("kind", "names", "tables"))):
@@ -266,9 +283,9 @@ def score(docs: DataFrame) -> DataFrame:
         return _rows(out, answer)
 
     answer = [("block", pa.int64()), ("bucket", pa.int64()), ("least", pa.binary()), ("contexts", pa.binary()), ("sums", pa.list_(pa.float64()))]
-    root = written(
+    root = kept(
         sent.groupBy("bucket").cogroup(seated.where("kind is not null").select("bucket", "kind", "names", "tables").groupBy("bucket"))
-        .applyInArrow(parent, "block long, bucket long, least binary, contexts binary, sums array<double>"), folder, "root")
+        .applyInArrow(parent, "block long, bucket long, least binary, contexts binary, sums array<double>"), "root")
     totals = [float(x or 0) for x in root.where("block = -1").agg(*(F.sum(F.col("sums")[k]) for k in range(2 * SAMPLES))).first()]
 
     # 5. scores
@@ -281,11 +298,11 @@ def score(docs: DataFrame) -> DataFrame:
         ids, at, known, first = _block(left)
         rows = list(zip(*(right[c].to_pylist() for c in ("block", "bucket", "kind", "a", "b"))))
         count = joined(rows, 1, 3, six)
-        held = joined(rows, 2, 3, floats)
+        held = joined(rows, 2, 3, masses)
         least = joined(rows, 3, 3, floats).reshape(-1, SAMPLES)
         contexts = np.zeros((len(known), SAMPLES))
         contexts[count >= MIN_CONTEXT] = joined(rows, 3, 4, floats).reshape(-1, SAMPLES)
-        shard, u, w, token, context = _pairs(at, known, first, count, bits)
+        shard, u, w, token, context = _pairs(at, known, first, count, bits, split)
         p, mass = np.zeros(len(known)), []
         word_p = []
         for s in range(SAMPLES):
@@ -311,5 +328,7 @@ def score(docs: DataFrame) -> DataFrame:
     back = counts.unionByName(
         seated.where("kind is null").select("block", "bucket", F.lit(2).alias("kind"), F.col("held").alias("a"), none.alias("b"))
     ).unionByName(root.where("block >= 0").select("block", "bucket", F.lit(3).alias("kind"), F.col("least").alias("a"), F.col("contexts").alias("b")))
-    return table.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
-        measure, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scores = kept(table.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+        measure, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "scores")
+    drop_tables(spark, folder)
+    return scores
