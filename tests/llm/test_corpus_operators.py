@@ -147,6 +147,17 @@ def test_lm_rare_contexts_count(spark):
     assert got[held[0]].score > got[held[1]].score + 50
 
 
+def test_lm_of_split_restaurants(spark, docs):
+    """Restaurants split over shards explain held-out texts about as well as whole ones."""
+    def total(**more):
+        rows = [r for r in lm.score(docs, **more).collect() if r.held_out]
+        return sum(r.score for r in rows), sum(r.base_score for r in rows)
+
+    whole, base = total()
+    split, same = total(split=300)
+    assert same == base and abs(split - whole) < 0.02 * abs(base - whole)
+
+
 def test_passages(spark, docs, awkward, nothing):
     found = collections.defaultdict(set)
     for r in passages.passages(docs).collect():
