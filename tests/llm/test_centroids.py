@@ -89,3 +89,13 @@ def test_no_tables_left_behind(spark):
     before = {t.name for t in spark.catalog.listTables()}
     check(spark, [(i, [i * 0.5]) for i in range(20)], 3, 2, 1)
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_op11_equals_its_sql(spark):
+    from oracle_util import compare, duck
+
+    from skiff.llm.queries import ORACLES, op11_centroids
+
+    sf = "/root/testdata/sf0.01"
+    result = compare(spark, duck(sf), "op11_centroids", op11_centroids(spark, sf), ORACLES["op11_centroids"])
+    assert result["ok"] and result["spark_rows"] == 500, result
