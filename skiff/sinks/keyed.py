@@ -212,5 +212,5 @@ FEED_ENTRY = "state string, avg_aqi double, band string, window string, count bi
 def read_feed(feed_df: DataFrame, n: int = 10) -> DataFrame:
     """Newest n entries decoded; entries that are not valid JSON are skipped."""
     top = feed_df.orderBy(F.desc("batch_id"), F.desc("window_ts"), F.desc("state")).limit(n)
-    parsed = top.select(F.from_json("entry", FEED_ENTRY).alias("e")).filter(F.col("e").isNotNull())
-    return parsed.select("e.*")
+    is_object = F.from_json("entry", "map<string,string>").isNotNull()  # a struct would come back with NULL fields
+    return top.filter(is_object).select(F.from_json("entry", FEED_ENTRY).alias("e")).select("e.*")

@@ -111,6 +111,9 @@ def test_retention_feed_and_expiry(spark):
     assert top == ["k3", "k2"]  # equal scores: greater key first
     feed = keyed.read_feed(keyed.feed(log, 100), 3).collect()
     assert [(r.state, r.avg_aqi) for r in feed] == [("A", 60.0), ("A", 11.0), ("B", 20.0)]
+    bad = spark.createDataFrame([(9, 900, "Z", "not json"), (9, 899, "Z", "[1]"), (8, 1, "Z", '{"state":"Z","avg_aqi":1.5}')],
+                                "batch_id int, window_ts long, state string, entry string")
+    assert [(r.state, r.avg_aqi, r.band) for r in keyed.read_feed(bad, 3).collect()] == [("Z", 1.5, None)]  # bad entries are skipped
     now = F.lit("2024-01-01 02:30:00").cast("timestamp")
     alive = {r.key for r in keyed.expire(keyed.latest(log), 3600, now).collect()}
     assert alive == {"k1", "k3"}

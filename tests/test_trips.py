@@ -108,3 +108,14 @@ def test_consumer_counts_from_measures_and_stored_points(spark):
     measured = spark.createDataFrame([(4, 3, 1, 2, 1)], "consumed long, enriched long, enrich_errors long, sink_ok long, sink_error long")
     c = T.consumer_counts(measured, points).collect()[0].asDict()
     assert c == {"consumed": 4, "enriched": 3, "enrich_errors": 1, "sink_ok": 2, "sink_error": 1, "series_times": 2}
+
+
+def test_offset_of_the_topic_orders_writes_of_one_batch(spark, tmp_dir):
+    """Two messages of one trip in a micro-batch: the later offset is the last write."""
+    from skiff.sinks.points import stored_points, write_points
+
+    trip = ('{"trip_id":7,"pickup_datetime":"2024-01-01 08:00:00","dropoff_datetime":"2024-01-01 08:10:00","trip_distance":%s,'
+            '"fare_amount":12.5,"payment_type":"Cash","vendor_id":"CMT"}')
+    raw = spark.createDataFrame([(trip % "3.5", 11), (trip % "2.5", 10)], "value string, offset long")
+    write_points(T.to_points(T.enrich_trips(T.parse_trip_messages(raw))), f"{tmp_dir}/points", 0)
+    assert [r.trip_distance for r in stored_points(spark, f"{tmp_dir}/points").collect()] == [3.5]
