@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skiff.llm.blocks import block_table, block_texts, bucketed, drop_tables, planes, release, run_folder, unplanes, written
-from skiff.llm.common import mix64, uniform, words
+from skiff.llm.common import PIECE_BYTES, mix64, uniform, words
 
 END = np.uint64(0x5EED0FE0D0C5A11E)
 MIN_CONTEXT, SPLIT = 1, 400_000
@@ -39,7 +39,7 @@ DISCOUNT, STRENGTH = 0.75, 1.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.5, 1.0
 SWEEPS, SAMPLES = 4, 2
 #: Text of a block: the larger, the fewer words and pairs are sent twice; some 20 bytes of arrays a byte.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 HELD_OUT = 1
 
 
@@ -68,8 +68,14 @@ def seat(customers: np.ndarray, base: np.ndarray, tables: np.ndarray, seed: np.n
 def _block(table: pa.Table):
     """(ids, token's word number, distinct words sorted, first token of each text): words and ends."""
     ids, raw, off = block_texts(table)
-    h, _, _, first = words(raw, off)
-    n = len(ids)
+    hashes, bounds, k, n = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], 0, len(ids)
+    while k < n:  # a few texts at a time: hashing takes many bytes a byte
+        end = max(k + 1, int(np.searchsorted(off, off[k] + PIECE_BYTES, "right")) - 1)
+        h, _, _, first = words(raw[off[k] : off[end]], off[k : end + 1] - off[k])
+        hashes.append(h)
+        bounds.append(first[1:] + bounds[-1][-1])
+        k = end
+    h, first = np.concatenate(hashes), np.concatenate(bounds)
     place = np.arange(len(h)) + np.repeat(np.arange(n), np.diff(first))
     tokens = np.full(len(h) + n, END, np.uint64)
     tokens[place] = h
