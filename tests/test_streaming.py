@@ -412,3 +412,29 @@ def test_live_kpis_of_odd_averages(spark):
     assert kpis(1.0, 2.0, float("nan")).global_avg_aqi == 1.5
     assert kpis(1.0, float("inf")).global_avg_aqi == float("inf")
     assert kpis(1.0, float("nan")).total_records == 2
+
+
+def test_processing_time_trigger_takes_files_as_they_come(spark, tmp_dir):
+    inp = f"{tmp_dir}/in"
+    _write_batches(inp, [[_msg("A", 10.0, 1000)]])
+    cfg = AqiStreamConfig(trigger={"processingTime": "1 second"}, sliding=None)
+    qs = start_aqi_queries(spark, lambda: json_file_source(spark, inp), f"{tmp_dir}/out", f"{tmp_dir}/ckpt", cfg)
+
+    def stored(n):
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            qs[0].processAllAvailable()
+            rows = keyed.current(spark, f"{tmp_dir}/out/window_log").collect()
+            if sum(r.record_count for r in rows) == n:
+                return rows
+            time.sleep(0.5)
+        raise AssertionError(f"{n} messages not stored in time")
+
+    try:
+        assert len(stored(1)) == 1
+        with open(f"{inp}/later.json", "w") as f:
+            f.write(json.dumps(_msg("A", 20.0, 1001)) + "\n")
+        assert stored(2)[0].avg_aqi == 15.0
+    finally:
+        for q in qs:
+            q.stop()
