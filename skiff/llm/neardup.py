@@ -238,6 +238,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     firsts = classes(docs.select("doc_id", "text")).where("doc_id = class_id").select(F.col("doc_id").alias(first))
     named = docs.where("doc_id is not null").join(firsts, F.col("doc_id") == F.col(first), "left_semi")
     rest = [f"`{c}`" for c in docs.columns if c != "doc_id"]
-    key = [F.col(f"`{f.name}`") if orderable(f.dataType) else F.to_json(F.struct(f"`{f.name}`")) for f in docs.schema.fields if f.name != "doc_id"]
-    one = named.groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.struct(*key)).alias(row)).select("doc_id", f"{row}.*")
+    smallest = F.min(F.struct(*rest))
+    if not all(orderable(f.dataType) for f in docs.schema.fields):
+        key = [F.col(f"`{f.name}`") if orderable(f.dataType) else F.to_json(F.struct(f"`{f.name}`")) for f in docs.schema.fields if f.name != "doc_id"]
+        smallest = F.min_by(F.struct(*rest), F.struct(*key))
+    one = named.groupBy("doc_id").agg(smallest.alias(row)).select("doc_id", f"{row}.*")
     return one.select(*[f"`{c}`" for c in docs.columns]).union(docs.where("doc_id is null"))
