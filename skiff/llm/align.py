@@ -18,7 +18,6 @@ group of many repeated tokens is expanded by its distinct ids.
 
 from __future__ import annotations
 
-import ctypes
 import hashlib
 from functools import lru_cache
 
@@ -29,6 +28,7 @@ from pyspark.sql import functions as F
 
 from skiff.llm import bpe, piece_bpe
 from skiff.llm.blocks import planes, run_folder, unplanes, written
+from skiff.llm.common import give_back
 
 #: Bytes of text aligned at once, and of a block (a longer text is a block of its own).
 PIECE_BYTES, BLOCK_BYTES = 1 << 20, 6 << 20
@@ -61,10 +61,7 @@ class Aligner:
         """Give the memory of remembered words back to the machine."""
         for memory in (self.a.known, self.b.known, self.b.words):
             memory.clear()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        give_back()
 
     def align(self, texts: list[str]) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
         """Counts and digests of each text, and (text, pair, links) of all distinct linked pairs,

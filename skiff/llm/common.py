@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def give_back() -> None:
+    """Return a worker's freed memory to the machine: it may wait long for its next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have (names compare without case)."""
     taken = {c.lower() for c in df.columns}

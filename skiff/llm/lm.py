@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skiff.llm.blocks import block_table, block_texts, bucketed, drop_tables, planes, release, run_folder, unplanes, written
-from skiff.llm.common import PIECE_BYTES, mix64, uniform, words
+from skiff.llm.common import PIECE_BYTES, give_back, mix64, uniform, words
 
 END = np.uint64(0x5EED0FE0D0C5A11E)
 MIN_CONTEXT, SPLIT = 1, 400_000
@@ -39,7 +39,7 @@ DISCOUNT, STRENGTH = 0.75, 1.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.5, 1.0
 SWEEPS, SAMPLES = 4, 2
 #: Text of a block: the larger, the fewer words and pairs are sent twice; some 20 bytes of arrays a byte.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 HELD_OUT = 1
 
 
@@ -79,8 +79,9 @@ def _block(table: pa.Table):
     place = np.arange(len(h)) + np.repeat(np.arange(n), np.diff(first))
     tokens = np.full(len(h) + n, END, np.uint64)
     tokens[place] = h
+    del h, place, hashes
     known, at = np.unique(tokens, return_inverse=True)
-    return ids, at, known, first + np.arange(n + 1)
+    return ids, at.astype(np.int32), known, first + np.arange(n + 1)
 
 
 def _cuts(of: np.ndarray):
@@ -120,19 +121,18 @@ def _pairs(at, known, first, count, bits, limit):
     """The block's pairs (context, word) with a restaurant: their shard, context, word, and the
     pair of each token (-1 without a restaurant), pairs in sending order."""
     end = int(np.searchsorted(known, END))
-    context = np.empty(len(at), np.int64)
+    context = np.empty(len(at), np.int32)
     context[1:] = at[:-1]
     context[first[:-1]] = end
     has = count[context] >= MIN_CONTEXT
-    key = context[has] * len(known) + at[has]
-    pair, of = np.unique(key, return_inverse=True)
+    pair, of = np.unique(context[has].astype(np.int64) * len(known) + at[has], return_inverse=True)
     u, w = pair // len(known), pair % len(known)
     split = np.maximum(1, -(-count[u] // limit)).astype(np.uint64)
     shard = _top(mix64(mix64(known[u]) + mix64(known[w] ^ np.uint64(0xABCDEF)) % split), bits)
     order = np.lexsort((w, u, shard))
-    number = np.empty(len(order), np.int64)
+    number = np.empty(len(order), np.int32)
     number[order] = np.arange(len(order))
-    token = np.full(len(at), -1, np.int64)
+    token = np.full(len(at), -1, np.int32)
     token[has] = number[of]
     return shard[order], u[order], w[order], token, context
 
@@ -193,6 +193,7 @@ def score(docs: DataFrame, split: int = SPLIT) -> DataFrame:
 
     # 2. pairs with a restaurant, by shard
     def send_pairs(block, left, right):
+        give_back()
         out = []
         if left.num_rows:
             ids, at, known, first = _block(left)
@@ -214,6 +215,7 @@ def score(docs: DataFrame, split: int = SPLIT) -> DataFrame:
 
     # 3. seating
     def sit(shard, group):
+        give_back()
         col = {c: [unplanes(x, width) for x in group[c].to_pylist()] for c, width in
                (("us", _width(bits)), ("cs", 6), ("runs", 4), ("ws", _width(bits)), ("levels", 1), ("counts", 5))}
         runs = np.concatenate(col["runs"]).astype(np.int64)
@@ -299,6 +301,7 @@ def score(docs: DataFrame, split: int = SPLIT) -> DataFrame:
              ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
 
     def measure(block, left, right):
+        give_back()
         if not left.num_rows:
             return _rows([], empty)
         ids, at, known, first = _block(left)
