@@ -98,3 +98,48 @@ def test_misspellings_share_grams():
     _, raw, off = next(text_pieces(pa.array(["such a stupiid idioot", "calm waters here"])))
     bad, good = model.score_texts(raw, off)
     assert bad > 0.5 > good
+
+
+def test_tree_scores_equal_a_plain_descent():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 5)).round(1)  # many ties at thresholds
+    y = (x[:, 0] + x[:, 1] * x[:, 2] > 0.3).astype(float)
+    model = quality.BoostedTrees(trees=12, depth=3).fit(x, y)
+
+    def descend(row):
+        total = model.start
+        for feature, threshold, value in zip(model.feature, model.threshold, model.value):
+            node = 0
+            for _ in range(model.depth):
+                node = 2 * node + (2 if row[feature[node]] > threshold[node] else 1)
+            total += value[node - (2**model.depth - 1)]
+        return 1 / (1 + np.exp(-total))
+
+    fresh = np.concatenate([x, rng.normal(size=(100, 5)), np.full((1, 5), 1e9), np.full((1, 5), -1e9)])
+    np.testing.assert_allclose(model.score(fresh), [descend(r) for r in fresh], rtol=1e-12)
+    assert len(model.score(np.zeros((0, 5)))) == 0
+
+
+def test_passage_scores_equal_a_plain_loop():
+    import pyarrow as pa
+
+    from skiff.llm.common import text_pieces
+
+    rng = np.random.default_rng(4)
+    model = toxicity.SubwordSoftmax()
+    model.constant, model.bias, model.word = None, -1.5, rng.normal(size=toxicity.BUCKETS)
+    texts = ["", " \n ", "one", "Stupid " * 3, " ".join(f"w{k % 13}ord{k % 5}" for k in range(50)), "ünïcode wörds and <tags>", None]
+    _, raw, off = next(text_pieces(pa.array(texts)))
+
+    def word_score(word):
+        data = np.frombuffer(word, np.uint8)
+        grams, first = toxicity.word_grams(data, np.array([0]), np.array([len(data)]))
+        return model.word[grams].mean()
+
+    want = []
+    for t in texts:
+        s = [word_score(w) for w in re.findall(rb"[^ \t\n\x0b\x0c\r]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))]
+        parts = [s[k : k + toxicity.PASSAGE] for k in range(0, len(s), toxicity.PASSAGE)]
+        best = max((sum(p) / max(len(p), min(toxicity.PASSAGE, len(s))) for p in parts), default=0.0)
+        want.append(1 / (1 + np.exp(-(model.bias + best))))
+    np.testing.assert_allclose(model.score_texts(raw, off), want, rtol=1e-9)
