@@ -307,8 +307,8 @@ def cluster_sql(k: int = CLUSTERS, rounds: int = ROUNDS, dims: int = DIMENSIONS,
     """The same as SQL, every vector measured against every centroid in every round (sums and
     distances in doubles: whole numbers below 2**53)."""
     parts = [f"""v AS MATERIALIZED (
-  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, e -> floor(256 * CAST(e AS DOUBLE))) AS x FROM embeddings
-  WHERE len(embedding) = {dims} AND len(list_filter(embedding, e -> e IS NOT NULL AND isfinite(e))) = {dims})""",
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dims})""",
              f"""c0 AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM (SELECT sha256('{salt}' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, x FROM v ORDER BY h, x LIMIT {k}))"""]
     for r in range(rounds + 1):
@@ -324,5 +324,5 @@ def cluster_sql(k: int = CLUSTERS, rounds: int = ROUNDS, dims: int = DIMENSIONS,
     return f"""WITH {', '.join(parts)}
 SELECT a.vec_id, CAST(a.m % {k} AS INTEGER) AS cluster, a.m // {k} AS distance,
   CAST(sum(a.m // {k}) OVER (PARTITION BY a.m % {k}) AS BIGINT) AS cluster_inertia, CAST(sum(a.m // {k}) OVER () AS BIGINT) AS inertia,
-  sha256(array_to_string(list_transform(c.x, e -> CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+  sha256(array_to_string(list_transform(c.x, lambda e: CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
 FROM a{rounds} AS a JOIN c{rounds} AS c ON c.c = a.m % {k}"""
