@@ -213,10 +213,11 @@ FROM (SELECT *, LAG(ys, 1) OVER (PARTITION BY Category ORDER BY Year) AS prev FR
 ORDER BY Category, Year""",
         _YEARLY_CAT,
     ),
-    # before the dates are parsed: they are still text
+    # with the dates parsed: text that is no date counts as NULL
     "null_counts": with_ctes(
-        "SELECT " + ", ".join(f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS {c}" for c, _ in REPORTED) + " FROM as_loaded", AS_LOADED
+        "SELECT " + ", ".join(f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS {c}" for c, _ in REPORTED) + " FROM typed"
     ),
+    # before the dates are parsed: they are still text
     "schema_report": with_ctes(
         "\nUNION ALL\n".join(f"SELECT '{c}' AS \"column\", '{t}' AS type, COUNT({c}) AS non_null FROM as_loaded" for c, t in REPORTED), AS_LOADED
     ),

@@ -103,3 +103,16 @@ def test_value_counts_one_pass(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x")], "Category string, Region string")
     got = {(r.column_name, r.value, r.n) for r in quality.value_counts(df, ["Category", "Region"]).collect()}
     assert got == {("Category", "a", 2), ("Category", "b", 1), ("Region", "x", 2), ("Region", None, 1)}
+
+
+def test_null_counts_query_counts_dates_that_do_not_parse(spark, tmp_dir):
+    from skiff.plans.retail import q_null_counts
+    from skiff.sources import fixtures
+
+    root = f"{tmp_dir}/tables"
+    raw = spark.createDataFrame(
+        [("2011-01-07 00:00:00.000", "soon", "1.5"), ("bad", "2011-01-07 00:00:00.000", "n/a"), (None, "2011-01-07 00:00:00.000", "1")],
+        "`Order.Date` string, `Ship.Date` string, Sales string")
+    raw.write.parquet(f"{tmp_dir}/raw")
+    fixtures._STORED[(spark.sparkContext.applicationId, root, "order_lines_raw")] = f"{tmp_dir}/raw"
+    assert q_null_counts(spark, root).first().asDict() == {"Order_Date": 2, "Ship_Date": 1, "Sales": 1}
