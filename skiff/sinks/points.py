@@ -24,10 +24,10 @@ FOLDER_TAG = "payment_type"
 SERIES = ("measurement", *TAG_COLUMNS, "time")
 
 
-def write_points(points: DataFrame, root: str, batch_id: int) -> None:
-    """Store a batch's points (``operators.trips.to_points``)."""
+def write_points(points: DataFrame, root: str, batch_id: int, dealt: bool = False) -> None:
+    """Store a batch's points (``operators.trips.to_points``); ``dealt`` as in ``write_partitions``."""
     out = points.withColumns({"day": F.to_date("time"), "tag": F.col(FOLDER_TAG)})
-    write_partitions(out, root, batch_id, by=("day", "tag"))
+    write_partitions(out, root, batch_id, by=("day", "tag"), dealt=dealt)
 
 
 def read_points(spark: SparkSession, root: str, since: dt.date | None = None, until: dt.date | None = None,

@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skiff.operators import trips as T
 from skiff.sinks.keyed import write_partitions
-from skiff.sinks.points import write_points
+from skiff.sinks.points import FOLDER_TAG, write_points
 
 FLOW_METRICS = "trip_flow"
 FLOW_COUNTERS = ("consumed", "enriched", "enrich_errors", "sink_ok", "sink_error")
@@ -58,22 +59,27 @@ def trip_batch_writer(out_root: str, store: Callable[[DataFrame, str, int], None
     errors and kept under ``<out_root>/unwritten`` instead, and the stream goes on."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
+        # a cached plan is adaptive too: its folders are rebalanced by their sizes
+        batch_df.sparkSession.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
         batch_df.persist()
+        enriched = None
+        write_dealt = partial(write_points, dealt=True)
         try:
             n, bad = batch_df.agg(F.count(F.lit(1)), F.count_if(T.enrichment_error(batch_df))).first()  # one row
             good = n - bad
-            enriched = T.enrich_trips(batch_df)
-            stored = enriched.drop("order_in_batch").withColumn("day", F.to_date("pickup_datetime"))
+            # the trips and their points go to folders of the same days and tags: dealt out once for both
+            enriched = T.enrich_trips(batch_df).withColumn("day", F.to_date("pickup_datetime"))
+            enriched = enriched.hint("rebalance", F.col("day"), F.col(FOLDER_TAG)).persist()
+            stored = enriched.drop("order_in_batch")
             points = T.to_points(enriched)
 
             def store_points() -> int:
                 """Points that the sink did not take."""
                 try:
-                    (store or write_points)(points, f"{out_root}/points", batch_id)
+                    (store or write_dealt)(points, f"{out_root}/points", batch_id)
                     return 0
                 except Exception:  # the sink is down: nothing is lost, and the failure is counted
-                    write_points(points, f"{out_root}/unwritten", batch_id)
+                    write_dealt(points, f"{out_root}/unwritten", batch_id)
                     return good
 
             # four independent outputs of the cached batch, written side by side
@@ -81,16 +87,18 @@ def trip_batch_writer(out_root: str, store: Callable[[DataFrame, str, int], None
                 failed = pool.submit(store_points)
                 others = [
                     pool.submit(write_partitions, T.enrichment_rejects(batch_df), f"{out_root}/rejects", batch_id, ()),
-                    pool.submit(write_partitions, stored, f"{out_root}/enriched", batch_id),
+                    pool.submit(write_partitions, stored, f"{out_root}/enriched", batch_id, dealt=True),
                     pool.submit(_write_sample, batch_df, out_root, batch_id),
                 ]
                 for f in others:
                     f.result()
                 failed = failed.result()
             counters = dict(zip(FLOW_COUNTERS, (n, good, bad, good - failed, failed)))
-            row = spark.range(1).select(*[F.lit(v).cast("long").alias(c) for c, v in counters.items()])
+            row = batch_df.sparkSession.range(1).select(*[F.lit(v).cast("long").alias(c) for c, v in counters.items()])
             row.coalesce(1).write.mode("overwrite").parquet(f"{out_root}/flow/batch_id={batch_id}")
         finally:
+            if enriched is not None:
+                enriched.unpersist()
             batch_df.unpersist()
 
     return write

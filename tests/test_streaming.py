@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import json
 from decimal import Decimal
 import os
@@ -438,3 +439,45 @@ def test_processing_time_trigger_takes_files_as_they_come(spark, tmp_dir):
     finally:
         for q in qs:
             q.stop()
+
+
+def test_stateful_batch_writes_one_file_a_folder(spark, tmp_dir, monkeypatch):
+    """Windows of many states lie in every state partition: each used to write a file a day."""
+    inp = f"{tmp_dir}/in"
+    day = 86_400
+    _write_batches(inp, [[_msg(f"S{k}", 10.0 + k, 1000 + day * (k % 3)) for k in range(60)]])
+    _run(spark, inp, f"{tmp_dir}/run")
+    log = f"{tmp_dir}/run/out/window_log"
+    assert len(glob.glob(f"{log}/day=*/batch_id=*/*.parquet")) == 3
+    assert keyed.read_log(spark, log).count() == 60
+    # a large folder is still split
+    monkeypatch.setattr(keyed, "ROWS_PER_FILE", 5)
+    _run(spark, inp, f"{tmp_dir}/more")
+    log = f"{tmp_dir}/more/out/window_log"
+    assert len(glob.glob(f"{log}/day=*/batch_id=*/*.parquet")) > 3
+    assert keyed.read_log(spark, log).count() == 60
+
+
+def test_built_slices_are_packed_and_paced(spark, tmp_dir):
+    from skiff.sources.files import write_built_slices
+
+    build = lambda rows: rows.select(F.concat(F.lit("m"), F.col("id")).alias("value"))
+    slices = [(spark.range(k * 3_000, k * 3_000 + n), build) for k, n in enumerate((2_500, 0, 3_000))]
+    files, rows = write_built_slices(slices, f"{tmp_dir}/in")
+    assert rows == [2_500, 3_000] and files == 2
+    parts = glob.glob(f"{tmp_dir}/in/part-*")
+    assert len(parts) == 4 and all(p.endswith(".gz") for p in parts)
+    got = {r.value for r in spark.read.text(f"{tmp_dir}/in").collect()}
+    assert got == {f"m{k}" for k in (*range(2_500), *range(6_000, 9_000))}
+    files, rows = write_built_slices([(spark.range(0), build)], f"{tmp_dir}/none")
+    assert rows == [] and spark.read.text(f"{tmp_dir}/none").count() == 0
+
+
+def test_trips_and_points_are_dealt_out_once(spark, tmp_dir, monkeypatch):
+    from skiff.streaming import trips_job
+
+    dealt = []
+    write = trips_job.write_partitions
+    monkeypatch.setattr(trips_job, "write_partitions", lambda df, *a, **k: (dealt.append(k.get("dealt", False)), write(df, *a, **k)))
+    _run_trips(spark, tmp_dir, [[_trip(100), _trip(101)]])
+    assert sorted(dealt) == [False, False, True]
