@@ -99,3 +99,15 @@ def test_single_partition_window_detector(spark):
     assert _single_partition_windows(_plan(QUERIES["band_distribution"](spark, SF_SMALL)))
     assert _single_partition_windows(_plan(QUERIES["trip_sample"](spark, SF_SMALL)))
     assert not _single_partition_windows(_plan(QUERIES["subcategory_rank"](spark, SF_SMALL)))
+
+
+def test_readers_of_a_few_columns_write_no_raw_lines(spark):
+    from skiff.plans import retail
+    from skiff.sources import fixtures
+
+    root = SF_SMALL + "/."  # a path of its own: nothing is stored for it yet
+    kept = lambda: {name for _, at, name in fixtures._STORED if at == root}
+    optimized = QUERIES["profit_margin"](spark, root)._jdf.queryExecution().optimizedPlan().toString()
+    assert not kept() and "c_name" not in optimized.split("Relation")[0] and "p_brand" not in optimized.split("Relation")[0]
+    assert retail.cleaned(spark, root).columns == list(retail.ANALYSED)
+    assert kept() == {"order_lines_clean"}
