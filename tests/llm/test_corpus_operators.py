@@ -206,6 +206,62 @@ def test_similar_links_connect_all_similar_windows():
     assert len(links) == 48 - 4 and all(i > j for i, j in links)
 
 
+def test_similar_links_of_copies_and_joined_windows():
+    """Random groups with copies, repeated documents and joined windows, against all pairs."""
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        base = rng.integers(0, 1 << 24, (4, 60))
+        rows, doc, group = [], np.sort(rng.integers(0, 25, 60)), np.repeat([0, 1], 30)
+        for k in range(60):
+            own = base[rng.integers(0, 4)].copy()
+            own[rng.integers(0, 60, rng.choice([0, 0, 4, 12, 40]))] = rng.integers(0, 1 << 24)
+            rows.append(own[: rng.integers(46, 61)])
+        joined = (rng.random(60) < 0.3) & (group == 0)
+        links = passages.similar_links(group, doc, joined, np.array([len(x) for x in rows]), np.concatenate(rows))
+        star = [[(a, b) for a in np.flatnonzero(joined) for b in np.flatnonzero(joined)]]
+        pairs = []
+        for i in range(60):
+            for j in range(i):
+                sums = np.concatenate([[0], np.cumsum(np.isin(rows[i], rows[j]))])
+                if group[i] == group[j] and doc[i] != doc[j] and (sums[46:] - sums[:-46] >= 41).any():
+                    pairs.append((i, j))
+        assert set(links) <= set(pairs) and roots(range(60), links + star[0]) == roots(range(60), pairs + star[0])
+
+
+def test_candidates_of_passages():
+    """The interval join, against plain counting."""
+    rng = np.random.default_rng(8)
+    n = 4000
+    row, source, f = rng.integers(0, 40, n), rng.integers(0, 8, n), rng.integers(0, 6, n)
+    l = rng.integers(0, 300, n)
+    r = l + 45 + rng.integers(0, 30, n)
+    some = rng.random(n) < rng.random(40)[row] * 0.7
+    row, source, f, l, r = (x[some] for x in (row, source, f, l, r))
+    want = set()
+    for pair in set(zip(row.tolist(), source.tolist())):
+        cover = np.zeros((6, 500), bool)
+        for k in np.flatnonzero((row == pair[0]) & (source == pair[1])):
+            cover[f[k], l[k] : r[k] + 1] = True
+        sums = np.concatenate([[0], np.cumsum(cover.sum(0) >= 2)])
+        if (sums[46:] - sums[:-46] >= 41).any():
+            want.add(pair)
+    keep = passages.candidates(row, source, f, l, r)
+    pairs = list(zip(row.tolist(), source.tolist()))
+    assert 0 < len(want) < len(set(pairs)) and [k for k in pairs if k in want] == [k for k, hit in zip(pairs, keep) if hit]
+
+
+def test_only_candidates_borrow_shingles(spark, tmp_path, monkeypatch):
+    """Texts that share a line by chance ask for nothing; a text with a copied passage asks its source."""
+    own = lambda k, n: [f"t{k}v{j}" for j in range(n)]
+    rows = [(100 * g + k, " ".join(own(100 * g + k, 50) + [f"line{g}x{j}" for j in range(5)] + own(-100 * g - k - 1, 50))) for g in range(12) for k in range(30)]
+    rows += [(5000 + k, " ".join(own(5000 + k, 20) + [f"passage{j}" for j in range(70)])) for k in range(2)]
+    monkeypatch.setattr(passages, "run_folder", lambda docs, label: f"{tmp_path}/{label}")
+    got = passages.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert [(r.doc_id, r.source_id) for r in got] == [(5001, 5000)] and got[0].start_word <= 20 and got[0].end_word == 90
+    links = spark.read.parquet(f"{tmp_path}/passages/links").where("kind = 1").count()
+    assert links > 1 and {r.source for r in spark.read.parquet(f"{tmp_path}/passages/lent").collect()} == {5000}
+
+
 def test_leaks(spark, docs, awkward, nothing):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     cut = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
