@@ -49,12 +49,13 @@ _CANDIDATE = (8, 4, *_WINDOW, 8)
 _PENDING = (1, 4, 4, 4, 4)
 
 
-def compact_windows(values: np.ndarray, first: np.ndarray, least: int = LEAST):
-    """(l, c, r) of the compact windows of at least ``least`` values; ``first`` bounds the texts."""
+def compact_windows(values: np.ndarray, first: np.ndarray, least: int = LEAST, period: int = 1 << 32):
+    """(l, c, r) of the compact windows of at least ``least`` values; ``first`` bounds the texts. Places count
+    anew every ``period`` values, where the next function's begin."""
     lo, hi = first[:-1], first[1:]
     out = []
     # equal values (repeated shingles) are told apart by a scrambled position: trees stay shallow
-    place = np.arange(len(values), dtype=np.uint64) * _SCRAMBLE & _LOW
+    place = np.arange(len(values), dtype=np.uint64) % np.uint64(max(period, 1)) * _SCRAMBLE & _LOW
     packed = values & ~_LOW | place
     while True:
         ok = hi - lo >= least
@@ -64,7 +65,7 @@ def compact_windows(values: np.ndarray, first: np.ndarray, least: int = LEAST):
         if len(packed) == hi[-1]:  # reduceat needs ends inside the array
             packed = np.append(packed, np.uint64(0xFFFFFFFFFFFFFFFF))
         cuts = _alternating(lo, hi)
-        c = (np.minimum.reduceat(packed, cuts)[::2] * _UNSCRAMBLE & _LOW).astype(np.int64)
+        c = (np.minimum.reduceat(packed, cuts)[::2] * _UNSCRAMBLE & _LOW).astype(np.int64) + lo // period * period
         out.append((lo, c, hi - 1))
         lo, hi = _alternating(lo, c + 1), _alternating(c, hi)
     if not out:
@@ -86,11 +87,13 @@ def block_windows(raw: np.ndarray, off: np.ndarray):
         end = max(k + 1, int(np.searchsorted(off, off[k] + _PIECE, "right")) - 1)
         h, _, _, first = words(raw[off[k] : off[end]], off[k : end + 1] - off[k])
         s, sf = shingles(h, first, WORDS)
-        for j in range(HASHES):
-            v = mix64(s + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-            l, c, r = compact_windows(v, sf)
-            row = np.searchsorted(sf, c, "right") - 1
-            parts.append((mix64(v[c] + np.uint64(j)), row + k, l - sf[row], r - sf[row], np.full(len(c), j), c - sf[row]))
+        n = max(len(s), 1)
+        v = mix64(np.concatenate([s + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)) for j in range(HASHES)]))
+        l, c, r = compact_windows(v, np.concatenate([*(sf[:-1] + j * len(s) for j in range(HASHES)), [HASHES * len(s)]]), period=n)
+        j, key = c // n, v[c]
+        row = np.searchsorted(sf, c - j * n, "right") - 1
+        start = sf[row] + j * n
+        parts.append((mix64(key + j.astype(np.uint64)), row + k, l - start, r - start, j, c - start))
         k = end
     if not parts:
         return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 5)
