@@ -27,6 +27,21 @@ def test_tolerant_date_parse(spark):
     assert str(out[0]) == "2011-01-07" and out[1:] == [None, None, None]
 
 
+def test_midnight_text_parses_as_the_formatter_parses_it(spark):
+    midnight = " 00:00:00.000"
+    days = ["2011-01-07", "2012-02-29", "2011-02-29", "2011-13-01", "2011-00-10", "2011-01-00", "0001-01-01", "0000-01-01", "9999-12-31",
+            "1582-10-10", "2011-01-7 ", "2011-01-1T", "2011-01- 7", " 011-01-07", "-011-01-07", "+011-01-07", "2011-1-007", "2011/01/07",
+            "2011-01-0x", "2011-0a-07", "20é1-01-07", "2011-01-1:", "          ", "12011-01-07", "+12011-01-07", "2011-01"]
+    texts = [d + midnight for d in days] + ["2011-01-07 00:00:00.001", "2011-01-07 23:59:59.999", "2011-01-07 00:00:00", "", midnight, None]
+    df = spark.createDataFrame([(t,) for t in texts], "Order_Date string")
+    day = F.try_to_date("Order_Date", clean.ORDER_DATE_FORMAT).cast("string")
+    assert clean.parse_dates(df).select(F.col("Order_Date").cast("string")).collect() == df.select(day).collect()
+    # valid days at midnight never reach the formatter
+    plain = df.select(day.alias("d"), clean._midnight(F.col("Order_Date")).cast("string").alias("m"))
+    assert plain.filter("m is not null and not m <=> d").isEmpty()
+    assert plain.filter("m is not null").count() == 6
+
+
 def test_cleaning_rule_nan_and_nulls(spark):
     df = spark.createDataFrame(
         [

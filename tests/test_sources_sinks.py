@@ -1,4 +1,6 @@
 import datetime as dt
+import glob
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,9 +8,10 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from conftest import SF_SMALL
 from skiff.operators import clean, marts
+from skiff.plans.registry import QUERIES
 from skiff.sinks import tables
 from skiff.sources import fixtures, kafka
-from skiff.sources.files import read_raw_csv
+from skiff.sources.files import SHUFFLE_CLEANUP, read_raw_csv, write_raw_csv
 from skiff.sources.jdbc import day_ranges, read_jdbc_ordered, read_jdbc_table
 
 
@@ -22,6 +25,71 @@ def test_raw_csv_round_trip_gives_same_marts(spark, tmp_dir):
     assert a == b
 
 
+def _write_orders(spark, root):
+    """Order tables with keys that repeat, are NULL or have no match, and dates of odd years."""
+    day = dt.datetime(1996, 1, 2)
+    keys = [*range(40), *range(40), None, 7, 999]
+    tables = {
+        "lineitem": (
+            [(k, i % 5 if i % 11 else None, i, 3.0, 100.25, 0.05, 0.02, day) for i, k in enumerate(keys)],
+            "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp",
+        ),
+        "orders": (
+            [(k, k % 3, day if k % 4 else dt.datetime(1, 1, 1), "1-URGENT") for k in [*range(40), 7]] + [(None, 1, day, ""), (41, None, day, None)],
+            "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string",
+        ),
+        "customer": ([(k, f"c,{k}" if k else None, 0, "BUILDING") for k in (0, 1, 2, 2)], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
+        "nation": ([(0, 0)], "n_nationkey int, n_regionkey int"),
+        "region": ([(0, "ASIA")], "r_regionkey int, r_name string"),
+        "part": ([(k, f'a "p" {k}', "B", "T", 10.0) for k in (0, 1, 2, 3, 3)], "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/{name}.parquet")
+
+
+def test_parts_of_the_raw_lines_are_the_raw_lines(spark, tmp_dir):
+    _write_orders(spark, tmp_dir)
+    text = lambda df: sorted(map(str, df.collect()))
+    parts = [text(p) for p in fixtures.order_lines_raw_parts(spark, tmp_dir)]
+    whole = text(fixtures.order_lines_raw(spark, tmp_dir))
+    assert whole and sorted(sum(parts, [])) == whole
+    assert len(parts) > 1 and max(map(len, parts)) < len(whole) / 2
+    stored = fixtures.stored(spark, tmp_dir, "order_lines_raw")  # from now on one part, without joins
+    (part,) = fixtures.order_lines_raw_parts(spark, tmp_dir)
+    assert "Join" not in part._jdf.queryExecution().optimizedPlan().toString() and text(part) == text(stored)
+
+
+def test_csv_query_keeps_packed_text_only(spark, tmp_dir):
+    from skiff.plans import retail
+
+    _write_orders(spark, tmp_dir)
+    rows = sorted(map(str, QUERIES["csv_clean_orders"](spark, tmp_dir).collect()))
+    assert not [name for _, root, name in fixtures._STORED if root == tmp_dir]
+    folder = retail._CSV[spark.sparkContext.applicationId, tmp_dir].removeprefix("file:")
+    assert glob.glob(f"{folder}/*.csv.gz") and not glob.glob(f"{folder}/*.csv")
+    assert rows and rows == sorted(map(str, retail.edge(retail.derived_clean_lines(spark, tmp_dir)).collect()))
+
+
+def test_shuffle_files_go_with_the_part_that_made_them(spark, tmp_dir):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {name for name in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+    part = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).cast("string").alias("n")).select(F.col("k").cast("string"), "n")
+    before = shuffled()
+    write_raw_csv((part.select("k", "n") for _ in range(2)), f"{tmp_dir}/csv")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    assert sorted(tuple(r) for r in read_raw_csv(spark, f"{tmp_dir}/csv").collect()) == sorted((str(k), str(143 if k < 6 else 142)) for k in range(7) for _ in range(2))
+
+
+def test_date_text_equals_the_formatter(spark):
+    days = spark.sql("select explode(array(date'0001-01-01', date'1582-10-10', date'1996-02-29', date'9999-12-31', date_add(date'9999-12-31', 1), date_add(date'0001-01-01', -1), null)) d")
+    want = F.date_format(F.col("d").cast("timestamp_ntz"), fixtures.ORDER_DATE_TEXT)
+    assert [r[0] for r in days.select(fixtures._date_text("d")).collect()] == [r[0] for r in days.select(want).collect()]
+
+
 def test_column_types_ddl_keeps_counts_numeric():
     schema = StructType([StructField("n", LongType())])
     assert tables.column_types_ddl(schema) == "n BIGINT"
